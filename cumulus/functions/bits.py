@@ -39,7 +39,8 @@ def datelist_bits(dates, as_of, window: int = WINDOW, since=None) -> Column:
         ok = (age >= 0) & (age < window)
         if since_c is not None:
             ok = ok & (d >= since_c)
-        return acc.bitwiseOR(F.when(ok, F.shiftleft(F.lit(1).cast("long"), window - 1 - age))
+        # 2^k for k in 0..window-1 is exact in a double.
+        return acc.bitwiseOR(F.when(ok, F.pow(F.lit(2.0), window - 1 - age).cast("long"))
                              .otherwise(F.lit(0).cast("long")))
 
     return F.aggregate(F.coalesce(col_(dates), F.array().cast("array<date>")),

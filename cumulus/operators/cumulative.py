@@ -94,8 +94,9 @@ def backfill_snapshot(detail: DataFrame, key: str, period: str, stats: Sequence[
         F.array_sort(F.collect_list("_row")).alias("_rows"))
     last = F.lit(end) if end_col is None else end_col
     first = F.col("_first") if start is None else F.greatest(F.col("_first"), F.lit(start))
-    spine = per_key.select(key, *static, "_rows",
-                           F.explode(F.sequence(first, last)).alias(CURRENT))
+    # sequence(a, b) with a > b counts down: drop keys starting after ``end``.
+    spine = (per_key.filter(first <= last)
+             .select(key, *static, "_rows", F.explode(F.sequence(first, last)).alias(CURRENT)))
     hist = F.filter("_rows", lambda r: r[period] <= F.col(CURRENT))
     out = spine.select(key, *static, CURRENT, hist.alias(HISTORY))
     last_row = F.element_at(HISTORY, -1)

@@ -102,3 +102,112 @@ def q_scd2_incremental(spark, sf_dir):
     snap = _snapshot(spark, sf_dir)
     prev = scd.scd2_backfill(snap, KEY, cum.CURRENT, TRACKED, si.SNAPSHOT_PREV)
     return scd.scd2_incremental(prev, snap, KEY, TRACKED, si.SNAPSHOT_PREV, si.SNAPSHOT_END)
+
+
+# --------------------------------------------------------------------------
+# Date lists, activity bits, metric arrays (A12-A16) on events
+# --------------------------------------------------------------------------
+from cumulus.functions.columns import join_dates  # noqa: E402
+from cumulus.operators import growth as gr  # noqa: E402
+
+
+def _flat_datelist(df, keys):
+    return df.select(*keys, "date", F.size("dates_active").alias("n_dates"),
+                     join_dates("dates_active").alias("dates_active"))
+
+
+def _datelist_step(spark, sf_dir, keys, events=None):
+    ev = si.events(spark, sf_dir) if events is None else events
+    prev = cum.datelist_backfill(ev, keys, si.EVENT_PREV_DAY)
+    return _flat_datelist(cum.cumulate_datelist(prev, ev, keys, si.EVENT_DAY), keys)
+
+
+@register("cumulate_datelist")
+def q_cumulate_datelist(spark, sf_dir):
+    """User date list on 2024-01-30 from the 2024-01-29 table."""
+    return _datelist_step(spark, sf_dir, ["user_id"])
+
+
+@register("cumulate_datelist_device")
+def q_cumulate_datelist_device(spark, sf_dir):
+    """A12 with a composite key (J2): user x device attributes."""
+    ev = si.events(spark, sf_dir)
+    dev = si.devices(spark, sf_dir)
+    ev = ev.join(dev, ev.user_id == dev.device_id, "inner")
+    return _datelist_step(spark, sf_dir, ["user_id", "os_type", "browser_type"], ev)
+
+
+@register("cumulate_datelist_host")
+def q_cumulate_datelist_host(spark, sf_dir):
+    """A12 keyed by host (event_type stands in for host)."""
+    ev = si.events(spark, sf_dir).withColumnRenamed("event_type", "host")
+    return _datelist_step(spark, sf_dir, ["host"], ev)
+
+
+@register("datelist_int")
+def q_datelist_int(spark, sf_dir):
+    """A13 + A14: 32-bit activity word and flags per user on 2024-01-30."""
+    dl = cum.datelist_backfill(si.events(spark, sf_dir), "user_id", si.EVENT_DAY)
+    return cum.datelist_int(dl, "user_id", si.EVENT_DAY)
+
+
+def _arrays_through(spark, sf_dir, day):
+    return cum.metric_array_backfill(si.events(spark, sf_dir), "user_id", day, "site_hits")
+
+
+@register("cumulate_metric_array")
+def q_cumulate_metric_array(spark, sf_dir):
+    """Site-hit array per user, day 30 written into the 29th-day table."""
+    ev = si.events(spark, sf_dir)
+    prev = cum.metric_array_backfill(ev, "user_id", si.EVENT_PREV_DAY, "site_hits")
+    out = cum.cumulate_metric_array(prev, ev, "user_id", si.EVENT_DAY, "site_hits")
+    return out.select("user_id", "month_start", "metric_name",
+                      F.size("metric_array").alias("n_days"),
+                      join_ints("metric_array").alias("metric_array"))
+
+
+@register("metric_array_daily")
+def q_metric_array_daily(spark, sf_dir):
+    """Arrays summed by index back to one row per day."""
+    return cum.metric_array_daily(_arrays_through(spark, sf_dir, si.EVENT_DAY))
+
+
+@register("monthly_hits_wide")
+def q_monthly_hits_wide(spark, sf_dir):
+    """A16 wide form: first three days per month."""
+    return cum.monthly_hits_wide(_arrays_through(spark, sf_dir, si.EVENT_DAY))
+
+
+# --------------------------------------------------------------------------
+# Growth accounting, retention, lifecycle
+# --------------------------------------------------------------------------
+GROWTH_KEYS = ["user_id", "event_type"]
+
+
+@register("growth_accounting")
+def q_growth_accounting(spark, sf_dir):
+    """(user, event type) growth states on 2024-01-30 from the 29th."""
+    ev = si.events(spark, sf_dir)
+    prev = gr.growth_backfill(ev, GROWTH_KEYS, si.EVENT_MONTH_START, si.EVENT_PREV_DAY)
+    out = gr.growth_accounting(prev, ev, GROWTH_KEYS, si.EVENT_DAY)
+    return out.select(*GROWTH_KEYS, "first_active_date", "last_active_date",
+                      "daily_active_state", "weekly_active_state",
+                      join_dates("dates_active").alias("dates_active"), "date")
+
+
+@register("retention")
+def q_retention(spark, sf_dir):
+    """Share active by days since first activity, whole month."""
+    g = gr.growth_backfill(si.events(spark, sf_dir), GROWTH_KEYS, si.EVENT_MONTH_START,
+                           si.EVENT_DAY, with_lists=False)
+    return gr.retention(g)
+
+
+@register("state_tracking")
+def q_state_tracking(spark, sf_dir):
+    """Customer lifecycle 2001 from the 2000 table."""
+    active = si.customer_years(spark, sf_dir).select("c_custkey", "season")
+    prev = gr.lifecycle_backfill(active, "c_custkey", "season", si.SNAPSHOT_PREV)
+    out = gr.state_tracking(prev, active, "c_custkey", "season", si.SNAPSHOT_END)
+    return out.select("c_custkey", "current_year", "first_active_year", "last_active_year",
+                      "player_state", join_ints("years_active").alias("years_active"))
