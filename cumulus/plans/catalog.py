@@ -211,3 +211,160 @@ def q_state_tracking(spark, sf_dir):
     out = gr.state_tracking(prev, active, "c_custkey", "season", si.SNAPSHOT_END)
     return out.select("c_custkey", "current_year", "first_active_year", "last_active_year",
                       "player_state", join_ints("years_active").alias("years_active"))
+
+
+# --------------------------------------------------------------------------
+# Facts and graph
+# --------------------------------------------------------------------------
+from cumulus.functions.columns import cents  # noqa: E402
+from cumulus.operators import facts as fa  # noqa: E402
+from cumulus.operators import graph as gp  # noqa: E402
+from cumulus.operators import patterns as pt  # noqa: E402
+from cumulus.sources.tables import table  # noqa: E402
+
+
+@register("dedup_rows")
+def q_dedup_rows(spark, sf_dir):
+    """Lineitem, one row per (l_orderkey, l_linenumber)."""
+    li = table(spark, sf_dir, "lineitem")
+    return fa.dedup_rows(li, ["l_orderkey", "l_linenumber"])
+
+
+def _fact(spark, sf_dir):
+    return fa.build_game_fact(si.game_details(spark, sf_dir), si.games(spark, sf_dir))
+
+
+@register("build_game_fact")
+def q_build_game_fact(spark, sf_dir):
+    """A10: de-duplicated game fact with flags and minutes."""
+    return _fact(spark, sf_dir)
+
+
+@register("fact_ratio_summary")
+def q_fact_ratio_summary(spark, sf_dir):
+    """Games, points and 'not with team' share per player and home flag."""
+    return fa.fact_ratio_summary(_fact(spark, sf_dir))
+
+
+@register("graph_vertices")
+def q_graph_vertices(spark, sf_dir):
+    """Game, player and team vertices (JSON properties)."""
+    g = si.games(spark, sf_dir)
+    games_v = gp.vertices(g, "game_id", "game", {
+        "status": F.col("o_orderstatus"), "priority": F.col("o_orderpriority"),
+        "total_cents": cents("o_totalprice"), "home_team_id": F.col("home_team_id")})
+    d = si.game_details(spark, sf_dir).withColumn("pts", F.col("pts").cast("long"))
+    players_v = gp.player_vertices(d, "player_id", "game_id", "team_id", "player_name", "pts")
+    n = table(spark, sf_dir, "nation")
+    teams_v = gp.dedup_vertices(n, "n_nationkey", "team", {
+        "abbreviation": F.col("n_name"), "region_id": F.col("n_regionkey")})
+    teams_v = teams_v.withColumn("identifier", F.col("identifier").cast("long"))
+    return games_v.unionByName(players_v).unionByName(teams_v)
+
+
+@register("team_vertex_map")
+def q_team_vertex_map(spark, sf_dir):
+    """A7 map form: nation teams with map<string,string> properties
+    (rendered as JSON text for the flat report)."""
+    n = table(spark, sf_dir, "nation")
+    v = gp.dedup_vertices(n, "n_nationkey", "team", {
+        "abbreviation": F.col("n_name"), "region_id": F.col("n_regionkey")}, as_map=True)
+    return v.select("identifier", "type", F.to_json("properties").alias("properties"))
+
+
+@register("graph_edges")
+def q_graph_edges(spark, sf_dir):
+    """plays_in (player -> game) and plays_on (player -> team) edges."""
+    d = si.game_details(spark, sf_dir)
+    plays_in = gp.plays_in_edges(d, "player_id", "game_id", {
+        "start_position": F.col("start_position"), "pts": F.col("pts").cast("long"),
+        "team_id": F.col("team_id")})
+    plays_on = gp.plays_on_edges(d, "player_id", "game_id", "team_id")
+    return plays_in.unionByName(plays_on)
+
+
+# --------------------------------------------------------------------------
+# Analytical patterns
+# --------------------------------------------------------------------------
+@register("funnel")
+def q_funnel(spark, sf_dir):
+    """Later-same-day share reaching 'purchase', per event type."""
+    return pt.funnel(si.events(spark, sf_dir), "event_type", "purchase", min_count=100)
+
+
+DASH_DIMS = ["os_type", "device_type", "browser_type"]
+
+
+@register("grouping_sets_dashboard")
+def q_grouping_sets_dashboard(spark, sf_dir):
+    """Hits by (browser, device, os), browser, os, device."""
+    ev = si.events(spark, sf_dir)
+    dev = si.devices(spark, sf_dir)
+    aug = ev.join(dev, ev.user_id == dev.device_id, "inner").select(
+        *[F.coalesce(F.col(d), F.lit("unknown")).alias(d) for d in DASH_DIMS], "user_id")
+    return pt.grouping_sets_dashboard(
+        aug, DASH_DIMS,
+        [["browser_type", "device_type", "os_type"], ["browser_type"], ["os_type"], ["device_type"]],
+        ["os_type__device_type__browser", "browser_type", "os_type", "device_type"],
+        [F.count(F.lit(1)).alias("number_of_hits")])
+
+
+@register("grouping_sets_player")
+def q_grouping_sets_player(spark, sf_dir):
+    """A21 homework form: games and points by player-team, player-season, team."""
+    g = si.games(spark, sf_dir).select("game_id", "season")
+    d = si.game_details(spark, sf_dir).select("game_id", "player_name", "team_id", "pts")
+    aug = g.join(d, "game_id", "left")
+    return pt.grouping_sets_dashboard(
+        aug, ["player_name", "team_id", "season"],
+        [["player_name", "team_id"], ["player_name", "season"], ["team_id"]],
+        ["player_team", "player_season", "team"],
+        [F.count(F.lit(1)).alias("game_played"), F.sum("pts").alias("total_points")],
+        overall=None)
+
+
+@register("rolling_share")
+def q_rolling_share(spark, sf_dir):
+    """Referrer x url daily shares, groups with total > 500."""
+    return pt.rolling_share(si.web_events(spark, sf_dir), min_total=500)
+
+
+@register("rolling_share_unfiltered")
+def q_rolling_share_unfiltered(spark, sf_dir):
+    """A22 with no total threshold: every (referrer, url) group."""
+    return pt.rolling_share(si.web_events(spark, sf_dir), min_total=0)
+
+
+def _player_games(spark, sf_dir):
+    f = _fact(spark, sf_dir)
+    return f.select("dim_player_id", "dim_game_date", "dim_game_id", "m_pts")
+
+
+STREAK_ORDER = ["dim_game_date", "dim_game_id"]
+def _streak_chunk():
+    return [F.col("dim_game_date"), F.floor(F.col("dim_game_id") / 65536)]
+
+
+@register("longest_streak")
+def q_longest_streak(spark, sf_dir):
+    """Longest run of games with pts > 10, per player."""
+    return pt.longest_streak(_player_games(spark, sf_dir), "dim_player_id", STREAK_ORDER,
+                             _streak_chunk(), F.col("m_pts") > 10)
+
+
+@register("longest_streak_top")
+def q_longest_streak_top(spark, sf_dir):
+    """A23 report form: the single longest streak (ties by player id)."""
+    s = pt.longest_streak(_player_games(spark, sf_dir), "dim_player_id", STREAK_ORDER,
+                          _streak_chunk(), F.col("m_pts") > 10)
+    return s.orderBy(F.desc("longest_streak"), "dim_player_id").limit(1)
+
+
+@register("best_rolling_wins")
+def q_best_rolling_wins(spark, sf_dir):
+    """Most finished orders in any 90-order stretch, per nation."""
+    g = si.games(spark, sf_dir)
+    return pt.best_rolling_wins(
+        g, "home_team_id", ["game_date_est", "game_id"],
+        [F.col("game_date_est"), F.floor(F.col("game_id") / 65536)],
+        F.col("o_orderstatus") == "F", n=90)

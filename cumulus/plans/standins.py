@@ -65,3 +65,52 @@ def devices(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("c_mktsegment").alias("os_type"),
                      F.col("n_name").alias("device_type"),
                      F.col("r_name").alias("browser_type")))
+
+
+def game_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Game-detail stand-in: lineitem x supplier. game = order, player =
+    supplier, team = supplier's nation, pts = quantity, start_position =
+    line number. The comment carries the flag markers by return flag /
+    line status (null otherwise); ``min`` is 'quantity:tax-cents'."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_tax",
+        "l_returnflag", "l_linestatus")
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    j = li.join(s, li.l_suppkey == s.s_suppkey, "inner")
+    comment = (F.when(F.col("l_returnflag") == "R", F.lit("DNP - returned"))
+               .when(F.col("l_returnflag") == "A", F.lit("NWT - accepted"))
+               .when(F.col("l_linestatus") == "O", F.lit("DND - open")))
+    minutes = F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit(":"),
+                       F.lpad(F.round(F.col("l_tax") * 100).cast("int").cast("string"), 2, "0"))
+    return j.select(F.col("l_orderkey").alias("game_id"), F.col("l_suppkey").alias("player_id"),
+                    F.col("s_nationkey").cast("long").alias("team_id"),
+                    F.col("s_name").alias("player_name"),
+                    F.col("l_linenumber").alias("start_position"),
+                    comment.alias("comment"), minutes.alias("min"),
+                    F.col("l_quantity").alias("pts"))
+
+
+def games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Game stand-in: orders, home team = the customer's nation."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
+                                              "o_orderstatus", "o_orderpriority", "o_totalprice")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    j = o.join(c, o.o_custkey == c.c_custkey, "inner")
+    return j.select(F.col("o_orderkey").alias("game_id"),
+                    F.to_date("o_orderdate").alias("game_date_est"),
+                    F.year("o_orderdate").alias("season"),
+                    F.col("c_nationkey").cast("long").alias("home_team_id"),
+                    "o_orderstatus", "o_orderpriority", "o_totalprice", "o_orderdate")
+
+
+def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Web-event stand-in with a referrer: the host of the page whose id is
+    the event's ``props.k``; url = event_type. Events whose page does not
+    exist keep a null referrer."""
+    e = events(spark, sf_dir).select(
+        "user_id", "event_type", "ts", "event_date",
+        F.get_json_object("props", "$.k").cast("long").alias("_k"))
+    p = table(spark, sf_dir, "pages").select(
+        F.col("page_id"), F.parse_url(F.col("url"), F.lit("HOST")).alias("referrer"))
+    j = e.join(p, e._k == p.page_id, "left")
+    return j.select("user_id", F.col("event_type").alias("url"), "referrer", "ts", "event_date")
