@@ -368,3 +368,168 @@ def q_best_rolling_wins(spark, sf_dir):
         g, "home_team_id", ["game_date_est", "game_id"],
         [F.col("game_date_est"), F.floor(F.col("game_id") / 65536)],
         F.col("o_orderstatus") == "F", n=90)
+
+
+# --------------------------------------------------------------------------
+# Enrichment, layout, experiments, reports, contracts
+# --------------------------------------------------------------------------
+from cumulus.operators import enrich as en  # noqa: E402
+from cumulus.operators import experiment as ex  # noqa: E402
+from cumulus.operators import layout as lay  # noqa: E402
+from cumulus.operators import reports as rp  # noqa: E402
+
+
+@register("events_with_devices")
+def q_events_with_devices(spark, sf_dir):
+    """A31 inner form: events with device attributes, browser upper-cased."""
+    return en.events_with_devices(si.device_events(spark, sf_dir), si.page_devices(spark, sf_dir))
+
+
+@register("events_with_devices_left")
+def q_events_with_devices_left(spark, sf_dir):
+    """A31 left form: events whose device is unknown keep null attributes."""
+    return en.events_with_devices(si.device_events(spark, sf_dir), si.page_devices(spark, sf_dir),
+                                  how="left")
+
+
+def _rollup(spark, sf_dir):
+    agg = lay.events_aggregated(si.device_events(spark, sf_dir))
+    return lay.user_device_rollup(agg, si.page_devices(spark, sf_dir))
+
+
+@register("user_device_rollup_users")
+def q_user_device_rollup_users(spark, sf_dir):
+    """Per user, max events on one device and the device list."""
+    per_user, _ = _rollup(spark, sf_dir)
+    return per_user.select("user_id", "max_event_counts", F.size("devices").alias("num_devices"),
+                           join_ints("devices").alias("devices"))
+
+
+@register("user_device_rollup_devices")
+def q_user_device_rollup_devices(spark, sf_dir):
+    """Per device, max events of one user and distinct users."""
+    _, per_device = _rollup(spark, sf_dir)
+    return per_device
+
+
+def _matches(spark, sf_dir):
+    """Match stand-in joined to details: match = order, map = customer
+    nation, playlist = order priority, player = supplier, kills = quantity,
+    medal = part."""
+    li = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("match_id"), F.col("l_suppkey").alias("player_gamertag"),
+        F.col("l_quantity").alias("player_total_kills"), F.col("l_partkey").alias("medal_id"))
+    g = si.games(spark, sf_dir).select(F.col("game_id").alias("match_id"),
+                                       F.col("home_team_id").alias("mapid"),
+                                       F.col("o_orderpriority").alias("playlist_id"))
+    return li.join(g, "match_id", "inner")
+
+
+@register("match_avg_kills")
+def q_match_avg_kills(spark, sf_dir):
+    """A28 (a): kills per game averaged over each player's matches."""
+    return lay.avg_kills_per_game(_matches(spark, sf_dir))
+
+
+@register("match_top_playlist")
+def q_match_top_playlist(spark, sf_dir):
+    """A28 (b): most played playlist."""
+    return lay.top1(_matches(spark, sf_dir), "playlist_id")
+
+
+@register("match_top_map")
+def q_match_top_map(spark, sf_dir):
+    """A28 (c): most played map."""
+    return lay.top1(_matches(spark, sf_dir), "mapid")
+
+
+@register("match_top_medal_map")
+def q_match_top_medal_map(spark, sf_dir):
+    """A28 (d): map with the most medals of one classification."""
+    medals = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("medal_id"),
+                                                 F.col("p_type").alias("classification"))
+    return lay.medal_map_top(_matches(spark, sf_dir), medals, "PROMO")
+
+
+@register("compare_layouts")
+def q_compare_layouts(spark, sf_dir):
+    """Lineitem written unsorted, sorted by ship date, and clustered by
+    supplier then ship date; file count and bytes per variant."""
+    li = table(spark, sf_dir, "lineitem")
+    return lay.compare_layouts(spark, li, {
+        "unsorted": {"partitions": 4},
+        "sorted_shipdate": {"partitions": 4, "sort_within": ["l_shipdate"]},
+        "by_supplier_sorted": {"partitions": 4, "by": ["l_suppkey"],
+                               "sort_within": ["l_suppkey", "l_shipdate"]},
+    })
+
+
+@register("enrich_geo")
+def q_enrich_geo(spark, sf_dir):
+    """Events with an IP derived from the user, geodata from the
+    nation ranges ('{}' when the IP is in no range)."""
+    e = si.events(spark, sf_dir).select("event_id", "user_id", si.user_ip().alias("ip"))
+    return en.enrich_geo(e, "ip", si.geo_ranges(spark, sf_dir), ["country", "state", "city"])
+
+
+def _assign(spark, sf_dir):
+    users = si.events(spark, sf_dir).select("user_id").distinct()
+    return ex.assign_variant(users, "user_id", "checkout_redesign")
+
+
+@register("assign_variant")
+def q_assign_variant(spark, sf_dir):
+    """Stable hash assignment of every event user to 3 cells."""
+    return _assign(spark, sf_dir)
+
+
+@register("experiment_readout")
+def q_experiment_readout(spark, sf_dir):
+    """Per-variant metrics, lift, z and t against control."""
+    return ex.experiment_readout(_assign(spark, sf_dir), si.events(spark, sf_dir))
+
+
+def _profit_measures():
+    rev = F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")) * 100).cast("long")
+    exp_ = F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")) * F.col("l_tax") * 100).cast("long")
+    return {"revenue_cents": F.sum(rev), "expense_cents": F.sum(exp_),
+            "profit_cents": F.sum(rev - exp_), "num_lines": F.count(F.lit(1))}
+
+
+@register("period_report_monthly")
+def q_period_report_monthly(spark, sf_dir):
+    """Monthly revenue, expense (tax), profit and growth, by ship month."""
+    return rp.period_report(table(spark, sf_dir, "lineitem"), "l_shipdate", "month", _profit_measures())
+
+
+@register("period_report_weekly")
+def q_period_report_weekly(spark, sf_dir):
+    """The same by ship week."""
+    return rp.period_report(table(spark, sf_dir, "lineitem"), "l_shipdate", "week", _profit_measures())
+
+
+@register("validate_period")
+def q_validate_period(spark, sf_dir):
+    """Daily completeness and trend checks on orders by order date."""
+    return rp.validate_period(table(spark, sf_dir, "orders"), "o_orderdate", ["o_orderkey"],
+                              "1995-01-01", "2001-08-01")
+
+
+@register("cross_source_check")
+def q_cross_source_check(spark, sf_dir):
+    """A35 cross-source: orders per order day vs distinct lineitem orders
+    per order day; days that differ."""
+    o = table(spark, sf_dir, "orders")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey").distinct()
+    a = o.groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    b = (li.join(o.select("o_orderkey", "o_orderdate"), li.l_orderkey == o.o_orderkey)
+         .groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count(F.lit(1)).alias("n")))
+    return rp.cross_source_mismatch(a, b, ["day"], "n")
+
+
+@register("contract_report")
+def q_contract_report(spark, sf_dir):
+    """Key uniqueness, not-null and domain checks on the snapshot."""
+    snap = _snapshot(spark, sf_dir)
+    return rp.contract_report(snap, [KEY, cum.CURRENT], not_null=[KEY, cum.CURRENT],
+                              domains={cum.BAND: ["star", "good", "average", "bad"]})

@@ -111,6 +111,50 @@ def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id", "event_type", "ts", "event_date",
         F.get_json_object("props", "$.k").cast("long").alias("_k"))
     p = table(spark, sf_dir, "pages").select(
-        F.col("page_id"), F.parse_url(F.col("url"), F.lit("HOST")).alias("referrer"))
+        F.col("page_id"), F.try_parse_url(F.col("url"), F.lit("HOST")).alias("referrer"))
     j = e.join(p, e._k == p.page_id, "left")
     return j.select("user_id", F.col("event_type").alias("url"), "referrer", "ts", "event_date")
+
+
+def page_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Device dimension keyed by page id: browser_type = page host,
+    os_type = URL scheme, device_type = first path segment."""
+    p = table(spark, sf_dir, "pages").select("page_id", "url")
+    path = F.try_parse_url(F.col("url"), F.lit("PATH"))
+    return p.select(F.col("page_id").alias("device_id"),
+                    F.try_parse_url(F.col("url"), F.lit("HOST")).alias("browser_type"),
+                    F.try_parse_url(F.col("url"), F.lit("PROTOCOL")).alias("os_type"),
+                    F.split_part(path, F.lit("/"), F.lit(2)).alias("device_type"))
+
+
+def device_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with device_id = props.k and host = event_type."""
+    e = events(spark, sf_dir)
+    return e.select("event_id", "user_id",
+                    F.get_json_object("props", "$.k").cast("long").alias("device_id"),
+                    F.col("event_type").alias("host"), "ts")
+
+
+# IPv4 stand-in: every user gets an address in 10.0.0.0/8 from its id.
+IP_BASE = 167772160          # 10.0.0.0
+IP_SPACE = 16777216          # 2^24
+IP_MULT = 2654435761         # spreads consecutive ids over the space
+GEO_STEP = IP_SPACE // 25    # one range per nation ...
+GEO_WIDTH = 600000           # ... covering ~89% of its slice; the rest is unknown
+
+
+def user_ip(user_col: str = "user_id"):
+    from cumulus.operators.enrich import long_to_ip
+    n = F.lit(IP_BASE) + (F.col(user_col) % IP_SPACE) * IP_MULT % IP_SPACE
+    return long_to_ip(n)
+
+
+def geo_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Geo dimension stand-in: one IP range per nation, region as state."""
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region")
+    j = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
+    start = F.lit(IP_BASE) + F.col("n_nationkey").cast("long") * GEO_STEP
+    return j.select(start.alias("ip_start"), (start + GEO_WIDTH - 1).alias("ip_end"),
+                    F.col("n_name").alias("country"), F.col("r_name").alias("state"),
+                    F.concat(F.lit("CITY_"), F.col("n_nationkey").cast("string")).alias("city"))
