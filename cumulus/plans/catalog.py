@@ -533,3 +533,79 @@ def q_contract_report(spark, sf_dir):
     snap = _snapshot(spark, sf_dir)
     return rp.contract_report(snap, [KEY, cum.CURRENT], not_null=[KEY, cum.CURRENT],
                               domains={cum.BAND: ["star", "good", "average", "bad"]})
+
+
+# --------------------------------------------------------------------------
+# Streaming (A25, A26; T1-T10)
+# --------------------------------------------------------------------------
+from cumulus.streaming import streams as st  # noqa: E402
+
+
+def _stream_events(spark, sf_dir):
+    return st.file_events_stream(spark, sf_dir).withColumnRenamed("event_type", "host")
+
+
+@register("tumbling_counts")
+def q_tumbling_counts(spark, sf_dir):
+    """5-minute hits per host from the event stream (watermark 15 s,
+    update mode, epoch log + merge-on-read)."""
+    s = st.with_event_time(_stream_events(spark, sf_dir), "ts")
+    _, base = st.run_to_log(st.tumbling_counts(s, "ts", ["host"]), "update")
+    return st.read_latest(spark, base, ["window_start", "host"])
+
+
+@register("tumbling_counts_keyed")
+def q_tumbling_counts_keyed(spark, sf_dir):
+    """A25 second output: per host and referrer; the referrer comes from a
+    stream-static join with pages."""
+    s = st.with_event_time(_stream_events(spark, sf_dir), "ts")
+    s = s.withColumn("_k", F.get_json_object("props", "$.k").cast("long"))
+    p = table(spark, sf_dir, "pages").select(
+        F.col("page_id"), F.try_parse_url(F.col("url"), F.lit("HOST")).alias("referrer"))
+    s = s.join(p, s._k == p.page_id, "left")
+    _, base = st.run_to_log(st.tumbling_counts(s, "ts", ["host", "referrer"]), "update")
+    return st.read_latest(spark, base, ["window_start", "host", "referrer"])
+
+
+def _sessions(spark, sf_dir, gap=st.WINDOW):
+    e = si.events(spark, sf_dir).select(F.col("event_type").alias("host"),
+                                        si.user_ip().alias("ip"), "ts")
+    return st.sessionize(e, "ts", ["host", "ip"], gap)
+
+
+@register("sessionize")
+def q_sessionize(spark, sf_dir):
+    """5-minute-gap sessions per host and ip (batch form)."""
+    return _sessions(spark, sf_dir)
+
+
+@register("sessionize_user_6h")
+def q_sessionize_user_6h(spark, sf_dir):
+    """A26 at a 6-hour gap by user ip only, where sessions hold many events."""
+    e = si.events(spark, sf_dir).select(si.user_ip().alias("ip"), "ts")
+    return st.sessionize(e, "ts", ["ip"], "6 hours")
+
+
+@register("session_stats")
+def q_session_stats(spark, sf_dir):
+    """Mean events per session per host."""
+    return st.session_stats(_sessions(spark, sf_dir), ["host"])
+
+
+@register("sessionize_stream")
+def q_sessionize_stream(spark, sf_dir):
+    """A26 streaming: session windows in append mode; a session is emitted
+    once the watermark (max event time - 15 s) passes its end."""
+    s = st.with_event_time(_stream_events(spark, sf_dir), "ts")
+    s = s.select("host", si.user_ip().alias("ip"), "ts")
+    _, base = st.run_to_log(st.sessionize(s, "ts", ["host", "ip"]), "append")
+    return st.read_all(spark, base)
+
+
+@register("enrich_geo_stream")
+def q_enrich_geo_stream(spark, sf_dir):
+    """Stateless projection + geo enrichment on the stream (append)."""
+    s = _stream_events(spark, sf_dir).select("event_id", "user_id", si.user_ip().alias("ip"))
+    out = en.enrich_geo(s, "ip", si.geo_ranges(spark, sf_dir), ["country", "state", "city"])
+    _, base = st.run_to_log(out, "append")
+    return st.read_all(spark, base)
