@@ -15,15 +15,20 @@ POINT_BAND_DEFAULT = "bad"
 RATING_BANDS = [(8, "star"), (7, "good"), (6, "average")]
 
 # Referrer -> channel rules, first match wins; anything else
-# keeps the raw referrer.
+# keeps the raw referrer. The site's own domains map to 'On Site' after
+# these (see ``referrer_rules``).
 REFERRER_RULES = [
     ("%linkedin%", "Linkedin"),
     ("%t.co%", "Twitter"),
     ("%google%", "Google"),
     ("%lnkd%", "Linkedin"),
-    ("%eczachly%", "On Site"),
-    ("%zachwilson%", "On Site"),
 ]
+ON_SITE = "On Site"
+
+
+def referrer_rules(site_domains=()) -> list[tuple[str, str]]:
+    """The channel rules followed by one 'On Site' rule per own domain."""
+    return REFERRER_RULES + [(f"%{d}%", ON_SITE) for d in site_domains]
 
 
 def col_(c) -> Column:

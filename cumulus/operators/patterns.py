@@ -8,8 +8,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cumulus.functions.columns import REFERRER_RULES, classify_like, safe_ratio
-from cumulus.operators.joins import join_small, positions
+from cumulus.functions.columns import classify_like, referrer_rules, safe_ratio
+from cumulus.operators.joins import positions
 
 
 # --------------------------------------------------------------------------
@@ -25,9 +25,11 @@ def funnel(events: DataFrame, step: str, target: str, user: str = "user_id",
     The reference's self join (quadratic per user-day) becomes: one
     aggregate per (user, day) - last event time and last target time,
     partial/final so a hot user-day is combined map-side - joined back to
-    the distinct events (broadcast when the probe proves it small, else a
-    shuffle join that AQE splits on skew). Events that share user, time and
-    step collapse to one row, as in the reference's grouping.
+    the distinct events. The aggregate grows with the data, so no hint:
+    AQE broadcasts it at run time when its measured size is small, and
+    otherwise keeps the shuffle join and splits a skewed (user, day).
+    Events that share user, time and step collapse to one row, as in the
+    reference's grouping.
     """
     e = (events.filter(F.col(user).isNotNull())
          .select(user, time, step, day, *extra_dedup).distinct()
@@ -35,7 +37,7 @@ def funnel(events: DataFrame, step: str, target: str, user: str = "user_id",
     per_day = e.groupBy(user, day).agg(
         F.max(time).alias("_last"),
         F.max(F.when(F.col(step) == target, F.col(time))).alias("_last_target"))
-    j = join_small(e, per_day, [user, day])
+    j = e.join(per_day, [user, day], "inner")
     later = j.filter(F.col(time) < F.col("_last"))
     conv = (F.coalesce(F.col(time) < F.col("_last_target"), F.lit(False))).cast("int")
     out = (later.groupBy(step)
@@ -74,7 +76,8 @@ def grouping_sets_dashboard(df: DataFrame, dims: Sequence[str], sets: Sequence[S
 # A22 rolling shares
 # --------------------------------------------------------------------------
 def rolling_share(df: DataFrame, referrer: str = "referrer", url: str = "url",
-                  day: str = "event_date", rules=REFERRER_RULES, min_total: int = 500,
+                  day: str = "event_date", rules=None, site_domains: Sequence[str] = (),
+                  min_total: int = 500,
                   prev_block: tuple[int, int] = (-13, -6)) -> DataFrame:
     """Channel classification, daily counts, month total, running and grand
     totals, 7-row rolling count and the previous block, share of month and
@@ -84,6 +87,7 @@ def rolling_share(df: DataFrame, referrer: str = "referrer", url: str = "url",
     Counts are aggregated first (partial/final), so each window partition
     holds one (referrer, url)'s days, not its events.
     """
+    rules = rules if rules is not None else referrer_rules(site_domains)
     e = df.select(classify_like(referrer, rules).alias("referrer"), F.col(url).alias("url"),
                   F.col(day).alias("event_date"))
     daily = e.groupBy("referrer", "url", "event_date").agg(F.count(F.lit(1)).alias("count"))

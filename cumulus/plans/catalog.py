@@ -311,7 +311,7 @@ def q_grouping_sets_dashboard(spark, sf_dir):
 
 @register("grouping_sets_player")
 def q_grouping_sets_player(spark, sf_dir):
-    """A21 homework form: games and points by player-team, player-season, team."""
+    """A21 player form: games and points by player-team, player-season, team."""
     g = si.games(spark, sf_dir).select("game_id", "season")
     d = si.game_details(spark, sf_dir).select("game_id", "player_name", "team_id", "pts")
     aug = g.join(d, "game_id", "left")
