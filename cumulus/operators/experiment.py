@@ -39,24 +39,29 @@ def assign_variant(users: DataFrame, user: str, experiment: str,
 
 
 def experiment_readout(assign: DataFrame, events: DataFrame, user: str = "user_id",
-                       etype: str = "event_type", value: str = "value",
+                       etype: str = "event_type", value: str = "value", time: str = "ts",
                        control: str = "control", view: str = "view", click: str = "click",
                        purchase: str = "purchase") -> DataFrame:
     """Per variant: users, views, clicks, CTR, purchasers, conversion,
-    orders, revenue, average order value, revenue per user; lift against
-    control; two-proportion z (conversion) and Welch t (revenue/user)."""
+    repeat-purchase rate (purchasers with 2+ orders), retention (users
+    active on 2+ days), orders, revenue, average order value, revenue per
+    user; lift against control; two-proportion z (conversion) and Welch t
+    (revenue/user)."""
     per_user = events.groupBy(user).agg(
+        F.count_distinct(F.to_date(F.col(time))).alias("_days"),
         F.count_if(F.col(etype) == view).alias("_views"),
         F.count_if(F.col(etype) == click).alias("_clicks"),
         F.count_if(F.col(etype) == purchase).alias("_orders"),
         F.sum(F.when(F.col(etype) == purchase, F.round(F.col(value) * 100).cast("long"))
               .otherwise(F.lit(0).cast("long"))).alias("_rev"))
     u = assign.select(user, "variant").join(per_user, user, "left").na.fill(
-        0, ["_views", "_clicks", "_orders", "_rev"])
+        0, ["_days", "_views", "_clicks", "_orders", "_rev"])
     v = u.groupBy("variant").agg(
         F.count(F.lit(1)).alias("users"),
         F.sum("_views").alias("views"), F.sum("_clicks").alias("clicks"),
         F.count_if(F.col("_orders") > 0).alias("purchasers"),
+        F.count_if(F.col("_orders") > 1).alias("_repeat"),
+        F.count_if(F.col("_days") > 1).alias("_retained"),
         F.sum("_orders").alias("orders"),
         F.sum("_rev").alias("revenue_cents"),
         F.sum(F.col("_rev").cast("decimal(38,0)") * F.col("_rev").cast("decimal(38,0)")).alias("_s2"))
@@ -66,6 +71,8 @@ def experiment_readout(assign: DataFrame, events: DataFrame, user: str = "user_i
         "variant", "users", "views", "clicks", "purchasers", "orders", "revenue_cents",
         F.try_divide(F.col("clicks").cast("double"), F.col("views").cast("double")).alias("ctr"),
         (F.col("purchasers").cast("double") / n).alias("conversion"),
+        F.try_divide(F.col("_repeat").cast("double"), F.col("purchasers").cast("double")).alias("repeat_purchase_rate"),
+        (F.col("_retained").cast("double") / n).alias("retention_rate"),
         F.try_divide(s1, F.col("orders").cast("double") * 100.0).alias("avg_order_value"),
         (s1 / n).alias("_mean"),
         F.try_divide(F.col("_s2").cast("double") - s1 * s1 / n, n - 1.0).alias("_var"))
@@ -78,7 +85,8 @@ def experiment_readout(assign: DataFrame, events: DataFrame, user: str = "user_i
     t = F.try_divide(F.col("_mean") - ctl("_mean"),
                      F.sqrt(F.col("_var") / n1 + ctl("_var") / n0))
     return v.select(
-        "variant", "users", "views", "clicks", "ctr", "purchasers", "conversion", "orders",
+        "variant", "users", "views", "clicks", "ctr", "purchasers", "conversion",
+        "repeat_purchase_rate", "retention_rate", "orders",
         "revenue_cents", "avg_order_value", F.col("_mean").alias("revenue_per_user_cents"),
         (F.try_divide(p1, p0) - 1.0).alias("conversion_lift"),
         F.when(F.col("variant") == control, F.lit(None).cast("double")).otherwise(z).alias("z_conversion"),

@@ -592,6 +592,16 @@ def q_session_stats(spark, sf_dir):
     return st.session_stats(_sessions(spark, sf_dir), ["host"])
 
 
+@register("session_stats_compare")
+def q_session_stats_compare(spark, sf_dir):
+    """T10 host comparison: hosts named in a list vs hosts matching a pattern."""
+    sess = _sessions(spark, sf_dir)
+    listed = st.session_stats(sess, [], hosts=["click", "view"]).select(
+        F.lit("in_list").alias("host_group"), "*")
+    liked = st.session_stats(sess, [], host_like="%r%").select(F.lit("like_pattern").alias("host_group"), "*")
+    return listed.unionByName(liked)
+
+
 @register("sessionize_stream")
 def q_sessionize_stream(spark, sf_dir):
     """A26 streaming: session windows in append mode; a session is emitted

@@ -97,9 +97,16 @@ def sessionize(df: DataFrame, time_col: str, keys: Sequence[str], gap: str = WIN
                     *keys, "num_hits")
 
 
-def session_stats(sessions: DataFrame, by: Sequence[str] = ("host",)) -> DataFrame:
+def session_stats(sessions: DataFrame, by: Sequence[str] = ("host",),
+                  hosts: Sequence[str] | None = None, host_like: str | None = None,
+                  host_col: str = "host") -> DataFrame:
     """Mean events per session (and its rounded integer, rounding
-    half up rather than truncating), session count, per ``by``."""
+    half up rather than truncating), session count, per ``by``; optionally
+    only hosts in a list (IN) or matching a LIKE pattern."""
+    if hosts is not None:
+        sessions = sessions.filter(F.col(host_col).isin(list(hosts)))
+    if host_like is not None:
+        sessions = sessions.filter(F.col(host_col).like(host_like))
     return sessions.groupBy(*by).agg(
         F.avg("num_hits").alias("avg_hits_per_session"),
         F.round(F.avg("num_hits")).cast("long").alias("avg_hits_rounded"),
