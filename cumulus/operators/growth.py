@@ -5,13 +5,13 @@ Incremental forms merge yesterday's table with today's activity by one
 full outer join, CASE branches in the reference's order. Backfill forms
 build the same table for every period in one pass: active periods are
 pre-aggregated per (key, period) (distinct, map-side combined), grouped
-once per key, and the per-key spine is generated from that one row, so
-the only window partition is a key's own periods.
+once per key, and the per-key spine is generated from that one row by
+expanding each active period up to the next one: no window at all.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cumulus.operators.cumulative import active_days
 
@@ -33,21 +33,35 @@ def activity_spine(active: DataFrame, keys, period: str, end, with_list: bool =
     ``first_active``, ``is_active``, ``last_before`` (last active period
     strictly before), and optionally ``history`` (active periods <= this
     one, ascending).
+
+    Linear in the output: each active period d_i is expanded forward to
+    the period before d_{i+1} (or ``end``); on those rows the last active
+    period is d_i itself (d_{i-1} on d_i's own row). No window, no per-key
+    sort, no membership test per row.
     """
     ks = _keys(keys)
-    per_key = active.groupBy(*ks).agg(F.min(period).alias("first_active"),
-                                      F.sort_array(F.collect_list(period)).alias("_hist"))
-    seq = (F.sequence(F.col("first_active"), end) if step is None
-           else F.sequence(F.col("first_active"), end, step))
-    # sequence(a, b) with a > b counts down: keys first seen after ``end`` are dropped.
-    spine = (per_key.filter(F.col("first_active") <= end)
-             .select(*ks, "first_active", "_hist", F.explode(seq).alias(period)))
-    spine = spine.withColumn("is_active", F.array_contains("_hist", F.col(period)))
-    w = Window.partitionBy(*ks).orderBy(period).rowsBetween(Window.unboundedPreceding, -1)
-    spine = spine.withColumn("last_before", F.max(F.when(F.col("is_active"), F.col(period))).over(w))
+    per_key = active.groupBy(*ks).agg(F.sort_array(F.collect_list(period)).alias("_all"))
+    per_key = per_key.select(*ks, F.filter("_all", lambda x: x <= end).alias("_hist"))
+    per_key = per_key.filter(F.size("_hist") > 0)
+    runs = per_key.select(*ks, "_hist", F.element_at("_hist", 1).alias("first_active"),
+                          F.posexplode("_hist").alias("_i", "_d"))
+    nxt = F.get("_hist", F.col("_i") + 1)   # get is 0-based and null out of range
+    prv = F.get("_hist", F.col("_i") - 1)
+    if step is None:
+        stop = F.least(F.coalesce(nxt - 1, end), end)
+        seq = F.sequence(F.col("_d"), stop)
+    else:
+        stop = F.least(F.coalesce(F.date_sub(nxt, 1), end), end)
+        seq = F.sequence(F.col("_d"), stop, step)
+    spine = runs.select(*ks, "first_active", "_hist", "_i", "_d", prv.alias("_prev"),
+                        F.explode(seq).alias(period))
+    spine = spine.select(*ks, period, "first_active", "_hist", "_i",
+                         (F.col(period) == F.col("_d")).alias("is_active"),
+                         F.when(F.col(period) == F.col("_d"), F.col("_prev"))
+                          .otherwise(F.col("_d")).alias("last_before"))
     cols = [*ks, period, "first_active", "is_active", "last_before"]
     if with_list:
-        spine = spine.withColumn("history", F.filter("_hist", lambda x: x <= F.col(period)))
+        spine = spine.withColumn("history", F.slice("_hist", 1, F.col("_i") + 1))
         cols.append("history")
     return spine.select(*cols)
 

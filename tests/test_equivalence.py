@@ -75,3 +75,15 @@ def test_stream_tumbling_equals_batch(spark, sf_small):
     streamed = st.read_latest(spark, base, ["window_start", "event_type"])
     batch = st.tumbling_counts(si.events(spark, sf_small), "ts", ["event_type"])
     assertDataFrameEqual(streamed.select(*batch.columns), batch)
+
+
+def test_two_outputs_from_one_source(spark, sf_small):
+    src = st.file_events_stream(spark, sf_small)
+    by_type, by_user = st.two_outputs(src, "ts", ["event_type"], ["user_id"])
+    _, a = st.run_to_log(by_type, "update")
+    _, b = st.run_to_log(by_user, "update")
+    ev = si.events(spark, sf_small)
+    assertDataFrameEqual(st.read_latest(spark, a, ["window_start", "event_type"]).select(
+        "window_start", "event_type", "num_hits"), st.tumbling_counts(ev, "ts", ["event_type"]))
+    assertDataFrameEqual(st.read_latest(spark, b, ["window_start", "user_id"]).select(
+        "window_start", "user_id", "num_hits"), st.tumbling_counts(ev, "ts", ["user_id"]))

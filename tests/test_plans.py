@@ -53,3 +53,18 @@ def test_positions_window_is_chunked(spark, sf_small):
 def test_dedup_is_partial_aggregate(spark, sf_small):
     plan = lay.plan_text(E.queries()["dedup_rows"](spark, sf_small), "simple")
     assert "partial_min" in plan and "Window" not in plan
+
+
+def test_partition_filter_inside_join_condition_prunes(spark, sf_small):
+    """A literal on the partition column inside ON reaches the scan
+    as a partition filter."""
+    from cumulus.session import scratch_path
+    from cumulus.sources import sinks
+    path = scratch_path(spark, "j14")
+    ev = table(spark, sf_small, "events").select("user_id", "event_type", F.to_date("ts").alias("event_date"))
+    sinks.write_partitioned(ev, path, ["event_date"])
+    part = spark.read.parquet(path)
+    users = table(spark, sf_small, "customer").select(F.col("c_custkey").alias("user_id"))
+    j = users.join(part, (users.user_id == part.user_id) & (part.event_date == F.lit("2024-01-05").cast("date")))
+    plan = lay.plan_text(j)
+    assert "PartitionFilters: [isnotnull(event_date" in plan and "2024-01-05" in plan
