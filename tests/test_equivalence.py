@@ -87,3 +87,22 @@ def test_two_outputs_from_one_source(spark, sf_small):
         "window_start", "event_type", "num_hits"), st.tumbling_counts(ev, "ts", ["event_type"]))
     assertDataFrameEqual(st.read_latest(spark, b, ["window_start", "user_id"]).select(
         "window_start", "user_id", "num_hits"), st.tumbling_counts(ev, "ts", ["user_id"]))
+
+
+def test_split_sessions_equal_session_window(spark):
+    import random
+    from cumulus.operators.sessions import sessionize_split
+    rnd = random.Random(7)
+    base = dt.datetime(2024, 1, 1)
+    rows = []
+    for key, n, spread in (("hot", 3000, 40), ("warm", 300, 400), ("cold", 20, 4000)):
+        t = base
+        for _ in range(n):
+            # steps of 0..spread seconds, with exact 300 s gaps mixed in
+            step = 300 if rnd.random() < 0.05 else rnd.randint(0, spread)
+            t = t + dt.timedelta(seconds=step)
+            rows.append((key, t))
+    df = spark.createDataFrame(rows, "host string, ts timestamp")
+    split = sessionize_split(df, "ts", ["host"], 300, bucket_seconds=600)
+    native = st.sessionize(df, "ts", ["host"], "5 minutes")
+    assertDataFrameEqual(split, native.select(*split.columns))
