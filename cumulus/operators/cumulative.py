@@ -277,3 +277,66 @@ def monthly_hits_wide(arrays: DataFrame, partition_col: str | None = None,
     return a.groupBy("month_start").agg(*[
         F.sum(F.coalesce(F.get(F.col("metric_array"), i), F.lit(0))).cast("long")
          .alias(f"num_hits_{names[i]}_day") for i in range(days)])
+
+
+# --------------------------------------------------------------------------
+# A1 / A2 actor form: several items per key and period, appended flat
+# --------------------------------------------------------------------------
+def _period_items(items: DataFrame, key: str, period: str, item_cols: Sequence[str],
+                  score: Column) -> DataFrame:
+    """Per (key, period): the items as a flat array sorted by the first
+    item column, and the mean score. Partial/final aggregation per
+    (key, period); the array holds one period's items of one key."""
+    return items.groupBy(key, period).agg(
+        F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in item_cols]))).alias("_items"),
+        F.avg(score).alias("_score"))
+
+
+def cumulate_items(prev: DataFrame, items_today: DataFrame, key: str, period: str,
+                   item_cols: Sequence[str], score: Column, year: int,
+                   items_col: str = "films", band_col: str = "quality_class",
+                   bands=None, default_band: str = POINT_BAND_DEFAULT) -> DataFrame:
+    """A1 actor form: previous snapshot (key, items_col, band_col,
+    is_active, current_year) + this period's items (several rows per key).
+    Items are appended as one flat array; the band is this period's mean
+    score banded, else the previous band."""
+    from cumulus.functions.columns import RATING_BANDS
+    bands = RATING_BANDS if bands is None else bands
+    t = _period_items(items_today.filter(F.col(period) == year), key, period, item_cols, score)
+    y = prev.filter(F.col("current_year") == year - 1).select(
+        key, F.col(items_col).alias("_y_items"), F.col(band_col).alias("_y_band"))
+    j = t.join(y, key, "full_outer")
+    seen = F.col("_items").isNotNull()
+    return j.select(
+        key,
+        F.when(F.col("_y_items").isNull(), F.col("_items"))
+         .when(seen, F.concat("_y_items", "_items"))
+         .otherwise(F.col("_y_items")).alias(items_col),
+        F.when(seen, band("_score", bands, default_band)).otherwise(F.col("_y_band")).alias(band_col),
+        seen.alias(ACTIVE),
+        F.lit(year).cast("int").alias("current_year"))
+
+
+def backfill_items(items: DataFrame, key: str, period: str, item_cols: Sequence[str],
+                   score: Column, end: int, items_col: str = "films",
+                   band_col: str = "quality_class", bands=None,
+                   default_band: str = POINT_BAND_DEFAULT) -> DataFrame:
+    """A2 actor form: the whole table from each key's first period to
+    ``end`` in one pass (equal to looping :func:`cumulate_items`)."""
+    from cumulus.functions.columns import RATING_BANDS
+    bands = RATING_BANDS if bands is None else bands
+    per = _period_items(items.filter(F.col(period) <= end), key, period, item_cols, score)
+    per_key = per.groupBy(key).agg(
+        F.min(period).alias("_first"),
+        F.array_sort(F.collect_list(F.struct(F.col(period).alias("p"), F.col("_score").alias("s"),
+                                             F.col("_items").alias("i")))).alias("_rows"))
+    spine = per_key.select(key, "_rows", F.explode(F.sequence(F.col("_first"), F.lit(end))).alias("current_year"))
+    upto = F.filter("_rows", lambda r: r["p"] <= F.col("current_year"))
+    out = spine.select(key, "current_year", upto.alias("_upto"))
+    last = F.element_at("_upto", -1)
+    return out.select(
+        key,
+        F.flatten(F.transform("_upto", lambda r: r["i"])).alias(items_col),
+        band(last["s"], bands, default_band).alias(band_col),
+        (last["p"] == F.col("current_year")).alias(ACTIVE),
+        F.col("current_year").cast("int").alias("current_year"))

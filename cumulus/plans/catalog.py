@@ -632,3 +632,54 @@ def q_enrich_geo_stream(spark, sf_dir):
     out = en.enrich_geo(s, "ip", si.geo_ranges(spark, sf_dir), ["country", "state", "city"])
     _, base = st.run_to_log(out, "append")
     return st.read_all(spark, base)
+
+
+# --------------------------------------------------------------------------
+# Actor form of the snapshot and its SCD (A1/A2/A5 second form)
+# --------------------------------------------------------------------------
+FILM_COLS = ["filmid", "film", "votes", "rating"]
+
+
+def _actor_score():
+    # the mean is taken over integer cents (exact sums); the rating bands
+    # are scaled to cents instead of dividing each rating
+    return F.col("rating_cents")
+
+
+def _actor_bands():
+    from cumulus.functions.columns import RATING_BANDS
+    return [(t * 5_000_000, label) for t, label in RATING_BANDS]
+
+
+def _flat_actors(df):
+    return df.select("actorid", "current_year", F.size("films").alias("n_films"),
+                     join_ints(F.transform("films", lambda f: f["filmid"])).alias("film_ids"),
+                     "quality_class", cum.ACTIVE)
+
+
+@register("backfill_actor_films")
+def q_backfill_actor_films(spark, sf_dir):
+    """A2 actor form: every actor-year with all films so far."""
+    return _flat_actors(cum.backfill_items(si.actor_films(spark, sf_dir), "actorid", "year",
+                                           FILM_COLS, _actor_score(), si.SNAPSHOT_END,
+                                           bands=_actor_bands()))
+
+
+@register("cumulate_actor_films")
+def q_cumulate_actor_films(spark, sf_dir):
+    """A1 actor form: 2000 actor table + 2001 films."""
+    films = si.actor_films(spark, sf_dir)
+    prev = cum.backfill_items(films, "actorid", "year", FILM_COLS, _actor_score(), si.SNAPSHOT_PREV,
+                              bands=_actor_bands())
+    return _flat_actors(cum.cumulate_items(prev, films, "actorid", "year", FILM_COLS,
+                                           _actor_score(), si.SNAPSHOT_END, bands=_actor_bands()))
+
+
+@register("actors_scd")
+def q_actors_scd(spark, sf_dir):
+    """A5 actor form: SCD2 of (quality_class, is_active) up to 2001."""
+    snap = cum.backfill_items(si.actor_films(spark, sf_dir), "actorid", "year", FILM_COLS,
+                              _actor_score(), si.SNAPSHOT_END, bands=_actor_bands())
+    return scd.scd2_backfill(snap, "actorid", "current_year", ["quality_class", cum.ACTIVE],
+                             si.SNAPSHOT_END, start_col="start_date", end_col="end_date",
+                             current_col="current_year")

@@ -158,3 +158,18 @@ def geo_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(start.alias("ip_start"), (start + GEO_WIDTH - 1).alias("ip_end"),
                     F.col("n_name").alias("country"), F.col("r_name").alias("state"),
                     F.concat(F.lit("CITY_"), F.col("n_nationkey").cast("string")).alias("city"))
+
+
+def actor_films(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Actor-film stand-in: actor = customer, film = order, year = order
+    year, votes = line count proxy (priority digit), rating on a 0-10 scale
+    from the order value (exact: integer cents / 5,000,000)."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
+                                              "o_totalprice", "o_orderpriority")
+    return o.select(F.col("o_custkey").alias("actorid"),
+                    F.concat(F.lit("film_"), F.col("o_orderkey").cast("string")).alias("film"),
+                    F.substring("o_orderpriority", 1, 1).cast("int").alias("votes"),
+                    (cents("o_totalprice").cast("double") / 5000000.0).alias("rating"),
+                    cents("o_totalprice").alias("rating_cents"),
+                    F.col("o_orderkey").alias("filmid"),
+                    F.year("o_orderdate").cast("int").alias("year"))

@@ -106,3 +106,18 @@ def test_split_sessions_equal_session_window(spark):
     split = sessionize_split(df, "ts", ["host"], 300, bucket_seconds=600)
     native = st.sessionize(df, "ts", ["host"], "5 minutes")
     assertDataFrameEqual(split, native.select(*split.columns))
+
+
+def test_actor_items_loop_equals_backfill(spark, sf_small):
+    films = si.actor_films(spark, sf_small).cache()
+    cols = ["filmid", "film", "votes", "rating"]
+    score = F.col("rating_cents")
+    bands = [(8 * 5_000_000, "star"), (7 * 5_000_000, "good"), (6 * 5_000_000, "average")]
+    empty = spark.createDataFrame([], "actorid long, films array<struct<filmid:bigint,film:string,"
+                                      "votes:int,rating:double>>, quality_class string, "
+                                      "is_active boolean, current_year int")
+    last, _ = run_periods(spark, lambda prev, y: cum.cumulate_items(prev, films, "actorid", "year", cols,
+                                                                     score, y, bands=bands),
+                          range(1995, 2002), initial=empty)
+    back = cum.backfill_items(films, "actorid", "year", cols, score, 2001, bands=bands)
+    assertDataFrameEqual(last, back.filter("current_year = 2001").select(*last.columns))
