@@ -16,9 +16,13 @@ from cumulus.sources.tables import file_stats
 
 # ---------------------------------------------------------------- plans
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:
-    """The physical plan as text (what ``explain`` prints)."""
-    return df._jdf.queryExecution().explainString(
-        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString(mode))
+    """The plan as text: what ``DataFrame.explain(mode)`` prints."""
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode=mode)
+    return buf.getvalue()
 
 
 def has_exchange(df: DataFrame) -> bool:
