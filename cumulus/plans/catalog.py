@@ -20,9 +20,16 @@ from cumulus.plans.flatten import normalize
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
+def _run(fn, spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Dates and window boundaries are computed in UTC, like the SQL oracle.
+    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return normalize(fn(spark, sf_dir))
+
+
 def register(name: str):
     def deco(fn):
-        QUERIES[name] = lambda spark, sf_dir: normalize(fn(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: _run(fn, spark, sf_dir)
         QUERIES[name].__doc__ = fn.__doc__
         QUERIES[name].__name__ = name
         return fn
