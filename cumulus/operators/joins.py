@@ -80,3 +80,17 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         *[c for c in df.columns],
         (F.col("_off") + F.col("_r")).alias(pos_col),
         *[(F.col(f"_off_{k}") + F.col(f"_l_{k}")).alias(k) for k in sums])
+
+
+def pair_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Typed pair join: one row per match holding the two whole rows
+    as structs ``_1`` and ``_2`` (the DataFrame form of a Dataset joinWith)."""
+    lk = [f"_lk{i}" for i in range(len(on))]
+    rk = [f"_rk{i}" for i in range(len(on))]
+    l2 = left.select(*[F.col(c).alias(k) for c, k in zip(on, lk)], F.struct(*left.columns).alias("_1"))
+    r2 = right.select(*[F.col(c).alias(k) for c, k in zip(on, rk)], F.struct(*right.columns).alias("_2"))
+    cond = None
+    for a, b in zip(lk, rk):
+        c = l2[a] == r2[b]
+        cond = c if cond is None else (cond & c)
+    return l2.join(r2, cond, how).select("_1", "_2")

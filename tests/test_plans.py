@@ -36,6 +36,8 @@ def test_bucketed_join_has_no_exchange(spark, sf_small):
         plan = lay.plan_text(j, "simple")
         assert "SortMergeJoin" in plan and "Exchange" not in plan
         assert j.count() == li.count()
+        # The same join on the unbucketed inputs shuffles both sides
+        assert lay.plan_text(o.join(li, "k"), "simple").count("Exchange hashpartitioning") == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -68,3 +70,11 @@ def test_partition_filter_inside_join_condition_prunes(spark, sf_small):
     j = users.join(part, (users.user_id == part.user_id) & (part.event_date == F.lit("2024-01-05").cast("date")))
     plan = lay.plan_text(j)
     assert "PartitionFilters: [isnotnull(event_date" in plan and "2024-01-05" in plan
+
+
+def test_pair_join_keeps_whole_rows(spark):
+    from cumulus.operators.joins import pair_join
+    a = spark.createDataFrame([(1, "x"), (2, "y")], "id long, v string")
+    b = spark.createDataFrame([(1, 10.0)], "id long, w double")
+    r = pair_join(a, b, ["id"]).collect()
+    assert len(r) == 1 and r[0]["_1"]["v"] == "x" and r[0]["_2"]["w"] == 10.0
