@@ -78,3 +78,11 @@ def test_pair_join_keeps_whole_rows(spark):
     b = spark.createDataFrame([(1, 10.0)], "id long, w double")
     r = pair_join(a, b, ["id"]).collect()
     assert len(r) == 1 and r[0]["_1"]["v"] == "x" and r[0]["_2"]["w"] == 10.0
+
+
+def test_global_sort_shuffles_local_sort_does_not(spark, sf_small):
+    ev = table(spark, sf_small, "events").repartition(4, "user_id")
+    glob = lay.plan_text(ev.orderBy("user_id", "ts"), "simple")
+    local = lay.plan_text(ev.sortWithinPartitions("user_id", "ts"), "simple")
+    assert "Exchange rangepartitioning" in glob
+    assert "rangepartitioning" not in local and "Sort [" in local
