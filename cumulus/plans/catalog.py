@@ -612,6 +612,12 @@ def q_session_stats(spark, sf_dir):
     return st.session_stats(_sessions(spark, sf_dir), ["host"])
 
 
+@register("session_stats_fine")
+def q_session_stats_fine(spark, sf_dir):
+    """T10 fine form: rounded mean hits per (ip, host, session start)."""
+    return st.session_stats(_sessions(spark, sf_dir), ["ip", "host", "session_start"])
+
+
 @register("session_stats_compare")
 def q_session_stats_compare(spark, sf_dir):
     """T10 host comparison: hosts named in a list vs hosts matching a pattern."""
