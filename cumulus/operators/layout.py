@@ -110,3 +110,18 @@ def user_device_rollup(events_agg: DataFrame, devices: DataFrame, user: str = "u
                   .groupBy(device, attr).agg(F.max("event_counts").alias("max_event_counts"),
                                              F.count_distinct(user).alias("num_users")))
     return per_user, per_device
+
+
+def bucketed_tables(spark: SparkSession, tables: Mapping[str, tuple], buckets: int = 16,
+                    db: str = "cumulus_layout", location: str | None = None) -> dict:
+    """Write each ``name -> (df, key, sort_cols)`` bucketed by its
+    key (same bucket count everywhere) into one namespace in the shared
+    folder; returns the tables read back. Joins among them on the bucket
+    key (plus further keys) read co-partitioned buckets without an
+    Exchange."""
+    loc = location or scratch_path(spark, "warehouse")
+    sinks.create_namespace(spark, db, loc)
+    out = {}
+    for name, (df, key, sort_cols) in tables.items():
+        out[name] = sinks.write_bucketed(df, f"{db}.{name}", key, buckets, sort_cols)
+    return out

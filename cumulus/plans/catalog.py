@@ -20,16 +20,30 @@ from cumulus.plans.flatten import normalize
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
-def _run(fn, spark: SparkSession, sf_dir: str) -> DataFrame:
+# Session settings a query needs for its plan (applied when it is built,
+# unset again for every other query so the session stays predictable).
+_QUERY_CONF: dict[str, dict[str, str]] = {}
+
+
+def _run(name, fn, spark: SparkSession, sf_dir: str) -> DataFrame:
     # Dates and window boundaries are computed in UTC, like the SQL oracle.
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    own = _QUERY_CONF.get(name, {})
+    for other in _QUERY_CONF.values():
+        for k in other:
+            if k not in own:
+                spark.conf.unset(k)
+    for k, v in own.items():
+        spark.conf.set(k, v)
     return normalize(fn(spark, sf_dir))
 
 
-def register(name: str):
+def register(name: str, conf: dict[str, str] | None = None):
     def deco(fn):
-        QUERIES[name] = lambda spark, sf_dir: _run(fn, spark, sf_dir)
+        if conf:
+            _QUERY_CONF[name] = dict(conf)
+        QUERIES[name] = lambda spark, sf_dir: _run(name, fn, spark, sf_dir)
         QUERIES[name].__doc__ = fn.__doc__
         QUERIES[name].__name__ = name
         return fn
@@ -696,3 +710,37 @@ def q_actors_scd(spark, sf_dir):
     return scd.scd2_backfill(snap, "actorid", "current_year", ["quality_class", cum.ACTIVE],
                              si.SNAPSHOT_END, start_col="start_date", end_col="end_date",
                              current_col="current_year")
+
+
+def _match_tables(spark, sf_dir):
+    """Matches, match details and medal rows as three stand-in tables."""
+    g = si.games(spark, sf_dir).select(F.col("game_id").alias("match_id"),
+                                       F.col("home_team_id").alias("mapid"),
+                                       F.col("o_orderpriority").alias("playlist_id"))
+    li = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("match_id"), F.col("l_suppkey").alias("player_gamertag"),
+        F.col("l_quantity").alias("kills"), F.col("l_partkey").alias("medal_id"))
+    details = li.groupBy("match_id", "player_gamertag").agg(
+        F.sum("kills").alias("player_total_kills"))
+    medals_players = li.groupBy("match_id", "player_gamertag", "medal_id").agg(
+        F.count(F.lit(1)).alias("count"))
+    return g, details, medals_players
+
+
+@register("match_bucketed_playlists",
+          conf={"spark.sql.requireAllClusterKeysForCoPartition": "false"})
+def q_match_bucketed_playlists(spark, sf_dir):
+    """Matches, details and medal rows written bucketed by
+    match_id (16 buckets), joined on match_id and then (match_id, player)
+    without a shuffle; rows per playlist. The second join's keys are a
+    superset of the bucket key, so co-partitioning on the bucket key alone
+    is allowed for this query."""
+    g, details, medals_players = _match_tables(spark, sf_dir)
+    t = lay.bucketed_tables(spark, {
+        "matches_bucketed": (g, "match_id", ["match_id"]),
+        "match_details_bucketed": (details, "match_id", ["match_id"]),
+        "medals_matches_players_bucketed": (medals_players, "match_id", ["match_id"])})
+    j = (t["matches_bucketed"].join(t["match_details_bucketed"], "match_id")
+         .join(t["medals_matches_players_bucketed"], ["match_id", "player_gamertag"]))
+    return j.groupBy("playlist_id").agg(F.count(F.lit(1)).alias("num_rows"),
+                                        F.sum("player_total_kills").alias("kills"))

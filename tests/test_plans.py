@@ -86,3 +86,21 @@ def test_global_sort_shuffles_local_sort_does_not(spark, sf_small):
     local = lay.plan_text(ev.sortWithinPartitions("user_id", "ts"), "simple")
     assert "Exchange rangepartitioning" in glob
     assert "rangepartitioning" not in local and "Sort [" in local
+
+
+def test_three_table_bucketed_join_composite_key_no_exchange(spark, sf_small):
+    from cumulus.plans.catalog import _match_tables
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    try:
+        g, details, mp = _match_tables(spark, sf_small)
+        t = lay.bucketed_tables(spark, {"m_b": (g, "match_id", ["match_id"]),
+                                        "d_b": (details, "match_id", ["match_id"]),
+                                        "mp_b": (mp, "match_id", ["match_id"])},
+                                db="cumulus_test_buckets")
+        j = t["m_b"].join(t["d_b"], "match_id").join(t["mp_b"], ["match_id", "player_gamertag"])
+        plan = lay.plan_text(j, "simple")
+        assert plan.count("SortMergeJoin") == 2 and "Exchange" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
