@@ -84,7 +84,7 @@ def q_cumulate_snapshot(spark, sf_dir):
     detail = si.customer_years(spark, sf_dir)
     prev = cum.backfill_snapshot(detail, KEY, "season", STATS, STATIC, end=si.SNAPSHOT_PREV)
     prev = prev.filter(F.col(cum.CURRENT) == si.SNAPSHOT_PREV)
-    today = detail.filter(F.col("season") == si.SNAPSHOT_END)
+    today = si.customer_years(spark, sf_dir, year=si.SNAPSHOT_END)
     return _flat_snapshot(cum.cumulate_snapshot(prev, today, KEY, "season", STATS, STATIC))
 
 
@@ -137,10 +137,11 @@ def _flat_datelist(df, keys):
                      join_dates("dates_active").alias("dates_active"))
 
 
-def _datelist_step(spark, sf_dir, keys, events=None):
+def _datelist_step(spark, sf_dir, keys, events=None, today=None):
     ev = si.events(spark, sf_dir) if events is None else events
+    today = si.events(spark, sf_dir, si.EVENT_DAY, si.EVENT_DAY) if today is None else today
     prev = cum.datelist_backfill(ev, keys, si.EVENT_PREV_DAY)
-    return _flat_datelist(cum.cumulate_datelist(prev, ev, keys, si.EVENT_DAY), keys)
+    return _flat_datelist(cum.cumulate_datelist(prev, today, keys, si.EVENT_DAY), keys)
 
 
 @register("cumulate_datelist")
@@ -152,17 +153,21 @@ def q_cumulate_datelist(spark, sf_dir):
 @register("cumulate_datelist_device")
 def q_cumulate_datelist_device(spark, sf_dir):
     """A12 with a composite key (J2): user x device attributes."""
-    ev = si.events(spark, sf_dir)
     dev = si.devices(spark, sf_dir)
-    ev = ev.join(dev, ev.user_id == dev.device_id, "inner")
-    return _datelist_step(spark, sf_dir, ["user_id", "os_type", "browser_type"], ev)
+
+    def with_dev(e):
+        return e.join(dev, e.user_id == dev.device_id, "inner")
+    return _datelist_step(spark, sf_dir, ["user_id", "os_type", "browser_type"],
+                          with_dev(si.events(spark, sf_dir)),
+                          with_dev(si.events(spark, sf_dir, si.EVENT_DAY, si.EVENT_DAY)))
 
 
 @register("cumulate_datelist_host")
 def q_cumulate_datelist_host(spark, sf_dir):
     """A12 keyed by host (event_type stands in for host)."""
     ev = si.events(spark, sf_dir).withColumnRenamed("event_type", "host")
-    return _datelist_step(spark, sf_dir, ["host"], ev)
+    today = si.events(spark, sf_dir, si.EVENT_DAY, si.EVENT_DAY).withColumnRenamed("event_type", "host")
+    return _datelist_step(spark, sf_dir, ["host"], ev, today)
 
 
 @register("datelist_int")
@@ -181,7 +186,8 @@ def q_cumulate_metric_array(spark, sf_dir):
     """Site-hit array per user, day 30 written into the 29th-day table."""
     ev = si.events(spark, sf_dir)
     prev = cum.metric_array_backfill(ev, "user_id", si.EVENT_PREV_DAY, "site_hits")
-    out = cum.cumulate_metric_array(prev, ev, "user_id", si.EVENT_DAY, "site_hits")
+    today = si.events(spark, sf_dir, si.EVENT_DAY, si.EVENT_DAY)
+    out = cum.cumulate_metric_array(prev, today, "user_id", si.EVENT_DAY, "site_hits")
     return out.select("user_id", "month_start", "metric_name",
                       F.size("metric_array").alias("n_days"),
                       join_ints("metric_array").alias("metric_array"))
@@ -208,9 +214,10 @@ GROWTH_KEYS = ["user_id", "event_type"]
 @register("growth_accounting")
 def q_growth_accounting(spark, sf_dir):
     """(user, event type) growth states on 2024-01-30 from the 29th."""
-    ev = si.events(spark, sf_dir)
+    ev = si.events(spark, sf_dir, si.EVENT_MONTH_START, si.EVENT_PREV_DAY)
     prev = gr.growth_backfill(ev, GROWTH_KEYS, si.EVENT_MONTH_START, si.EVENT_PREV_DAY)
-    out = gr.growth_accounting(prev, ev, GROWTH_KEYS, si.EVENT_DAY)
+    today = si.events(spark, sf_dir, si.EVENT_DAY, si.EVENT_DAY)
+    out = gr.growth_accounting(prev, today, GROWTH_KEYS, si.EVENT_DAY)
     return out.select(*GROWTH_KEYS, "first_active_date", "last_active_date",
                       "daily_active_state", "weekly_active_state",
                       join_dates("dates_active").alias("dates_active"), "date")
@@ -229,7 +236,8 @@ def q_state_tracking(spark, sf_dir):
     """Customer lifecycle 2001 from the 2000 table."""
     active = si.customer_years(spark, sf_dir).select("c_custkey", "season")
     prev = gr.lifecycle_backfill(active, "c_custkey", "season", si.SNAPSHOT_PREV)
-    out = gr.state_tracking(prev, active, "c_custkey", "season", si.SNAPSHOT_END)
+    today = si.customer_years(spark, sf_dir, year=si.SNAPSHOT_END).select("c_custkey", "season")
+    out = gr.state_tracking(prev, today, "c_custkey", "season", si.SNAPSHOT_END)
     return out.select("c_custkey", "current_year", "first_active_year", "last_active_year",
                       "player_state", join_ints("years_active").alias("years_active"))
 
@@ -698,7 +706,8 @@ def q_cumulate_actor_films(spark, sf_dir):
     films = si.actor_films(spark, sf_dir)
     prev = cum.backfill_items(films, "actorid", "year", FILM_COLS, _actor_score(), si.SNAPSHOT_PREV,
                               bands=_actor_bands())
-    return _flat_actors(cum.cumulate_items(prev, films, "actorid", "year", FILM_COLS,
+    today = si.actor_films(spark, sf_dir, year=si.SNAPSHOT_END)
+    return _flat_actors(cum.cumulate_items(prev, today, "actorid", "year", FILM_COLS,
                                            _actor_score(), si.SNAPSHOT_END, bands=_actor_bands()))
 
 

@@ -28,14 +28,35 @@ EVENT_PREV_DAY = "2024-01-29"
 EVENT_MONTH_START = "2024-01-01"
 
 
-def customer_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _year_range(col: str, year: int | None):
+    """Raw-column range for one year: pushed into the parquet scan (the
+    derived ``year(col)`` is not)."""
+    import datetime as dt
+    if year is None:
+        return F.lit(True)
+    return ((F.col(col) >= F.lit(dt.datetime(year, 1, 1))) &
+            (F.col(col) < F.lit(dt.datetime(year + 1, 1, 1))))
+
+
+def _day_range(col: str, first: str | None, last: str | None):
+    """Raw-column range for [first, last] days, pushable into the scan."""
+    import datetime as dt
+    cond = F.lit(True)
+    if first is not None:
+        cond = cond & (F.col(col) >= F.lit(dt.datetime.fromisoformat(first)))
+    if last is not None:
+        cond = cond & (F.col(col) < F.lit(dt.datetime.fromisoformat(last) + dt.timedelta(days=1)))
+    return cond
+
+
+def customer_years(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
     """Player-season stand-in: one row per (customer, order year).
 
     gp = orders, pts = order value in units of 20,000 (exact: summed as
     integer cents), reb = finished orders, ast = urgent orders. Static
     attributes (segment, nation) come from ``customer``.
     """
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders").filter(_year_range("o_orderdate", year))
     per_year = (o.groupBy(F.col("o_custkey").alias("c_custkey"),
                           F.year("o_orderdate").cast("int").alias("season"))
                 .agg(F.count(F.lit(1)).alias("gp"),
@@ -46,9 +67,14 @@ def customer_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_year.join(c, "c_custkey", "inner")
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Web-event stand-in with a session-zone timestamp and event_date."""
-    return events_utc(table(spark, sf_dir, "events"))
+def events(spark: SparkSession, sf_dir: str, first_day: str | None = None,
+           last_day: str | None = None) -> DataFrame:
+    """Web-event stand-in with a session-zone timestamp and event_date;
+    an optional day range is applied on the raw column (pushed down)."""
+    e = table(spark, sf_dir, "events")
+    if first_day is not None or last_day is not None:
+        e = e.filter(_day_range("ts", first_day, last_day))
+    return events_utc(e)
 
 
 def devices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,12 +186,13 @@ def geo_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat(F.lit("CITY_"), F.col("n_nationkey").cast("string")).alias("city"))
 
 
-def actor_films(spark: SparkSession, sf_dir: str) -> DataFrame:
+def actor_films(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
     """Actor-film stand-in: actor = customer, film = order, year = order
     year, votes = line count proxy (priority digit), rating on a 0-10 scale
     from the order value (exact: integer cents / 5,000,000)."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
                                               "o_totalprice", "o_orderpriority")
+    o = o.filter(_year_range("o_orderdate", year))
     return o.select(F.col("o_custkey").alias("actorid"),
                     F.concat(F.lit("film_"), F.col("o_orderkey").cast("string")).alias("film"),
                     F.substring("o_orderpriority", 1, 1).cast("int").alias("votes"),
