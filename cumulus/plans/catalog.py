@@ -643,11 +643,9 @@ def q_session_stats_fine(spark, sf_dir):
 @register("session_stats_compare")
 def q_session_stats_compare(spark, sf_dir):
     """T10 host comparison: hosts named in a list vs hosts matching a pattern."""
-    sess = _sessions(spark, sf_dir)
-    listed = st.session_stats(sess, [], hosts=["click", "view"]).select(
-        F.lit("in_list").alias("host_group"), "*")
-    liked = st.session_stats(sess, [], host_like="%r%").select(F.lit("like_pattern").alias("host_group"), "*")
-    return listed.unionByName(liked)
+    return st.session_stats_by_group(_sessions(spark, sf_dir), {
+        "in_list": F.col("host").isin("click", "view"),
+        "like_pattern": F.col("host").like("%r%")})
 
 
 @register("sessionize_stream")

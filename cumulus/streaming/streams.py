@@ -114,6 +114,15 @@ def session_stats(sessions: DataFrame, by: Sequence[str] = ("host",),
         F.max("num_hits").alias("max_hits"))
 
 
+def session_stats_by_group(sessions: DataFrame, groups: dict) -> DataFrame:
+    """T10 comparison: the same statistics for several host groups
+    (label -> boolean column, e.g. an IN list or a LIKE pattern) in one
+    pass; a session counts in every group it matches."""
+    labels = F.array_compact(F.array(*[F.when(cond, F.lit(label)) for label, cond in groups.items()]))
+    tagged = sessions.select(F.explode(labels).alias("host_group"), "num_hits")
+    return session_stats(tagged, ["host_group"])
+
+
 # ---------------------------------------------------------------- sinks
 def epoch_writer(base: str):
     """K8-style ``foreachBatch`` function: each epoch overwrites its own
