@@ -1,7 +1,6 @@
 """Branches no driver table reaches (unit rows)."""
 import datetime as dt
 import os
-import tempfile
 
 from pyspark.sql import Row, functions as F
 
@@ -12,6 +11,7 @@ from cumulus.operators import growth as gr
 from cumulus.operators import layout as lay
 from cumulus.operators import patterns as pt
 from cumulus.operators import scd
+from cumulus.session import scratch_path
 from cumulus.streaming import streams as st
 
 D = dt.date
@@ -140,12 +140,12 @@ def test_late_event_dropped_by_watermark_across_restart(spark):
     """Two runs over one checkpoint: the second file arrives after the first
     run; its event older than the watermark is dropped, the rest merges
     into the first run's windows (restart from checkpoint)."""
-    src = tempfile.mkdtemp(prefix="cumulus-late-")
+    src = scratch_path(spark, "late-src")
     schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
     b1 = [(1, T(2024, 1, 1, 12, 0), 1, "view", 1.0, "{}"), (2, T(2024, 1, 1, 12, 30), 1, "view", 1.0, "{}")]
     b2 = [(3, T(2024, 1, 1, 11, 0), 1, "view", 1.0, "{}"), (4, T(2024, 1, 1, 12, 31), 1, "view", 1.0, "{}")]
-    out_base = tempfile.mkdtemp(prefix="cumulus-late-out-")
-    ckpt = tempfile.mkdtemp(prefix="cumulus-late-ckpt-")
+    out_base = scratch_path(spark, "late-out")
+    ckpt = scratch_path(spark, "late-ckpt")
 
     def run():
         s = (spark.readStream.schema(st.EVENTS_SCHEMA).option("recursiveFileLookup", "true")

@@ -104,3 +104,22 @@ def test_three_table_bucketed_join_composite_key_no_exchange(spark, sf_small):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
+
+
+def test_probe_fallback_keeps_shuffle_join(spark, sf_small):
+    """Beyond the bound no hint is added: with automatic broadcast off the
+    join stays a sort-merge join."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        o = table(spark, sf_small, "orders")
+        c = table(spark, sf_small, "customer")
+        big = maybe_broadcast(c, max_rows=10)          # 150 rows > 10: no hint
+        plan = lay.plan_text(o.join(big, o.o_custkey == big.c_custkey), "simple")
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        small = maybe_broadcast(c, max_rows=1000)      # proven small: hinted
+        plan = lay.plan_text(o.join(small, o.o_custkey == small.c_custkey), "simple")
+        assert "BroadcastHashJoin" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
