@@ -42,7 +42,10 @@ def get_session(master: str | None = None, app: str = "cumulus",
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:
+        pass
     checkpoint_root(spark)
     return spark
 
@@ -54,12 +57,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     checkpoint dir; only if both are absent (a local test session) a fresh
     folder is made and registered.
     """
-    sc = spark.sparkContext
-    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a client session without a SparkContext (Spark Connect)
+        sc = None
+    path = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not path:
         path = tempfile.mkdtemp(prefix="cumulus-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
 
