@@ -146,6 +146,15 @@ def read_latest(spark: SparkSession, base: str, keys: Sequence[str],
     return latest.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
 
 
+def compact_log(spark: SparkSession, base: str, keys: Sequence[str], target: str) -> str:
+    """Fold an epoch log into one snapshot (newest row per key) written to
+    ``target``; readers then read the snapshot plus later epochs. Keeps
+    merge-on-read cost bounded on a long-running stream."""
+    latest = read_latest(spark, base, keys)
+    latest.withColumn("_epoch", F.lit(-1).cast("long")).write.mode("overwrite").parquet(target)
+    return target
+
+
 def read_all(spark: SparkSession, base: str) -> DataFrame:
     df = spark.read.parquet(base)
     return df.drop("_epoch", "epoch")

@@ -77,6 +77,15 @@ def test_stream_tumbling_equals_batch(spark, sf_small):
     assertDataFrameEqual(streamed.select(*batch.columns), batch)
 
 
+def test_epoch_log_compaction(spark, sf_small):
+    from cumulus.session import scratch_path
+    s = st.with_event_time(st.file_events_stream(spark, sf_small), "ts")
+    _, base = st.run_to_log(st.tumbling_counts(s, "ts", ["event_type"]), "update")
+    target = st.compact_log(spark, base, ["window_start", "event_type"], scratch_path(spark, "compacted"))
+    assertDataFrameEqual(st.read_latest(spark, target, ["window_start", "event_type"]),
+                         st.read_latest(spark, base, ["window_start", "event_type"]))
+
+
 def test_two_outputs_from_one_source(spark, sf_small):
     src = st.file_events_stream(spark, sf_small)
     by_type, by_user = st.two_outputs(src, "ts", ["event_type"], ["user_id"])
