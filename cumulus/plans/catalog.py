@@ -11,11 +11,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cumulus.functions.columns import join_ints
+from cumulus.functions.columns import cents, join_dates, join_ints
 from cumulus.operators import cumulative as cum
+from cumulus.operators import enrich as en
+from cumulus.operators import experiment as ex
+from cumulus.operators import facts as fa
+from cumulus.operators import graph as gp
+from cumulus.operators import growth as gr
+from cumulus.operators import layout as lay
+from cumulus.operators import patterns as pt
+from cumulus.operators import reports as rp
 from cumulus.operators import scd
+from cumulus.operators.sessions import sessionize_split
 from cumulus.plans import standins as si
 from cumulus.plans.flatten import normalize
+from cumulus.sources.tables import table
+from cumulus.streaming import streams as st
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -128,8 +139,6 @@ def q_scd2_incremental(spark, sf_dir):
 # --------------------------------------------------------------------------
 # Date lists, activity bits, metric arrays (A12-A16) on events
 # --------------------------------------------------------------------------
-from cumulus.functions.columns import join_dates  # noqa: E402
-from cumulus.operators import growth as gr  # noqa: E402
 
 
 def _flat_datelist(df, keys):
@@ -245,11 +254,6 @@ def q_state_tracking(spark, sf_dir):
 # --------------------------------------------------------------------------
 # Facts and graph
 # --------------------------------------------------------------------------
-from cumulus.functions.columns import cents  # noqa: E402
-from cumulus.operators import facts as fa  # noqa: E402
-from cumulus.operators import graph as gp  # noqa: E402
-from cumulus.operators import patterns as pt  # noqa: E402
-from cumulus.sources.tables import table  # noqa: E402
 
 
 @register("dedup_rows")
@@ -402,10 +406,6 @@ def q_best_rolling_wins(spark, sf_dir):
 # --------------------------------------------------------------------------
 # Enrichment, layout, experiments, reports, contracts
 # --------------------------------------------------------------------------
-from cumulus.operators import enrich as en  # noqa: E402
-from cumulus.operators import experiment as ex  # noqa: E402
-from cumulus.operators import layout as lay  # noqa: E402
-from cumulus.operators import reports as rp  # noqa: E402
 
 
 @register("events_with_devices")
@@ -567,7 +567,6 @@ def q_contract_report(spark, sf_dir):
 # --------------------------------------------------------------------------
 # Streaming (A25, A26; T1-T10)
 # --------------------------------------------------------------------------
-from cumulus.streaming import streams as st  # noqa: E402
 
 
 def _stream_events(spark, sf_dir):
@@ -596,9 +595,6 @@ def q_tumbling_counts_keyed(spark, sf_dir):
     return st.read_latest(spark, base, ["window_start", "host", "referrer"])
 
 
-from cumulus.operators.sessions import sessionize_split  # noqa: E402
-
-
 def _sessions(spark, sf_dir, gap_seconds=300):
     e = si.events(spark, sf_dir).select(F.col("event_type").alias("host"),
                                         si.user_ip().alias("ip"), "ts")
