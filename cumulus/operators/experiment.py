@@ -41,13 +41,21 @@ def assign_variant(users: DataFrame, user: str, experiment: str,
 def experiment_readout(assign: DataFrame, events: DataFrame, user: str = "user_id",
                        etype: str = "event_type", value: str = "value", time: str = "ts",
                        control: str = "control", view: str = "view", click: str = "click",
-                       purchase: str = "purchase") -> DataFrame:
+                       purchase: str = "purchase", search: str | None = None,
+                       sessions: DataFrame | None = None) -> DataFrame:
     """Per variant: users, views, clicks, CTR, purchasers, conversion,
     repeat-purchase rate (purchasers with 2+ orders), retention (users
     active on 2+ days), orders, revenue, average order value, revenue per
     user; lift against control; two-proportion z (conversion) and Welch t
-    (revenue/user)."""
+    (revenue/user). Search funnel (``search`` event type, default the view
+    event): users who searched, share who purchased after their first
+    search, and abandonment. ``sessions`` (user, session_start,
+    session_end, gap-free duration in ``duration_us``) adds the mean session
+    length in minutes."""
+    search = view if search is None else search
     per_user = events.groupBy(user).agg(
+        F.min(F.when(F.col(etype) == search, F.col(time))).alias("_first_search"),
+        F.max(F.when(F.col(etype) == purchase, F.col(time))).alias("_last_purchase"),
         F.count_distinct(F.to_date(F.col(time))).alias("_days"),
         F.count_if(F.col(etype) == view).alias("_views"),
         F.count_if(F.col(etype) == click).alias("_clicks"),
@@ -62,13 +70,19 @@ def experiment_readout(assign: DataFrame, events: DataFrame, user: str = "user_i
         F.count_if(F.col("_orders") > 0).alias("purchasers"),
         F.count_if(F.col("_orders") > 1).alias("_repeat"),
         F.count_if(F.col("_days") > 1).alias("_retained"),
+        F.count_if(F.col("_first_search").isNotNull()).alias("searchers"),
+        F.count_if(F.col("_first_search") < F.col("_last_purchase")).alias("_search_buyers"),
         F.sum("_orders").alias("orders"),
         F.sum("_rev").alias("revenue_cents"),
         F.sum(F.col("_rev").cast("decimal(38,0)") * F.col("_rev").cast("decimal(38,0)")).alias("_s2"))
     n = F.col("users").cast("double")
     s1 = F.col("revenue_cents").cast("double")
     v = v.select(
-        "variant", "users", "views", "clicks", "purchasers", "orders", "revenue_cents",
+        "variant", "users", "views", "clicks", "purchasers", "orders", "revenue_cents", "searchers",
+        F.try_divide(F.col("_search_buyers").cast("double"), F.col("searchers").cast("double"))
+         .alias("search_to_purchase"),
+        F.try_divide((F.col("searchers") - F.col("_search_buyers")).cast("double"),
+                     F.col("searchers").cast("double")).alias("search_abandonment"),
         F.try_divide(F.col("clicks").cast("double"), F.col("views").cast("double")).alias("ctr"),
         (F.col("purchasers").cast("double") / n).alias("conversion"),
         F.try_divide(F.col("_repeat").cast("double"), F.col("purchasers").cast("double")).alias("repeat_purchase_rate"),
@@ -84,9 +98,16 @@ def experiment_readout(assign: DataFrame, events: DataFrame, user: str = "user_i
     z = F.try_divide(p1 - p0, F.sqrt(pooled * (1.0 - pooled) * (1.0 / n1 + 1.0 / n0)))
     t = F.try_divide(F.col("_mean") - ctl("_mean"),
                      F.sqrt(F.col("_var") / n1 + ctl("_var") / n0))
+    if sessions is not None:
+        dur = (sessions.join(assign.select(user, "variant"), user, "inner")
+               .groupBy("variant").agg((F.avg("duration_us") / 60_000_000.0).alias("mean_session_minutes")))
+        v = v.join(dur, "variant", "left")
+    else:
+        v = v.withColumn("mean_session_minutes", F.lit(None).cast("double"))
     return v.select(
         "variant", "users", "views", "clicks", "ctr", "purchasers", "conversion",
-        "repeat_purchase_rate", "retention_rate", "orders",
+        "repeat_purchase_rate", "retention_rate", "searchers", "search_to_purchase",
+        "search_abandonment", "mean_session_minutes", "orders",
         "revenue_cents", "avg_order_value", F.col("_mean").alias("revenue_per_user_cents"),
         (F.try_divide(p1, p0) - 1.0).alias("conversion_lift"),
         F.when(F.col("variant") == control, F.lit(None).cast("double")).otherwise(z).alias("z_conversion"),

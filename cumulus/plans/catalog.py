@@ -515,7 +515,11 @@ def q_assign_variant(spark, sf_dir):
 @register("experiment_readout")
 def q_experiment_readout(spark, sf_dir):
     """Per-variant metrics, lift, z and t against control."""
-    return ex.experiment_readout(_assign(spark, sf_dir), si.events(spark, sf_dir))
+    ev = si.events(spark, sf_dir)
+    sess = sessionize_split(ev, "ts", ["user_id"], 1800).select(
+        "user_id", (F.unix_micros("session_end") - F.unix_micros("session_start")
+                    - 1800 * 1_000_000).alias("duration_us"))
+    return ex.experiment_readout(_assign(spark, sf_dir), ev, sessions=sess)
 
 
 def _profit_measures():
@@ -537,6 +541,14 @@ def q_period_report_weekly(spark, sf_dir):
     return rp.period_report(table(spark, sf_dir, "lineitem"), "l_shipdate", "week", _profit_measures())
 
 
+@register("engagement_monthly")
+def q_engagement_monthly(spark, sf_dir):
+    """A34 engagement: monthly active users, events and purchases, with growth."""
+    return rp.period_report(si.events(spark, sf_dir), "ts", "month", {
+        "active_users": F.count_distinct("user_id"), "events": F.count(F.lit(1)),
+        "purchases": F.count_if(F.col("event_type") == "purchase")})
+
+
 @register("validate_period")
 def q_validate_period(spark, sf_dir):
     """Daily completeness and trend checks on orders by order date."""
