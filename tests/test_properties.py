@@ -38,3 +38,61 @@ def test_split_sessions_equal_session_window(spark, steps, bucket):
     a = sessionize_split(df, "ts", ["host"], 300, bucket_seconds=bucket)
     b = st.sessionize(df, "ts", ["host"], "5 minutes").select(*a.columns)
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def _model_growth(active_days, start, end):
+    """Day-by-day model of the incremental rules (yesterday's row + today)."""
+    out, y = {}, None
+    d = start
+    while d <= end:
+        t = d in active_days
+        if y is None and not t:
+            d += dt.timedelta(days=1)
+            continue
+        if y is None:
+            daily = weekly = "New"
+            first, last = d, d
+        else:
+            first, y_last, y_date = y["first"], y["last"], d - dt.timedelta(days=1)
+            if t and y_last == d - dt.timedelta(days=1):
+                daily = "Retained"
+            elif t and y_last < d - dt.timedelta(days=1):
+                daily = "Resurrected"
+            elif not t and y_last == y_date:
+                daily = "Churned"
+            else:
+                daily = "Stale"
+            last_or = d if t else y_last
+            if t and y_last < d - dt.timedelta(days=7):
+                weekly = "Resurrected"
+            elif not t and y_last == y_date - dt.timedelta(days=7):
+                weekly = "Churned"
+            elif last_or + dt.timedelta(days=7) >= y_date:
+                weekly = "Retained"
+            else:
+                weekly = "Stale"
+            last = d if t else y_last
+        y = {"first": first, "last": last}
+        out[d] = (first, last, daily, weekly)
+        d += dt.timedelta(days=1)
+    return out
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(acts=st_.lists(st_.sets(st_.integers(0, 24), max_size=10), min_size=1, max_size=4))
+def test_growth_backfill_matches_daily_model(spark, acts):
+    from cumulus.operators import growth as gr
+    start, end = dt.date(2024, 1, 1), dt.date(2024, 1, 25)
+    rows = [(k, start + dt.timedelta(days=o)) for k, offs in enumerate(acts) for o in offs]
+    if not rows:
+        return
+    ev = spark.createDataFrame(rows, "user_id long, event_date date")
+    got = {(r.user_id, r.date): (r.first_active_date, r.last_active_date, r.daily_active_state,
+                                 r.weekly_active_state)
+           for r in gr.growth_backfill(ev, ["user_id"], str(start), str(end), with_lists=False).collect()}
+    want = {}
+    for k, offs in enumerate(acts):
+        days = {start + dt.timedelta(days=o) for o in offs}
+        for d, v in _model_growth(days, start, end).items():
+            want[(k, d)] = v
+    assert got == want
