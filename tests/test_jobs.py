@@ -33,3 +33,50 @@ def test_daily_jobs_equal_backfill_and_rerun_is_idempotent(spark, sf_small):
     assertDataFrameEqual(arr.select("user_id", "metric_array"),
                          cum.metric_array_backfill(ev, "user_id", DAYS[-1], "site_hits")
                          .select("user_id", "metric_array"))
+
+
+def test_yearly_snapshot_and_scd_jobs(spark, sf_small):
+    detail_path = scratch_path(spark, "detail")
+    si.customer_years(spark, sf_small).write.parquet(detail_path)
+    snap_path, scd_path = scratch_path(spark, "snap"), scratch_path(spark, "scd")
+    stats = ["gp", "pts", "reb", "ast"]
+    for y in range(1995, 2002):
+        jobs.snapshot_job(spark, detail_path, snap_path, y, "c_custkey", "season", stats,
+                          ["c_mktsegment", "c_nationkey"])
+    got = spark.read.parquet(snap_path).filter("current_season = 2001")
+    want = cum.backfill_snapshot(spark.read.parquet(detail_path), "c_custkey", "season", stats,
+                                 ["c_mktsegment", "c_nationkey"], end=2001).filter("current_season = 2001")
+    assertDataFrameEqual(got.select(*want.columns), want)
+    jobs.scd_job(spark, snap_path, scd_path, 2001, "c_custkey", ["scoring_class", "is_active"])
+    assert spark.read.parquet(scd_path).filter("current_season = 2001").count() > 0
+
+
+def test_team_vertex_and_monthly_hits_jobs(spark, sf_small):
+    teams = scratch_path(spark, "teams")
+    tb = spark.createDataFrame([(1, "A", "x"), (1, "A", "y"), (2, "B", "z")],
+                               "team_id long, abbreviation string, city string")
+    tb.write.parquet(teams)
+    out = scratch_path(spark, "team_v")
+    jobs.team_vertex_job(spark, teams, out)
+    assert spark.read.parquet(out).count() == 2
+    arrays = scratch_path(spark, "arrays_in")
+    spark.createDataFrame([("2023-01-01", [1, 2, 3], "2023-01-03"), ("2023-01-01", [], "2023-01-03"),
+                           ("2023-01-01", [5, 5, 5], "2023-01-04")],
+                          "month_start string, metric_array array<bigint>, date_partition string").write.parquet(arrays)
+    hits = scratch_path(spark, "hits")
+    jobs.monthly_site_hits_job(spark, arrays, hits, "2023-01-03")
+    r = spark.read.parquet(hits).collect()
+    assert [(x.num_hits_first_day, x.num_hits_second_day, x.num_hits_third_day) for x in r] == [(1, 2, 3)]
+
+
+def test_web_stream_job_runs_on_a_trigger(spark, sf_small):
+    from cumulus.streaming import streams as st
+    out, ckpt = scratch_path(spark, "web_out"), scratch_path(spark, "web_ckpt")
+    q = jobs.web_stream_job(spark, sf_small, out, ckpt, trigger_seconds=1)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = st.read_latest(spark, out, ["window_start", "event_type"])
+    want = st.tumbling_counts(si.events(spark, sf_small), "ts", ["event_type"])
+    assertDataFrameEqual(got.select(*want.columns), want)
