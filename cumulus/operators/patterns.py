@@ -78,11 +78,13 @@ def grouping_sets_dashboard(df: DataFrame, dims: Sequence[str], sets: Sequence[S
 def rolling_share(df: DataFrame, referrer: str = "referrer", url: str = "url",
                   day: str = "event_date", rules=None, site_domains: Sequence[str] = (),
                   min_total: int = 500,
-                  prev_block: tuple[int, int] = (-13, -6)) -> DataFrame:
+                  prev_block: tuple[int, int] = (-13, -6), frame: str = "rows") -> DataFrame:
     """Channel classification, daily counts, month total, running and grand
     totals, 7-row rolling count and the previous block, share of month and
-    of total. Frames count rows (days with events), as in the reference;
-    the previous block default keeps its one-row overlap.
+    of total. ``frame="rows"`` counts rows (days with events), as in the
+    reference, and the previous block default keeps its one-row overlap;
+    ``frame="range"`` counts calendar days instead (a day without events
+    still takes its place in the 7-day window).
 
     Counts are aggregated first (partial/final), so each window partition
     holds one (referrer, url)'s days, not its events.
@@ -94,13 +96,18 @@ def rolling_share(df: DataFrame, referrer: str = "referrer", url: str = "url",
     w = Window.partitionBy("referrer", "url").orderBy("event_date")
     wm = Window.partitionBy("referrer", "url", F.trunc("event_date", "month"))
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    if frame == "range":
+        wd = Window.partitionBy("referrer", "url").orderBy(F.unix_date("event_date"))
+        week, prev = wd.rangeBetween(-6, 0), wd.rangeBetween(*prev_block)
+    else:
+        week, prev = w.rowsBetween(-6, 0), w.rowsBetween(*prev_block)
     out = daily.select(
         "referrer", "url", "event_date", "count",
         F.sum("count").over(wm).alias("monthly_cumulative_sum"),
         F.sum("count").over(w).alias("rolling_cumulative_sum"),
         F.sum("count").over(whole).alias("total_cumulative_sum"),
-        F.sum("count").over(w.rowsBetween(-6, 0)).alias("weekly_rolling_count"),
-        F.sum("count").over(w.rowsBetween(*prev_block)).alias("previous_weekly_rolling_count"))
+        F.sum("count").over(week).alias("weekly_rolling_count"),
+        F.sum("count").over(prev).alias("previous_weekly_rolling_count"))
     return (out.filter((F.col("total_cumulative_sum") > min_total) & F.col("referrer").isNotNull())
             .select("referrer", "url", "event_date", "count", "weekly_rolling_count",
                     "previous_weekly_rolling_count",

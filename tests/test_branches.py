@@ -176,3 +176,16 @@ def test_zero_denominator_and_tied_top1(spark):
     assert [r[0] for r in df.select(safe_ratio("a", "b")).collect()] == [None, None]
     t = spark.createDataFrame([("x",), ("y",), ("y",), ("x",)], "k string")
     assert lay.top1(t, "k").collect() == [Row(k="x", num=2)]
+
+
+def test_rolling_share_row_and_calendar_frames(spark):
+    days = [D(2024, 1, d) for d in (1, 2, 3, 10, 11)]
+    rows = [("ref.example", "/a", d) for d in days for _ in range(2)]
+    df = spark.createDataFrame(rows, "referrer string, url string, event_date date")
+    by_rows = {r.event_date: r.weekly_rolling_count
+               for r in pt.rolling_share(df, min_total=0).collect()}
+    by_days = {r.event_date: r.weekly_rolling_count
+               for r in pt.rolling_share(df, min_total=0, frame="range", prev_block=(-13, -7)).collect()}
+    assert by_rows[D(2024, 1, 10)] == 8          # 4 rows back: 1, 2, 3, 10
+    assert by_days[D(2024, 1, 10)] == 2          # calendar week 4..10 holds only day 10
+    assert by_days[D(2024, 1, 11)] == 4
