@@ -88,3 +88,13 @@ def contract_report(df: DataFrame, keys: Sequence[str], not_null: Sequence[str]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def assert_contract(df: DataFrame, keys: Sequence[str], not_null: Sequence[str] = (),
+                    domains: Mapping[str, Sequence] | None = None) -> None:
+    """K10 enforcement: raise when any check of :func:`contract_report`
+    has violations (the report itself is a handful of rows)."""
+    bad = [(r["check"], r["violations"]) for r in
+           contract_report(df, keys, not_null, domains).filter(F.col("violations") > 0).collect()]
+    if bad:
+        raise ValueError(f"contract violated: {bad}")
