@@ -100,7 +100,10 @@ def experiment_readout(assign: DataFrame, events: DataFrame, user: str = "user_i
                      F.sqrt(F.col("_var") / n1 + ctl("_var") / n0))
     if sessions is not None:
         dur = (sessions.join(assign.select(user, "variant"), user, "inner")
-               .groupBy("variant").agg((F.avg("duration_us") / 60_000_000.0).alias("mean_session_minutes")))
+               .groupBy("variant").agg(
+                   # exact integer sum, one division: independent of summation order
+                   (F.sum("duration_us").cast("double") / F.count(F.lit(1)).cast("double")
+                    / 60_000_000.0).alias("mean_session_minutes")))
         v = v.join(dur, "variant", "left")
     else:
         v = v.withColumn("mean_session_minutes", F.lit(None).cast("double"))
