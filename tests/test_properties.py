@@ -96,3 +96,21 @@ def test_growth_backfill_matches_daily_model(spark, acts):
         for d, v in _model_growth(days, start, end).items():
             want[(k, d)] = v
     assert got == want
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=rows_strategy, bucket=st_.sampled_from([1, 5, 40, 1000]))
+def test_longest_streak_equals_islands(spark, rows, bucket):
+    from cumulus.operators import patterns as pt
+    df = spark.createDataFrame(rows, "k int, i int, ok boolean")
+    got = {r.k: r.longest_streak for r in
+           pt.longest_streak(df, "k", ["i"], [F.floor(F.col("i") / bucket)], F.col("ok")).collect()}
+    want = {}
+    for k in {r[0] for r in rows}:
+        run = best = 0
+        for _, _, ok in sorted((r for r in rows if r[0] == k), key=lambda r: r[1]):
+            run = run + 1 if ok else 0
+            best = max(best, run)
+        if best:
+            want[k] = best
+    assert got == want
