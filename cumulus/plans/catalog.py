@@ -393,9 +393,7 @@ def q_longest_streak_top(spark, sf_dir):
     return s.orderBy(F.desc("longest_streak"), "dim_player_id").limit(1)
 
 
-@register("best_rolling_wins")
-def q_best_rolling_wins(spark, sf_dir):
-    """Most finished orders in any 90-order stretch, per nation."""
+def _best_wins(spark, sf_dir):
     g = si.games(spark, sf_dir)
     return pt.best_rolling_wins(
         g, "home_team_id", ["game_date_est", "game_id"],
@@ -403,6 +401,19 @@ def q_best_rolling_wins(spark, sf_dir):
         F.col("o_orderstatus") == "F", n=90)
 
 
+@register("best_rolling_wins")
+def q_best_rolling_wins(spark, sf_dir):
+    """Most finished orders in any 90-order stretch, per nation."""
+    return _best_wins(spark, sf_dir)
+
+
+@register("best_rolling_wins_top")
+def q_best_rolling_wins_top(spark, sf_dir):
+    """A24 report form: the team with the most wins in a 90-game stretch
+    (ties by team id)."""
+    return _best_wins(spark, sf_dir).orderBy(F.desc("max_wins_90"), "home_team_id").limit(1)
+
+
 # --------------------------------------------------------------------------
 # Enrichment, layout, experiments, reports, contracts
 # --------------------------------------------------------------------------
