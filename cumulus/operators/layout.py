@@ -81,7 +81,7 @@ def compare_layouts(spark: SparkSession, df: DataFrame,
     for name, spec in variants.items():
         path = f"{root}/{name}"
         sinks.write_layout(df, path, spec.get("partitions"), spec.get("by", ()),
-                           spec.get("sort_within", ()))
+                           spec.get("sort_within", ()), spec.get("partition_by", ()))
         stats = file_stats(spark.read.parquet(path)).select(F.lit(name).alias("variant"), "*")
         rows = stats if rows is None else rows.unionByName(stats)
     return rows

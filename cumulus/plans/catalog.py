@@ -504,6 +504,20 @@ def q_compare_layouts(spark, sf_dir):
     })
 
 
+@register("compare_layouts_events")
+def q_compare_layouts_events(spark, sf_dir):
+    """A29 event form: events partitioned by day (folders), clustered by day
+    and locally sorted three ways; files and bytes per variant."""
+    ev = si.events(spark, sf_dir).select("event_id", "user_id", "event_type", "value", "props",
+                                         "ts", "event_date")
+    day = {"partitions": 8, "by": ["event_date"], "partition_by": ["event_date"]}
+    return lay.compare_layouts(spark, ev, {
+        "by_day": dict(day),
+        "by_day_sorted_type_user": dict(day, sort_within=["event_date", "event_type", "user_id"]),
+        "by_day_sorted_user_type": dict(day, sort_within=["event_date", "user_id", "event_type"]),
+    })
+
+
 @register("enrich_geo")
 def q_enrich_geo(spark, sf_dir):
     """Events with an IP derived from the user, geodata from the

@@ -75,10 +75,11 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str],
 
 
 def write_layout(df: DataFrame, path: str, partitions: int | None = None,
-                 by: Sequence[str] = (), sort_within: Sequence[str] = ()) -> None:
+                 by: Sequence[str] = (), sort_within: Sequence[str] = (),
+                 partition_by: Sequence[str] = ()) -> None:
     """K7: one layout variant: optional repartition by columns, optional
     local sort (no global sort: ``sortWithinPartitions`` avoids a range
-    shuffle)."""
+    shuffle), optional folder partitioning (K6)."""
     d = df
     if partitions is not None and by:
         d = d.repartition(partitions, *by)
@@ -86,7 +87,10 @@ def write_layout(df: DataFrame, path: str, partitions: int | None = None,
         d = d.repartition(partitions)
     if sort_within:
         d = d.sortWithinPartitions(*sort_within)
-    d.write.mode("overwrite").parquet(path)
+    w = d.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
 
 
 def create_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
