@@ -123,3 +123,16 @@ def test_probe_fallback_keeps_shuffle_join(spark, sf_small):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_no_python_no_cartesian_in_any_registered_plan(spark, sf_small):
+    """Every registered query stays JVM-side and never pairs all rows."""
+    import __spark_entry__ as E
+    skip = {"compare_layouts", "compare_layouts_events"}   # write files while being built
+    for name, q in E.queries().items():
+        if name in skip or "stream" in name or name.startswith("tumbling") or name.startswith("match_bucketed"):
+            continue
+        plan = lay.plan_text(q(spark, sf_small), "simple")
+        for bad in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
+                    "CartesianProduct", "BroadcastNestedLoopJoin"):
+            assert bad not in plan, (name, bad)
