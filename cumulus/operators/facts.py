@@ -19,8 +19,9 @@ from cumulus.functions.columns import contains_flag, minutes_from_mmss, safe_rat
 def dedup_rows(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None,
                keep: str = "first") -> DataFrame:
     """One row per key; ``order_by`` (default: all other columns)
-    decides which row is kept; ties are broken by the remaining columns,
-    so the result is deterministic."""
+    decides which row is kept (ascending, nulls first; ``keep="last"`` for
+    descending); ties are broken by the remaining columns, so the result
+    is deterministic."""
     ks = list(keys)
     rest = [c for c in df.columns if c not in ks]
     order = list(order_by) if order_by else rest
