@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cumulus.llm import minmax
+from cumulus.llm import bytebpe, decontaminate, linedup, minmax, quality
 from cumulus.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,3 +23,36 @@ def query(fn):
 def op4_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups at 3-word shingles and Jaccard 0.85."""
     return minmax.near_duplicates(documents(spark, sf_dir), width=3, percent=85)
+
+
+@query
+def op2_bm25_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that each document leaks."""
+    items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return decontaminate.leaked_items(documents(spark, sf_dir), items)
+
+
+@query
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids and round trip of every text."""
+    out = bytebpe.encode(documents(spark, sf_dir).select("doc_id", "text"),
+                         public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines left after repeated three-line windows are removed."""
+    out = linedup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
+
+
+@query
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures and the verdict of the quality rules."""
+    out = quality.quality(documents(spark, sf_dir))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                      "base_failed", "kept", "char_distance", "word_distance")
+
+
+ORACLE["op6_line_dedup"] = linedup.ORACLE_SQL

@@ -158,7 +158,9 @@ def _compare(members: DataFrame, docs: DataFrame, keys: list[str], width: int, p
                 yield emit(edges, _EDGE)
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    rows = wide(texts.join(members, "doc_id"), *keys).sortWithinPartitions(*keys)
+    # always a merge join: a broadcast below some size would only make the
+    # shuffle jump when the members outgrow it
+    rows = wide(texts.join(members.hint("merge"), "doc_id"), *keys).sortWithinPartitions(*keys)
     return rows.select("doc_id", "text", "side", *keys).mapInArrow(run, "a bigint, b bigint")
 
 
