@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cumulus.llm import bytebpe, decontaminate, linedup, minmax, quality
+from cumulus.llm import bytebpe, decontaminate, licenses, linedup, minmax, quality, secrets, toxicity, warczip
 from cumulus.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,32 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op6_line_dedup"] = linedup.ORACLE_SQL
+
+
+@query
+def op8_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages through ZIP-packaged WARC archives and back."""
+    pages = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet")
+    return warczip.round_trip(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op9_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every text, with entropy spans."""
+    return secrets.scan(documents(spark, sf_dir))
+
+
+@query
+def op1_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every whole text."""
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet").select("doc_id", "toxic")
+    return toxicity.score(documents(spark, sf_dir).select("doc_id", "text"), labels)
+
+
+@query
+def op7_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and blocks that match a licence template."""
+    return licenses.scan(documents(spark, sf_dir))
+
+
+ORACLE["op7_license_dice"] = licenses.oracle_sql()
