@@ -27,7 +27,8 @@ import regex
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
-#: Pre-tokens that a worker remembers before it starts anew.
+#: Pre-tokens that a worker remembers in each of two generations; when the
+#: young one is full it becomes the old one, so frequent ones stay.
 CACHE = 1 << 18
 
 
@@ -98,21 +99,23 @@ class Codec:
         # \s of the rank files' pattern is the Unicode property White_Space
         self.split = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
         self.known: dict[str, tuple] = {}
+        self.old: dict[str, tuple] = {}
 
     def _learn(self, pieces: list[str]) -> None:
-        if len(self.known) > CACHE:
-            self.known.clear()
         rest = []
         for p in pieces:
-            at = self.whole.get(p.encode())
-            if at is None:
+            ids = self.old.get(p)
+            if ids is None:
+                at = self.whole.get(p.encode())
+                ids = None if at is None else (at,)
+            if ids is None:
                 rest.append(p)
             else:
-                self.known[p] = (at,)
+                self.known[p] = ids
         if rest:
-            mapped = [p.encode().decode("latin-1").translate(self.letters) for p in rest]
-            for p, ids in zip(rest, self.sp.encode(mapped)):
-                self.known[p] = tuple(ids)
+            one = self.sp.encode  # one by one: a list call starts threads each time
+            for p in rest:
+                self.known[p] = tuple(one(p.encode().decode("latin-1").translate(self.letters)))
 
     def encode(self, text: str) -> list[int]:
         pieces = self.split(text)
@@ -120,8 +123,8 @@ class Codec:
         new = [p for p in set(pieces) if p not in known]
         if new:
             if len(known) + len(new) > CACHE:
-                known.clear()
-                new = list(set(pieces))
+                self.old, self.known = known, {}
+                known, new = self.known, list(set(pieces))
             self._learn(new)
         return list(chain.from_iterable(map(known.__getitem__, pieces)))
 
