@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cumulus.llm import bytebpe, decontaminate, licenses, linedup, minmax, quality, secrets, toxicity, warczip
+from cumulus.llm import bytebpe, decontaminate, licenses, linedup, minmax, passages, quality, secrets, toxicity, warczip
 from cumulus.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,9 @@ def op7_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op7_license_dice"] = licenses.oracle_sql()
+
+
+@query
+def op3_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that repeat across documents."""
+    return passages.repeated_passages(documents(spark, sf_dir))
