@@ -68,7 +68,9 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, dice: fl
     if not known:
         raise ValueError("no template has two words")
     sizes = [n for _, n, _ in known]
-    lo, hi = min(sizes) * dice / (2 - dice), max(sizes) * (2 - dice) / dice
+    least = lambda k: k * dice / (2 - dice) - 1e-9
+    most = lambda k: k * (2 - dice) / dice + 1e-9
+    lo, hi = least(min(sizes)), most(max(sizes))
 
     def units(parts: Column, kind: str, several: bool = False) -> Column:
         u = F.transform(parts, lambda x, i: F.struct(F.lit(kind).alias("unit"), i.cast("bigint").alias("unit_no"), x.alias("x")))
@@ -80,7 +82,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, dice: fl
                      lambda s: (F.size(s["b"]) >= lo) & (F.size(s["b"]) <= hi))
     rows = docs.select("doc_id", F.explode(sized).alias("u")).select("doc_id", "u.unit", "u.unit_no", "u.b")
     n = F.size("b")
-    scored = F.array(*[F.when((n >= k * dice / (2 - dice)) & (n <= k * (2 - dice) / dice), F.struct(
+    scored = F.array(*[F.when((n >= least(k)) & (n <= most(k)), F.struct(
         (2.0 * F.size(F.array_intersect("b", F.array(*map(F.lit, b)))) / (n + k)).alias("dice"),
         F.lit(name).alias("license"))) for name, k, b in known])
     best = F.reduce(F.filter(scored, lambda s: s["dice"] >= dice), F.lit(None).cast("struct<dice:double,license:string>"),

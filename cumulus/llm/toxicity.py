@@ -38,6 +38,8 @@ from cumulus.llm.common import emit, stored
 FIT_ROWS = 20_000
 FEATURES = 4_000
 MIN_TOXIC_DOCS = 4
+#: Least toxic rows times log-odds of a feature; weaker ones are chance.
+MIN_GAIN = 12.0
 GRAMS = (3, 4, 5, 6)
 
 #: Letters that a sign may stand for.
@@ -218,7 +220,7 @@ def learn(docs: DataFrame, labels: DataFrame, restore, fit_rows: int = FIT_ROWS)
     f = rows.mapInArrow(count, "feature string, toxic bigint, clean bigint").groupBy("feature").agg(
         F.sum("toxic").alias("a"), F.sum("clean").alias("b"))
     odds = F.log((F.col("a") + 0.5) / (sizes[1] + 1)) - F.log((F.col("b") + 0.5) / (sizes[0] + 1))
-    best = f.where(F.col("a") >= MIN_TOXIC_DOCS).withColumn("w", odds).where("w > 1.5").orderBy(
+    best = f.where(F.col("a") >= MIN_TOXIC_DOCS).withColumn("w", odds).where((F.col("w") > 1.5) & (F.col("a") * F.col("w") >= MIN_GAIN)).orderBy(
         F.desc(F.col("a") * F.col("w")), "feature").limit(FEATURES).collect()
     weights = {r["feature"]: float(r["w"]) for r in best}
     if not weights:
