@@ -15,7 +15,7 @@ Entry points by area (all in ``cumulus.operators`` unless noted):
 * facts / graph: dedup_rows, build_game_fact, fact_ratio_summary,
   vertices, player_vertices, dedup_vertices, plays_in_edges, plays_on_edges
 * patterns: funnel, grouping_sets_dashboard, rolling_share,
-  longest_streak, best_rolling_wins; joins: positions, maybe_broadcast,
+  longest_streak, best_rolling_wins; joins: positions, bounded_dim,
   pair_join; sessions: sessionize_split
 * enrich: enrich_geo, events_with_devices; layout: bucketed_join,
   bucketed_tables, compare_layouts, user_device_rollup, top1

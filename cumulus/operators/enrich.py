@@ -3,9 +3,9 @@
 The reference looks up each IP with a per-row HTTP call. Here the lookup
 is a range join against a geo dimension, turned into an equi join: each
 range is expanded to the /16 prefixes it covers, the event's IP prefix is
-the join key and the range test is a residual filter. The dimension side
-is broadcast only behind the size probe; beyond it the equi join shuffles
-on the prefix.
+the join key and the range test is a residual filter. Spark's own
+size statistics decide whether the dimension side is broadcast or the equi
+join shuffles on the prefix.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cumulus.functions.columns import col_
-from cumulus.operators.joins import maybe_broadcast
 
 PREFIX_BITS = 16
 
@@ -47,7 +46,7 @@ def enrich_geo(df: DataFrame, ip_col: str, geo: DataFrame, fields: Sequence[str]
     g = g.withColumn("_pfx", F.explode(F.sequence(F.shiftright("_gs", prefix_bits),
                                                   F.shiftright("_ge", prefix_bits))))
     d = df.withColumn("_ipn", ip_to_long(ip_col)).withColumn("_pfx", F.shiftright("_ipn", prefix_bits))
-    gb = maybe_broadcast(g)
+    gb = g
     cond = ((d["_pfx"] == gb["_pfx"]) & (d["_ipn"] >= gb["_gs"]) & (d["_ipn"] <= gb["_ge"]))
     j = d.join(gb, cond, "left")
     geodata = F.when(F.col("_gs").isNull(), F.lit("{}")).otherwise(

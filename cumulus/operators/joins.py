@@ -1,11 +1,10 @@
-"""Join helpers (J1-J16): size-checked broadcast and distributed ordinal
+"""Join helpers (J1-J16): bounded broadcast and distributed ordinal
 positions.
 
-``broadcast`` is only ever applied behind a proven size bound: either the
-schema bounds the table (a 25-row nation dimension), or a bounded probe
-``df.limit(n + 1).count() <= n`` proves it at run time. Beyond the bound
-the join is left to the planner (sort-merge / shuffled hash with AQE's
-skew split and runtime broadcast).
+A broadcast hint is only given to tables whose size the schema bounds (a
+25-row nation dimension). Every other join is left to the planner: sizes in
+bytes and AQE choose between sort-merge, shuffled hash and broadcast at run
+time, with skew split.
 """
 
 from __future__ import annotations
@@ -14,28 +13,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# A broadcast side is kept well under executor memory and the default
-# spark.sql.maxBroadcastTableSize; rows are counted, not estimated.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """Bounded probe: reads at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when the probe proves it small, else ``df``."""
-    return F.broadcast(df) if fits(df, max_rows) else df
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Join with a side that is usually small: broadcast behind the size
-    probe, shuffle join (AQE skew handling) beyond it."""
-    return big.join(maybe_broadcast(small, max_rows), on, how)
-
-
 def bounded_dim(df: DataFrame) -> DataFrame:
     """Broadcast a dimension whose size is fixed by the schema (nation,
     region): no probe needed, the bound does not grow with the data."""

@@ -4,11 +4,11 @@ comparison, A30 cached device roll-up), plus plan inspection helpers.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cumulus.operators.joins import join_small
 from cumulus.session import scratch_path
 from cumulus.sources import sinks
 from cumulus.sources.tables import file_stats
@@ -50,10 +50,10 @@ def avg_kills_per_game(details: DataFrame, match: str = "match_id",
 
 def medal_map_top(joined: DataFrame, medals: DataFrame, classification: str,
                   medal: str = "medal_id", map_col: str = "mapid") -> DataFrame:
-    """Map with the most medals of one classification. The medal dimension
-    is broadcast only behind the size probe."""
+    """Map with the most medals of one classification. Whether the medal
+    dimension is broadcast is left to the planner."""
     m = medals.filter(F.col("classification") == classification).select(medal)
-    j = join_small(joined, m, medal, "left_semi")
+    j = joined.join(m, medal, "left_semi")
     return top1(j, map_col, "num_medals")
 
 
@@ -113,13 +113,14 @@ def user_device_rollup(events_agg: DataFrame, devices: DataFrame, user: str = "u
 
 
 def bucketed_tables(spark: SparkSession, tables: Mapping[str, tuple], buckets: int = 16,
-                    db: str = "cumulus_layout", location: str | None = None) -> dict:
+                    db: str | None = None, location: str | None = None) -> dict:
     """Write each ``name -> (df, key, sort_cols)`` bucketed by its
     key (same bucket count everywhere) into one namespace in the shared
     folder; returns the tables read back. Joins among them on the bucket
     key (plus further keys) read co-partitioned buckets without an
     Exchange."""
     loc = location or scratch_path(spark, "warehouse")
+    db = db or f"cumulus_layout_{uuid.uuid4().hex[:12]}"  # each build has tables of its own
     sinks.create_namespace(spark, db, loc)
     out = {}
     for name, (df, key, sort_cols) in tables.items():

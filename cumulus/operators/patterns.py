@@ -79,8 +79,8 @@ def rolling_share(df: DataFrame, referrer: str = "referrer", url: str = "url",
                   day: str = "event_date", rules=None, site_domains: Sequence[str] = (),
                   min_total: int = 500,
                   prev_block: tuple[int, int] = (-13, -6), frame: str = "rows") -> DataFrame:
-    """Channel classification, daily counts, month total, running and grand
-    totals, 7-row rolling count and the previous block, share of month and
+    """Channel classification, daily counts, month and grand totals,
+    7-row rolling count and the previous block, share of month and
     of total. ``frame="rows"`` counts rows (days with events), as in the
     reference, and the previous block default keeps its one-row overlap;
     ``frame="range"`` counts calendar days instead (a day without events
@@ -93,26 +93,22 @@ def rolling_share(df: DataFrame, referrer: str = "referrer", url: str = "url",
     e = df.select(classify_like(referrer, rules).alias("referrer"), F.col(url).alias("url"),
                   F.col(day).alias("event_date"))
     daily = e.groupBy("referrer", "url", "event_date").agg(F.count(F.lit(1)).alias("count"))
-    w = Window.partitionBy("referrer", "url").orderBy("event_date")
-    wm = Window.partitionBy("referrer", "url", F.trunc("event_date", "month"))
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    if frame == "range":
-        wd = Window.partitionBy("referrer", "url").orderBy(F.unix_date("event_date"))
-        week, prev = wd.rangeBetween(-6, 0), wd.rangeBetween(*prev_block)
-    else:
-        week, prev = w.rowsBetween(-6, 0), w.rowsBetween(*prev_block)
-    out = daily.select(
-        "referrer", "url", "event_date", "count",
-        F.sum("count").over(wm).alias("monthly_cumulative_sum"),
-        F.sum("count").over(w).alias("rolling_cumulative_sum"),
-        F.sum("count").over(whole).alias("total_cumulative_sum"),
-        F.sum("count").over(week).alias("weekly_rolling_count"),
-        F.sum("count").over(prev).alias("previous_weekly_rolling_count"))
-    return (out.filter((F.col("total_cumulative_sum") > min_total) & F.col("referrer").isNotNull())
-            .select("referrer", "url", "event_date", "count", "weekly_rolling_count",
-                    "previous_weekly_rolling_count",
-                    (F.col("count").cast("double") / F.col("monthly_cumulative_sum")).alias("pct_of_month"),
-                    (F.col("count").cast("double") / F.col("total_cumulative_sum")).alias("pct_of_total")))
+    series = Window.partitionBy("referrer", "url")
+    by_day = series.orderBy("event_date" if frame == "rows" else F.unix_date("event_date"))
+    between = by_day.rowsBetween if frame == "rows" else by_day.rangeBetween
+
+    def hits(frame_of) -> Column:
+        return F.sum("count").over(frame_of)
+
+    def share(frame_of) -> Column:
+        return F.col("count").cast("double") / hits(frame_of)
+
+    month = Window.partitionBy("referrer", "url", F.trunc("event_date", "month"))
+    shares = daily.select("*", hits(series).alias("_all"),
+                          hits(between(-6, 0)).alias("weekly_rolling_count"),
+                          hits(between(*prev_block)).alias("previous_weekly_rolling_count"),
+                          share(month).alias("pct_of_month"), share(series).alias("pct_of_total"))
+    return shares.where((F.col("_all") > min_total) & F.col("referrer").isNotNull()).drop("_all")
 
 
 # --------------------------------------------------------------------------

@@ -26,8 +26,8 @@ def period_report(df: DataFrame, date_col: str, grain: str,
 def validate_period(df: DataFrame, date_col: str, keys: Sequence[str], start: str,
                     end: str, trailing: int = 7) -> DataFrame:
     """Completeness and trend checks per day: rows, rows with a null key,
-    duplicate keys, missing day, change against the previous day and the
-    ratio to the trailing ``trailing``-day mean."""
+    duplicate keys, missing day, days outside the period (or without a date),
+    change against the previous day and the ratio to the trailing ``trailing``-day mean."""
     d = df.select(F.to_date(F.col(date_col)).alias("day"), *keys)
     null_key = None
     for k in keys:
@@ -38,7 +38,8 @@ def validate_period(df: DataFrame, date_col: str, keys: Sequence[str], start: st
                                  F.count_distinct(F.struct(*keys)).alias("_distinct"))
     spine = df.sparkSession.range(1).select(F.explode(F.sequence(
         F.to_date(F.lit(start)), F.to_date(F.lit(end)), F.expr("INTERVAL 1 DAY"))).alias("day"))
-    j = spine.join(daily, "day", "left").na.fill(0, ["row_count", "null_keys", "_distinct"])
+    spine = spine.withColumn("_due", F.lit(True))
+    j = spine.join(daily, "day", "full_outer").na.fill(0, ["row_count", "null_keys", "_distinct"])
     w = Window.orderBy("day")  # one row per calendar day
     prev = F.lag("row_count").over(w)
     trail = F.avg("row_count").over(w.rowsBetween(-trailing, -1))
@@ -46,6 +47,7 @@ def validate_period(df: DataFrame, date_col: str, keys: Sequence[str], start: st
         "day", "row_count", "null_keys",
         (F.col("row_count") - F.col("_distinct")).alias("duplicate_keys"),
         (F.col("row_count") == 0).alias("is_missing"),
+        F.col("_due").isNull().alias("out_of_range"),
         F.try_divide(F.col("row_count").cast("double") - prev, prev.cast("double")).alias("pct_change_prev_day"),
         F.try_divide(F.col("row_count").cast("double"), trail).alias("ratio_to_trailing_avg"))
 

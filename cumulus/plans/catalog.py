@@ -777,10 +777,10 @@ def q_match_bucketed_playlists(spark, sf_dir):
     is allowed for this query."""
     g, details, medals_players = _match_tables(spark, sf_dir)
     t = lay.bucketed_tables(spark, {
-        "matches_bucketed": (g, "match_id", ["match_id"]),
-        "match_details_bucketed": (details, "match_id", ["match_id"]),
-        "medals_matches_players_bucketed": (medals_players, "match_id", ["match_id"])})
-    j = (t["matches_bucketed"].join(t["match_details_bucketed"], "match_id")
-         .join(t["medals_matches_players_bucketed"], ["match_id", "player_gamertag"]))
+        "games_by_match": (g, "match_id", ["match_id"]),
+        "players_by_match": (details, "match_id", ["match_id"]),
+        "medals_by_match": (medals_players, "match_id", ["match_id"])})
+    j = (t["games_by_match"].join(t["players_by_match"], "match_id")
+         .join(t["medals_by_match"], ["match_id", "player_gamertag"]))
     return j.groupBy("playlist_id").agg(F.count(F.lit(1)).alias("num_rows"),
                                         F.sum("player_total_kills").alias("kills"))

@@ -30,11 +30,29 @@ def _day(s: str) -> dt.date:
 
 def read_partition(spark: SparkSession, path: str, col: str, value, schema: str) -> DataFrame:
     """One partition of a partitioned parquet table; empty (with the
-    table's schema) when the table or the partition does not exist yet."""
-    try:
-        return spark.read.parquet(path).filter(F.col(col) == F.lit(value))
-    except AnalysisException:
+    table's schema) only on a first run: when the table does not exist, or
+    holds no period up to ``value``. A table with earlier periods but not
+    this one has a gap, which stops the job, as any other error does."""
+    found = existing(spark, path)
+    if found is None:
         return spark.createDataFrame([], schema)
+    here = found.filter(F.col(col) == F.lit(value))
+    if here.isEmpty():
+        newest = found.filter(F.col(col) < F.lit(value)).agg(F.max(col)).first()[0]
+        if newest is not None:
+            raise ValueError(f"{path} has no {col} = {value}; its newest earlier period is {newest}: "
+                             "run the missing periods first")
+    return here
+
+
+def existing(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None where there is none yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def write_partition(df: DataFrame, path: str, col: str) -> None:
@@ -83,9 +101,11 @@ def metric_array_job(spark: SparkSession, events_path: str, table_path: str, day
     """A15 daily: the month's arrays with today's slot written; the month
     partition is replaced (upsert on key, month, metric)."""
     month = _day(day).replace(day=1)
-    prev = read_partition(spark, table_path, "month_start", month,
-                          "user_id bigint, metric_name string, metric_array array<bigint>, "
-                          "month_start date")
+    # A month starts without a partition, so its absence is not a gap.
+    table = existing(spark, table_path)
+    prev = (spark.createDataFrame([], "user_id bigint, metric_name string, metric_array array<bigint>, "
+                                      "month_start date") if table is None
+            else table.filter(F.col("month_start") == F.lit(month)))
     # The month partition is read and then replaced: materialise the read in
     # the shared checkpoint folder first, so the overwrite never depends on
     # the files it replaces.
@@ -99,10 +119,9 @@ def snapshot_job(spark: SparkSession, detail_path: str, table_path: str, year: i
                  key: str, period: str, stats: Sequence[str], attrs: Sequence[str] = ()) -> None:
     """A1 yearly: previous snapshot partition + this year's detail rows."""
     detail = spark.read.parquet(detail_path)
-    try:
-        prev = spark.read.parquet(table_path).filter(F.col(cum.CURRENT) == year - 1)
-    except AnalysisException:
-        prev = cum.backfill_snapshot(detail.limit(0), key, period, stats, attrs, end=year - 1)
+    none = cum.backfill_snapshot(detail.limit(0), key, period, stats, attrs, end=year - 1)
+    prev = none if existing(spark, table_path) is None else read_partition(
+        spark, table_path, cum.CURRENT, year - 1, none.schema)
     out = cum.cumulate_snapshot(prev, detail.filter(F.col(period) == year), key, period, stats, attrs)
     write_partition(out, table_path, cum.CURRENT)
 

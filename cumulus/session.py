@@ -10,6 +10,7 @@ Only when the setting is absent (local tests) do we create one.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -67,6 +68,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         sc = None
     path = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not path:
+        if not re.match(r"local(\[.*\])?$", spark.conf.get("spark.master", "local")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="cumulus-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if sc is not None and sc.getCheckpointDir() is None:

@@ -44,14 +44,20 @@ WEB_EVENT_SCHEMA = T.StructType([
 
 
 # ---------------------------------------------------------------- sources
-def file_events_stream(spark: SparkSession, sf_dir: str, file_glob: str = "events.parquet",
+def file_events_stream(spark: SparkSession, sf_dir: str, table: str = "events.parquet",
                        max_files: int | None = None) -> DataFrame:
-    """Events as a stream (file source). ``ts`` is cast to a session-zone
-    timestamp (watermarks reject TIMESTAMP_NTZ)."""
-    r = spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", file_glob)
+    """Events as a stream (file source) from a table that is a folder of part
+    files or one file; a table that does not exist fails here. ``ts`` is cast
+    to a session-zone timestamp (watermarks reject TIMESTAMP_NTZ)."""
+    path = f"{sf_dir.rstrip('/')}/{table}"
+    files = spark.read.schema(EVENTS_SCHEMA).parquet(path).inputFiles()
+    r = spark.readStream.schema(EVENTS_SCHEMA)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    df = r.parquet(sf_dir)
+    if len(files) == 1 and files[0].endswith(f"/{table}"):  # the source wants a folder to watch
+        df = r.option("pathGlobFilter", table).parquet(sf_dir)
+    else:
+        df = r.parquet(path)
     return df.withColumn("ts", F.col("ts").cast("timestamp"))
 
 

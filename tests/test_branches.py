@@ -189,3 +189,14 @@ def test_rolling_share_row_and_calendar_frames(spark):
     assert by_rows[D(2024, 1, 10)] == 8          # 4 rows back: 1, 2, 3, 10
     assert by_days[D(2024, 1, 10)] == 2          # calendar week 4..10 holds only day 10
     assert by_days[D(2024, 1, 11)] == 4
+
+
+def test_stream_reads_a_folder_of_part_files(spark, sf_small, tmp_path):
+    import pytest
+    from pyspark.errors import AnalysisException
+    from cumulus.plans.catalog import QUERIES
+    spark.read.parquet(f"{sf_small}/events.parquet").repartition(4).write.parquet(f"{tmp_path}/events.parquet")
+    name = "tumbling_counts"
+    assert QUERIES[name](spark, str(tmp_path)).count() == QUERIES[name](spark, sf_small).count() > 0
+    with pytest.raises(AnalysisException):
+        QUERIES[name](spark, str(tmp_path / "none"))

@@ -80,3 +80,20 @@ def test_web_stream_job_runs_on_a_trigger(spark, sf_small):
     got = st.read_latest(spark, out, ["window_start", "event_type"])
     want = st.tumbling_counts(si.events(spark, sf_small), "ts", ["event_type"])
     assertDataFrameEqual(got.select(*want.columns), want)
+
+
+def test_gap_and_wrong_column_stop_a_job(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+    import pytest
+    from cumulus.plans.jobs import read_partition, write_partition
+    path = str(tmp_path / "t")
+    day = lambda n: dt.date(2024, 1, n)
+    schema = "user_id bigint, date date"
+    assert read_partition(spark, path, "date", day(9), schema).isEmpty()
+    write_partition(spark.createDataFrame([(1, day(10))], schema), path, "date")
+    assert read_partition(spark, path, "date", day(9), schema).isEmpty()  # first period run again
+    assert read_partition(spark, path, "date", day(10), schema).count() == 1
+    with pytest.raises(ValueError):
+        read_partition(spark, path, "date", day(12), schema)
+    with pytest.raises(AnalysisException):
+        read_partition(spark, path, "dat", day(10), schema).count()

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from cumulus.operators import layout as lay
-from cumulus.operators.joins import fits, maybe_broadcast
+from cumulus.plans.catalog import QUERIES
 from cumulus.plans import standins as si
 from cumulus.sources.tables import table
 
@@ -21,12 +21,6 @@ def test_schema_bounded_dimension_is_broadcast(spark, sf_small):
     assert lay.has_broadcast(si.devices(spark, sf_small))
 
 
-def test_probe_bounded_broadcast(spark, sf_small):
-    n = table(spark, sf_small, "nation")
-    assert fits(n, 25) and not fits(n, 24)
-    assert "broadcast" in lay.plan_text(maybe_broadcast(n, 100), "extended").lower()
-
-
 def test_bucketed_join_has_no_exchange(spark, sf_small):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -106,33 +100,19 @@ def test_three_table_bucketed_join_composite_key_no_exchange(spark, sf_small):
         spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
 
 
-def test_probe_fallback_keeps_shuffle_join(spark, sf_small):
-    """Beyond the bound no hint is added: with automatic broadcast off the
-    join stays a sort-merge join."""
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    try:
-        o = table(spark, sf_small, "orders")
-        c = table(spark, sf_small, "customer")
-        big = maybe_broadcast(c, max_rows=10)          # 150 rows > 10: no hint
-        plan = lay.plan_text(o.join(big, o.o_custkey == big.c_custkey), "simple")
-        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
-        small = maybe_broadcast(c, max_rows=1000)      # proven small: hinted
-        plan = lay.plan_text(o.join(small, o.o_custkey == small.c_custkey), "simple")
-        assert "BroadcastHashJoin" in plan
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
-
-
 def test_no_python_no_cartesian_in_any_registered_plan(spark, sf_small):
     """Every registered query stays JVM-side and never pairs all rows."""
-    import __spark_entry__ as E
     skip = {"compare_layouts", "compare_layouts_events"}   # write files while being built
-    for name, q in E.queries().items():
+    for name, q in QUERIES.items():
         if name in skip or "stream" in name or name.startswith("tumbling") or name.startswith("match_bucketed"):
             continue
         plan = lay.plan_text(q(spark, sf_small), "simple")
         for bad in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
                     "CartesianProduct", "BroadcastNestedLoopJoin"):
             assert bad not in plan, (name, bad)
+
+
+def test_bucketed_query_can_be_built_twice(spark, sf_small):
+    first = QUERIES["match_bucketed_playlists"](spark, sf_small)
+    QUERIES["match_bucketed_playlists"](spark, sf_small)
+    assert first.count() > 0
