@@ -255,17 +255,26 @@ def summary(restored: str, found) -> tuple[float, float, float]:
     return (got[0] if got else 0.0), sum(got[:5]) / 5, math.log1p(len(got))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01) -> np.ndarray:
-    """Coefficients (intercept last) by Newton's method, ridge-penalised."""
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
+    """Coefficients (intercept last, not penalised) by Newton's method with
+    ridge penalty, halving a step that does not lower the loss."""
     a = np.hstack([x, np.ones((len(x), 1))])
+    penalty = np.r_[np.full(x.shape[1], ridge), 0.0]
+
+    def loss(b: np.ndarray) -> float:
+        z = a @ b
+        return float(np.sum(np.logaddexp(0, z) - y * z) + penalty @ (b * b) / 2)
+
     b = np.zeros(a.shape[1])
-    for _ in range(50):
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(a @ b, -30, 30)))
-        g = a.T @ (y - p) - ridge * len(x) * np.r_[b[:-1], 0] * 0.01
-        h = (a * (p * (1 - p) + 1e-9)[:, None]).T @ a + ridge * np.eye(len(b))
-        step = np.linalg.solve(h, g)
-        b += np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
+        h = (a * (p * (1 - p))[:, None]).T @ a + np.diag(penalty + 1e-6)
+        step = np.linalg.solve(h, a.T @ (y - p) - penalty * b)
+        now, scale = loss(b), 1.0
+        while scale > 1e-6 and loss(b + scale * step) > now:
+            scale /= 2
+        b = b + scale * step
+        if np.abs(scale * step).max() < 1e-8:
             break
     return b
 
