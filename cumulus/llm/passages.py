@@ -23,25 +23,28 @@ component; extra columns are ignored; empty in, empty out.
 
 from __future__ import annotations
 
-from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cumulus.llm.common import components, emit, stored
+from cumulus.llm.common import components, emit, stored, wide
 from cumulus.llm.minmax import multipliers
 from cumulus.llm.textsets import mix, roll, word_hashes, words
 
-HASHES = 4
+HASHES = 3
 WORDS = 50
 SHINGLE = 5
 SIMILARITY = 0.8
+#: Shortest passages that a window reaches to either side of its centre.
+REACH = 4
 #: Unmatched shingles that a passage may bridge.
 GAP = 12
 
 _SIG = pa.schema([("k1", pa.int64()), ("doc_id", pa.int64()), ("c", pa.int32()), ("s", pa.int32()), ("e", pa.int32())])
+_LINK = pa.schema([("doc_id", pa.int64()), ("c", pa.int32()), ("s", pa.int32()), ("e", pa.int32()),
+                   ("first", pa.int64()), ("fc", pa.int32()), ("fs", pa.int32()), ("fe", pa.int32())])
 
 
 def minima(v: np.ndarray, width: int) -> np.ndarray:
@@ -80,27 +83,32 @@ def compact_windows(v: np.ndarray, width: int) -> list[tuple[int, int, int]]:
     return [(a, c, b) for a, c, b in zip(left, at, right) if b - a + 1 >= width]
 
 
-def signature_rows(h: np.ndarray, mult: np.ndarray, width: int) -> list[tuple[int, int, int, int]]:
-    """(signature, centre, first, last) of the stretches that two neighbouring
-    hash functions' windows share."""
-    if len(h) < width:
-        return []
-    values = [mix(h * m) for m in mult]
-    found = [compact_windows(v, width) for v in values]
-    out: dict[int, tuple] = {}
+def signature_rows(h: np.ndarray, mult: np.ndarray, width: int) -> list[np.ndarray]:
+    """Columns signature, centre, first, last of the stretches that the
+    windows of two neighbouring hash functions share: both centres and
+    ``width`` positions lie in the common part. Each signature once."""
+    out = [[np.empty(0, dtype=np.int64)] for _ in range(4)]
+    values = [mix(h * m) for m in mult] if len(h) >= width else []
+    found = [np.array(compact_windows(v, width), dtype=np.int64).reshape(-1, 3) for v in values]
+    reach = REACH * width
+    for w in found:  # a longer passage has several signatures instead
+        w[:, 0] = np.maximum(w[:, 0], w[:, 1] - reach)
+        w[:, 2] = np.minimum(w[:, 2], w[:, 1] + reach)
     for j, one in enumerate(found):
         k = (j + 1) % len(found)
-        # both centres and a stretch of the width lie in the common part; by
-        # the centres' order only windows that hold centre c need a look
-        two = found[k]
-        centres = [c for _, c, _ in two]
-        for a, c, b in one:
-            for a2, c2, b2 in two[bisect_left(centres, a) : bisect_right(centres, b)]:
-                s, e = max(a, a2), min(b, b2)
-                if e - s + 1 >= width and s <= c <= e and s <= c2 <= e:
-                    sig = hash((j, int(values[j][c]), int(values[k][c2])))
-                    out.setdefault(sig, (sig, c, s, e))
-    return list(out.values())
+        for at in range(0, len(one), 32):
+            a, c, b = (x[:, None] for x in one[at : at + 32].T)
+            near = np.searchsorted(found[k][:, 1], (c[0, 0] - reach, c[-1, 0] + reach + 1))
+            a2, c2, b2 = found[k][near[0] : near[1]].T
+            s, e = np.maximum(a, a2), np.minimum(b, b2)
+            lo, hi = np.minimum(c, c2), np.maximum(c, c2)
+            x, y = np.nonzero((e - s >= width - 1) & (s <= lo) & (hi <= e))
+            pair = values[j][c[x, 0]] * np.uint64(0x9E3779B97F4A7C15) + values[k][c2[y]] + np.uint64(j)
+            for col, part in zip(out, (mix(pair).view(np.int64), c[x, 0], s[x, y], e[x, y])):
+                col.append(part)
+    sig, *rest = map(np.concatenate, out)
+    sig, once = np.unique(sig, return_index=True)
+    return [sig, *(x[once] for x in rest)]
 
 
 def hashed(text: str | None) -> np.ndarray:
@@ -154,24 +162,46 @@ def repeated_passages(docs: DataFrame, n_words: int = WORDS, hashes: int = HASHE
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mult = multipliers(hashes)
         for batch in batches:
-            rows = []
+            ids, cols = [np.empty(0, dtype=np.int64)], [[np.empty(0, dtype=np.int64)] for _ in range(4)]
             for doc, text in zip(*map(pa.Array.to_pylist, batch.columns)):
                 if doc is not None and text:
-                    rows += [(k, doc, c, s, e) for k, c, s, e in signature_rows(hashed(text), mult, width)]
-            yield emit(rows, _SIG)
-
-    sig = ided.mapInArrow(windows, "k1 bigint, doc_id bigint, c int, s int, e int")
-    sig = stored(sig.join(copies.hint("merge"), "doc_id", "left_anti"), "passage-windows")
-    here = F.struct("doc_id", "c", "s", "e")
-    firsts = sig.groupBy("k1").agg(F.min(here).alias("f"), F.max("doc_id").alias("last")).where("f.doc_id < last")
-    spans = sig.join(firsts.select("k1", "f").hint("merge"), "k1").where("doc_id > f.doc_id")
-    left, right = F.least(F.col("c") - F.col("s"), F.expr("f.c - f.s")), F.least(F.col("e") - F.col("c"), F.expr("f.e - f.c"))
+                    got = signature_rows(hashed(text), mult, width)
+                    ids.append(np.full(len(got[0]), doc, dtype=np.int64))
+                    for col, part in zip(cols, got):
+                        col.append(part)
+            k, c, s, e = map(np.concatenate, cols)
+            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(np.concatenate(ids)), *(
+                pa.array(x.astype(np.int32)) for x in (c, s, e))], schema=_SIG)
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of a signature follow one another, smallest doc_id first: each
+        is linked with the first one; only that one is remembered."""
+        first = (None,) * 5
+        for batch in batches:
+            rows = []
+            k1 = batch.column(0).to_numpy()
+            # rows whose signature stands alone are passed over in bulk
+            alone = np.r_[True, k1[1:] != k1[:-1]] & np.r_[k1[1:] != k1[:-1], False]
+            if first[0] is not None and len(k1) and k1[0] == first[0]:
+                alone[0] = False
+            for r in zip(*map(pa.Array.to_pylist, batch.filter(pa.array(~alone)).columns)):
+                if r[0] != first[0]:
+                    first = r
+                elif r[1] != first[1]:
+                    rows.append((*r[1:], *first[1:]))
+            yield emit(rows, _LINK)
+
+    sig = wide(ided.mapInArrow(windows, "k1 bigint, doc_id bigint, c int, s int, e int"), "k1")
+    links = sig.sortWithinPartitions("k1", "doc_id", "c").mapInArrow(
+        link, "doc_id bigint, c int, s int, e int, first bigint, fc int, fs int, fe int")
+    spans = stored(links.join(copies.hint("merge"), "doc_id", "left_anti"), "passage-candidates")
+    left, right = F.least(F.col("c") - F.col("s"), F.col("fc") - F.col("fs")), F.least(F.col("e") - F.col("c"), F.col("fe") - F.col("fc"))
     span = F.struct((F.col("c") - left).alias("s"), (F.col("c") + right).alias("e"),
-                    (F.expr("f.c") - left).alias("fs"), (F.expr("f.c") + right).alias("fe"))
-    pairs = spans.where(left + right + 1 >= width // 2).groupBy("doc_id", F.col("f.doc_id").alias("first")).agg(
+                    (F.col("fc") - left).alias("fs"), (F.col("fc") + right).alias("fe"))
+    pairs = spans.where(left + right + 1 >= width // 2).groupBy("doc_id", "first").agg(
         F.collect_set(span).alias("spans"))  # at most the windows of one text
     other = ided.select(F.col("doc_id").alias("first"), F.col("text").alias("first_text"))
-    both = pairs.join(ided, "doc_id").join(other, "first").select("doc_id", "text", "first", "first_text", "spans")
+    both = pairs.join(ided.hint("merge"), "doc_id").join(other.hint("merge"), "first").select("doc_id", "text", "first", "first_text", "spans")
     out_schema = pa.schema([("doc_id", pa.int64()), ("first", pa.int64()), ("at", pa.list_(pa.list_(pa.int64())))])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
