@@ -19,6 +19,21 @@ def bounded_dim(df: DataFrame) -> DataFrame:
     return F.broadcast(df)
 
 
+def _offsets(counts: DataFrame, keys: list[str], chunks: list[str], cols: list[str]) -> DataFrame:
+    """Sums of ``cols`` over all earlier chunks of the key, as ``_off<col>``.
+    Chunks are nested: each is summed over its siblings, and the offset of
+    its parent, found the same way, is added."""
+    *above, own = chunks
+    w = Window.partitionBy(*keys, *above).orderBy(own).rowsBetween(Window.unboundedPreceding, -1)
+    out = counts.select(*keys, *chunks, *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"_off{c}") for c in cols])
+    if not above:
+        return out
+    parents = counts.groupBy(*keys, *above).agg(*[F.sum(c).alias(c) for c in cols])
+    up = _offsets(parents, keys, above, cols).withColumnsRenamed({f"_off{c}": f"_up{c}" for c in cols})
+    return out.join(up, [*keys, *above]).select(
+        *keys, *chunks, *[(F.col(f"_off{c}") + F.col(f"_up{c}")).alias(f"_off{c}") for c in cols])
+
+
 def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str],
               chunk: Sequence[Column], sums: dict[str, Column] | None = None,
               pos_col: str = "pos") -> DataFrame:
@@ -29,7 +44,8 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     and a bucket of the id. Positions are ``offset(chunk) + rank in chunk``:
 
     * per (key, chunk) counts/sums: a partial/final aggregate;
-    * chunk offsets: a running window over a key's chunks only;
+    * chunk offsets: a running window per level of ``chunk`` (the buckets
+      of a day, then the days of a key), over counts only;
     * rank inside the chunk: a window over one chunk (bounded by design).
 
     So a key holding a third of all rows is still spread over many tasks.
@@ -43,11 +59,8 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   *[v.alias(f"_v_{k}") for k, v in sums.items()])
     per_chunk = d.groupBy(*ks, *chunk_names).agg(
         F.count(F.lit(1)).alias("_n"), *[F.sum(f"_v_{k}").alias(f"_s_{k}") for k in sums])
-    wc = Window.partitionBy(*ks).orderBy(*chunk_names).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_chunk.select(
-        *ks, *chunk_names,
-        F.coalesce(F.sum("_n").over(wc), F.lit(0)).alias("_off"),
-        *[F.coalesce(F.sum(f"_s_{k}").over(wc), F.lit(0)).alias(f"_off_{k}") for k in sums])
+    offsets = _offsets(per_chunk, ks, chunk_names, ["_n", *[f"_s_{k}" for k in sums]])
+    offsets = offsets.withColumnsRenamed({"_off_n": "_off", **{f"_off_s_{k}": f"_off_{k}" for k in sums}})
     wr = Window.partitionBy(*ks, *chunk_names).orderBy(*order)
     wrun = wr.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = d.select("*", F.row_number().over(wr).alias("_r"),

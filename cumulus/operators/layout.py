@@ -112,6 +112,13 @@ def user_device_rollup(events_agg: DataFrame, devices: DataFrame, user: str = "u
     return per_user, per_device
 
 
+def device_users(events_agg: DataFrame, devices: DataFrame, user: str = "user_id",
+                 device: str = "device_id", attr: str = "browser_type") -> DataFrame:
+    """Users per device as rows: one per (device, user) with its event count."""
+    return (events_agg.join(devices.select(device, attr), device, "inner")
+            .select(device, attr, user, "event_counts"))
+
+
 def bucketed_tables(spark: SparkSession, tables: Mapping[str, tuple], buckets: int = 16,
                     db: str | None = None, location: str | None = None) -> dict:
     """Write each ``name -> (df, key, sort_cols)`` bucketed by its

@@ -117,51 +117,43 @@ def rolling_share(df: DataFrame, referrer: str = "referrer", url: str = "url",
 def longest_streak(df: DataFrame, key: str, order: Sequence[str], chunk: Sequence[Column],
                    predicate: Column) -> DataFrame:
     """Longest run of consecutive rows (by ``order``) where ``predicate``
-    holds, per key. Keys without a qualifying row are absent.
-
-    Rows are split into chunks that coarsen the order (e.g. day x id
-    bucket), so a hot key is spread over many window partitions:
-
-    * inside each (key, chunk): row rank r and running qualifying count q;
-      runs inside the chunk are islands ``r - q`` (a partial count that
-      reuses the window's partitioning), and the chunk's leading and
-      trailing qualifying runs come from its first and last failing row;
-    * across chunks (one row per chunk, a window over the key's chunks):
-      the run entering a chunk is the trailing run of the last chunk with
-      a failing row plus every row of the fully-qualifying chunks after it.
+    holds (null counts as false), per key. Keys without a qualifying row
+    are absent.
+
+    ``chunk`` lists nested chunks that coarsen the order (e.g. day, then id
+    bucket in the day), so a hot key is spread over many window partitions.
+    Rows are sorted and windowed once, inside their chunk; one aggregate
+    gives each chunk's row count, best run, leading and trailing run. These
+    summaries are stitched level by level (the buckets of a day, then the
+    days of a key), so no window holds more rows than one level has parts.
     """
     names = [f"_c{i}" for i in range(len(chunk))]
     d = df.select(key, *order, *[c.alias(n) for c, n in zip(chunk, names)],
-                  predicate.alias("_ok"))
+                  F.coalesce(predicate, F.lit(False)).alias("_ok"))
     w = Window.partitionBy(key, *names).orderBy(*order)
-    ranked = d.select(key, *names, "_ok", F.row_number().over(w).alias("_r"),
-                      F.sum(F.col("_ok").cast("long")).over(
-                          w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_q"))
-    inner = (ranked.filter(F.col("_ok"))
-             .groupBy(key, *names, (F.col("_r") - F.col("_q")).alias("_isl"))
-             .agg(F.count(F.lit(1)).alias("_len"))
-             .groupBy(key).agg(F.max("_len").alias("_best")))
-    summ = ranked.groupBy(key, *names).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min(F.when(~F.col("_ok"), F.col("_r"))).alias("_first_bad"),
-        F.max(F.when(~F.col("_ok"), F.col("_r"))).alias("_last_bad"))
-    summ = summ.select(
-        key, *names, "_n",
-        F.col("_first_bad").isNull().alias("_all_ok"),
-        F.coalesce(F.col("_first_bad") - 1, F.col("_n")).alias("_prefix"),
-        (F.col("_n") - F.coalesce(F.col("_last_bad"), F.lit(0))).alias("_suffix"))
-    wc = Window.partitionBy(key).orderBy(*names)
-    before = wc.rowsBetween(Window.unboundedPreceding, -1)
-    summ = summ.withColumn("_s_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    breaker = F.max(F.when(~F.col("_all_ok"), F.struct(
-        *[F.col(n) for n in names], (F.col("_s_before") + F.col("_n")).alias("s_through"),
-        F.col("_suffix").alias("suffix")))).over(before)
-    carry = F.when(breaker.isNull(), F.col("_s_before")).otherwise(
-        breaker["suffix"] + F.col("_s_before") - breaker["s_through"])
-    cross = (summ.select(key, (carry + F.col("_prefix")).alias("_cand"))
-             .groupBy(key).agg(F.max("_cand").alias("_best")))
-    return (inner.unionByName(cross).filter(F.col("_best") > 0)
-            .groupBy(key).agg(F.max("_best").alias("longest_streak")))
+    failed = F.when(~F.col("_ok"), F.col("_r"))
+    rows = d.withColumn("_r", F.row_number().over(w))
+    rows = rows.withColumn("_stop", F.coalesce(F.max(failed).over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)), F.lit(0)))
+    n = F.count(F.lit(1))
+    parts = rows.groupBy(key, *names).agg(
+        n.alias("_n"), F.max(F.col("_r") - F.col("_stop")).alias("_best"),
+        F.coalesce(F.min(failed) - 1, n).alias("_head"),
+        (n - F.coalesce(F.max(failed), F.lit(0))).alias("_tail"))
+    broken = F.col("_head") < F.col("_n")
+    first_failed = F.when(broken, F.col("_off") + F.col("_head"))
+    last_failed = F.when(broken, F.col("_off") + F.col("_n") - F.col("_tail"))
+    for k in reversed(range(len(names))):
+        group = [key, *names[:k]]
+        before = Window.partitionBy(*group).orderBy(names[k]).rowsBetween(Window.unboundedPreceding, -1)
+        parts = parts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        parts = parts.withColumn("_stop", F.coalesce(F.max(last_failed).over(before), F.lit(0)))
+        n = F.sum("_n")
+        parts = parts.groupBy(*group).agg(
+            F.max(F.greatest(F.col("_best"), F.col("_off") - F.col("_stop") + F.col("_head"))).alias("_best"),
+            F.coalesce(F.min(first_failed), n).alias("_head"),
+            (n - F.coalesce(F.max(last_failed), F.lit(0))).alias("_tail"), n.alias("_n"))
+    return parts.where("_best > 0").select(key, F.col("_best").alias("longest_streak"))
 
 
 def best_rolling_wins(df: DataFrame, key: str, order: Sequence[str], chunk: Sequence[Column],

@@ -197,9 +197,26 @@ def q_cumulate_metric_array(spark, sf_dir):
     prev = cum.metric_array_backfill(ev, "user_id", si.EVENT_PREV_DAY, "site_hits")
     today = si.events(spark, sf_dir, si.EVENT_DAY, si.EVENT_DAY)
     out = cum.cumulate_metric_array(prev, today, "user_id", si.EVENT_DAY, "site_hits")
-    return out.select("user_id", "month_start", "metric_name",
-                      F.size("metric_array").alias("n_days"),
-                      join_ints("metric_array").alias("metric_array"))
+    return _flat_arrays(out, "user_id")
+
+
+def _flat_arrays(df: DataFrame, key: str) -> DataFrame:
+    return df.select(key, "month_start", "metric_name", F.size("metric_array").alias("n_days"),
+                     join_ints("metric_array").alias("metric_array"))
+
+
+@register("cumulate_metric_array_host")
+def q_cumulate_metric_array_host(spark, sf_dir):
+    """A15 host form: daily hits and daily distinct visitors per host, two
+    arrays per host and month (event_type stands in for host)."""
+    ev = si.events(spark, sf_dir).withColumnRenamed("event_type", "host")
+    today = si.events(spark, sf_dir, si.EVENT_DAY, si.EVENT_DAY).withColumnRenamed("event_type", "host")
+    out = None
+    for name, value in (("hits", F.count(F.lit(1))), ("unique_visitors", F.count_distinct("user_id"))):
+        prev = cum.metric_array_backfill(ev, "host", si.EVENT_PREV_DAY, name, value=value)
+        step = _flat_arrays(cum.cumulate_metric_array(prev, today, "host", si.EVENT_DAY, name, value=value), "host")
+        out = step if out is None else out.unionByName(step)
+    return out
 
 
 @register("metric_array_daily")
@@ -452,6 +469,14 @@ def q_user_device_rollup_devices(spark, sf_dir):
     return per_device
 
 
+@register("user_device_pairs")
+def q_user_device_pairs(spark, sf_dir):
+    """The users of each device with their event counts, one row each
+    (a list per device would grow with the data)."""
+    agg = lay.events_aggregated(si.device_events(spark, sf_dir))
+    return lay.device_users(agg, si.page_devices(spark, sf_dir))
+
+
 def _matches(spark, sf_dir):
     """Match stand-in joined to details: match = order, map = customer
     nation, playlist = order priority, player = supplier, kills = quantity,
@@ -566,10 +591,26 @@ def q_period_report_weekly(spark, sf_dir):
     return rp.period_report(table(spark, sf_dir, "lineitem"), "l_shipdate", "week", _profit_measures())
 
 
+@register("period_report_daily")
+def q_period_report_daily(spark, sf_dir):
+    """The same by ship day."""
+    return rp.period_report(table(spark, sf_dir, "lineitem"), "l_shipdate", "day", _profit_measures())
+
+
 @register("engagement_monthly")
 def q_engagement_monthly(spark, sf_dir):
     """A34 engagement: monthly active users, events and purchases, with growth."""
-    return rp.period_report(si.events(spark, sf_dir), "ts", "month", {
+    return _engagement(spark, sf_dir, "month")
+
+
+@register("growth_weekly")
+def q_growth_weekly(spark, sf_dir):
+    """A34 growth: the same user activity by week."""
+    return _engagement(spark, sf_dir, "week")
+
+
+def _engagement(spark, sf_dir, grain):
+    return rp.period_report(si.events(spark, sf_dir), "ts", grain, {
         "active_users": F.count_distinct("user_id"), "events": F.count(F.lit(1)),
         "purchases": F.count_if(F.col("event_type") == "purchase")})
 

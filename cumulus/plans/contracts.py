@@ -35,6 +35,7 @@ CONTRACTS = {
     "cumulate_datelist_host": c(["host", "date"]),
     "datelist_int": c(["user_id"]),
     "cumulate_metric_array": c(["user_id", "month_start", "metric_name"]),
+    "cumulate_metric_array_host": c(["host", "month_start", "metric_name"]),
     "metric_array_daily": c(["metric_name", "date"]),
     "monthly_hits_wide": c(["month_start"]),
     "growth_accounting": c(["user_id", "event_type", "date"],
@@ -53,12 +54,15 @@ CONTRACTS = {
     "best_rolling_wins": c(["home_team_id"]),
     "events_with_devices": c(["event_id"]),
     "user_device_rollup_users": c(["user_id"]),
+    "user_device_pairs": c(["device_id", "user_id"]),
     "user_device_rollup_devices": c(["device_id"]),
     "match_avg_kills": c(["player_gamertag"]),
     "enrich_geo": c(["event_id"], ["event_id", "geodata"]),
     "assign_variant": c(["user_id"], domains={"variant": ["control", "test_a", "test_b"]}),
     "experiment_readout": c(["variant"]),
     "period_report_monthly": c(["period_start"]),
+    "period_report_daily": c(["period_start"]),
+    "growth_weekly": c(["period_start"]),
     "period_report_weekly": c(["period_start"]),
     "engagement_monthly": c(["period_start"]),
     "validate_period": c(["day"]),

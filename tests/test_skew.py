@@ -34,6 +34,19 @@ def test_positions_spread_a_hot_key(spark):
     assert "Window" in plan and "_c0" in plan
 
 
+def test_no_stitching_window_is_as_long_as_the_key(spark):
+    """Offsets of a hot key are summed over its days, and inside a day over
+    its buckets: both far fewer than the key's rows."""
+    df = _hot(spark).filter("k = 1")
+    per_day = df.groupBy("d", F.floor(F.col("i") / 16384).alias("b")).count().groupBy("d").count()
+    days, most = per_day.agg(F.count("*"), F.max("count")).first()
+    assert days <= 366 and most <= 4
+    p = positions(df, ["k"], ["d", "i"], [F.col("d"), F.floor(F.col("i") / 16384)], sums={})
+    windows = [x for x in lay.plan_text(p, "simple").splitlines() if "Window" in x]
+    assert any("[k#" in x and "_c0#" in x and "_c1#" in x for x in windows)
+    assert not any("[_c0#" in x.rsplit("],", 1)[-1] and "_c1#" in x.rsplit("],", 1)[-1] for x in windows)
+
+
 def test_streak_on_hot_key_matches_single_window(spark):
     from pyspark.sql import Window
     df = _hot(spark, 20000, 2000)
