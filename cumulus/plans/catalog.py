@@ -299,10 +299,13 @@ def q_fact_ratio_summary(spark, sf_dir):
 @register("graph_vertices")
 def q_graph_vertices(spark, sf_dir):
     """Game, player and team vertices (JSON properties)."""
-    g = si.games(spark, sf_dir)
+    g = si.scored_games(spark, sf_dir)
+    home_wins = F.col("visitor_team_id").isNull() | (F.col("pts_home") > F.col("pts_away"))
     games_v = gp.vertices(g, "game_id", "game", {
         "status": F.col("o_orderstatus"), "priority": F.col("o_orderpriority"),
-        "total_cents": cents("o_totalprice"), "home_team_id": F.col("home_team_id")})
+        "total_cents": cents("o_totalprice"), "home_team_id": F.col("home_team_id"),
+        "pts_home": F.col("pts_home"), "pts_away": F.col("pts_away"),
+        "winning_team": F.when(home_wins, F.col("home_team_id")).otherwise(F.col("visitor_team_id"))})
     d = si.game_details(spark, sf_dir).withColumn("pts", F.col("pts").cast("long"))
     players_v = gp.player_vertices(d, "player_id", "game_id", "team_id", "player_name", "pts")
     n = table(spark, sf_dir, "nation")

@@ -72,4 +72,23 @@ CONTRACTS = {
     "sessionize_user_6h": c(["ip", "session_start"]),
     "session_stats": c(["host"]),
     "enrich_geo_stream": c(["event_id"]),
+    "sessionize_stream": c(["host", "ip", "session_start"]),
+    "tumbling_counts_keyed": c(["window_start", "host", "referrer"], ["window_start", "host", "num_hits"]),
+    "session_stats_compare": c(["host_group"]),
+    "session_stats_fine": c(["host", "ip", "session_start"]),
+    "best_rolling_wins_top": c(["home_team_id"], ["home_team_id", "max_wins_90"]),
+    "longest_streak_top": c(["dim_player_id"], ["dim_player_id", "longest_streak"]),
+    "match_bucketed_playlists": c(["playlist_id"]),
+    "match_top_map": c(["mapid"]),
+    "match_top_medal_map": c(["mapid"]),
+    "match_top_playlist": c(["playlist_id"]),
+    "compare_layouts": c(["variant"], ["variant", "n_files", "total_bytes"]),
+    "compare_layouts_events": c(["variant"], ["variant", "n_files", "total_bytes"]),
+    "contract_report": c(["check"], ["check", "violations"]),
+    "cross_source_check": c(["day"]),
+    "events_with_devices_left": c(["event_id"]),
+    "fact_ratio_summary": c(["dim_player_name", "dim_is_playing_at_home"]),
+    "grouping_sets_player": c(["aggregation_level", "player_name", "team_id", "season"], ["aggregation_level"]),
+    "rolling_share": c(["referrer", "url", "event_date"]),
+    "rolling_share_unfiltered": c(["referrer", "url", "event_date"]),
 }

@@ -129,6 +129,22 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "o_orderstatus", "o_orderpriority", "o_totalprice", "o_orderdate")
 
 
+def scored_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Games with both scores: pts_home (points of the home team), the
+    visitor (the other team with most points, ties to the smallest id) and
+    its pts_away; a side without details has 0 points."""
+    d = game_details(spark, sf_dir).groupBy("game_id", "team_id").agg(F.sum(F.col("pts").cast("long")).alias("pts"))
+    g = games(spark, sf_dir)
+    home = F.col("team_id") == F.col("home_team_id")
+    scores = (d.join(g.select("game_id", "home_team_id"), "game_id").groupBy("game_id")
+              .agg(F.sum(F.when(home, F.col("pts"))).alias("pts_home"),
+                   F.min(F.when(~home, F.struct((-F.col("pts")).alias("less"), "team_id"))).alias("away")))
+    return g.join(scores, "game_id", "left").select(
+        *g.columns, F.coalesce("pts_home", F.lit(0)).alias("pts_home"),
+        F.coalesce(-F.col("away.less"), F.lit(0)).alias("pts_away"),
+        F.col("away.team_id").alias("visitor_team_id"))
+
+
 def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Web-event stand-in with a referrer: the host of the page whose id is
     the event's ``props.k``; url = event_type. Events whose page does not

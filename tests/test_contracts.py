@@ -3,11 +3,13 @@ import pytest
 
 import __spark_entry__ as E
 from cumulus.operators.reports import assert_contract
+from cumulus.plans.catalog import QUERIES
 from cumulus.plans.contracts import CONTRACTS
 
 
-def test_contract_names_are_registered():
-    assert set(CONTRACTS) <= set(E.queries())
+def test_every_output_has_a_contract():
+    assert set(CONTRACTS) == set(QUERIES)
+    assert set(QUERIES) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", sorted(CONTRACTS))
