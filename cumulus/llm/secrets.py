@@ -1,10 +1,11 @@
 """Secret scans: three fixed patterns plus sliding-window Shannon entropy.
 
 The base spans (assign, access, hex) are kept as they are. The entropy pass
-adds spans over candidate strings, which are runs of key-like characters that
-no base span touches: each run is classed by its characters (hex, alphanumeric
-or base64), a window slides over it with incremental counts, and windows whose
-entropy reaches the class's threshold merge into one span ``entropy``.
+adds spans over candidate strings, which are runs of key-like characters, or
+what the base spans leave of them: each is classed by its characters (hex,
+alphanumeric or base64), a window slides over it with incremental counts, and
+windows whose entropy reaches the class's threshold merge into one span
+``entropy``.
 Allow-listed strings (identifiers, words, numbers, UUIDs, paths, sequences,
 placeholders) are not judged.
 
@@ -34,13 +35,15 @@ _LONG_HEX = re.compile(r"[0-9a-f]{24}")
 
 WINDOW = 20
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % WINDOW)
+_SEPARATORS = "+/_=-"
 #: Least entropy in bits a character of a window, by character class.
 THRESHOLDS = {"hex": 3.0, "alnum": 3.7, "base64": 3.9}
+#: Each string fits a pattern in one way only, so a failed match doesn't backtrack.
 _ALLOWED = [re.compile(p) for p in (
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",  # UUID
-    r"[A-Za-z]?[a-z]*([-_/=+][A-Za-z]?[a-z]*)*",  # words, slugs, paths
+    r"[A-Z]?[a-z]*([-_/=+][A-Z]?[a-z]*)*",  # words, slugs, paths
     r"[A-Z]+([-_/=+][A-Z]+)*",
-    r"([A-Z]?[a-z]{2,}){2,}[0-9]{0,4}",  # camel case
+    r"[A-Z]?[a-z]{2,}([A-Z][a-z]{2,})*[0-9]{0,4}",  # camel case
     r"[0-9]+([-_/=+][0-9]+)*",  # numbers, dates
     r".*(?i:example|placeholder|xxxx|your[-_]).*")]
 _SEQUENCES = ("abcdefghijklmnopqrstuvwxyz" * 2, "0123456789" * 3, "0123456789abcdef" * 2)
@@ -99,13 +102,37 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def entropy_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    out = []
+def parts(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """(start, end) of the candidate strings: runs without the base spans.
+    Separators next to a base span go too, unless that makes it too short."""
+    held, first = sorted((s, e) for s, _, e in base), 0
     for m in _RUN.finditer(text):
         lo, hi = m.span()
-        if any(s < hi and lo < e for s, _, e in base) or allowed(m.group()):
-            continue
-        out += [(lo + a, 3, lo + b) for a, b in high_entropy(m.group(), THRESHOLDS[char_class(m.group())])]
+        while first < len(held) and held[first][1] <= lo:
+            first += 1
+        at, k = lo, first
+        while at < hi:
+            while k < len(held) and held[k][1] <= at:
+                k += 1
+            s, e = held[k] if k < len(held) and held[k][0] < hi else (hi, hi)
+            a, b = at, s
+            while at > lo and a < b and text[a] in _SEPARATORS:
+                a += 1
+            while s < hi and a < b and text[b - 1] in _SEPARATORS:
+                b -= 1
+            if b - a >= WINDOW:
+                yield a, b
+            elif s - at >= WINDOW:
+                yield at, s
+            at = max(at, e)
+
+
+def entropy_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    out = []
+    for lo, hi in parts(text, base):
+        part = text[lo:hi]
+        if not allowed(part):
+            out += [(lo + a, 3, lo + b) for a, b in high_entropy(part, THRESHOLDS[char_class(part)])]
     return out
 
 

@@ -7,6 +7,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zipfile
 from collections import Counter
 
@@ -294,6 +295,22 @@ def test_entropy_windows_against_brute_force():
         assert {i for a, b in secrets.high_entropy(s, 3.3) for i in range(a, b)} == hit
 
 
+def test_allow_list_is_linear():
+    for s in ("a" * 36 + "_1", "a-" * 22 + "a1", "a" * 30000 + "_1", "a-" * 15000 + "a1"):
+        start = time.perf_counter()
+        assert not secrets.allowed(s)
+        assert time.perf_counter() - start < 1
+    assert all(map(secrets.allowed, ("someCamelCaseIdentifier12", "path/to/Some_long-Name", "averylongsinglewordhere")))
+
+
+def test_entropy_beside_base_spans():
+    key, other = "Zq8fK2mV0xR7nT4bW9cL", "pQ3sY6uJ1hG5dE0zX8vN"
+    text = f"path/{'0f' * 20}/{key} {other}-AKIA{'B' * 16}/{key}"
+    base = secrets.base_spans(text)
+    assert [(k, text[s:e]) for s, k, e in base] == [(2, "0f" * 20), (1, "AKIA" + "B" * 16)]
+    assert [text[s:e] for s, _, e in secrets.entropy_spans(text, base)] == [key, other, key]
+
+
 def test_secret_scan_frame(odd):
     assert {x.n_assign + x.n_access + x.n_entropy for x in secrets.scan(odd).collect()} == {0}
 
