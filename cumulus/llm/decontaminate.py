@@ -1,19 +1,23 @@
 """Benchmark decontamination by BM25 and block-max WAND.
 
 The test items form the inverted index; every passage of every document is a
-query. Impacts are BM25 term scores divided by the item's own total, so a
-passage that holds all words of an item scores 1 against it and one threshold
-serves every item. The items are laid out in docid-aligned blocks; a block's
-maximum impact by term bounds all of its items at once. For a passage, the
+query. An item is an entry as a whole, and its question (all sentences but
+the last, of eight words or more) is an entry of its own. Impacts are BM25 term
+scores divided by the entry's own total, so a passage that holds all words of
+an entry scores 1 against it and one threshold serves all; entries that can
+pass the verification below it have the least score that this takes. The
+entries are laid out in docid-aligned blocks; a block's maximum impact by term
+bounds all of its entries at once. For a passage, the
 blocks whose bounds reach the threshold are found by one sum over its terms;
-inside them WAND pivots on the terms' block maxima and skips items that can't
+inside them WAND pivots on the terms' block maxima and skips entries that can't
 reach the threshold. Nothing below the threshold is ranked, so no top-k cuts
 the result.
 
 Retrieved items are verified on the words: the share of the 5-word shingles of
 the whole item, of its question (all sentences but the last) and of its answer
 (the last sentence) that stand in the document. A document leaks an item if
-0.8 of the whole, or of a question of eight words or more, is there.
+0.8 of the whole, or of a question of eight words or more, is there. The score
+told is the best passage's for the whole item.
 
 Passages are windows of twice the longest item's words that start at each
 multiple of that length, so any copy lies whole in one of them.
@@ -75,13 +79,22 @@ def shingles(words: list[str], width: int = SHINGLE) -> set[tuple]:
     return {tuple(words[i : i + k]) for i in range(len(words) - k + 1)} if k else set()
 
 
+def least_share(words: list[str], weight: dict[str, float]) -> float:
+    """A lower bound of the weight of the words that stand in ``OVERLAP`` of
+    the shingles: the missing ones leave out no more words than they have places."""
+    k = min(SHINGLE, len(words))
+    places = sorted(Counter(tuple(words[i : i + k]) for i in range(len(words) - k + 1)).values(), reverse=True)
+    missing = sum(places[: int(len(places) * (1 - OVERLAP) + 1e-9)])
+    return 1 - sum(sorted(weight.values(), reverse=True)[:missing])
+
+
 class Index:
     """Block-max index of one part of the items. ``df`` and the averages are
     those of all items."""
 
     def __init__(self, items: list[tuple[int, str]], df: dict[str, int], n_items: int, mean_words: float):
         items = sorted(items, key=lambda x: (len(tokens(x[1])), x))  # alike lengths share a block: tight maxima
-        self.ids = [i for i, _ in items]
+        self.item_ids = [i for i, _ in items]
         words = [tokens(t) for _, t in items]
         self.longest = max(map(len, words), default=0)
         parts = [question_answer(t) for _, t in items]
@@ -89,19 +102,35 @@ class Index:
         self.question = [shingles(q) for q, _ in parts]
         self.answer = [shingles(a) for _, a in parts]
         self.asks = [len(q) >= MIN_QUESTION for q, _ in parts]
+        entries = [(ws, i) for i, ws in enumerate(words)]
+        entries += [(q, i) for i, (q, a) in enumerate(parts) if a and self.asks[i]]
+        entries.sort(key=lambda x: len(x[0]))
+        #: Item number and item id of each entry.
+        self.item = [i for _, i in entries]
+        self.ids = [self.item_ids[i] for i in self.item]
         self.term: dict[str, int] = {}
+        #: Impacts of each item's terms on the whole.
+        self.impact: list[dict[int, float]] = [{} for _ in items]
+        ease = []
         posts: list[list[tuple[int, float]]] = []
-        for at, ws in enumerate(words):
+        for at, (ws, i) in enumerate(entries):
             norm = K1 * (1 - B + B * len(ws) / max(mean_words, 1e-9))
             scores = {w: math.log(1 + (n_items - df[w] + 0.5) / (df[w] + 0.5)) * tf * (K1 + 1) / (tf + norm)
                       for w, tf in Counter(ws).items()}
             total = sum(scores.values())
-            for w, s in scores.items():
+            share = {w: s / total for w, s in scores.items()}
+            for w, s in share.items():
                 k = self.term.setdefault(w, len(posts))
                 if k == len(posts):
                     posts.append([])
-                posts[k].append((at, s / total))
-        blocks = -(-len(items) // BLOCK)
+                posts[k].append((at, s))
+                if len(ws) == len(words[i]):
+                    self.impact[i][k] = s
+            ease.append(min(1.0, max(0.0, least_share(ws, share)) / SCORE))
+        blocks = -(-len(entries) // BLOCK)
+        #: Part of the threshold that an entry, and the easiest of a block, must reach.
+        self.ease = ease
+        self.block_ease = np.array([min(ease[b * BLOCK : (b + 1) * BLOCK]) for b in range(blocks)])
         #: Row of the block maxima for each term; the last row, all zero, is for unknown words.
         self.maxima = np.zeros((len(posts) + 1, blocks), dtype=np.float32)
         self.lists: list[dict[int, list[tuple[int, float]]]] = []
@@ -115,30 +144,31 @@ class Index:
         self.unknown = len(posts)
 
     def retrieve(self, terms: np.ndarray, least: float) -> dict[int, float]:
-        """Items with a score of ``least`` or more for a passage of distinct
-        known terms: position -> score."""
+        """Entries with a score of ``least`` (times their ease) or more for a
+        passage of distinct known terms: position -> score."""
         found: dict[int, float] = {}
         if len(terms):
             bound = self.maxima[terms].sum(axis=0)
-            for b in np.nonzero(bound >= least - 1e-4)[0].tolist():
-                self._wand(terms.tolist(), b, least - 1e-9, found)
+            for b in np.nonzero(bound >= least * self.block_ease - 1e-4)[0].tolist():
+                self._wand(terms.tolist(), b, least, found)
         return found
 
     def _wand(self, terms: list[int], block: int, least: float, found: dict[int, float]) -> None:
         lists = [[0, x, max(s for _, s in x)] for t in terms if (x := self.lists[t].get(block))]
+        low = least * float(self.block_ease[block]) - 1e-9
         while lists:
             lists.sort(key=lambda c: c[1][c[0]][0])
             bound, pivot = 0.0, None
             for c in lists:
                 bound += c[2]
-                if bound >= least:
+                if bound >= low:
                     pivot = c[1][c[0]][0]
                     break
             if pivot is None:
                 return
             if lists[0][1][lists[0][0]][0] == pivot:
                 score = sum(c[1][c[0]][1] for c in lists if c[1][c[0]][0] == pivot)
-                if score >= least:
+                if score >= least * self.ease[pivot] - 1e-9:
                     found[pivot] = score
                 pivot += 1
             for c in lists:  # skip to the pivot, or past it once scored
@@ -157,22 +187,23 @@ class Index:
         get, none = self.term.get, self.unknown
         ids = np.fromiter((get(w, none) for w in words), dtype=np.int32, count=len(words))
         seen = np.unique(ids[ids != none])
-        if not len(seen) or self.maxima[seen].sum(axis=0).max() < SCORE - 1e-4:
+        if not len(seen) or not (self.maxima[seen].sum(axis=0) >= SCORE * self.block_ease - 1e-4).any():
             return
-        best: dict[int, float] = {}
+        found: set[int] = set()
+        passages = []
         step = self.longest
         for at in range(0, max(1, len(ids) - step), step):
             w = ids[at : at + 2 * step]
-            w = np.unique(w[w != none])
-            for item, score in self.retrieve(w, SCORE).items():
-                best[item] = max(score, best.get(item, 0.0))
-        if not best:
+            passages.append(np.unique(w[w != none]))
+            found.update(self.item[e] for e in self.retrieve(passages[-1], SCORE))
+        if not found:
             return
         here = shingles(words)
-        for item in sorted(best):
+        for item in sorted(found):
             part = [self._share(x[item], here, words) for x in (self.whole, self.question, self.answer)]
             if part[0] >= OVERLAP or (self.asks[item] and part[1] >= OVERLAP):
-                yield self.ids[item], float(best[item]), *part
+                impact = self.impact[item].get
+                yield self.item_ids[item], max(sum(impact(t, 0.0) for t in w.tolist()) for w in passages), *part
 
     @staticmethod
     def _share(part: set[tuple], here: set[tuple], words: list[str]) -> float:

@@ -181,6 +181,27 @@ def test_decontamination(spark, odd):
     assert decontaminate.without_leaks(odd, items.limit(0)).count() == 12
 
 
+def test_question_alone_leaks(spark):
+    r = random.Random(14)
+    common = prose(r, 12, 40)
+    ask = [f"{prose(r, 10, 40)}. rare{i}a rare{i}b rare{i}c rare{i}d rare{i}e rare{i}f rare{i}g rare{i}h rare{i}i rare{i}j."
+           for i in range(30)]
+    asked = [t.split(". ")[0] for t in ask]
+    changed = asked[3].split()
+    changed[-1] = "other"
+    rows = [(i, prose(r, 80, 9000) + f" {asked[i]} " + prose(r, 90, 9000)) for i in range(3)]
+    rows += [(3, prose(r, 90, 9000) + " " + " ".join(changed) + " " + prose(r, 30, 9000)), (4, prose(r, 200, 9000) + common)]
+    items = spark.createDataFrame(list(enumerate(ask)), "item_id bigint, text string")
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = {(d, i) for d, t in rows for i, q in enumerate(asked)
+            if (s := decontaminate.shingles(q.split())) and len(s & decontaminate.shingles(t.split())) >= 0.8 * len(s)}
+    assert {(i, i) for i in range(4)} <= want
+    got = decontaminate.leaked_items(docs, items).collect()
+    assert {(x.doc_id, x.item_id) for x in got} == want
+    assert all(x.score < decontaminate.SCORE and x.question_overlap >= 0.8 for x in got)
+    assert {x.doc_id for x in decontaminate.without_leaks(docs, items).collect()} == {4}
+
+
 # --- substring dedup -------------------------------------------------------
 
 def test_compact_windows_are_exact():
