@@ -12,8 +12,11 @@ Interval joins inside a text pair the windows of neighbouring hash functions
 that share a stretch of the shortest passage: the pair of min-hashes is the
 signature of all subsequences there. Texts that share a signature are linked
 with the smallest doc_id that has it (a linear number of candidates, however
-many texts share it), and verified on the words: a stretch of at least
-``words`` words of which 0.8 of the shingles stand in the other passage.
+many texts share it), and verified on the words of both whole texts: stretches
+of at least ``words`` words of which 0.8 of the shingles stand in the other
+passage. Where a signature's place is in no such stretch, the text meets the
+others of that signature in a further round, those that also share the nearest
+shingle to the left or right that the smallest hasn't; so on until none is left.
 
 Defined results: equal texts are one class, compared through their smallest
 doc_id; null and short texts have no passages; repeats inside one text are not
@@ -42,9 +45,8 @@ REACH = 4
 #: Unmatched shingles that a passage may bridge.
 GAP = 12
 
-_SIG = pa.schema([("k1", pa.int64()), ("doc_id", pa.int64()), ("c", pa.int32()), ("s", pa.int32()), ("e", pa.int32())])
-_LINK = pa.schema([("doc_id", pa.int64()), ("c", pa.int32()), ("s", pa.int32()), ("e", pa.int32()),
-                   ("first", pa.int64()), ("fc", pa.int32()), ("fs", pa.int32()), ("fe", pa.int32())])
+_SIG = pa.schema([("k1", pa.int64()), ("doc_id", pa.int64()), ("c", pa.int32())])
+_LINK = pa.schema([("k1", pa.int64()), ("doc_id", pa.int64()), ("c", pa.int32()), ("first", pa.int64())])
 
 
 def minima(v: np.ndarray, width: int) -> np.ndarray:
@@ -84,10 +86,10 @@ def compact_windows(v: np.ndarray, width: int) -> list[tuple[int, int, int]]:
 
 
 def signature_rows(h: np.ndarray, mult: np.ndarray, width: int) -> list[np.ndarray]:
-    """Columns signature, centre, first, last of the stretches that the
-    windows of two neighbouring hash functions share: both centres and
-    ``width`` positions lie in the common part. Each signature once."""
-    out = [[np.empty(0, dtype=np.int64)] for _ in range(4)]
+    """Columns signature and centre of the stretches that the windows of two
+    neighbouring hash functions share: both centres and ``width`` positions
+    lie in the common part. Each signature once."""
+    out = [[np.empty(0, dtype=np.int64)] for _ in range(2)]
     values = [mix(h * m) for m in mult] if len(h) >= width else []
     found = [np.array(compact_windows(v, width), dtype=np.int64).reshape(-1, 3) for v in values]
     reach = REACH * width
@@ -104,38 +106,40 @@ def signature_rows(h: np.ndarray, mult: np.ndarray, width: int) -> list[np.ndarr
             lo, hi = np.minimum(c, c2), np.maximum(c, c2)
             x, y = np.nonzero((e - s >= width - 1) & (s <= lo) & (hi <= e))
             pair = values[j][c[x, 0]] * np.uint64(0x9E3779B97F4A7C15) + values[k][c2[y]] + np.uint64(j)
-            for col, part in zip(out, (mix(pair).view(np.int64), c[x, 0], s[x, y], e[x, y])):
+            for col, part in zip(out, (mix(pair).view(np.int64), c[x, 0])):
                 col.append(part)
-    sig, *rest = map(np.concatenate, out)
+    sig, c = map(np.concatenate, out)
     sig, once = np.unique(sig, return_index=True)
-    return [sig, *(x[once] for x in rest)]
+    return [sig, c[once]]
 
 
 def hashed(text: str | None) -> np.ndarray:
     return roll(word_hashes(words(text)), SHINGLE)
 
 
-def shared(a: np.ndarray, b: np.ndarray, spans: list[tuple[int, int, int, int]], width: int) -> list[tuple[int, int]]:
-    """Merged stretches of ``a`` (shingle positions, end exclusive) that the
-    candidate spans (of a and of b) bear out."""
+def spread(hit: np.ndarray, gap: int) -> list[np.ndarray]:
+    """Sorted positions, parted where more than ``gap`` lie between two."""
+    return np.split(hit, np.nonzero(np.diff(hit) > gap)[0] + 1)
+
+
+def shared(a: np.ndarray, b: np.ndarray, width: int) -> list[tuple[int, int]]:
+    """Merged stretches of ``a`` (shingle positions, end exclusive) that stand
+    in a passage of ``b``. Both texts are compared whole."""
+    order = np.argsort(a, kind="stable")
+    values = a[order]
+    hit = np.nonzero(np.isin(b, a))[0]
     out: list[tuple[int, int]] = []
-    for s, e, fs, fe in sorted(set(spans)):
-        if out and s >= out[-1][0] and e <= out[-1][1]:
-            continue
-        x, y = a[s : e + 1], b[fs : fe + 1]
-        hit = np.nonzero(np.isin(x, y))[0]
-        if not len(hit):
+    for theirs in spread(hit, REACH * width) if len(hit) else []:
+        y = np.unique(b[theirs])
+        lo = np.searchsorted(values, y)
+        n = np.searchsorted(values, y, "right") - lo
+        if n.sum() < SIMILARITY * width:
             continue
-        cuts = np.nonzero(np.diff(hit) > GAP)[0] + 1
-        for part in np.split(hit, cuts):
-            lo, hi = int(part[0]), int(part[-1]) + 1
-            if hi - lo >= width and len(part) >= SIMILARITY * (hi - lo):
-                mine = np.unique(x[lo:hi])
-                at = np.nonzero(np.isin(y, mine))[0]
-                theirs = np.unique(y[at[0] : at[-1] + 1])
-                same = len(np.intersect1d(mine, theirs, assume_unique=True))
-                if same >= SIMILARITY * len(mine):
-                    out.append((s + lo, s + hi))
+        at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+        for mine in spread(np.sort(order[at]), GAP):
+            long = int(mine[-1] - mine[0]) + 1
+            if long >= width and len(mine) >= SIMILARITY * long:
+                out.append((int(mine[0]), int(mine[-1]) + 1))
     merged: list[tuple[int, int]] = []
     for s, e in sorted(out):
         if merged and s <= merged[-1][1]:
@@ -145,6 +149,25 @@ def shared(a: np.ndarray, b: np.ndarray, spans: list[tuple[int, int, int, int]],
     return merged
 
 
+def further(a: np.ndarray, b: np.ndarray, at: list[tuple[int, int]], rows: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The (signature, centre) rows of ``a`` outside the stretches found in
+    ``b``, each with the nearest shingle to the left and to the right that
+    ``b`` hasn't: texts that share a passage around the centre, but not with
+    ``b``, share one of the two new signatures."""
+    left = [r for r in rows if not any(s <= r[1] < e for s, e in at)]
+    if not left:
+        return []
+    others = np.nonzero(~np.isin(a, b))[0]
+    k, c = (np.array(x, dtype=np.int64) for x in zip(*left))
+    p = np.searchsorted(others, c)
+    out = []
+    for side, i, ok in ((1, p - 1, p > 0), (2, p, p < len(others))):
+        near = a[others[i[ok]]]
+        new = mix(k[ok].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + near + np.uint64(side)).view(np.int64)
+        out += zip(new.tolist(), c[ok].tolist())
+    return out
+
+
 def repeated_passages(docs: DataFrame, n_words: int = WORDS, hashes: int = HASHES) -> DataFrame:
     """One row per document: doc_id, copy_of (smallest doc_id of the same
     text), component_id (smallest doc_id linked by copies or passages),
@@ -162,21 +185,21 @@ def repeated_passages(docs: DataFrame, n_words: int = WORDS, hashes: int = HASHE
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mult = multipliers(hashes)
         for batch in batches:
-            ids, cols = [np.empty(0, dtype=np.int64)], [[np.empty(0, dtype=np.int64)] for _ in range(4)]
+            ids, cols = [np.empty(0, dtype=np.int64)], [[np.empty(0, dtype=np.int64)] for _ in range(2)]
             for doc, text in zip(*map(pa.Array.to_pylist, batch.columns)):
                 if doc is not None and text:
                     got = signature_rows(hashed(text), mult, width)
                     ids.append(np.full(len(got[0]), doc, dtype=np.int64))
                     for col, part in zip(cols, got):
                         col.append(part)
-            k, c, s, e = map(np.concatenate, cols)
-            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(np.concatenate(ids)), *(
-                pa.array(x.astype(np.int32)) for x in (c, s, e))], schema=_SIG)
+            k, c = map(np.concatenate, cols)
+            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(np.concatenate(ids)), pa.array(c.astype(np.int32))],
+                                             schema=_SIG)
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows of a signature follow one another, smallest doc_id first: each
         is linked with the first one; only that one is remembered."""
-        first = (None,) * 5
+        first = (None,) * 3
         for batch in batches:
             rows = []
             k1 = batch.column(0).to_numpy()
@@ -188,35 +211,47 @@ def repeated_passages(docs: DataFrame, n_words: int = WORDS, hashes: int = HASHE
                 if r[0] != first[0]:
                     first = r
                 elif r[1] != first[1]:
-                    rows.append((*r[1:], *first[1:]))
+                    rows.append((*r, first[1]))
             yield emit(rows, _LINK)
 
-    sig = wide(ided.mapInArrow(windows, "k1 bigint, doc_id bigint, c int, s int, e int"), "k1")
-    links = sig.sortWithinPartitions("k1", "doc_id", "c").mapInArrow(
-        link, "doc_id bigint, c int, s int, e int, first bigint, fc int, fs int, fe int")
-    spans = stored(links.join(copies.hint("merge"), "doc_id", "left_anti"), "passage-candidates")
-    left, right = F.least(F.col("c") - F.col("s"), F.col("fc") - F.col("fs")), F.least(F.col("e") - F.col("c"), F.col("fe") - F.col("fc"))
-    span = F.struct((F.col("c") - left).alias("s"), (F.col("c") + right).alias("e"),
-                    (F.col("fc") - left).alias("fs"), (F.col("fc") + right).alias("fe"))
-    pairs = spans.where(left + right + 1 >= width // 2).groupBy("doc_id", "first").agg(
-        F.collect_set(span).alias("spans"))  # at most the windows of one text
-    other = ided.select(F.col("doc_id").alias("first"), F.col("text").alias("first_text"))
-    both = pairs.join(ided.hint("merge"), "doc_id").join(other.hint("merge"), "first").select("doc_id", "text", "first", "first_text", "spans")
-    out_schema = pa.schema([("doc_id", pa.int64()), ("first", pa.int64()), ("at", pa.list_(pa.list_(pa.int64())))])
+    out_schema = pa.schema([("doc_id", pa.int64()), ("first", pa.int64()), ("at", pa.list_(pa.list_(pa.int64()))),
+                            ("more", pa.list_(pa.list_(pa.int64())))])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = (None, None)
         for batch in batches:
             rows = []
             for doc, text, first, first_text, cand in zip(*map(pa.Array.to_pylist, batch.columns)):
-                if last[0] != first:
-                    last = (first, hashed(first_text))
-                got = shared(hashed(text), last[1], [(x["s"], x["e"], x["fs"], x["fe"]) for x in cand], width)
-                if got:
-                    rows.append((doc, first, [[s, e + SHINGLE - 1] for s, e in got]))
+                if last[0] != (first, first_text):
+                    last = ((first, first_text), hashed(first_text))
+                mine = hashed(text)
+                got = shared(mine, last[1], width)
+                more = further(mine, last[1], got, [(x["k1"], x["c"]) for x in cand if x["c"] < len(mine)])
+                if got or more:
+                    rows.append((doc, first, [[s, e + SHINGLE - 1] for s, e in got], more))
             yield emit(rows, out_schema)
 
-    linked = stored(both.mapInArrow(verify, "doc_id bigint, first bigint, at array<array<bigint>>"), "passage-links")
+    sig = ided.mapInArrow(windows, "k1 bigint, doc_id bigint, c int")
+    linked, texts = None, ided
+    while True:  # each round without the first document of every signature, so it ends
+        links = wide(sig, "k1").sortWithinPartitions("k1", "doc_id", "c").mapInArrow(
+            link, "k1 bigint, doc_id bigint, c int, first bigint")
+        spans = stored(links.join(copies.hint("merge"), "doc_id", "left_anti"), "passage-candidates")
+        if linked is not None and spans.isEmpty():
+            break
+        if linked is not None:  # only the texts that still have partners are moved again
+            ids = spans.select("doc_id").unionAll(spans.select(F.col("first").alias("doc_id"))).distinct()
+            texts = stored(texts.join(ids.hint("merge"), "doc_id"), "passage-texts")
+        other = texts.select(F.col("doc_id").alias("first"), F.col("text").alias("first_text"))
+        pairs = spans.groupBy("doc_id", "first").agg(F.collect_set(F.struct("k1", "c")).alias("rows"))  # at most those of one text
+        both = pairs.join(texts.hint("merge"), "doc_id").join(other.hint("merge"), "first").select(
+            "doc_id", "text", "first", "first_text", "rows")
+        found = stored(both.mapInArrow(verify, "doc_id bigint, first bigint, at array<array<bigint>>, more array<array<bigint>>"),
+                       "passage-links")
+        sig = found.select("doc_id", F.explode("more").alias("m")).select(
+            F.col("m")[0].alias("k1"), "doc_id", F.col("m")[1].cast("int").alias("c"))
+        found = found.where(F.size("at") > 0).select("doc_id", "first", "at")
+        linked = found if linked is None else linked.unionAll(found)
     edges = linked.select(F.col("doc_id").alias("a"), F.col("first").alias("b")).unionAll(
         copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     root = components(edges, name="passage-components").select(F.col("node").alias("doc_id"), "root")

@@ -237,6 +237,26 @@ def test_passages(spark, odd):
     assert passages.repeated_passages(odd).count() == 12
 
 
+def found_passages(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    return {x.doc_id: x for x in passages.repeated_passages(df).collect()}
+
+
+@pytest.mark.parametrize("phrase, holders", [(30, 1), (40, 1), (30, 20)])
+def test_passage_with_a_phrase_of_smaller_documents(spark, phrase, holders):
+    r = random.Random(25)
+    rows, pairs = [], []
+    for _ in range(40):
+        p = prose(r, 55, 10**7).split()
+        at = r.randrange(56 - phrase)
+        texts = [p[at : at + phrase]] * holders + [p, p]
+        rows += [(len(rows) + k, " ".join([prose(r, 60, 10**7), *x, prose(r, 60, 10**7)])) for k, x in enumerate(texts)]
+        pairs.append((rows[-2][0], rows[-1][0]))
+    got = found_passages(spark, rows)
+    assert [(a, b) for a, b in pairs if got[b].passages != f"60:115:{a}"] == []
+    assert {d for d, x in got.items() if x.component_id != d} == {b for _, b in pairs}
+
+
 # --- line dedup, licences: SQL oracles on odd text -------------------------
 
 @pytest.mark.parametrize("name", ["op6_line_dedup", "op7_license_dice"])
