@@ -88,7 +88,7 @@ def compact_windows(v: np.ndarray, width: int) -> list[tuple[int, int, int]]:
 def signature_rows(h: np.ndarray, mult: np.ndarray, width: int) -> list[np.ndarray]:
     """Columns signature and centre of the stretches that the windows of two
     neighbouring hash functions share: both centres and ``width`` positions
-    lie in the common part. Each signature once."""
+    lie in the common part. Each signature at all of its centres."""
     out = [[np.empty(0, dtype=np.int64)] for _ in range(2)]
     values = [mix(h * m) for m in mult] if len(h) >= width else []
     found = [np.array(compact_windows(v, width), dtype=np.int64).reshape(-1, 3) for v in values]
@@ -108,9 +108,7 @@ def signature_rows(h: np.ndarray, mult: np.ndarray, width: int) -> list[np.ndarr
             pair = values[j][c[x, 0]] * np.uint64(0x9E3779B97F4A7C15) + values[k][c2[y]] + np.uint64(j)
             for col, part in zip(out, (mix(pair).view(np.int64), c[x, 0])):
                 col.append(part)
-    sig, c = map(np.concatenate, out)
-    sig, once = np.unique(sig, return_index=True)
-    return [sig, c[once]]
+    return [np.concatenate(x) for x in out]
 
 
 def hashed(text: str | None) -> np.ndarray:

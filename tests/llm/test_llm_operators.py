@@ -242,6 +242,18 @@ def found_passages(spark, rows):
     return {x.doc_id: x for x in passages.repeated_passages(df).collect()}
 
 
+def test_passage_held_twice(spark):
+    r = random.Random(21)
+    p = prose(r, 70, 10**7).split()
+    short = " ".join(p[:20])
+    rows = [(1, prose(r, 40, 10**7) + " " + " ".join(p) + " " + prose(r, 40, 10**7)),
+            (2, " ".join([prose(r, 30, 10**7), *p, prose(r, 90, 10**7), *p, prose(r, 20, 10**7)])),
+            (3, " ".join([prose(r, 30, 10**7), short, prose(r, 90, 10**7), *p]))]
+    got = found_passages(spark, rows)
+    assert got[2].passages == "30:100:1,190:260:1" and got[2].n_passages == 2 and got[2].n_repeated_words == 140
+    assert "140:210:1" in got[3].passages.split(",") and got[3].n_repeated_words == 70
+
+
 @pytest.mark.parametrize("phrase, holders", [(30, 1), (40, 1), (30, 20)])
 def test_passage_with_a_phrase_of_smaller_documents(spark, phrase, holders):
     r = random.Random(25)
