@@ -120,6 +120,15 @@ def spread(hit: np.ndarray, gap: int) -> list[np.ndarray]:
     return np.split(hit, np.nonzero(np.diff(hit) > gap)[0] + 1)
 
 
+def dense(hit: np.ndarray, width: int) -> list[tuple[int, int]]:
+    """All stretches of ``width`` positions or more of which ``SIMILARITY``
+    are in ``hit``, first and last among them; for each last, the longest."""
+    u = np.arange(len(hit)) - SIMILARITY * hit  # from i to j: u[j] + 1 - SIMILARITY >= u[i]
+    first = np.searchsorted(-np.minimum.accumulate(u), -(u + 1 - SIMILARITY + 1e-9))
+    ok = np.nonzero(hit - hit[first] + 1 >= width)[0]
+    return list(zip(hit[first[ok]].tolist(), (hit[ok] + 1).tolist()))
+
+
 def shared(a: np.ndarray, b: np.ndarray, width: int) -> list[tuple[int, int]]:
     """Merged stretches of ``a`` (shingle positions, end exclusive) that stand
     in a passage of ``b``. Both texts are compared whole."""
@@ -135,9 +144,8 @@ def shared(a: np.ndarray, b: np.ndarray, width: int) -> list[tuple[int, int]]:
             continue
         at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
         for mine in spread(np.sort(order[at]), GAP):
-            long = int(mine[-1] - mine[0]) + 1
-            if long >= width and len(mine) >= SIMILARITY * long:
-                out.append((int(mine[0]), int(mine[-1]) + 1))
+            if mine[-1] - mine[0] + 1 >= width:
+                out += dense(mine, width)
     merged: list[tuple[int, int]] = []
     for s, e in sorted(out):
         if merged and s <= merged[-1][1]:

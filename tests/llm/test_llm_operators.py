@@ -254,6 +254,31 @@ def test_passage_held_twice(spark):
     assert "140:210:1" in got[3].passages.split(",") and got[3].n_repeated_words == 70
 
 
+def test_exact_passage_beside_scattered_matches(spark):
+    r = random.Random(22)
+    rows = []
+    for i in range(0, 120, 2):
+        p, t = prose(r, 60, 10**7), prose(r, 60, 10**7).split()
+        u = [w if k % 6 else f"y{r.randrange(10**7)}" for k, w in enumerate(t)]
+        both = [[p, *t], [p, *u]] if i % 4 else [[*t, p], [*u, p]]
+        rows += [(i + k, " ".join([prose(r, 60, 10**7), *x, prose(r, 60, 10**7)])) for k, x in enumerate(both)]
+    got = found_passages(spark, rows)
+    assert [i for i in range(0, 120, 2) if got[i + 1].component_id != i or got[i + 1].n_repeated_words < 60] == []
+
+
+def test_dense_stretches_against_brute_force():
+    import numpy as np
+    r = random.Random(23)
+    for _ in range(60):
+        hit = np.array([i for i in range(60) if r.random() < 0.75] or [0])
+        want = set()
+        for i, a in enumerate(hit):
+            for j, b in enumerate(hit):
+                if b - a + 1 >= 9 and 5 * (j - i + 1) >= 4 * (b - a + 1):
+                    want |= set(range(a, b + 1))
+        assert {k for a, b in passages.dense(hit, 9) for k in range(a, b)} == want
+
+
 @pytest.mark.parametrize("phrase, holders", [(30, 1), (40, 1), (30, 20)])
 def test_passage_with_a_phrase_of_smaller_documents(spark, phrase, holders):
     r = random.Random(25)
