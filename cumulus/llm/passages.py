@@ -36,7 +36,7 @@ from cumulus.llm.common import components, emit, stored, wide
 from cumulus.llm.minmax import multipliers
 from cumulus.llm.textsets import mix, roll, word_hashes, words
 
-HASHES = 3
+HASHES = 6
 WORDS = 50
 SHINGLE = 5
 SIMILARITY = 0.8

@@ -279,6 +279,19 @@ def test_dense_stretches_against_brute_force():
         assert {k for a, b in passages.dense(hit, 9) for k in range(a, b)} == want
 
 
+def test_recall_of_edited_passages(spark):
+    r = random.Random(24)
+    rows = []
+    for i in range(0, 400, 2):
+        p = prose(r, 60, 10**7).split()
+        q = list(p)
+        for k in r.sample(range(60), 2):
+            q[k] = f"x{r.randrange(10**7)}"
+        rows += [(i + k, " ".join([prose(r, 100, 10**7), *x, prose(r, 90, 10**7)])) for k, x in enumerate((p, q))]
+    got = found_passages(spark, rows)
+    assert sum(got[i + 1].component_id == i for i in range(0, 400, 2)) >= 0.99 * 200
+
+
 @pytest.mark.parametrize("phrase, holders", [(30, 1), (40, 1), (30, 20)])
 def test_passage_with_a_phrase_of_smaller_documents(spark, phrase, holders):
     r = random.Random(25)
