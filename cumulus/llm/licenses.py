@@ -42,6 +42,60 @@ TEMPLATES = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights."),
+    # paragraphs of whole licence texts
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"
+            " and associated documentation files (the \"Software\"), to deal in the Software without "
+            "restriction, including without limitation the rights to use, copy, modify, merge, publish, "
+            "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the"
+            " Software is furnished to do so, subject to the following conditions:"),
+    ("MIT", "The above copyright notice and this permission notice shall be included in all copies or "
+            "substantial portions of the Software."),
+    ("MIT", "The software is provided \"as is\", without warranty of any kind, express or implied, including"
+            " but not limited to the warranties of merchantability, fitness for a particular purpose and "
+            "noninfringement. In no event shall the authors or copyright holders be liable for any claim, "
+            "damages or other liability, whether in an action of contract, tort or otherwise, arising "
+            "from, out of or in connection with the software or the use or other dealings in the software."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+            "without fee is hereby granted, provided that the above copyright notice and this permission "
+            "notice appear in all copies."),
+    ("ISC", "The software is provided \"as is\" and the author disclaims all warranties with regard to this "
+            "software including all implied warranties of merchantability and fitness. In no event shall "
+            "the author be liable for any special, direct, indirect, or consequential damages or any "
+            "damages whatsoever resulting from loss of use, data or profits, whether in an action of "
+            "contract, negligence or other tortious action, arising out of or in connection with the use "
+            "or performance of this software."),
+    ("BSD-3-Clause", "Redistributions of source code must retain the above copyright notice, this list of "
+                     "conditions and the following disclaimer."),
+    ("BSD-3-Clause", "Redistributions in binary form must reproduce the above copyright notice, this list "
+                     "of conditions and the following disclaimer in the documentation and/or other "
+                     "materials provided with the distribution."),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be "
+                     "used to endorse or promote products derived from this software without specific "
+                     "prior written permission."),
+    ("BSD-3-Clause", "This software is provided by the copyright holders and contributors \"as is\" and any "
+                     "express or implied warranties, including, but not limited to, the implied warranties"
+                     " of merchantability and fitness for a particular purpose are disclaimed. In no event"
+                     " shall the copyright holder or contributors be liable for any direct, indirect, "
+                     "incidental, special, exemplary, or consequential damages (including, but not limited"
+                     " to, procurement of substitute goods or services; loss of use, data, or profits; or "
+                     "business interruption) however caused and on any theory of liability, whether in "
+                     "contract, strict liability, or tort (including negligence or otherwise) arising in "
+                     "any way out of the use of this software, even if advised of the possibility of such "
+                     "damage."),
+    ("Apache-2.0", "Unless required by applicable law or agreed to in writing, software distributed under "
+                   "the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF "
+                   "ANY KIND, either express or implied. See the License for the specific language "
+                   "governing permissions and limitations under the License."),
+    ("AGPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under "
+                          "the terms of the GNU Affero General Public License as published by the Free "
+                          "Software Foundation, either version 3 of the License, or (at your option) any "
+                          "later version."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the "
+                "Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("Unlicense", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this "
+                  "software, either in source code form or as a compiled binary, for any purpose, "
+                  "commercial or non-commercial, and by any means."),
 ]
 DICE = 0.8
 _OTHER = r"[^\p{L}\p{N}]+"

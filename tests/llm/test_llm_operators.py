@@ -325,6 +325,25 @@ def test_sql_oracle_on_odd_lines(spark, tmp_path, name):
     assert key(got) == key(want)
 
 
+def test_license_paragraphs(spark):
+    mit = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software."""
+    isc = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+    rows = [(1, f"MIT License\n\nCopyright (c) 2020 Some One\n\n{mit}"), (2, f"Copyright 2020\n\n{isc}"), (3, mit.replace("\n", " ", 5))]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {(x.doc_id, x.unit, x.unit_no, x.license) for x in got} >= {
+        (1, "block", 2, "MIT"), (1, "block", 3, "MIT"), (2, "block", 1, "ISC"), (3, "line", 0, "MIT")}
+
+
 def test_line_dedup_keeps_one_copy(odd):
     out = linedup.dedup_lines(odd)
     assert out.count() == 12 and out.columns[:5] != [] and set(out.columns) == {*odd.columns, "n_lines", "n_removed"}
