@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cumulus.llm import bytebpe, decontaminate, licenses, linedup, minmax, passages, quality, secrets, toxicity, warczip
+from cumulus.llm import (bytebpe, decontaminate, licenses, linedup, manifest, minmax, passages, quality, secrets, toxicity,
+                         warczip)
 from cumulus.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +92,12 @@ ORACLE["op7_license_dice"] = licenses.oracle_sql()
 def op3_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 50 words or more that repeat across documents."""
     return passages.repeated_passages(documents(spark, sf_dir))
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, proof and verdict after tampering."""
+    return manifest.verification(documents(spark, sf_dir))
+
+
+ORACLE["op11_merkle_manifest"] = manifest.ORACLE_SQL
