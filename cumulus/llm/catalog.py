@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cumulus.llm import (bytebpe, decontaminate, licenses, linedup, manifest, minmax, passages, quality, secrets, toxicity,
-                         warczip)
+from cumulus.llm import (bytebpe, collocations, decontaminate, licenses, linedup, manifest, minmax, passages, quality, secrets,
+                         toxicity, warczip)
 from cumulus.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,12 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op11_merkle_manifest"] = manifest.ORACLE_SQL
+
+
+@query
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest phrases of every language."""
+    return collocations.best_collocations(documents(spark, sf_dir))
+
+
+ORACLE["op12_phrase_collocations"] = collocations.ORACLE_SQL
