@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cumulus.llm import (bytebpe, collocations, decontaminate, licenses, linedup, manifest, minmax, passages, quality, secrets,
-                         toxicity, warczip)
+from cumulus.llm import (bytebpe, collocations, decontaminate, langid, licenses, linedup, manifest, minmax, passages,
+                         quality, secrets, toxicity, warczip)
 from cumulus.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +110,10 @@ def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op12_phrase_collocations"] = collocations.ORACLE_SQL
+
+
+@query
+def op13_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text and the number of its spans."""
+    out = langid.identify(documents(spark, sf_dir))
+    return out.select("doc_id", "held_out", "lang_pred", "score", F.size("spans").alias("n_spans"))
