@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from cumulus.llm.common import stored
 
 #: Words that a task holds before it closes a shard, and the longest phrase.
-SHARD_WORDS = 1 << 22
+SHARD_WORDS = 1 << 21
 DEPTH = 4
 MIN_COUNT = 30
 #: A phrase goes if a longer one around it has this share of its count.
