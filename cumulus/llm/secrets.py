@@ -6,8 +6,9 @@ what the base spans leave of them: each is classed by its characters (hex,
 alphanumeric or base64), a window slides over it with incremental counts, and
 windows whose entropy reaches the class's threshold merge into one span
 ``entropy``.
-Allow-listed strings (identifiers, words, numbers, UUIDs, paths, sequences,
-placeholders) are not judged.
+Allow-listed strings (identifiers, words, numbers, UUIDs, paths, sequences)
+are not judged. A placeholder word hides itself alone: what stands on either
+side of it is judged apart.
 
 Defined results: null text counts as empty; offsets are code points, ends
 exclusive; a run of any length is scanned in one pass; rows are judged alone;
@@ -44,8 +45,8 @@ _ALLOWED = [re.compile(p) for p in (
     r"[A-Z]?[a-z]*([-_/=+][A-Z]?[a-z]*)*",  # words, slugs, paths
     r"[A-Z]+([-_/=+][A-Z]+)*",
     r"[A-Z]?[a-z]{2,}([A-Z][a-z]{2,})*[0-9]{0,4}",  # camel case
-    r"[0-9]+([-_/=+][0-9]+)*",  # numbers, dates
-    r".*(?i:example|placeholder|xxxx|your[-_]).*")]
+    r"[0-9]+([-_/=+][0-9]+)*")]  # numbers, dates
+_PLACEHOLDER = re.compile(r"example|placeholder|x{4,}|your[-_]", re.IGNORECASE)
 _SEQUENCES = ("abcdefghijklmnopqrstuvwxyz" * 2, "0123456789" * 3, "0123456789abcdef" * 2)
 
 
@@ -127,12 +128,30 @@ def parts(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, in
             at = max(at, e)
 
 
+def stretches(text: str, lo: int, hi: int) -> Iterator[tuple[int, int]]:
+    """A candidate without its placeholder words and the separators next to
+    them, as far as what is left is long enough."""
+    at = lo
+    for m in _PLACEHOLDER.finditer(text, lo, hi):
+        end = m.start()
+        while end > at and text[end - 1] in _SEPARATORS:
+            end -= 1
+        if end - at >= WINDOW:
+            yield at, end
+        at = m.end()
+        while at < hi and text[at] in _SEPARATORS:
+            at += 1
+    if hi - at >= WINDOW:
+        yield at, hi
+
+
 def entropy_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     out = []
-    for lo, hi in parts(text, base):
-        part = text[lo:hi]
-        if not allowed(part):
-            out += [(lo + a, 3, lo + b) for a, b in high_entropy(part, THRESHOLDS[char_class(part)])]
+    for part in parts(text, base):
+        for lo, hi in stretches(text, *part):
+            s = text[lo:hi]
+            if not allowed(s):
+                out += [(lo + a, 3, lo + b) for a, b in high_entropy(s, THRESHOLDS[char_class(s)])]
     return out
 
 
