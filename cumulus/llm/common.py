@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cumulus.session import scratch_path
 
@@ -24,6 +24,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of ``docs`` as one struct ``row``, so that an operator's own
+    names can't meet the input's."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
+def unpacked(df: DataFrame, columns: list[str], *new: str) -> DataFrame:
+    """The input's columns out of ``row``, those named in ``new`` replaced in
+    place or added at the end."""
+    return df.select(*[F.col(c) if c in new else F.col("row").getField(c).alias(c) for c in columns],
+                     *[F.col(c) for c in new if c not in columns])
+
+
 def wide(df: DataFrame, *keys: str) -> DataFrame:
     """``df`` hash-partitioned by ``keys`` over the session's shuffle width."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -16,6 +16,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cumulus.llm.common import unpacked, whole_row
+
 WINDOW = 3
 BLANK = r"^[\x20\x09-\x0D]*$"
 _TRIM = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
@@ -52,20 +54,28 @@ def covered(docs: DataFrame, width: int = WINDOW) -> DataFrame:
         F.collect_set("i").alias("cut"))
 
 
-def dedup_lines(docs: DataFrame, width: int = WINDOW) -> DataFrame:
-    """``docs`` with ``text`` rewritten and n_lines, n_removed added."""
+def rewritten(docs: DataFrame, width: int = WINDOW) -> DataFrame:
+    """Each input row as a struct ``row``, beside its new text, n_lines and
+    n_removed; no name of the input can clash with one of these."""
     cut = covered(docs, width)
-    keyed = docs.withColumns(dict(zip(("_k1", "_k2"), _key())))
+    keyed = docs.select(whole_row(docs), *_key())
     both = keyed.join(cut.hint("merge"), ["_k1", "_k2"], "left")
-    lines = F.split("text", "\n", -1)
-    n = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines))
-    both = both.withColumns({"_lines": lines, "n_lines": n.cast("bigint")})
+    text = F.col("row").getField("text")
+    lines = F.split(text, "\n", -1)
+    n = F.when(text.isNull(), 0).otherwise(F.size(lines))
+    both = both.select("row", "cut", lines.alias("lines"), n.cast("bigint").alias("n_lines"))
     stay = F.array_except(F.sequence(F.lit(0), F.col("n_lines").cast("int") - 1), F.col("cut"))
-    left = F.transform(stay, lambda i: F.get(F.col("_lines"), i))
+    left = F.transform(stay, lambda i: F.get(F.col("lines"), i))
     blank = F.forall(left, lambda x: x.rlike(BLANK))
-    text = F.when(F.col("cut").isNull(), F.col("text")).when(blank, F.lit("")).otherwise(F.array_join(left, "\n"))
-    return both.withColumns({"text": text, "n_removed": F.coalesce(F.size("cut"), F.lit(0)).cast("bigint")}) \
-        .drop("_k1", "_k2", "cut", "_lines")
+    new = F.when(F.col("cut").isNull(), text).when(blank, F.lit("")).otherwise(F.array_join(left, "\n"))
+    return both.select("row", new.alias("text"), "n_lines",
+                       F.coalesce(F.size("cut"), F.lit(0)).cast("bigint").alias("n_removed"))
+
+
+def dedup_lines(docs: DataFrame, width: int = WINDOW) -> DataFrame:
+    """``docs`` with ``text`` rewritten and n_lines, n_removed added; input
+    columns of these two names give way."""
+    return unpacked(rewritten(docs, width), docs.columns, "text", "n_lines", "n_removed")
 
 
 ORACLE_SQL = r"""
