@@ -51,8 +51,8 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measures and the verdict of the quality rules."""
-    out = quality.quality(documents(spark, sf_dir))
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+    out = quality.judged(documents(spark, sf_dir), carry=["doc_id"])
+    return out.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", "kept", "char_distance", "word_distance")
 
 

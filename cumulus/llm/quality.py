@@ -3,22 +3,28 @@
 Besides word-count and repetition rules, each document's character-class and
 common-word histograms are compared with its language's reference by
 Jensen-Shannon distance (square root of the divergence in bits, 0 to 1). The
-references are the summed histograms of all documents of the language; the
-languages are a fixed list, any other or null ``lang`` being one more, so the
-reference table has at most five rows. Short texts are guarded: a histogram
-of fewer than the minimum number of characters or common words is not judged.
+references are the summed histograms of the language's documents that pass
+the base rule; the languages are a fixed list, any other or null ``lang``
+being one more, so the reference table has at most five rows. Both sides are
+guarded: a document's histogram of fewer than the minimum of characters or
+common words is not judged, nor is any by a reference of fewer than its own
+minimum. A language whose characters are too few is judged by those of all
+languages together, if these are enough.
 
-Built-in column functions only; nothing is shuffled but the references.
+Built-in column functions only; the measures are written once, so that the
+references are sums over that table. Nothing is shuffled but these sums.
 
 Defined results: null, empty or word-less text has zero words and fails the
-base rule; ties don't arise; each row is judged alone, so repeated rows
-repeat their result; all columns of the input stay (clashing names are
-replaced); empty in, empty out.
+base rule; ties don't arise; repeated rows repeat their result (and count
+each in the references); all columns of the input stay, but those with the
+name of a result are replaced; empty in, empty out.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from cumulus.llm.common import stored, unpacked, whole_row
 
 #: Frequent function words of the four languages.
 COMMON = {
@@ -37,6 +43,11 @@ MAX_CHAR_DISTANCE = 0.33
 MAX_WORD_DISTANCE = 0.85
 MIN_CHARS = 200
 MIN_COMMON = 20
+#: The smallest number of characters or common words of a reference.
+MIN_REFERENCE_CHARS = 20_000
+MIN_REFERENCE_COMMON = 1_000
+RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "char_distance", "word_distance",
+           "base_failed", "kept")
 
 
 def let(value: Column, body) -> Column:
@@ -68,42 +79,53 @@ def _times(text: Column, part: str) -> Column:
     return (F.length(text) - F.length(F.replace(text, F.lit(part), F.lit("")))) / F.lit(float(len(part)))
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """``docs`` with _words, the base measures and both histograms."""
-    d = docs.withColumn("_text", F.coalesce("text", F.lit("")))
+def measured(docs: DataFrame, *carry: Column) -> DataFrame:
+    """The columns ``carry`` beside the base measures and both histograms."""
+    lang = F.when(F.col("lang").isin(*COMMON), F.col("lang")).otherwise("other") if "lang" in docs.columns else F.lit("other")
+    d = docs.select(*carry, F.coalesce("text", F.lit("")).alias("t"), lang.alias("language"))
     d = d.withColumns({
-        "_lang": F.when(F.col("lang").isin(*COMMON), F.col("lang")).otherwise("other") if "lang" in docs.columns
-        else F.lit("other"),
-        "_words": F.array_remove(F.split("_text", WS + "+"), ""),
-        "_n": F.length("_text"),
-        "_rest": F.regexp_replace("_text", "[a-z]+", "")})
-    d = d.withColumns({"_dense": F.regexp_replace("_rest", WS + "+", ""),
-                       "_hits": F.filter(F.split(F.lower("_text"), WS + "+"), lambda w: w.isin(*VOCABULARY))})
-    d = d.withColumn("_told", F.concat(F.lit(" "), F.array_join("_hits", "  "), F.lit(" ")))
-    dense = F.col("_dense")
+        "words": F.array_remove(F.split("t", WS + "+"), ""),
+        "n": F.length("t"),
+        "rest": F.regexp_replace("t", "[a-z]+", "")})
+    d = d.withColumns({"dense": F.regexp_replace("rest", WS + "+", ""),
+                       "hits": F.filter(F.split(F.lower("t"), WS + "+"), lambda w: w.isin(*VOCABULARY))})
+    d = d.withColumn("told", F.concat(F.lit(" "), F.array_join("hits", "  "), F.lit(" ")))
+    dense = F.col("dense")
     without = {k: F.length(dense) - F.length(F.regexp_replace(dense, f"[{c}]+", "")) for k, c in (
         ("upper", "A-Z"), ("digit", "0-9"), ("symbol", SYMBOLS), ("mark", "-.,;:!?'\"()"))}
-    d = d.withColumns({"_" + k: v for k, v in without.items()})
-    space = F.length("_rest") - F.length(dense)
-    chars = [F.col("_n") - F.length("_rest"), F.col("_upper"), F.col("_digit"), space, F.col("_symbol"), F.col("_mark"),
-             F.length(dense) - F.col("_upper") - F.col("_digit") - F.col("_symbol") - F.col("_mark")]
-    lines = F.filter(F.split("_text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    return d.withColumns({
-        "n_words": F.size("_words").cast("bigint"),
-        "word_chars": (F.col("_n") - space).cast("bigint"),
-        "n_symbols": F.col("_symbol").cast("bigint"),
+    d = d.withColumns(without)
+    space = F.length("rest") - F.length(dense)
+    chars = [F.col("n") - F.length("rest"), F.col("upper"), F.col("digit"), space, F.col("symbol"), F.col("mark"),
+             F.length(dense) - F.col("upper") - F.col("digit") - F.col("symbol") - F.col("mark")]
+    lines = F.filter(F.split("t", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    d = d.withColumns({
+        "n_words": F.size("words").cast("bigint"),
+        "word_chars": (F.col("n") - space).cast("bigint"),
+        "n_symbols": F.col("symbol").cast("bigint"),
         "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint"),
-        "_chars": F.array(*[c.cast("double") for c in chars]),
-        "_common": F.array(*[_times(F.col("_told"), f" {w} ") for w in VOCABULARY])})
-
-
-def references(m: DataFrame) -> DataFrame:
-    """Summed histograms by language, at most five rows."""
+        "n_repeat_words": repeat_words(F.col("words")),
+        "chars": F.array(*[c.cast("double") for c in chars]),
+        "common": F.array(*[_times(F.col("told"), f" {w} ") for w in VOCABULARY]),
+        "n_chars": F.col("n"), "n_common": F.size("hits")})
+    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    return d.withColumn("base_failed", failed).select(
+        *[c for c in d.columns if c == "row"], "language", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        "n_repeat_words", "base_failed", "chars", "common", "n_chars", "n_common")
+
+
+def references(m: DataFrame, min_chars: int = MIN_REFERENCE_CHARS, min_common: int = MIN_REFERENCE_COMMON) -> DataFrame:
+    """Summed histograms (ref_chars, ref_common) by language, at most five
+    rows; null where a reference is too small to judge by."""
     def summed(name: str, size: int) -> Column:
-        return F.array(*[F.sum(F.col(name)[i]) for i in range(size)])
+        return F.array(*[F.sum(F.when(~F.col("base_failed"), F.col(name)[i]).otherwise(0.0)) for i in range(size)])
 
-    return m.groupBy("_lang").agg(summed("_chars", 7).alias("_ref_chars"),
-                                  summed("_common", len(VOCABULARY)).alias("_ref_common"))
+    own = m.groupBy("language").agg(summed("chars", 7).alias("c"), summed("common", len(VOCABULARY)).alias("w"))
+    every = F.array(*[F.sum(F.col("c")[i]).over(Window.partitionBy(F.lit(0))) for i in range(7)])  # of five rows
+    return own.withColumn("all", every).select(
+        "language",
+        F.when(_total(F.col("c")) >= min_chars, F.col("c")).when(_total(F.col("all")) >= min_chars, F.col("all"))
+        .alias("ref_chars"),
+        F.when(_total(F.col("w")) >= min_common, F.col("w")).alias("ref_common"))
 
 
 def _total(a: Column) -> Column:
@@ -125,18 +147,22 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.when((_total(p) > 0) & (_total(q) > 0), F.sqrt(F.greatest(d, F.lit(0.0)))).otherwise(0.0)
 
 
-def quality(docs: DataFrame, max_char: float = MAX_CHAR_DISTANCE, max_word: float = MAX_WORD_DISTANCE,
-            min_chars: int = MIN_CHARS, min_common: int = MIN_COMMON) -> DataFrame:
-    """``docs`` with n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, char_distance, word_distance, base_failed and kept."""
-    m = measured(docs)
-    d = m.join(F.broadcast(references(m)), "_lang")
-    d = d.withColumns({
-        "n_repeat_words": repeat_words(F.col("_words")),
-        "char_distance": F.when(F.col("_n") >= min_chars, js_distance(F.col("_chars"), F.col("_ref_chars"))),
-        "word_distance": F.when(F.size("_hits") >= min_common, js_distance(F.col("_common"), F.col("_ref_common")))})
-    d = d.withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
+def judged(docs: DataFrame, carry: list[str] | None = None, max_char: float = MAX_CHAR_DISTANCE,
+           max_word: float = MAX_WORD_DISTANCE, min_chars: int = MIN_CHARS, min_common: int = MIN_COMMON) -> DataFrame:
+    """Each row's columns ``carry`` (all of them by default) as a struct
+    ``row`` beside the results."""
+    m = stored(measured(docs, whole_row(docs if carry is None else docs.select(*carry))), "quality-measures")
+    d = m.join(F.broadcast(references(m)), "language").withColumns({
+        "char_distance": F.when((F.col("n_chars") >= min_chars) & F.col("ref_chars").isNotNull(),
+                                js_distance(F.col("chars"), F.col("ref_chars"))),
+        "word_distance": F.when((F.col("n_common") >= min_common) & F.col("ref_common").isNotNull(),
+                                js_distance(F.col("common"), F.col("ref_common")))})
     far = F.coalesce(F.col("char_distance") > max_char, F.lit(False)) | F.coalesce(
         F.col("word_distance") > max_word, F.lit(False))
-    d = d.withColumn("kept", ~F.col("base_failed") & ~far)
-    return d.drop(*[c for c in d.columns if c.startswith("_") and c not in docs.columns])
+    return d.withColumn("kept", ~F.col("base_failed") & ~far).select("row", *RESULTS)
+
+
+def quality(docs: DataFrame, **limits) -> DataFrame:
+    """``docs`` with the results: n_words, word_chars, n_symbols, n_dup_lines,
+    n_repeat_words, char_distance, word_distance, base_failed and kept."""
+    return unpacked(judged(docs, **limits), docs.columns, *RESULTS)
