@@ -10,8 +10,9 @@ confirmed on the full shingle sets.
 Defined results: null or word-less text has an empty set and links with
 nothing; a text of fewer than ``width`` words is one shingle; equal sets
 always link; rows are judged one by one, so a repeated doc_id gives a row
-each; a null doc_id never links and is its own group (null), kept. Extra
-columns are ignored; an empty table gives an empty result.
+each, and of two texts under one id each has its own links and group; a null
+doc_id never links and is its own group (null), kept. Extra columns are
+ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,9 +22,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cumulus.llm.common import components, emit, runs, stored, wide
+from cumulus.llm.common import components, emit, runs, stored, whole_row, wide
 from cumulus.llm.textsets import mix, overlap, shingle_set
 
 PERMUTATIONS = 64
@@ -31,9 +32,9 @@ BAND_VALUES = 4
 #: Shingles that one comparison task holds (about 100 MB in Python).
 TASK_SHINGLES = 1_000_000
 
-_SIG = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()),
-                  ("bands", pa.list_(pa.int64()))])
-_SIG_DDL = "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>"
+_SIG = pa.schema([("doc_id", pa.int64()), ("text_key", pa.string()), ("n_shingles", pa.int64()),
+                  ("set_key", pa.binary()), ("bands", pa.list_(pa.int64()))])
+_SIG_DDL = "doc_id bigint, text_key string, n_shingles bigint, set_key binary, bands array<bigint>"
 _EDGE = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 _CHUNK = 8192
 
@@ -63,21 +64,29 @@ def band_keys(sig: np.ndarray, values: int) -> np.ndarray:
     return acc.view(np.int64)
 
 
+def set_key(s: np.ndarray) -> bytes:
+    return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+
+
+def text_key() -> Column:
+    return F.md5("text")
+
+
 def signatures(docs: DataFrame, width: int, permutations: int, band_values: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mult = multipliers(permutations)
         for batch in batches:
             rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc, text, key in zip(*map(pa.Array.to_pylist, batch.columns)):
                 s = shingle_set(text, width)
                 if len(s):
-                    key = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-                    rows.append((doc, len(s), key, band_keys(min_max(s, mult), band_values)))
+                    rows.append((doc, key, len(s), set_key(s), band_keys(min_max(s, mult), band_values)))
                 else:
-                    rows.append((doc, 0, None, None))
+                    rows.append((doc, key, 0, None, None))
             yield emit(rows, _SIG)
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, _SIG_DDL)
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", text_key().alias("text_key")) \
+        .mapInArrow(run, _SIG_DDL)
 
 
 def _linked(na: int, nb: int, inter: int, percent: int) -> bool:
@@ -121,36 +130,42 @@ def _intersections(sets: list[np.ndarray]):
 
 
 def _group_edges(rows: list[dict], width: int, percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the exact links among one task's documents. Rows
-    of side 1 are compared with all, rows of side 0 only with side 1."""
-    by_id = {}
+    """A spanning forest of the exact links among one task's nodes. Rows of
+    side 1 are compared with all, rows of side 0 only with side 1. A row whose
+    text has another set than its node (another text of the same id) is none."""
+    known: dict[int, np.ndarray] = {}
+    sides: dict[int, int] = {}
     for r in rows:
-        by_id[r["doc_id"]] = (r["text"], max(r["side"], by_id.get(r["doc_id"], ("", 0))[1]))
-    ids = sorted(by_id)
-    sets = [shingle_set(by_id[d][0], width) for d in ids]
-    side = [by_id[d][1] for d in ids]
-    forest = _Forest(len(ids))
+        if r["node"] not in known:
+            s = shingle_set(r["text"], width)
+            if set_key(s) != r["set_key"]:
+                continue
+            known[r["node"]] = s
+        sides[r["node"]] = max(r["side"], sides.get(r["node"], 0))
+    nodes = sorted(known)
+    sets, side = [known[d] for d in nodes], [sides[d] for d in nodes]
+    forest = _Forest(len(nodes))
     size = np.array([len(s) for s in sets])
-    if len(ids) <= 6:
-        for i in range(len(ids)):
+    if len(nodes) <= 6:
+        for i in range(len(nodes)):
             for j in range(i):
                 if (side[i] or side[j]) and forest.find(i) != forest.find(j) and \
                         _linked(size[i], size[j], overlap(sets[i], sets[j]), percent):
                     forest.join(i, j)
     else:
         inter = _intersections(sets)
-        for i in range(len(ids)):
+        for i in range(len(nodes)):
             if not side[i]:
                 continue
             n = inter(i)
             for j in np.nonzero((100 * n >= percent * (size[i] + size - n)) & (n > 0))[0].tolist():
                 forest.join(i, j)
-    return [(d, ids[forest.find(i)]) for i, d in enumerate(ids) if forest.find(i) != i]
+    return [(d, nodes[forest.find(i)]) for i, d in enumerate(nodes) if forest.find(i) != i]
 
 
 def _compare(members: DataFrame, docs: DataFrame, keys: list[str], width: int, percent: int) -> DataFrame:
-    """Exact links inside each group of ``keys``; members has doc_id, side
-    and the keys."""
+    """Exact links inside each group of ``keys``; members has doc_id, node,
+    set_key, side and the keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs(batches, *keys):
             edges = _group_edges(group, width, percent)
@@ -161,74 +176,102 @@ def _compare(members: DataFrame, docs: DataFrame, keys: list[str], width: int, p
     # always a merge join: a broadcast below some size would only make the
     # shuffle jump when the members outgrow it
     rows = wide(texts.join(members.hint("merge"), "doc_id"), *keys).sortWithinPartitions(*keys)
-    return rows.select("doc_id", "text", "side", *keys).mapInArrow(run, "a bigint, b bigint")
+    return rows.select("text", "node", "set_key", "side", *keys).mapInArrow(run, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, permutations: int = PERMUTATIONS,
-                    band_values: int = BAND_VALUES, task_shingles: int = TASK_SHINGLES) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (the smallest
-    doc_id reachable over links of Jaccard >= percent/100), kept.
+def classes(docs: DataFrame, width: int, percent: int, permutations: int = PERMUTATIONS,
+            band_values: int = BAND_VALUES, task_shingles: int = TASK_SHINGLES) -> DataFrame:
+    """One row a row of ``docs``: doc_id, text_key, n_shingles and component,
+    the smallest (doc_id, text_key) reachable; null without a set or an id.
 
-    1. signatures; equal sets collapse to their smallest doc_id;
-    2. in each band bucket every document links with the smallest one, which
-       gives clusters of documents that may be linked (a linear number of
+    1. signatures; equal sets collapse to one node, which stands for the
+       smallest doc_id that has the set;
+    2. in each band bucket every node links with the smallest one, which
+       gives clusters of nodes that may be linked (a linear number of
        candidate links, whatever a bucket's size);
     3. each cluster is compared exactly inside tasks of at most about
        ``task_shingles`` shingles, through an inverted index and without
-       emitting pairs; the cluster's first document joins every chunk;
-    4. in clusters of several chunks, documents outside the largest
-       component are compared with every chunk, so that no link is lost.
+       emitting pairs; the cluster's first node joins every chunk;
+    4. in clusters of several chunks, nodes outside the largest component
+       are compared with every chunk, so that no link is lost.
     """
     sig = stored(signatures(docs, width, permutations, band_values), "minmax-sig")
     sets = (sig.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_key")
-            .agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n")))
+            .agg(F.min(F.struct("doc_id", "text_key")).alias("rep"), F.max("n_shingles").alias("n")))
+    sets = stored(sets.select("set_key", "rep.*", "n", F.monotonically_increasing_id().alias("node")), "minmax-sets")
     # the band keys of equal sets are equal, so any member's row will do
-    reps = sig.where("n_shingles > 0").join(
-        sets.select(F.col("rep").alias("doc_id"), F.col("set_key").alias("k")), "doc_id").where("set_key = k")
-    banded = reps.select("doc_id", F.explode("bands").alias("band"))
-    firsts = banded.groupBy("band").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")) \
+    reps = sig.where("n_shingles > 0").select("doc_id", "text_key", "bands").join(
+        sets.select("doc_id", "text_key", "node"), ["doc_id", "text_key"])
+    banded = reps.select("node", F.explode("bands").alias("band"))  # full repeats of a row do no harm
+    firsts = banded.groupBy("band").agg(F.min("node").alias("first"), F.max("node").alias("last")) \
         .where("first < last").select("band", "first")
-    pairs = banded.join(firsts, "band").where("doc_id > first").select(
-        F.col("doc_id").alias("a"), F.col("first").alias("b"))
+    pairs = banded.join(firsts, "band").where("node > first").select(
+        F.col("node").alias("a"), F.col("first").alias("b"))
     cluster = components(pairs, name="minmax-clusters")
-    members = stored(cluster.join(sets.select(F.col("rep").alias("node"), "n"), "node")
-                     .select(F.col("node").alias("doc_id"), F.col("root").alias("cluster"), "n").distinct(),
+    members = stored(cluster.join(sets, "node")
+                     .select("node", "doc_id", "set_key", F.col("root").alias("cluster"), "n").distinct(),
                      "minmax-members")
     weight = members.groupBy("cluster").agg(F.ceil(F.sum("n") / F.lit(task_shingles)).cast("int").alias("chunks"))
     chunked = members.join(weight, "cluster")
-    first = chunked.doc_id == chunked.cluster
-    one = chunked.select("doc_id", "cluster", F.lit(1).alias("side"), F.explode(
+    first = chunked.node == chunked.cluster
+    one = chunked.select("doc_id", "node", "set_key", "cluster", F.lit(1).alias("side"), F.explode(
         F.when(first, F.sequence(F.lit(0), F.col("chunks") - 1))
-        .otherwise(F.array(F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int")))).alias("chunk"))
+        .otherwise(F.array(F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")))).alias("chunk"))
     edges = stored(_compare(one, docs, ["cluster", "chunk"], width, percent), "minmax-edges")
     large = stored(chunked.where("chunks > 1"), "minmax-large")
     if not large.isEmpty():
         edges = _rest(edges, large, docs, width, percent, task_shingles)
-    root = components(edges, name="minmax-components").select(F.col("node").alias("rep"), "root")
-    classes = sets.join(root, "rep", "left").select("set_key", F.coalesce("root", "rep").alias("component"))
-    out = sig.join(classes, "set_key", "left").select(
-        "doc_id", "n_shingles",
-        F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component"))
-        .otherwise(F.col("doc_id")).alias("component_id"))
+    linked = components(edges, name="minmax-components").join(sets.select("node", "doc_id", "text_key"), "node")
+    least = F.struct("doc_id", "text_key")
+    smallest = linked.groupBy("root").agg(F.min(least).alias("component"))
+    of_node = linked.join(smallest, "root").select("node", "component")
+    of_set = sets.join(of_node, "node", "left").select("set_key", F.coalesce("component", least).alias("component"))
+    return sig.withColumn("set_key", F.when(F.col("doc_id").isNotNull(), F.col("set_key"))).join(
+        of_set, "set_key", "left").select("doc_id", "text_key", "n_shingles", "component")
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, permutations: int = PERMUTATIONS,
+                    band_values: int = BAND_VALUES, task_shingles: int = TASK_SHINGLES) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (the smallest
+    doc_id reachable over links of Jaccard >= percent/100), kept."""
+    out = classes(docs, width, percent, permutations, band_values, task_shingles)
+    out = out.select("doc_id", "n_shingles", F.coalesce("component.doc_id", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def without_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each group: the smallest doc_id's, and if several
+    of its rows are in the group, the one whose text, then whose other columns
+    hash lowest. Rows without words or without an id all stay."""
+    out = classes(docs, width, percent).where("component IS NOT NULL")
+    verdict = out.groupBy("doc_id", "text_key").agg(
+        F.min(F.struct("doc_id", "text_key") == F.col("component")).alias("kept"))
+    others = [F.col("row").getField(c).cast("string") for c in docs.columns]
+    rows = docs.select(whole_row(docs), F.col("doc_id").cast("bigint").alias("doc_id"), text_key().alias("text_key"))
+    rows = rows.join(verdict.hint("merge"), ["doc_id", "text_key"], "left").where("kept OR kept IS NULL")
+    # rows that repeat id and text lie together already; the window only counts them
+    again = Window.partitionBy("doc_id", "text_key").orderBy(F.xxhash64(*others))
+    rows = rows.withColumn("again", F.row_number().over(again)).where("kept IS NULL OR again = 1")
+    return rows.select("row.*")
+
+
 def _rest(edges: DataFrame, large: DataFrame, docs: DataFrame, width: int, percent: int,
           task_shingles: int) -> DataFrame:
-    """Links of documents outside a large cluster's largest component with
-    documents of any chunk."""
-    root = components(edges, name="minmax-partial").select(F.col("node").alias("doc_id"), "root")
-    at = stored(large.join(root, "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id")), "minmax-at")
+    """Links of nodes outside a large cluster's largest component with nodes
+    of any chunk."""
+    root = components(edges, name="minmax-partial").select("node", "root")
+    at = stored(large.join(root, "node", "left").withColumn("root", F.coalesce("root", "node")), "minmax-at")
     most = at.groupBy("cluster", "root").count().groupBy("cluster").agg(
         F.max_by("root", F.struct("count", -F.col("root"))).alias("main"))
     out = at.join(most, "cluster").where("root <> main")
     parts = out.groupBy("cluster").agg(F.ceil(F.sum("n") / F.lit(task_shingles)).cast("int").alias("parts"))
     outside = out.join(parts, "cluster").select(
-        "doc_id", "cluster", F.lit(1).alias("side"), F.pmod(F.hash("doc_id"), "parts").cast("int").alias("part"),
+        "doc_id", "node", "set_key", "cluster", F.lit(1).alias("side"),
+        F.pmod(F.hash("node"), "parts").cast("int").alias("part"),
         F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
     every = at.join(parts, "cluster").select(
-        "doc_id", "cluster", F.lit(0).alias("side"),
+        "doc_id", "node", "set_key", "cluster", F.lit(0).alias("side"),
         F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-        F.pmod(F.xxhash64("doc_id"), "chunks").cast("int").alias("chunk"))
+        F.pmod(F.xxhash64("node"), "chunks").cast("int").alias("chunk"))
     more = _compare(outside.unionByName(every), docs, ["cluster", "part", "chunk"], width, percent)
     return stored(edges.unionByName(more), "minmax-all-edges")
