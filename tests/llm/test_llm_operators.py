@@ -16,6 +16,7 @@ import pandas as pd
 import pytest
 import public_tokenizers
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cumulus.llm import (bytebpe, decontaminate, licenses, linedup, minmax, passages, quality, secrets, textsets,
@@ -100,6 +101,43 @@ def test_minmax_defined_results(odd):
     assert by[None].component_id is None and by[None].kept
 
 
+@pytest.mark.parametrize("task_shingles", [minmax.TASK_SHINGLES, 300])
+def test_repeated_ids_keep_each_text_s_links(spark, task_shingles):
+    """Rows are the nodes: groups of rows by brute force, texts under one id apart."""
+    r = random.Random(31)
+    base = [prose(r, 40) for _ in range(8)]
+    rows = []
+    for i in range(60):
+        t = base[r.randrange(8)].split()
+        if r.random() < 0.7:
+            t[r.randrange(40)] = f"w{i}"
+        rows.append((r.randrange(25), " ".join(t)))
+    rows += rows[:5] + [(1, base[0]), (2, base[0] + " x"), (2, base[1] + " y"), (3, base[1])]
+    sets = [{tuple(t.split()[k:k + 3]) for k in range(len(t.split()) - 2)} for _, t in rows]
+    up = list(range(len(rows)))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            n = len(sets[i] & sets[j])
+            if 100 * n >= 85 * (len(sets[i]) + len(sets[j]) - n):
+                up[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        least[find(i)] = min(d, least.get(find(i), d))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = minmax.near_duplicates(df, 3, 85, task_shingles=task_shingles).collect()
+    assert sorted((x.doc_id, x.component_id) for x in got) == sorted((d, least[find(i)]) for i, (d, _) in enumerate(rows))
+    stay = minmax.without_near_duplicates(df, 3, 85).collect()
+    by_text = {t: find(i) for i, (_, t) in enumerate(rows)}
+    assert sorted(by_text[x.text] for x in stay) == sorted(least)
+    assert all(x.doc_id == least[by_text[x.text]] and (x.doc_id, x.text) in rows for x in stay)
+
+
 def test_min_max_bands_are_unbiased():
     r = random.Random(2)
     a = {f"t{i}" for i in range(400)}
@@ -373,6 +411,76 @@ def test_quality_measures(spark, odd_rows):
     assert not any(x.kept and x.base_failed for x in got)
 
 
+def char_classes(t):
+    n = [0] * 7
+    for c in t:
+        n[0 if "a" <= c <= "z" else 1 if "A" <= c <= "Z" else 2 if "0" <= c <= "9" else 3 if c in " \t\n\x0b\x0c\r"
+          else 4 if c in "#*$%&|<>" else 5 if c in "-.,;:!?'\"()" else 6] += 1
+    return n
+
+
+def common_words(t):
+    return [re.split(r"[ \t-\r]+", t.lower()).count(w) for w in quality.VOCABULARY]
+
+
+def plain_distance(p, q):
+    a, b = [x / sum(p) for x in p], [x / sum(q) for x in q]
+    kl = lambda x, y: sum(i * math.log2(i / ((i + j) / 2)) for i, j in zip(x, y) if i)
+    return math.sqrt(max(0.0, (kl(a, b) + kl(b, a)) / 2))
+
+
+def test_verdict_against_brute_force(spark):
+    r = random.Random(23)
+    rows = []
+    for i in range(160):
+        lang = r.choice(["en", "en", "de", "fr", "xx", None])
+        vocab = quality.COMMON.get(lang, ["lorem"]) + [f"Word{k}" for k in range(12)]
+        if i % 9 == 0:
+            vocab = [f"#{k}$%" for k in range(30)]
+        if i % 11 == 0:
+            vocab = quality.COMMON["es"]
+        rows.append((i, " ".join(r.choice(vocab) for _ in range(r.randrange(10, 90))), lang, "s", 1))
+    limits = dict(min_chars=60, min_common=10)
+    refs = {}
+    for _, t, lang, *_ in rows:
+        if not brute_quality(t)[-1]:
+            key = lang if lang in quality.COMMON else "other"
+            old = refs.get(key, ([0] * 7, [0] * len(quality.VOCABULARY)))
+            refs[key] = tuple([x + y for x, y in zip(a, b)] for a, b in zip(old, (char_classes(t), common_words(t))))
+    every = [sum(x) for x in zip(*[c for c, _ in refs.values()])]
+    least = sorted(sum(c) for c, _ in refs.values())[1]  # the smallest language falls back on all
+    words = sorted(sum(w) for _, w in refs.values())[1]
+    df = spark.createDataFrame(rows, DDL)
+    with pytest.MonkeyPatch.context() as mp:
+        mp.setattr(quality.references, "__defaults__", (least, words))
+        got = {x.doc_id: x for x in quality.quality(df, **limits).collect()}
+    kinds = Counter()
+    for i, t, lang, *_ in rows:
+        c, w = refs[lang if lang in quality.COMMON else "other"]
+        c = c if sum(c) >= least else every
+        chars = plain_distance(char_classes(t), c) if len(t) >= 60 else None
+        common = plain_distance(common_words(t), w) if sum(common_words(t)) >= 10 and sum(w) >= words else None
+        for a, b in ((chars, got[i].char_distance), (common, got[i].word_distance)):
+            assert (a is None) == (b is None) and (a is None or abs(a - b) < 1e-9)
+        kept = not (brute_quality(t)[-1] or (chars or 0) > quality.MAX_CHAR_DISTANCE or (common or 0) > quality.MAX_WORD_DISTANCE)
+        assert got[i].kept == kept
+        kinds[kept, chars is None, common is None] += 1
+    assert len(kinds) >= 5
+
+
+def test_references_leave_junk_out(spark):
+    r = random.Random(29)
+    rows = [(i, prose(r, 200) + " the of and", "en", "s", 1) for i in range(60)]
+    junk = " ".join(f"#{r.randrange(10**6)}$%&" for _ in range(80))
+    got = {x.doc_id: x for x in quality.quality(spark.createDataFrame(
+        rows + [(100, junk, "xx", "s", 1), (101, "#$ " * 4000, "zz", "s", 1), (102, rows[0][1], "zz", "s", 1)], DDL)).collect()}
+    assert not got[100].kept and got[100].char_distance > quality.MAX_CHAR_DISTANCE  # judged by all languages together
+    assert not got[101].kept and got[101].base_failed
+    assert got[102].kept and all(got[i].kept for i in range(60))
+    few = quality.quality(spark.createDataFrame([(100, junk, "xx", "s", 1)], DDL)).first()
+    assert few.char_distance is None and few.word_distance is None and few.kept
+
+
 def test_js_distance(spark):
     p, q = [3.0, 1.0, 0.0], [1.0, 1.0, 2.0]
     df = spark.createDataFrame([(p, q), (p, p), (p, [0.0] * 3)], "p array<double>, q array<double>")
@@ -405,6 +513,50 @@ def test_entropy_windows_against_brute_force():
         assert {i for a, b in secrets.high_entropy(s, 3.3) for i in range(a, b)} == hit
 
 
+@pytest.mark.parametrize("form", ["example/{k}", "my_example_{k}", "/your-app/{k}", "{k}xxxx{k}", "{k}/placeholder",
+                                  "EXAMPLE-{k}=", "{k}"])
+def test_placeholder_hides_only_itself(form):
+    key = "Zq8fK2mV0xR7nT4bW9cLd3Hs6Y"
+    text = "see " + form.format(k=key) + " there"
+    got = "".join(text[s:e] for s, _, e in secrets.entropy_spans(text, secrets.base_spans(text)))
+    assert got.count(key) == form.count("{k}")
+    for t in ("your_access_key_goes_in_here", "example-example-example-example", "xxxxxxxxxxxxxxxxxxxxxxxxxxxxxx"):
+        assert secrets.entropy_spans(t, []) == []
+
+
+def plain_base(text):
+    """The contract's three kinds by plain search from left to right."""
+    out = []
+    kinds = [(r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 6),
+             (r"(AKIA[A-Z0-9]+)", 20), (r"([0-9a-f]+)", 24)]
+    for k, (pattern, least) in enumerate(kinds):
+        at = 0
+        while m := re.search(pattern, text[at:]):
+            if len(m.group(1)) >= least:
+                out.append((at + m.start(), k, at + m.end()))
+            at += m.end()
+    return sorted(out)
+
+
+def test_base_spans_against_plain_search(spark):
+    r = random.Random(19)
+    bits = ["password", "Passwd", "SECRET", "token", "api_key", "APIKEY", "apiKey", "=", ":", " ", '"', "'", "AKIA", "A1B2C3D4E5F6G7H8",
+            "0123456789abcdef", "deadbeef", "abc", "é", "\n", "x.y", "/", "AKIAIOSFODNN7", "f" * 24, "token="]
+    texts = ["".join(r.choice(bits) for _ in range(r.randrange(25))) for _ in range(400)]
+    assert sum(len(plain_base(t)) for t in texts) > 300
+    kinds = ["assign", "access", "hex"]
+    for row, t in zip(secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))
+                      .orderBy("doc_id").collect(), texts):
+        base = plain_base(t)
+        told = [f"{kinds[k]}:{s}:{e}" for s, k, e in base]
+        assert row.base_sha256 == hashlib.sha256(",".join(told).encode()).hexdigest()
+        assert [row.n_assign, row.n_access, row.n_hex] == [sum(k == i for _, k, _ in base) for i in range(3)]
+        spans = row.spans.split(",") if row.spans else []
+        assert [x for x in spans if not x.startswith("entropy")] == told
+        order = [(int(x.split(":")[1]), [*kinds, "entropy"].index(x.split(":")[0])) for x in spans]
+        assert order == sorted(order)
+
+
 def test_allow_list_is_linear():
     for s in ("a" * 36 + "_1", "a-" * 22 + "a1", "a" * 30000 + "_1", "a-" * 15000 + "a1"):
         start = time.perf_counter()
@@ -511,16 +663,37 @@ def test_empty_tables(spark, tmp_path):
     assert corpus_pipeline.run(spark, sf).count() == 0
 
 
+def internal_names():
+    """Every name that the subpackage or the pipeline gives a column, read from
+    the sources."""
+    import pathlib
+    here = pathlib.Path(corpus_pipeline.__file__).parent
+    found = set()
+    for f in [here / "corpus_pipeline.py", *(here / "cumulus/llm").glob("*.py")]:
+        found |= set(re.findall(r"""['"](_?[A-Za-z][A-Za-z0-9_]*)['"]""", f.read_text()))
+    return sorted(n for n in found if n.lower() not in ("doc_id", "text", "lang", "source", "n_chars"))
+
+
 def test_clashing_columns_and_pipeline(spark, tmp_path, odd):
-    more = odd.selectExpr("*", "1 AS n_words", "2 AS n_removed", "'x' AS band", "3 AS cluster", "'y' AS toxic", "4 AS ids")
+    names, seen = [], set()
+    for n in internal_names():  # column names are told apart without case
+        if n.lower() not in seen:
+            seen.add(n.lower())
+            names.append(n)
+    assert {"cut", "row", "kept", "language", "ref_chars", "node"} <= set(names)
+    more = odd.select("*", *[F.lit(n).alias(n) for n in names])
     sf = table(spark, tmp_path, documents=more, benchmark=spark.createDataFrame([(1, "nothing of this is there at all")], "item_id bigint, text string"),
                labels=spark.createDataFrame([(4, 1, 1), (5, 1, 0)], "doc_id bigint, quality int, toxic int"),
                pages=spark.createDataFrame([(1, "u", "h")], "page_id bigint, url string, html string"))
+    plain = table(spark, tmp_path / "plain", documents=odd, benchmark=spark.read.parquet(f"{sf}/benchmark.parquet"),
+                  labels=spark.read.parquet(f"{sf}/labels.parquet"), pages=spark.read.parquet(f"{sf}/pages.parquet"))
     for name, q in QUERIES.items():
-        q(spark, sf).collect()
+        assert sorted(map(str, q(spark, sf).collect())) == sorted(map(str, q(spark, plain).collect())), name
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    for _, stage in corpus_pipeline.STAGES[:-1]:
-        assert stage(spark, docs, sf).columns == docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns, name
+        assert out.where(" OR ".join(f"`{n}` <> '{n}'" for n in names)).count() == 0, name
     assert sorted(x.doc_id for x in corpus_pipeline.run(spark, sf).collect() if x.doc_id is not None) == [3, 4]
 
 
