@@ -20,26 +20,24 @@ VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    judged = rules.quality(docs)
-    return judged.where("kept").select(docs.columns)
+    return rules.judged(docs).where("kept").select("row.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later occurrences of repeated three-line windows go; a document of
     which nothing is left goes with them, n_chars is counted again."""
-    out = linedup.dedup_lines(docs)
+    out = linedup.rewritten(docs).where((F.col("n_removed") == 0) | (F.col("text") != ""))
+    new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(kind))
-                             .otherwise(F.col("n_chars")))
-    return out.where((F.col("n_removed") == 0) | (F.col("text") != "")).select(docs.columns)
+        new["n_chars"] = F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)) \
+            .otherwise(F.col("row").getField("n_chars"))
+    return out.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays (five-word shingles,
     similarity 0.8)."""
-    gone = minmax.near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(docs.columns)
+    return minmax.without_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
