@@ -15,12 +15,27 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
+#: Shuffle files go when the query that made them ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to a new folder of the shared checkpoint root and read
-    back: cuts lineage, survives lost executors, is computed once."""
+    back: cuts lineage, survives lost executors, is computed once. As nothing
+    reads its shuffles again, their files are freed with the write instead of
+    when the driver's garbage collector gets to them; the session's setting is
+    put back."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
