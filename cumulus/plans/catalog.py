@@ -26,7 +26,7 @@ from cumulus.operators.sessions import sessionize_split
 from cumulus.plans import standins as si
 from cumulus.plans.flatten import normalize
 from cumulus.sources.tables import table
-from cumulus.streaming import streams as st
+from cumulus.streaming import sessions as sess, streams as st
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -735,6 +735,34 @@ def q_sessionize_stream(spark, sf_dir):
     return st.read_all(spark, base)
 
 
+@register("session_updates_stream")
+def q_session_updates_stream(spark, sf_dir):
+    """A26 / T4 on a stream: every session, those that are still open too,
+    with a flag for the ones that the watermark has closed."""
+    s = _stream_events(spark, sf_dir).select("host", si.user_ip().alias("ip"), "ts")
+    _, base = st.run_to_log(sess.session_updates(s, "ts", ["host", "ip"], 300), "update")
+    out = sess.latest_sessions(spark, base, ["host", "ip"])
+    return out.select("session_start", "session_end", "host", "ip", "num_hits",
+                      (F.col("status") == sess.CLOSED).alias("closed"))
+
+
+@register("two_outputs_stream")
+def q_two_outputs_stream(spark, sf_dir):
+    """Hits per host and per (host, referrer) from one streaming query
+    that reads the source once and commits both under one epoch."""
+    p = table(spark, sf_dir, "pages").select(
+        F.col("page_id"), F.try_parse_url(F.col("url"), F.lit("HOST")).alias("referrer"))
+    s = _stream_events(spark, sf_dir).withColumn("_k", F.get_json_object("props", "$.k").cast("long"))
+    s = s.join(p, s._k == p.page_id, "left").select("host", "referrer", "ts")
+    outputs = {"host": ["host"], "host_referrer": ["host", "referrer"]}
+    _, base = st.run_fanout(s, {name: st.window_deltas("ts", keys) for name, keys in outputs.items()})
+    parts = [st.summed_deltas(st.read_committed(spark, base, name), keys).select(
+        F.lit(name).alias("output"), "window_start", "host",
+        (F.col("referrer") if "referrer" in keys else F.lit(None).cast("string")).alias("referrer"), "num_hits")
+        for name, keys in outputs.items()]
+    return parts[0].unionByName(parts[1])
+
+
 @register("enrich_geo_stream")
 def q_enrich_geo_stream(spark, sf_dir):
     """Stateless projection + geo enrichment on the stream (append)."""

@@ -73,6 +73,9 @@ CONTRACTS = {
     "session_stats": c(["host"]),
     "enrich_geo_stream": c(["event_id"]),
     "sessionize_stream": c(["host", "ip", "session_start"]),
+    "session_updates_stream": c(["host", "ip", "session_start"], ["host", "ip", "session_start", "session_end", "closed"]),
+    "two_outputs_stream": c(["output", "window_start", "host", "referrer"], ["output", "window_start", "host", "num_hits"],
+                            {"output": ["host", "host_referrer"]}),
     "tumbling_counts_keyed": c(["window_start", "host", "referrer"], ["window_start", "host", "num_hits"]),
     "session_stats_compare": c(["host_group"]),
     "session_stats_fine": c(["host", "ip", "session_start"]),

@@ -12,8 +12,9 @@ watermark; a full-result (complete) mode is never used.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from cumulus.session import scratch_path
@@ -140,13 +141,16 @@ def epoch_writer(base: str):
 
 
 def read_latest(spark: SparkSession, base: str, keys: Sequence[str],
-                schema: T.StructType | None = None) -> DataFrame:
+                schema: T.StructType | None = None, where: Column | None = None) -> DataFrame:
     """Merge-on-read of an epoch log: per key, the row of the newest epoch
-    (a partial/final aggregate, no sort of whole keys)."""
+    (a partial/final aggregate, no sort of whole keys) among those that
+    ``where`` admits."""
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
     df = r.parquet(base)
+    if where is not None:
+        df = df.where(where)
     rest = [c for c in df.columns if c not in keys and c not in ("_epoch", "epoch")]
     latest = df.groupBy(*keys).agg(F.max(F.struct(F.col("_epoch"), *[F.col(c) for c in rest])).alias("_r"))
     return latest.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
@@ -195,6 +199,59 @@ def dropped_by_watermark(query) -> int:
     return total
 
 
+def epoch_fanout(base: str, outputs: Mapping[str, Callable[[DataFrame], DataFrame]]):
+    """A ``foreachBatch`` function that writes several outputs of one
+    micro-batch, each to its own epoch folder, and then one commit for all.
+    The batch is computed once and released; a replayed epoch overwrites its
+    folders with the same rows; readers see an epoch of any output only once
+    all outputs of it are written."""
+    root = base.rstrip("/")
+
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        held = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for name, make in outputs.items():
+                make(held).write.mode("overwrite").parquet(f"{root}/{name}/epoch={epoch_id}")
+        finally:
+            held.unpersist()
+        held.sparkSession.range(1).select(F.lit(len(outputs)).alias("n_outputs")).coalesce(1) \
+            .write.mode("overwrite").parquet(f"{root}/_commits/epoch={epoch_id}")
+    return write
+
+
+def run_fanout(df: DataFrame, outputs: Mapping[str, Callable[[DataFrame], DataFrame]], base: str | None = None,
+               checkpoint: str | None = None, trigger: dict | None = None, wait: bool = True):
+    """One streaming query, one read of the source, several outputs.
+    Returns (query, base)."""
+    spark = df.sparkSession
+    base = base or scratch_path(spark, "fanout-out")
+    checkpoint = checkpoint or scratch_path(spark, "fanout-ckpt")
+    q = (df.writeStream.foreachBatch(epoch_fanout(base, outputs)).option("checkpointLocation", checkpoint)
+         .trigger(**(trigger or {"availableNow": True})).start())
+    if wait:
+        q.awaitTermination()
+    return q, base
+
+
+def read_committed(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """The rows of one output in committed epochs, with ``epoch``."""
+    root = base.rstrip("/")
+    done = spark.read.option("basePath", f"{root}/_commits").parquet(f"{root}/_commits/epoch=*").select("epoch").distinct()
+    rows = spark.read.option("basePath", f"{root}/{name}").parquet(f"{root}/{name}/epoch=*")
+    return rows.join(done, "epoch", "left_semi")
+
+
+def window_deltas(time_col: str, keys: Sequence[str], width: str = WINDOW) -> Callable[[DataFrame], DataFrame]:
+    """What one batch adds to the counts per window and keys. Sums of
+    deltas need no state, and a late event is one more delta, not a loss."""
+    return lambda batch: tumbling_counts(batch, time_col, keys, width)
+
+
+def summed_deltas(deltas: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The counts so far from the deltas of all epochs."""
+    return deltas.groupBy("window_start", *keys).agg(F.sum("num_hits").alias("num_hits"))
+
+
 def two_outputs(df: DataFrame, time_col: str, keys_a: Sequence[str], keys_b: Sequence[str],
                 width: str = WINDOW, delay: str = WATERMARK):
     """Two aggregations of one source as two queries (each keeps its
