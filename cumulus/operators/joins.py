@@ -2,9 +2,10 @@
 positions.
 
 A broadcast hint is only given to tables whose size the schema bounds (a
-25-row nation dimension). Every other join is left to the planner: sizes in
-bytes and AQE choose between sort-merge, shuffled hash and broadcast at run
-time, with skew split.
+25-row nation dimension) or whose size in bytes, as the optimiser's statistics
+have it, was checked against a limit. Every other join is left to the planner:
+sizes in bytes and AQE choose between sort-merge, shuffled hash and broadcast
+at run time, with skew split.
 """
 
 from __future__ import annotations
@@ -13,6 +14,52 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from cumulus.session import scratch_path
+
+#: Largest dimension that a join may send to every executor, in bytes.
+BROADCAST_LIMIT = 64 << 20
+
+
+class BroadcastTooLarge(ValueError):
+    """A dimension is larger than what may be broadcast."""
+
+
+def plan_bytes(df: DataFrame) -> int:
+    """The size of ``df`` in bytes by the optimised plan's statistics (file
+    sizes, columns read, and no more than that for filters)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def input_bytes(df: DataFrame) -> int | None:
+    """The bytes that ``df`` is computed from: the sizes of the scans in its
+    plan (a join's own estimate is their product). None if one is unknown."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(sizes) if all(s < 1 << 62 for s in sizes) else None
+
+
+def broadcast_within(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """``df`` with a broadcast hint, or a refusal if it is larger than
+    ``limit`` bytes."""
+    size = plan_bytes(df)
+    if size > limit:
+        raise BroadcastTooLarge(f"{size} bytes are more than the {limit} that may be broadcast")
+    return F.broadcast(df)
+
+
+def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, str]], limit: int = BROADCAST_LIMIT,
+              how: str = "inner") -> DataFrame:
+    """The fact joined to its dimensions (table, key), one after the
+    other; a dimension within the limit is broadcast, so the fact isn't
+    shuffled for it, a larger one is joined by whatever the planner picks."""
+    for dim, key in dims:
+        try:
+            fact = fact.join(broadcast_within(dim, limit), key, how)
+        except BroadcastTooLarge:
+            fact = fact.join(dim, key, how)
+    return fact
+
+
 def bounded_dim(df: DataFrame) -> DataFrame:
     """Broadcast a dimension whose size is fixed by the schema (nation,
     region): no probe needed, the bound does not grow with the data."""
@@ -72,6 +119,23 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         *[(F.col(f"_off_{k}") + F.col(f"_l_{k}")).alias(k) for k in sums])
 
 
+def numbered(df: DataFrame, order: Sequence[str], pos_col: str = "pos") -> DataFrame:
+    """1-based position of each row by ``order`` over the whole table, without
+    a task that sees all rows: sorted by range and written, numbered inside
+    each range, and moved on by the counts of the ranges before (one row a
+    range). Rows must differ in ``order``."""
+    spark = df.sparkSession
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, "numbered")
+    df.repartitionByRange(width, *order).withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    held = spark.read.parquet(path)
+    counts = held.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    own = held.withColumn("_r", F.row_number().over(Window.partitionBy("_range").orderBy(*order)))
+    return own.join(offsets, "_range").select(*df.columns, (F.col("_off") + F.col("_r")).alias(pos_col))
+
+
 def pair_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """Typed pair join: one row per match holding the two whole rows
     as structs ``_1`` and ``_2`` (the DataFrame form of a Dataset joinWith)."""

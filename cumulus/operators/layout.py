@@ -4,14 +4,18 @@ comparison, A30 cached device roll-up), plus plan inspection helpers.
 
 from __future__ import annotations
 
+import contextlib
+import functools
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from cumulus.operators.joins import star_join
 from cumulus.session import scratch_path
 from cumulus.sources import sinks
-from cumulus.sources.tables import file_stats
+from cumulus.sources.tables import file_footers, file_stats, rows_read_by_key
 
 
 # ---------------------------------------------------------------- plans
@@ -33,6 +37,14 @@ def has_broadcast(df: DataFrame) -> bool:
     return "BroadcastHashJoin" in plan_text(df, "simple")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a new scratch folder and read back, for several
+    consumers."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # ---------------------------------------------------------------- A28
 def top1(df: DataFrame, key: str, count_name: str = "num") -> DataFrame:
     """O3: the most frequent ``key`` (ties: smallest key), as a top-1 report."""
@@ -58,36 +70,137 @@ def medal_map_top(joined: DataFrame, medals: DataFrame, classification: str,
 
 
 def bucketed_join(spark: SparkSession, left: DataFrame, right: DataFrame, key: str,
-                  buckets: int = 16, db: str = "cumulus_layout",
+                  buckets: int | None = None, db: str = "cumulus_layout",
                   location: str | None = None) -> DataFrame:
     """Write both sides bucketed and sorted by ``key`` into a
     namespace in the shared folder and join the tables back: the join
     reads co-partitioned buckets with no Exchange."""
     loc = location or scratch_path(spark, "warehouse")
     sinks.create_namespace(spark, db, loc)
+    buckets = buckets or sinks.bucket_count(left, right)
     lt = sinks.write_bucketed(left, f"{db}.bucket_left", key, buckets, [key])
     rt = sinks.write_bucketed(right, f"{db}.bucket_right", key, buckets, [key])
     return lt.join(rt, key, "inner")
 
 
 # ---------------------------------------------------------------- A29
-def compare_layouts(spark: SparkSession, df: DataFrame,
-                    variants: Mapping[str, Mapping], base: str | None = None) -> DataFrame:
-    """Write the same rows under several layouts (repartition columns,
-    local sort) and report file count and bytes per variant, measured by
-    the executors from file metadata."""
+def write_variants(spark: SparkSession, df: DataFrame, variants: Mapping[str, Mapping],
+                   base: str | None = None) -> dict[str, DataFrame]:
+    """The same rows under several layouts, each read back. A variant has the
+    options of ``sinks.write_layout``; files come from the input's bytes."""
     root = base or scratch_path(spark, "layouts")
-    rows = None
     for name, spec in variants.items():
-        path = f"{root}/{name}"
-        sinks.write_layout(df, path, spec.get("partitions"), spec.get("by", ()),
-                           spec.get("sort_within", ()), spec.get("partition_by", ()))
-        stats = file_stats(spark.read.parquet(path)).select(F.lit(name).alias("variant"), "*")
-        rows = stats if rows is None else rows.unionByName(stats)
-    return rows
+        sinks.write_layout(df, f"{root}/{name}", **spec)
+    return {name: spark.read.parquet(f"{root}/{name}") for name in variants}
+
+
+def compare_layouts(spark: SparkSession, df: DataFrame, variants: Mapping[str, Mapping],
+                    key: str, base: str | None = None) -> DataFrame:
+    """Files, bytes, row groups and the rows that a predicate on ``key`` reads
+    by the files' statistics, per variant."""
+    rows = []
+    for name, table in write_variants(spark, df, variants, base).items():
+        groups = file_footers(table, key).agg(F.count("*").alias("n_row_groups"), F.sum("rows").alias("n_rows"))
+        one = F.lit(1).alias("_one")
+        rows.append(file_stats(table).select(one, "*").join(groups.select(one, "*"), "_one")
+                    .join(rows_read_by_key(table, key).select(one, "*"), "_one")
+                    .select(F.lit(name).alias("variant"), "n_files", "total_bytes", "n_row_groups", "n_rows", "n_keys",
+                            "rows_needed", "rows_read"))
+    return functools.reduce(DataFrame.unionByName, rows)
+
+
+def layout_promises(spark: SparkSession, df: DataFrame, variants: Mapping[str, Mapping], key: str,
+                    base: str | None = None) -> DataFrame:
+    """What each variant promises about its files, checked on the files: rows
+    that are smaller than the row before them in their file (null where no
+    sort is promised) and keys that more than one file holds (null where
+    spreading is allowed), beside the rows and distinct keys."""
+    rows = []
+    for name, table in write_variants(spark, df, variants, base).items():
+        spec = variants[name]
+        order = F.struct(*spec.get("sort_within", [key]))
+        at = table.select(F.col(key).alias("k"), order.alias("o"), F.col("_metadata.file_path").alias("f"),
+                          F.col("_metadata.row_index").alias("i"))
+        before = F.lag("o").over(Window.partitionBy("f").orderBy("i"))
+        per_key = at.withColumn("wrong", (before > F.col("o")).cast("long")).groupBy("k").agg(
+            F.count("*").alias("c"), F.sum("wrong").alias("wrong"), F.count_distinct("f").alias("files"))
+        held = list(spec.get("by", ())) == [key] and not spec.get("spread", True)
+        rows.append(per_key.agg(
+            F.sum("c").alias("n_rows"), F.count("*").alias("n_keys"),
+            (F.coalesce(F.sum("wrong"), F.lit(0)) if spec.get("sort_within") else F.lit(None)).cast("long").alias("unsorted_rows"),
+            (F.coalesce(F.sum((F.col("files") > 1).cast("long")), F.lit(0)) if held else F.lit(None)).cast("long")
+            .alias("split_keys")).select(F.lit(name).alias("variant"), "*"))
+    return functools.reduce(DataFrame.unionByName, rows)
+
+
+# ---------------------------------------------------------------- A28 joined
+def same_match_join(matches: DataFrame, details: DataFrame, medals: DataFrame, match: str = "match_id",
+                    player: str = "player_gamertag") -> DataFrame:
+    """Matches, details and medal rows, all bucketed by ``match``, joined
+    without an Exchange at whatever bucket count and with no setting. The
+    player is compared as a condition on the rows of one match: as a second
+    join key it would ask for a partitioning by both."""
+    first = matches.join(details, match)
+    m = medals.withColumnRenamed(player, "_player")
+    return first.join(m, (first[match] == m[match]) & (F.least(first[player], m["_player"]) == F.greatest(
+        first[player], m["_player"]))).drop(m[match]).drop("_player")
+
+
+def match_statistics(joined: DataFrame, maps: DataFrame, medals: DataFrame, classification: str) -> DataFrame:
+    """The statistics over the joined match tables, one row each
+    (statistic, key, value): the mean over (match, player) of the average
+    kills, the most frequent playlist and map, and the map with most medals
+    of one classification. ``maps`` (mapid, map_name) and ``medals``
+    (medal_id, classification) join as dimensions of a star."""
+    star = star_join(joined, [(maps, "mapid"), (medals, "medal_id")])
+    counts = written(star.groupBy("playlist_id", "map_name", "classification").agg(F.count(F.lit(1)).alias("c")), "match-counts")
+    per_game = joined.groupBy("match_id", "player_gamertag").agg(F.avg("player_total_kills").alias("k"))
+    kills = per_game.agg(F.avg("k").alias("value")).select(
+        F.lit("avg_kills_per_game").alias("statistic"), F.lit(None).cast("string").alias("key"), "value")
+
+    def most(rows: DataFrame, key: str, name: str) -> DataFrame:
+        best = rows.groupBy(key).agg(F.sum("c").alias("num")).orderBy(F.desc("num"), F.asc(key)).limit(1)
+        return best.select(F.lit(name).alias("statistic"), F.col(key).cast("string").alias("key"),
+                           F.col("num").cast("double").alias("value"))
+
+    return kills.unionByName(most(counts, "playlist_id", "top_playlist")).unionByName(
+        most(counts, "map_name", "top_map")).unionByName(
+        most(counts.where(F.col("classification") == classification), "map_name", "top_medal_map"))
 
 
 # ---------------------------------------------------------------- A30
+@contextlib.contextmanager
+def shared(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` computed once for all that is written inside the block
+    (memory, then disk), and released at its end."""
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield held
+    finally:
+        held.unpersist()
+
+
+def rollup_outputs(events_agg: DataFrame, devices: DataFrame, user: str = "user_id", device: str = "device_id",
+                   attr: str = "browser_type") -> DataFrame:
+    """The three outputs over one aggregate as rows (output, device,
+    attribute, user, max_event_counts, n): per user, per device, and the
+    users of each device."""
+    joined = events_agg.join(devices.select(device, attr), device, "inner")
+    none = F.lit(None)
+    kinds = {f.name: f.dataType for f in joined.schema}
+
+    def rows(df: DataFrame, name: str, n) -> DataFrame:
+        has = set(df.columns)
+        keys = [F.col(c) if c in has else none.cast(kinds[c]).alias(c) for c in (device, attr, user)]
+        return df.select(F.lit(name).alias("output"), *keys, "max_event_counts", n.cast("long").alias("n"))
+
+    per_user = events_agg.groupBy(user).agg(F.max("event_counts").alias("max_event_counts"), F.count(device).alias("n"))
+    per_device = joined.groupBy(device, attr).agg(F.max("event_counts").alias("max_event_counts"), F.count(user).alias("n"))
+    pairs = joined.withColumnRenamed("event_counts", "max_event_counts")
+    return rows(per_user, "user", F.col("n")).unionByName(rows(per_device, "device", F.col("n"))).unionByName(
+        rows(pairs, "pair", F.lit(1)))
+
+
 def events_aggregated(events: DataFrame, user: str = "user_id", device: str = "device_id",
                       host: str = "host") -> DataFrame:
     """Events per (user, device): count and sorted distinct hosts."""
@@ -119,13 +232,13 @@ def device_users(events_agg: DataFrame, devices: DataFrame, user: str = "user_id
             .select(device, attr, user, "event_counts"))
 
 
-def bucketed_tables(spark: SparkSession, tables: Mapping[str, tuple], buckets: int = 16,
+def bucketed_tables(spark: SparkSession, tables: Mapping[str, tuple], buckets: int | None = None,
                     db: str | None = None, location: str | None = None) -> dict:
     """Write each ``name -> (df, key, sort_cols)`` bucketed by its
-    key (same bucket count everywhere) into one namespace in the shared
-    folder; returns the tables read back. Joins among them on the bucket
-    key (plus further keys) read co-partitioned buckets without an
-    Exchange."""
+    key (one bucket count for all, from the largest table's bytes) into one
+    namespace in the shared folder; returns the tables read back. Joins among
+    them on the bucket key read co-partitioned buckets without an Exchange."""
+    buckets = buckets or sinks.bucket_count(*[df for df, *_ in tables.values()])
     loc = location or scratch_path(spark, "warehouse")
     db = db or f"cumulus_layout_{uuid.uuid4().hex[:12]}"  # each build has tables of its own
     sinks.create_namespace(spark, db, loc)

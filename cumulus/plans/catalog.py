@@ -31,29 +31,15 @@ from cumulus.streaming import sessions as sess, streams as st
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
-# Session settings a query needs for its plan (applied when it is built,
-# unset again for every other query so the session stays predictable).
-_QUERY_CONF: dict[str, dict[str, str]] = {}
-
-
 def _run(name, fn, spark: SparkSession, sf_dir: str) -> DataFrame:
     # Dates and window boundaries are computed in UTC, like the SQL oracle.
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    own = _QUERY_CONF.get(name, {})
-    for other in _QUERY_CONF.values():
-        for k in other:
-            if k not in own:
-                spark.conf.unset(k)
-    for k, v in own.items():
-        spark.conf.set(k, v)
     return normalize(fn(spark, sf_dir))
 
 
-def register(name: str, conf: dict[str, str] | None = None):
+def register(name: str):
     def deco(fn):
-        if conf:
-            _QUERY_CONF[name] = dict(conf)
         QUERIES[name] = lambda spark, sf_dir: _run(name, fn, spark, sf_dir)
         QUERIES[name].__doc__ = fn.__doc__
         QUERIES[name].__name__ = name
@@ -519,31 +505,36 @@ def q_match_top_medal_map(spark, sf_dir):
     return lay.medal_map_top(_matches(spark, sf_dir), medals, "PROMO")
 
 
+#: A29 variants; the number of files comes from the table's bytes.
+LINEITEM_LAYOUTS = {
+    "unsorted": {},
+    "sorted_shipdate": {"sort_within": ["l_shipdate"]},
+    "by_supplier_sorted": {"by": ["l_suppkey"], "spread": False, "sort_within": ["l_suppkey", "l_shipdate"]},
+    "by_supplier_spread": {"by": ["l_suppkey"], "sort_within": ["l_suppkey", "l_shipdate"]},
+}
+EVENT_LAYOUTS = {
+    "by_day": {"by": ["event_date"], "spread": False, "partition_by": ["event_date"]},
+    "by_day_sorted_type_user": {"by": ["event_date"], "partition_by": ["event_date"],
+                                "sort_within": ["event_date", "event_type", "user_id"]},
+    "by_day_sorted_user_type": {"by": ["event_date"], "partition_by": ["event_date"],
+                                "sort_within": ["event_date", "user_id", "event_type"]},
+}
+
+
 @register("compare_layouts")
 def q_compare_layouts(spark, sf_dir):
     """Lineitem written unsorted, sorted by ship date, and clustered by
-    supplier then ship date; file count and bytes per variant."""
-    li = table(spark, sf_dir, "lineitem")
-    return lay.compare_layouts(spark, li, {
-        "unsorted": {"partitions": 4},
-        "sorted_shipdate": {"partitions": 4, "sort_within": ["l_shipdate"]},
-        "by_supplier_sorted": {"partitions": 4, "by": ["l_suppkey"],
-                               "sort_within": ["l_suppkey", "l_shipdate"]},
-    })
+    supplier with and without spreading; rows, keys, and what breaks the
+    variant's promise."""
+    return lay.layout_promises(spark, table(spark, sf_dir, "lineitem"), LINEITEM_LAYOUTS, "l_suppkey")
 
 
 @register("compare_layouts_events")
 def q_compare_layouts_events(spark, sf_dir):
-    """A29 event form: events partitioned by day (folders), clustered by day
-    and locally sorted three ways; files and bytes per variant."""
+    """A29 event form: events in day folders, locally sorted three ways."""
     ev = si.events(spark, sf_dir).select("event_id", "user_id", "event_type", "value", "props",
                                          "ts", "event_date")
-    day = {"partitions": 8, "by": ["event_date"], "partition_by": ["event_date"]}
-    return lay.compare_layouts(spark, ev, {
-        "by_day": dict(day),
-        "by_day_sorted_type_user": dict(day, sort_within=["event_date", "event_type", "user_id"]),
-        "by_day_sorted_user_type": dict(day, sort_within=["event_date", "user_id", "event_type"]),
-    })
+    return lay.layout_promises(spark, ev, EVENT_LAYOUTS, "event_date")
 
 
 @register("enrich_geo")
@@ -839,20 +830,38 @@ def _match_tables(spark, sf_dir):
     return g, details, medals_players
 
 
-@register("match_bucketed_playlists",
-          conf={"spark.sql.requireAllClusterKeysForCoPartition": "false"})
-def q_match_bucketed_playlists(spark, sf_dir):
-    """Matches, details and medal rows written bucketed by
-    match_id (16 buckets), joined on match_id and then (match_id, player)
-    without a shuffle; rows per playlist. The second join's keys are a
-    superset of the bucket key, so co-partitioning on the bucket key alone
-    is allowed for this query."""
+def _bucketed_match_rows(spark, sf_dir, buckets=None):
     g, details, medals_players = _match_tables(spark, sf_dir)
     t = lay.bucketed_tables(spark, {
         "games_by_match": (g, "match_id", ["match_id"]),
         "players_by_match": (details, "match_id", ["match_id"]),
-        "medals_by_match": (medals_players, "match_id", ["match_id"])})
-    j = (t["games_by_match"].join(t["players_by_match"], "match_id")
-         .join(t["medals_by_match"], ["match_id", "player_gamertag"]))
-    return j.groupBy("playlist_id").agg(F.count(F.lit(1)).alias("num_rows"),
-                                        F.sum("player_total_kills").alias("kills"))
+        "medals_by_match": (medals_players, "match_id", ["match_id"])}, buckets)
+    return lay.same_match_join(t["games_by_match"], t["players_by_match"], t["medals_by_match"])
+
+
+@register("match_bucketed_playlists")
+def q_match_bucketed_playlists(spark, sf_dir):
+    """Matches, details and medal rows written bucketed by
+    match_id, joined on the match and then the player without a shuffle; rows
+    per playlist."""
+    return _bucketed_match_rows(spark, sf_dir).groupBy("playlist_id").agg(
+        F.count(F.lit(1)).alias("num_rows"), F.sum("player_total_kills").alias("kills"))
+
+
+@register("match_statistics")
+def q_match_statistics(spark, sf_dir):
+    """The four statistics over the three joined tables, with maps and
+    medals as dimensions broadcast within a byte limit."""
+    maps = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("mapid"),
+                                                 F.col("n_name").alias("map_name"))
+    medals = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("medal_id"),
+                                                 F.col("p_type").alias("classification"))
+    return lay.match_statistics(_bucketed_match_rows(spark, sf_dir), maps, medals, "PROMO")
+
+
+@register("user_device_rollup_all")
+def q_user_device_rollup_all(spark, sf_dir):
+    """The three roll-ups from one aggregate, which is written once
+    and read by all of them."""
+    agg = lay.events_aggregated(si.device_events(spark, sf_dir)).select("user_id", "device_id", "event_counts")
+    return lay.rollup_outputs(lay.written(agg, "device-agg"), si.page_devices(spark, sf_dir))

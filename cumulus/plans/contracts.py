@@ -85,8 +85,11 @@ CONTRACTS = {
     "match_top_map": c(["mapid"]),
     "match_top_medal_map": c(["mapid"]),
     "match_top_playlist": c(["playlist_id"]),
-    "compare_layouts": c(["variant"], ["variant", "n_files", "total_bytes"]),
-    "compare_layouts_events": c(["variant"], ["variant", "n_files", "total_bytes"]),
+    "compare_layouts": c(["variant"], ["variant", "n_rows", "n_keys"]),
+    "compare_layouts_events": c(["variant"], ["variant", "n_rows", "n_keys"]),
+    "match_statistics": c(["statistic"], ["statistic", "value"]),
+    "user_device_rollup_all": c(["output", "device_id", "user_id"], ["output", "max_event_counts", "n"],
+                                {"output": ["user", "device", "pair"]}),
     "contract_report": c(["check"], ["check", "violations"]),
     "cross_source_check": c(["day"]),
     "events_with_devices_left": c(["event_id"]),

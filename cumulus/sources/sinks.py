@@ -13,6 +13,39 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from cumulus.operators.joins import input_bytes
+
+#: Bytes of input that one written file or bucket should hold.
+FILE_BYTES = 128 << 20
+
+
+def file_count(df: DataFrame, file_bytes: int = FILE_BYTES) -> int:
+    """How many files ``df`` makes at ``file_bytes`` each, from the bytes
+    of its input; the session's shuffle width if these are unknown."""
+    size = input_bytes(df)
+    if size is None:
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, -(-size // file_bytes))
+
+
+def bucket_count(*tables: DataFrame, bucket_bytes: int = FILE_BYTES, least: int = 4) -> int:
+    """K5: one number of buckets for tables that are to be joined: the power
+    of two that brings the largest one to ``bucket_bytes`` a bucket or less."""
+    n = max(file_count(t, bucket_bytes) for t in tables)
+    return max(least, 1 << (n - 1).bit_length())
+
+
+def placed(df: DataFrame, by: Sequence[str], files: int, spread: bool = True) -> DataFrame:
+    """Rows dealt over ``files`` tasks by ranges of ``by``, with bounds
+    taken from a sample, so that small values share a task. With ``spread``
+    a heavy value takes as many tasks as its rows make; without it all rows
+    of a value stay in one task, however many they are."""
+    if not by:
+        return df.repartition(files)
+    if not spread:
+        return df.repartitionByRange(files, *by)
+    return df.withColumn("_salt", F.rand(17)).repartitionByRange(files, *by, "_salt").drop("_salt")
+
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """K1: append rows."""
@@ -50,12 +83,14 @@ def create_table_as(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame
     return df.sparkSession.table(name)
 
 
-def write_bucketed(df: DataFrame, name: str, key: str | Sequence[str], buckets: int = 16,
+def write_bucketed(df: DataFrame, name: str, key: str | Sequence[str], buckets: int | None = None,
                    sort_cols: Sequence[str] | None = None, path: str | None = None) -> DataFrame:
     """K5: bucketed (and sorted) table: joins of two tables bucketed the
     same way on the key read without an Exchange (and without a Sort when
-    ``sort_cols`` starts with the key)."""
+    ``sort_cols`` starts with the key). ``buckets`` comes from the table's
+    bytes if it isn't given."""
     keys = [key] if isinstance(key, str) else list(key)
+    buckets = buckets or bucket_count(df)
     w = df.repartition(buckets, *keys).write.mode("overwrite").format("parquet").bucketBy(buckets, *keys)
     if sort_cols:
         w = w.sortBy(*sort_cols)
@@ -66,25 +101,23 @@ def write_bucketed(df: DataFrame, name: str, key: str | Sequence[str], buckets:
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str],
-                      sort_within: Sequence[str] = ()) -> None:
-    """K6: identity-partitioned table (one folder per value)."""
-    d = df.repartition(*partition_by)
+                      sort_within: Sequence[str] = (), files: int | None = None) -> None:
+    """K6: identity-partitioned table (one folder per value). Tasks are ranges
+    of rows, so a value that holds most rows is written by many of them and
+    many small values by one; their number comes from the input's bytes."""
+    d = placed(df, partition_by, files or file_count(df))
     if sort_within:
         d = d.sortWithinPartitions(*partition_by, *sort_within)
     d.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
-def write_layout(df: DataFrame, path: str, partitions: int | None = None,
+def write_layout(df: DataFrame, path: str, files: int | None = None,
                  by: Sequence[str] = (), sort_within: Sequence[str] = (),
-                 partition_by: Sequence[str] = ()) -> None:
-    """K7: one layout variant: optional repartition by columns, optional
-    local sort (no global sort: ``sortWithinPartitions`` avoids a range
-    shuffle), optional folder partitioning (K6)."""
-    d = df
-    if partitions is not None and by:
-        d = d.repartition(partitions, *by)
-    elif partitions is not None:
-        d = d.repartition(partitions)
+                 partition_by: Sequence[str] = (), spread: bool = True) -> None:
+    """K7: one layout variant: placement by ranges of ``by`` (round robin
+    without), optional local sort (no global sort: ``sortWithinPartitions``
+    needs no shuffle of its own), optional folder partitioning (K6)."""
+    d = placed(df, by, files or file_count(df), spread)
     if sort_within:
         d = d.sortWithinPartitions(*sort_within)
     w = d.write.mode("overwrite")

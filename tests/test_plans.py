@@ -1,6 +1,7 @@
 """Physical-plan assertions: pruning and pushdown reach the scan, bounded
 broadcasts are used, bucketed joins do not shuffle, chunked positions never
 window over a whole key."""
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
@@ -82,29 +83,78 @@ def test_global_sort_shuffles_local_sort_does_not(spark, sf_small):
     assert "rangepartitioning" not in local and "Sort [" in local
 
 
-def test_three_table_bucketed_join_composite_key_no_exchange(spark, sf_small):
-    from cumulus.plans.catalog import _match_tables
+@pytest.mark.parametrize("buckets", [None, 8, 32])
+def test_three_table_bucketed_join_has_no_exchange_at_any_count(spark, sf_small, buckets):
+    from cumulus.plans.catalog import _bucketed_match_rows, _match_tables
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     try:
-        g, details, mp = _match_tables(spark, sf_small)
-        t = lay.bucketed_tables(spark, {"m_b": (g, "match_id", ["match_id"]),
-                                        "d_b": (details, "match_id", ["match_id"]),
-                                        "mp_b": (mp, "match_id", ["match_id"])},
-                                db="cumulus_test_buckets")
-        j = t["m_b"].join(t["d_b"], "match_id").join(t["mp_b"], ["match_id", "player_gamertag"])
+        j = _bucketed_match_rows(spark, sf_small, buckets)
         plan = lay.plan_text(j, "simple")
         assert plan.count("SortMergeJoin") == 2 and "Exchange" not in plan
+        assert "Bucketed: true" in lay.plan_text(j) and f"SelectedBucketsCount: {buckets or 4} out of {buckets or 4}" in lay.plan_text(j)
+        # The unbucketed twin shuffles, and has the same rows
+        g, details, mp = _match_tables(spark, sf_small)
+        twin = g.join(details, "match_id").join(mp, ["match_id", "player_gamertag"])
+        assert lay.plan_text(twin, "simple").count("Exchange hashpartitioning") >= 3
+        cols = sorted(twin.columns)
+        assert j.select(cols).exceptAll(twin.select(cols)).isEmpty() and twin.count() == j.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_queries_leave_the_session_alone(spark, sf_small):
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    spark.conf.set(key, "false")
+    try:
+        E.queries()["match_bucketed_playlists"](spark, sf_small)
+        E.queries()["funnel"](spark, sf_small)
+        assert spark.conf.get(key) == "false"
+    finally:
+        spark.conf.unset(key)
+
+
+def test_broadcast_is_refused_above_the_limit(spark, sf_small):
+    from cumulus.operators.joins import BroadcastTooLarge, broadcast_within, plan_bytes, star_join
+    nation, li = table(spark, sf_small, "nation"), table(spark, sf_small, "lineitem")
+    assert 0 < plan_bytes(nation) < plan_bytes(li)
+    broadcast_within(nation, plan_bytes(nation))
+    with pytest.raises(BroadcastTooLarge):
+        broadcast_within(li, plan_bytes(li) - 1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = table(spark, sf_small, "supplier").withColumnRenamed("s_nationkey", "n_nationkey")
+        dim = nation.select("n_nationkey", "n_name")
+        assert "BroadcastHashJoin" in lay.plan_text(star_join(fact, [(dim, "n_nationkey")]), "simple")
+        small = star_join(fact, [(dim, "n_nationkey")], limit=1)
+        assert "BroadcastHashJoin" not in lay.plan_text(small, "simple") and small.count() == fact.count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
+
+
+def test_match_statistics_broadcast_the_map_dimension(spark, sf_small):
+    from cumulus.plans.catalog import _bucketed_match_rows
+    from cumulus.operators.joins import star_join
+    maps = table(spark, sf_small, "nation").select(F.col("n_nationkey").cast("long").alias("mapid"), F.col("n_name").alias("map_name"))
+    plan = lay.plan_text(star_join(_bucketed_match_rows(spark, sf_small), [(maps, "mapid")]), "simple")
+    assert "BroadcastHashJoin [mapid" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_rollups_share_one_aggregate(spark, sf_small):
+    plan = lay.plan_text(E.queries()["user_device_rollup_all"](spark, sf_small))
+    assert "events.parquet" not in plan  # three outputs, all from the written aggregate
+    agg = lay.events_aggregated(si.device_events(spark, sf_small))
+    with lay.shared(agg) as held:
+        assert held.storageLevel.useDisk and held.storageLevel.useMemory
+        assert "InMemoryTableScan" in lay.plan_text(held.groupBy("user_id").count(), "simple")
+    assert not agg.storageLevel.useMemory
 
 
 def test_no_python_no_cartesian_in_any_registered_plan(spark, sf_small):
     """Every registered query stays JVM-side and never pairs all rows."""
     skip = {"compare_layouts", "compare_layouts_events"}   # write files while being built
     for name, q in QUERIES.items():
-        if name in skip or "stream" in name or name.startswith("tumbling") or name.startswith("match_bucketed"):
+        if name in skip or "stream" in name or name.startswith("tumbling") or name in (
+                "match_bucketed_playlists", "match_statistics"):
             continue
         plan = lay.plan_text(q(spark, sf_small), "simple")
         for bad in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",

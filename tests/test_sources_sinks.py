@@ -1,6 +1,8 @@
 """Scans, sinks and connectors (S2-S4, S6, S7, S11, K1-K7, K11, F6, K8/K9 wiring)."""
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F, types as T
 
 from cumulus.operators import layout as lay
@@ -72,13 +74,91 @@ def test_namespace_ctas_and_partitioned(spark):
     assert spark.read.parquet(p).filter("v = 'x'").count() == 1
 
 
-def test_compare_layouts_reports_each_variant(spark, sf_small):
+def test_compare_layouts_by_the_files_own_statistics(spark, sf_small):
     li = tb.table(spark, sf_small, "lineitem")
-    out = lay.compare_layouts(spark, li, {"unsorted": {"partitions": 2},
-                                          "sorted": {"partitions": 2, "sort_within": ["l_suppkey"]}})
+    out = lay.compare_layouts(spark, li, {
+        "unsorted": {"files": 6},
+        "clustered": {"files": 6, "by": ["l_suppkey"], "sort_within": ["l_suppkey"]}}, "l_suppkey")
     rows = {r.variant: r for r in out.collect()}
-    assert set(rows) == {"unsorted", "sorted"}
-    assert all(r.n_files >= 1 and r.total_bytes > 0 for r in rows.values())
+    n = li.count()
+    keys = li.select("l_suppkey").distinct().count()
+    for r in rows.values():
+        assert (r.n_files, r.n_row_groups, r.n_rows, r.n_keys) == (6, 6, n, keys) and r.total_bytes > 0
+        assert abs(r.rows_needed - n / keys) < 1e-9
+    assert rows["unsorted"].rows_read > 0.99 * n  # every file may hold every supplier
+    assert rows["clustered"].rows_read < 0.5 * n
+
+
+def test_footers_equal_the_files(spark, sf_small):
+    import glob
+    import pyarrow.parquet as pq
+    path = scratch_path(spark, "footers")
+    tb.table(spark, sf_small, "orders").repartition(3).write.parquet(path)
+    df = spark.read.parquet(path)
+    got = {r.file.rsplit("/", 1)[1]: r for r in tb.file_footers(df, "o_orderdate").collect()}
+    files = glob.glob(path.replace("file:", "") + "/*.parquet")
+    assert len(got) == len(files) == 3
+    for f in files:
+        t, r = pq.read_table(f), got[f.rsplit("/", 1)[1]]
+        days = t["o_orderdate"].to_pylist()
+        assert (r.rows, r.least, r.largest) == (len(days), min(days), max(days))
+        assert r.bytes == pq.read_metadata(f).row_group(0).total_byte_size
+    empty = df.limit(0)
+    empty.write.parquet(path + "-none")
+    assert tb.file_footers(spark.read.schema(df.schema).parquet(path + "-none"), "o_orderdate").count() == 0
+
+
+def test_promises_are_checked_on_the_files(spark):
+    df = spark.range(400).selectExpr("id % 7 AS k", "id AS v")
+    good = {"by": ["k"], "spread": False, "sort_within": ["k", "v"], "files": 3}
+    bad = {**good, "sort_within": ["v"]}
+    rows = {r.variant: r for r in lay.layout_promises(spark, df, {"good": good, "spread": {**good, "spread": True}}, "k").collect()}
+    assert (rows["good"].n_rows, rows["good"].n_keys, rows["good"].unsorted_rows, rows["good"].split_keys) == (400, 7, 0, 0)
+    assert rows["spread"].unsorted_rows == 0 and rows["spread"].split_keys is None
+    written = lay.write_variants(spark, df, {"x": bad})["x"]
+    with pytest.MonkeyPatch.context() as mp:  # the files break another promise than the one they were written for
+        mp.setattr(lay, "write_variants", lambda *a, **k: {"x": written})
+        assert lay.layout_promises(spark, df, {"x": good}, "k").first().unsorted_rows > 0
+
+
+def test_a_heavy_day_is_written_by_many_tasks(spark):
+    import glob
+    import os
+    df = spark.range(50_000).selectExpr("CASE WHEN id % 10 = 0 THEN id % 200 ELSE 7 END AS day", "id AS v", "uuid() AS u")
+    path = scratch_path(spark, "heavy")
+    sinks.write_partitioned(df, path, ["day"], ["v"], files=20)
+    root = path.replace("file:", "")
+    size = {f: os.path.getsize(f) for f in glob.glob(f"{root}/day=*/*.parquet")}
+    heavy = [s for f, s in size.items() if "/day=7/" in f]
+    assert 16 <= len(heavy) <= 21 and max(heavy) < 0.08 * sum(size.values())
+    assert len({f.rsplit("part-", 1)[1][:5] for f in size if "/day=7/" not in f}) <= 5  # small days share tasks
+    back = spark.read.parquet(path)
+    assert back.count() == 50_000 and back.where("day = 7").count() == df.where("day = 7").count()
+
+
+def test_files_and_buckets_come_from_bytes(spark, sf_small):
+    from cumulus.operators.joins import input_bytes
+    li, o = tb.table(spark, sf_small, "lineitem"), tb.table(spark, sf_small, "orders")
+    size = input_bytes(li)
+    assert input_bytes(li.join(o, li.l_orderkey == o.o_orderkey)) == size + input_bytes(o)
+    assert input_bytes(spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), 'k long')) is None
+    assert sinks.file_count(li, size) == 1 and sinks.file_count(li, size // 10) in (10, 11)
+    assert sinks.bucket_count(o, li, bucket_bytes=size // 10, least=1) == 16
+    assert sinks.bucket_count(o, li) == 4
+    sinks.write_bucketed(o, "cumulus_bytes_test", "o_orderkey", sinks.bucket_count(o, li, bucket_bytes=size // 10))
+    try:
+        told = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED cumulus_bytes_test").collect()}
+        assert told["Num Buckets"] == "16"
+    finally:
+        sinks.drop_table(spark, "cumulus_bytes_test")
+
+
+def test_numbering_equals_row_number(spark):
+    from cumulus.operators.joins import numbered
+    df = spark.range(1000).selectExpr("(id * 7919) % 1009 AS k")
+    got = numbered(df, ["k"])
+    assert [r.k for r in got.orderBy("pos").collect()] == sorted(r.k for r in df.collect())
+    assert numbered(df.limit(0), ["k"]).count() == 0
 
 
 def test_device_rollup_reuses_cached_aggregate(spark, sf_small):
