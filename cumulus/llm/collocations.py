@@ -37,10 +37,10 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cumulus.llm.common import stored
+from cumulus.llm.common import emit, released, stored
 
 #: Words that a task holds before it closes a shard, and the longest phrase.
-SHARD_WORDS = 1 << 21
+SHARD_WORDS = 3 << 20
 DEPTH = 4
 MIN_COUNT = 30
 #: A phrase goes if a longer one around it has this share of its count.
@@ -53,8 +53,9 @@ _SHARDS_A_TASK = 4
 _TABLE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz \n\n\n\n\n\n\n\n\n")
 
 _SHARD = pa.schema([("shard", pa.int64()), ("lang", pa.string()), ("words", pa.list_(pa.binary())),
-                    ("counts", pa.list_(pa.int64())), ("size", pa.int64()), ("seq", pa.binary())])
-_SHARD_DDL = "shard bigint, lang string, words array<binary>, counts array<bigint>, size bigint, seq binary"
+                    ("counts", pa.list_(pa.int64())), ("size", pa.int64()), ("seq", pa.binary()), ("kind", pa.string())])
+_SHARD_DDL = ("shard bigint, lang string, words array<binary>, counts array<bigint>, size bigint, seq binary, "
+              "kind string")
 
 
 class _Vocabulary(dict):
@@ -81,22 +82,22 @@ class _Sequence:
         self.size += len(got)
         return len(got)
 
-    def row(self, shard: int, lang: str) -> tuple:
+    def rows(self, shard: int, lang: str) -> list[tuple]:
         seq = np.concatenate(self.parts)
         words = [w for w, i in self.ids.items() if i > 0]
         counts = np.bincount(seq, minlength=len(words) + 1)[1:]
-        return shard, lang, words, counts, len(seq), pa.compress(seq.tobytes(), codec="zstd", asbytes=True)
+        return [(shard, lang, words, counts, None, None, "words"),
+                (shard, lang, None, None, len(seq), pa.compress(seq.tobytes(), codec="zstd", asbytes=True), "sequence")]
 
 
 def shards(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """Rows (shard, lang, words, counts, size, seq): the words of a shard in
-    the order of their ids, from 1, their counts, and the packed sequence."""
+    """Two rows a shard (shard, lang, kind): ``words``, in the order of their
+    ids from 1, with their counts; and ``sequence`` with size and packed ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made, held, total = TaskContext.get().partitionId(), 0, {}, 0
 
         def close(lang: str) -> pa.RecordBatch:
-            row = held.pop(lang).row(part * (1 << 32) + made, lang)
-            return pa.RecordBatch.from_arrays([pa.array([c], type=f.type) for c, f in zip(row, _SHARD)], schema=_SHARD)
+            return emit(held.pop(lang).rows(part * (1 << 32) + made, lang), _SHARD)
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -120,7 +121,7 @@ class Index:
     """FM-index of a sequence over 1..symbols, zeros between pieces."""
 
     def __init__(self, text: np.ndarray, symbols: int):
-        self.text, self.symbols = text.astype(np.int64), symbols
+        self.text, self.symbols = text.astype(np.int32), symbols
         self.bwt, self.key = self._transform(self.text)
         self._back = None
 
@@ -128,12 +129,18 @@ class Index:
         """The transform, suffixes sorted by their first four symbols, and its
         (symbol, row) pairs in order: a pair's place is C[symbol] plus the
         symbol's rank before the row."""
-        pair = text * (self.symbols + 1) + np.roll(text, -1)
-        _, rank = np.unique(pair, return_inverse=True)
-        order = np.argsort(rank * (int(rank.max()) + 1) + np.roll(rank, -2), kind="stable")
+        pair = text.astype(np.int64) * (self.symbols + 1) + np.roll(text, -1)
+        order = np.argsort(pair)
+        pair = pair[order]
+        rank = np.empty(len(text), dtype=np.int32)
+        rank[order] = np.cumsum(np.append(False, pair[1:] != pair[:-1]), dtype=np.int32)
+        pair = rank.astype(np.int64) * (int(rank.max()) + 1) + np.roll(rank, -2)
+        del rank
+        order = np.argsort(pair, kind="stable")
+        del pair
         bwt = text[order - 1]
-        by_symbol = np.argsort(bwt, kind="stable")
-        return bwt, bwt[by_symbol] * len(text) + by_symbol
+        order = np.argsort(bwt, kind="stable")
+        return bwt, bwt[order].astype(np.int64) * len(text) + order
 
     def _side(self, left: bool) -> tuple[np.ndarray, np.ndarray]:
         if left:
@@ -155,11 +162,14 @@ class Index:
         (parent, symbol, lo, other, count)."""
         bwt, key = self._side(left)
         n = len(bwt)
-        owner = np.repeat(np.arange(len(lo)), count)
         start = np.cumsum(count) - count
-        rows = np.repeat(lo - start, count) + np.arange(len(owner))
-        pairs, found = np.unique(owner * (self.symbols + 1) + bwt[rows], return_counts=True)
-        parent, symbol = np.divmod(pairs, self.symbols + 1)
+        rows = np.repeat(lo - start, count) + np.arange(int(count.sum()))
+        rows = bwt[rows] + np.repeat(np.arange(len(lo)) * (self.symbols + 1), count)
+        rows.sort()
+        edge = np.nonzero(np.append(True, rows[1:] != rows[:-1])[: len(rows)])[0]
+        found = np.diff(np.append(edge, len(rows)))
+        parent, symbol = np.divmod(rows[edge], self.symbols + 1)
+        del rows
         # smaller symbols of the same parent come first in the other transform
         moved = other[parent] + (np.cumsum(found) - found) - start[parent]
         real = symbol > 0
@@ -224,20 +234,18 @@ def _rows(batches: Iterator[pa.RecordBatch], arrays: list[str]) -> Iterator[dict
             yield row
 
 
-def _batches(shard: int, words: list[np.ndarray], count: np.ndarray) -> Iterator[pa.RecordBatch]:
-    names = ["shard", *[f"g{i + 1}" for i in range(len(words))], "c"]
-    for at in range(0, len(count), 1 << 16):
-        cut = slice(at, at + (1 << 16))
-        cols = [w[cut] for w in words] + [count[cut]]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(cols[0]), shard), pa.int64())] + [pa.array(c, pa.int64()) for c in cols], names=names)
+def _batches(**columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+    size = len(next(iter(columns.values())))
+    for at in range(0, size, 1 << 16):
+        yield pa.RecordBatch.from_arrays([pa.array(c[at : at + (1 << 16)], pa.int64()) for c in columns.values()],
+                                         names=list(columns))
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for row in _rows(batches, ["local", "ids"]):
         index, ids = _indexed(row)
         first, second, count = pairs(index)
-        yield from _batches(row["shard"], [ids[first], ids[second]], count)
+        yield from _batches(shard=np.full(len(count), row["shard"]), g1=ids[first], g2=ids[second], c=count)
 
 
 def _longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,8 +254,22 @@ def _longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_id = np.argsort(ids)
         first, second = (by_id[np.searchsorted(ids, row[k], sorter=by_id)] for k in ("first", "second"))
         for words, count in longer(index, np.sort(first * (index.symbols + 1) + second)):
-            none = np.zeros(len(count), dtype=np.int64)
-            yield from _batches(row["shard"], [ids[w] for w in words] + [none] * (DEPTH - len(words)), count)
+            at = [ids[w] for w in words] + [np.zeros(len(count), dtype=np.int64)] * (DEPTH - len(words))
+            yield from _batches(**{f"g{i + 1}": g for i, g in enumerate(at)}, c=count)
+
+
+def numbered_words(told: DataFrame, min_count: int) -> DataFrame:
+    """The frequent words with ids from 1 on without gaps: a written table's
+    rows are numbered inside their partition and moved on by the partitions
+    before (one row each)."""
+    found = told.groupBy("lang", "word").agg(F.sum("c").alias("f")).where(F.col("f") >= min_count)
+    found = stored(found.withColumn("raw", F.monotonically_increasing_id()), "phrase-words")
+    part = F.shiftright("raw", 33)
+    counts = found.groupBy(part.alias("part")).agg(F.count("*").alias("rows"))
+    before = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    moved = counts.select("part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("by"))
+    return found.withColumn("part", part).join(moved, "part").select(
+        "lang", "word", "f", (F.col("by") + F.col("raw").bitwiseAND(F.lit((1 << 33) - 1)) + 1).alias("id"))
 
 
 def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, shard_words: int = SHARD_WORDS
@@ -255,20 +277,22 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, shard_words: i
     """Words (id, lang, word, f), phrases (p: ids of two to four words, f) of
     at least ``min_count`` occurrences, and totals (lang, n)."""
     spark = docs.sparkSession
-    packed = stored(shards(docs, shard_words), "phrase-shards")
-    told = packed.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("i", "w")).select(
+    packed = stored(shards(docs, shard_words), "phrase-shards", "kind")
+    spelled = packed.where("kind = 'words'")
+    told = spelled.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("i", "w")).select(
         "shard", "lang", (F.col("i") + 1).cast("bigint").alias("local"), F.col("w.words").alias("word"),
         F.col("w.counts").alias("c"))
-    totals = packed.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, b: a + b)).alias("n"))
-    words = stored(told.groupBy("lang", "word").agg(F.sum("c").alias("f")).where(F.col("f") >= min_count)
-                   .withColumn("id", F.monotonically_increasing_id() + 1), "phrase-words")
+    totals = stored(spelled.groupBy("lang").agg(F.sum(F.aggregate(
+        "counts", F.lit(0).cast("bigint"), lambda a, b: a + b)).alias("n")), "phrase-totals")
+    words = stored(numbered_words(told, min_count), "phrase-ids")
     mine = told.join(words.hint("merge").select("lang", "word", "id"), ["lang", "word"]).groupBy("shard").agg(
         F.collect_list(F.struct("local", "id")).alias("m")).select(
         "shard", F.col("m.local").alias("local"), F.col("m.id").alias("ids"))
     mine = stored(mine, "phrase-vocabularies")  # a row holds the words of one shard
-    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), packed.count() // _SHARDS_A_TASK)
-    sequences = packed.select("shard", "size", "seq").repartition(width, "shard")
-    joined = sequences.join(mine.repartition(width, "shard").hint("merge"), "shard")
+    sequences = packed.where("kind = 'sequence'").select("shard", "size", "seq")
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), sequences.count() // _SHARDS_A_TASK)
+    released(packed, "kind=words")
+    joined = sequences.repartition(width, "shard").join(mine.repartition(width, "shard").hint("merge"), "shard")
     two = joined.select("shard", "size", "seq", "local", "ids").mapInArrow(
         _pairs, "shard bigint, g1 bigint, g2 bigint, c bigint")
     # one row a shard and pair, so the window of a pair is as long as there are shards
@@ -278,7 +302,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, shard_words: i
         "shard", F.col("m.g1").alias("first"), F.col("m.g2").alias("second"))
     more = joined.join(held.repartition(width, "shard").hint("merge"), "shard").select(
         "shard", "size", "seq", "local", "ids", "first", "second").mapInArrow(
-        _longer, "shard bigint, g1 bigint, g2 bigint, g3 bigint, g4 bigint, c bigint")
+        _longer, "g1 bigint, g2 bigint, g3 bigint, g4 bigint, c bigint")
     more = more.groupBy("g1", "g2", "g3", "g4").agg(F.sum("c").alias("f")).where(F.col("f") >= min_count)
     ids = F.array_remove(F.array("g1", "g2", "g3", "g4"), F.lit(0).cast("bigint"))
     phrases = stored(two.groupBy("g1", "g2").agg(F.max("f").alias("f")).select(F.array("g1", "g2").alias("p"), "f")
@@ -331,15 +355,16 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, percent: int = SUB
 
 
 def best_collocations(docs: DataFrame, top: int = TOP, **options) -> DataFrame:
-    """The first ``top`` of each language, ranked in two steps: inside salted
-    groups, then among what these leave."""
+    """The first ``top`` of each language, ranked inside ever fewer salted
+    groups, then among the few times ``top`` that the last of these leave."""
     every = collocations(docs, **options)
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    salted = every.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(width)))
-    first = salted.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order)))
-    first = first.where(F.col("rank") <= top)
-    out = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("bigint"))
+    for groups in (width, 4):
+        salted = every.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(groups)))
+        ranked = salted.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order)))
+        every = ranked.where(F.col("rank") <= top)
+    out = every.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("bigint"))
     return out.where(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 

@@ -19,18 +19,18 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, *parts: str) -> DataFrame:
     """``df`` written to a new folder of the shared checkpoint root and read
     back: cuts lineage, survives lost executors, is computed once. As nothing
     reads its shuffles again, their files are freed with the write instead of
     when the driver's garbage collector gets to them; the session's setting is
-    put back."""
+    put back. ``parts`` names columns that become folders."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").partitionBy(*parts).parquet(path)
     finally:
         if before is None:
             spark.conf.unset(_CLEANUP)
@@ -39,6 +39,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def released(df: DataFrame, part: str) -> None:
+    """Deletes the files of one folder (``column=value``) of a table that
+    ``stored`` wrote, once nothing will read them again, not even to make up
+    for a lost executor."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if folder.endswith(f"/{part}") and "/cumulus-work/" in folder:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def whole_row(docs: DataFrame) -> Column:
     """All columns of ``docs`` as one struct ``row``, so that an operator's own
     names can't meet the input's."""
