@@ -25,7 +25,10 @@ from cumulus.operators import scd
 from cumulus.operators.sessions import sessionize_split
 from cumulus.plans import standins as si
 from cumulus.plans.flatten import normalize
+from cumulus.session import scratch_path
+from cumulus.sources import ingest
 from cumulus.sources.tables import table
+from cumulus.sources.versions import VersionedTable
 from cumulus.streaming import sessions as sess, streams as st
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -537,6 +540,36 @@ def q_compare_layouts_events(spark, sf_dir):
     return lay.layout_promises(spark, ev, EVENT_LAYOUTS, "event_date")
 
 
+@register("versioned_upsert")
+def q_versioned_upsert(spark, sf_dir):
+    """K3: orders kept by year in a versioned table; the orders of two years
+    arrive again with a new status, and new orders with them, as an upsert on
+    (key, year) that becomes the next version."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"), "o_orderstatus")
+    t = VersionedTable(spark, scratch_path(spark, "orders"), "o_orderkey bigint, year int, o_orderstatus string", "year")
+    t.upsert(o.where(F.col("o_orderkey") % 5 > 0), ["o_orderkey", "year"])
+    late = o.where(F.col("year").between(1998, 1999)).withColumn("o_orderstatus", F.lit("X"))
+    t.upsert(late, ["o_orderkey", "year"])
+    return t.read()
+
+
+@register("csv_ingest")
+def q_csv_ingest(spark, sf_dir):
+    """Events through CSV. The text is read with a schema, a column for
+    what doesn't fit it and a contract; good and rejected rows are written in
+    one pass and read back as one table."""
+    ev = si.events(spark, sf_dir).select("event_id", "ts", "user_id", "event_type", "value", "props")
+    # every hundredth value isn't a number, and every 97th event has no user
+    text = ev.select("event_id", "ts", F.when(F.col("event_id") % 97 > 0, F.col("user_id")).alias("user_id"), "event_type",
+                     F.when(F.col("event_id") % 100 == 0, F.lit("n/a")).otherwise(F.col("value").cast("string")).alias("value"),
+                     "props")
+    path = scratch_path(spark, "csv-in")
+    micros = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+    text.write.option("header", True).option("escape", '"').option("timestampFormat", micros).csv(path)
+    out = ingest.ingest_csv(spark, path, ingest.EVENT_CONTRACT, scratch_path(spark, "csv-out"), timestampFormat=micros)
+    return out.select("event_id", "ts", "user_id", "event_type", "value", "props", "accepted", "reasons")
+
+
 @register("enrich_geo")
 def q_enrich_geo(spark, sf_dir):
     """Events with an IP derived from the user, geodata from the

@@ -87,6 +87,8 @@ CONTRACTS = {
     "match_top_playlist": c(["playlist_id"]),
     "compare_layouts": c(["variant"], ["variant", "n_rows", "n_keys"]),
     "compare_layouts_events": c(["variant"], ["variant", "n_rows", "n_keys"]),
+    "versioned_upsert": c(["o_orderkey"], ["o_orderkey", "year", "o_orderstatus"]),
+    "csv_ingest": c(["event_id"], ["event_id", "accepted", "reasons"]),
     "match_statistics": c(["statistic"], ["statistic", "value"]),
     "user_device_rollup_all": c(["output", "device_id", "user_id"], ["output", "max_event_counts", "n"],
                                 {"output": ["user", "device", "pair"]}),

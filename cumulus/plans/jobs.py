@@ -21,6 +21,7 @@ from cumulus.operators import graph as gp
 from cumulus.operators import growth as gr
 from cumulus.operators import scd
 from cumulus.sources.tables import events_utc
+from cumulus.sources.versions import VersionedTable
 from cumulus.streaming import streams as st
 
 
@@ -96,22 +97,34 @@ def growth_job(spark: SparkSession, events_path: str, table_path: str, day: str,
                     table_path, "date")
 
 
+METRIC_SCHEMA = "user_id bigint, metric_name string, metric_array array<bigint>, month_start date"
+
+
+def metric_table(spark: SparkSession, table_path: str) -> VersionedTable:
+    """The monthly arrays: a versioned table, one folder a month."""
+    return VersionedTable(spark, table_path, METRIC_SCHEMA, "month_start")
+
+
 def metric_array_job(spark: SparkSession, events_path: str, table_path: str, day: str,
-                     metric: str = "site_hits") -> None:
-    """A15 daily: the month's arrays with today's slot written; the month
-    partition is replaced (upsert on key, month, metric)."""
-    month = _day(day).replace(day=1)
-    # A month starts without a partition, so its absence is not a gap.
-    table = existing(spark, table_path)
-    prev = (spark.createDataFrame([], "user_id bigint, metric_name string, metric_array array<bigint>, "
-                                      "month_start date") if table is None
-            else table.filter(F.col("month_start") == F.lit(month)))
-    # The month partition is read and then replaced: materialise the read in
-    # the shared checkpoint folder first, so the overwrite never depends on
-    # the files it replaces.
-    prev = prev.checkpoint(eager=True)
+                     metric: str = "site_hits", first_day: str | None = None) -> None:
+    """A15 daily: the month's arrays with today's slot written, as an upsert
+    on (user, month, metric) that becomes a new version, so the version that
+    was read stays whole. The last day written is kept with the version: a
+    day may be run again, one that would leave a gap stops the job.
+    ``first_day`` is the first one of a new table or month (default: the day
+    itself, earlier ones of the month counting as zeros)."""
+    month, table = _day(day).replace(day=1), metric_table(spark, table_path)
+    read = table.version()
+    note = f"last:{metric}:{month}"
+    last = read.notes.get(note) or (str(_day(first_day) - dt.timedelta(days=1)) if first_day else None)
+    if last is not None and _day(day) > _day(last) + dt.timedelta(days=1):
+        raise ValueError(f"{table_path}: {metric} was written up to {last}; run the days up to {day} first")
+    held = table.read(read, [str(month)])
+    prev = held.where(F.col("metric_name") == metric)
     out = cum.cumulate_metric_array(prev, _events_on(spark, events_path, day), "user_id", day, metric)
-    write_partition(out, table_path, "month_start")
+    columns = [f.split()[0] for f in METRIC_SCHEMA.split(", ")]
+    table.upsert(out.select(*columns), ["user_id", "metric_name", "month_start"], read,
+                 {note: max(day, last) if last else day})
 
 
 # ---------------------------------------------------------------- yearly / one-shot jobs

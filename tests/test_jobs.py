@@ -28,7 +28,7 @@ def test_daily_jobs_equal_backfill_and_rerun_is_idempotent(spark, sf_small):
     g = spark.read.parquet(gt).filter(F.col("date") == DAYS[-1])
     back = gr.growth_backfill(ev, ["user_id"], DAYS[0], DAYS[-1]).filter(F.col("date") == DAYS[-1])
     assertDataFrameEqual(g.select(*back.columns), back)
-    arr = spark.read.parquet(ma)
+    arr = jobs.metric_table(spark, ma).read()
     assert arr.count() == arr.select("user_id").distinct().count()
     assertDataFrameEqual(arr.select("user_id", "metric_array"),
                          cum.metric_array_backfill(ev, "user_id", DAYS[-1], "site_hits")
