@@ -6,12 +6,17 @@ the last, of eight words or more) is an entry of its own. Impacts are BM25 term
 scores divided by the entry's own total, so a passage that holds all words of
 an entry scores 1 against it and one threshold serves all; entries that can
 pass the verification below it have the least score that this takes. The
-entries are laid out in docid-aligned blocks; a block's maximum impact by term
-bounds all of its entries at once. For a passage, the
-blocks whose bounds reach the threshold are found by one sum over its terms;
-inside them WAND pivots on the terms' block maxima and skips entries that can't
-reach the threshold. Nothing below the threshold is ranked, so no top-k cuts
-the result.
+entries are laid out in docid-aligned blocks.
+
+A passage meets the index in two steps, both exact. First, an entry can only
+reach the threshold with some of its strongest terms (what the weak ones weigh
+together is well below it), so the postings of these, summed for all passages of a
+text at once, tell which passages have to be asked at all (the strong terms
+must hold what the weak ones can't make up for). These are answered
+by WAND: terms are pivoted on their largest impacts, the maxima of the pivot's
+block decide whether the block is skipped, and only what is left is scored.
+Nothing below the threshold is ranked, so no top-k cuts the result. Postings
+and block maxima are sparse, so an index is linear in its words.
 
 Retrieved items are verified on the words: the share of the 5-word shingles of
 the whole item, of its question (all sentences but the last) and of its answer
@@ -32,6 +37,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -49,6 +55,9 @@ OVERLAP = 0.8
 SHINGLE = 5
 MIN_QUESTION = 8
 BLOCK = 8
+#: Terms are weak, and left out of the first step, as long as they weigh less
+#: than this part of an entry's threshold together.
+WEAK = 0.4
 #: Words of test items that one index holds; more items make more indexes,
 #: each a pass over the documents, so that what a task holds is bounded.
 INDEX_WORDS = 400_000
@@ -111,8 +120,10 @@ class Index:
         self.term: dict[str, int] = {}
         #: Impacts of each item's terms on the whole.
         self.impact: list[dict[int, float]] = [{} for _ in items]
-        ease = []
-        posts: list[list[tuple[int, float]]] = []
+        self.ease = []
+        posts: list[tuple[list[int], list[float]]] = []
+        must: list[list[tuple[int, float]]] = []
+        self.need = np.zeros(len(entries))
         for at, (ws, i) in enumerate(entries):
             norm = K1 * (1 - B + B * len(ws) / max(mean_words, 1e-9))
             scores = {w: math.log(1 + (n_items - df[w] + 0.5) / (df[w] + 0.5)) * tf * (K1 + 1) / (tf + norm)
@@ -122,61 +133,91 @@ class Index:
             for w, s in share.items():
                 k = self.term.setdefault(w, len(posts))
                 if k == len(posts):
-                    posts.append([])
-                posts[k].append((at, s))
+                    posts.append(([], []))
+                    must.append([])
+                posts[k][0].append(at)
+                posts[k][1].append(s)
                 if len(ws) == len(words[i]):
                     self.impact[i][k] = s
-            ease.append(min(1.0, max(0.0, least_share(ws, share)) / SCORE))
-        blocks = -(-len(entries) // BLOCK)
-        #: Part of the threshold that an entry, and the easiest of a block, must reach.
-        self.ease = ease
-        self.block_ease = np.array([min(ease[b * BLOCK : (b + 1) * BLOCK]) for b in range(blocks)])
-        #: Row of the block maxima for each term; the last row, all zero, is for unknown words.
-        self.maxima = np.zeros((len(posts) + 1, blocks), dtype=np.float32)
-        self.lists: list[dict[int, list[tuple[int, float]]]] = []
-        for k, p in enumerate(posts):
-            by_block: dict[int, list[tuple[int, float]]] = {}
-            for at, s in p:
-                by_block.setdefault(at // BLOCK, []).append((at, s))
-            for b, x in by_block.items():
-                self.maxima[k, b] = max(s for _, s in x)
-            self.lists.append(by_block)
+            #: Part of the threshold that the entry must reach.
+            self.ease.append(min(1.0, max(0.0, least_share(ws, share)) / SCORE))
+            # its strongest terms, and how much of them a passage must hold
+            rest, low = 1.0, SCORE * self.ease[at]
+            for w, s in sorted(share.items(), key=lambda x: (-x[1], x[0])):
+                if rest < WEAK * low:
+                    break
+                must[self.term[w]].append((at, s))
+                rest -= s
+            self.need[at] = low - max(rest, 0.0)
+        self.block_ease = [min(self.ease[b : b + BLOCK]) for b in range(0, len(entries), BLOCK)]
+        #: By term: entries, impacts, the largest impact, and that by block.
+        self.lists = []
+        for at, impacts in posts:
+            maxima: dict[int, float] = {}
+            for e, s in zip(at, impacts):
+                maxima[e // BLOCK] = max(s, maxima.get(e // BLOCK, 0.0))
+            self.lists.append((at, impacts, max(impacts), maxima))
         self.unknown = len(posts)
+        #: The strongest terms' postings, one after the other; unknown words have none.
+        self.size = np.array([len(m) for m in must] + [0])
+        self.start = np.cumsum(self.size) - self.size
+        self.entry = np.array([e for m in must for e, _ in m], dtype=np.int64)
+        self.part = np.array([s for m in must for _, s in m])
+
+    def asked(self, ids: np.ndarray) -> list[int]:
+        """Numbers of a text's passages (of its term ids) that may reach the
+        threshold of an entry."""
+        at = np.nonzero(self.size[ids])[0]
+        if not len(at):
+            return []
+        last = max(1, -(-(len(ids) - self.longest) // self.longest)) - 1
+        number = at // self.longest  # a word is in the passage that starts before it, and in the one before that
+        passage, term = np.concatenate([number, number - 1]), np.tile(ids[at], 2)
+        inside = (passage >= 0) & (passage <= last)
+        both = np.unique(passage[inside] * (self.unknown + 1) + term[inside])
+        passage, term = np.divmod(both, self.unknown + 1)
+        n = self.size[term]
+        rows = np.repeat(self.start[term] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        entries = len(self.need)
+        key, which = np.unique(np.repeat(passage, n) * entries + self.entry[rows], return_inverse=True)
+        reached = np.bincount(which, weights=self.part[rows]) >= self.need[key % entries] - 1e-6
+        return np.unique(key[reached] // entries).tolist()
 
     def retrieve(self, terms: np.ndarray, least: float) -> dict[int, float]:
         """Entries with a score of ``least`` (times their ease) or more for a
         passage of distinct known terms: position -> score."""
         found: dict[int, float] = {}
-        if len(terms):
-            bound = self.maxima[terms].sum(axis=0)
-            for b in np.nonzero(bound >= least * self.block_ease - 1e-4)[0].tolist():
-                self._wand(terms.tolist(), b, least, found)
-        return found
-
-    def _wand(self, terms: list[int], block: int, least: float, found: dict[int, float]) -> None:
-        lists = [[0, x, max(s for _, s in x)] for t in terms if (x := self.lists[t].get(block))]
-        low = least * float(self.block_ease[block]) - 1e-9
+        lists = [[self.lists[t][0][0], 0, *self.lists[t]] for t in terms.tolist()]
+        low = least * min(self.block_ease, default=1.0) - 1e-9
         while lists:
-            lists.sort(key=lambda c: c[1][c[0]][0])
-            bound, pivot = 0.0, None
-            for c in lists:
-                bound += c[2]
-                if bound >= low:
-                    pivot = c[1][c[0]][0]
-                    break
-            if pivot is None:
-                return
-            if lists[0][1][lists[0][0]][0] == pivot:
-                score = sum(c[1][c[0]][1] for c in lists if c[1][c[0]][0] == pivot)
+            lists.sort(key=lambda c: c[0])
+            bound, held = 0.0, 0
+            while held < len(lists) and bound < low:
+                bound += lists[held][4]
+                held += 1
+            if bound < low:
+                break
+            pivot = lists[held - 1][0]
+            while held < len(lists) and lists[held][0] == pivot:
+                held += 1
+            block = pivot // BLOCK
+            if sum(c[5].get(block, 0.0) for c in lists[:held]) < least * self.block_ease[block] - 1e-9:
+                to = (block + 1) * BLOCK  # no entry up to the next list's, or the block's end, can reach it
+                if held < len(lists):
+                    to = min(to, lists[held][0])
+            elif lists[0][0] == pivot:
+                score = sum(c[3][c[1]] for c in lists[:held])
                 if score >= least * self.ease[pivot] - 1e-9:
                     found[pivot] = score
-                pivot += 1
-            for c in lists:  # skip to the pivot, or past it once scored
-                at, posts = c[0], c[1]
-                while at < len(posts) and posts[at][0] < pivot:
-                    at += 1
-                c[0] = at
-            lists = [c for c in lists if c[0] < len(c[1])]
+                to = pivot + 1
+            else:
+                to = pivot
+            for c in lists[:held]:
+                if c[0] < to:
+                    c[1] = bisect_left(c[2], to, c[1])
+                    c[0] = c[2][c[1]] if c[1] < len(c[2]) else -1
+            lists = [c for c in lists if c[0] >= 0]
+        return found
 
     def leaks(self, text: str | None) -> Iterator[tuple]:
         """Verified items of one text, each once: (item id, score, overlap of
@@ -185,25 +226,23 @@ class Index:
         if not words or not self.longest:
             return
         get, none = self.term.get, self.unknown
-        ids = np.fromiter((get(w, none) for w in words), dtype=np.int32, count=len(words))
-        seen = np.unique(ids[ids != none])
-        if not len(seen) or not (self.maxima[seen].sum(axis=0) >= SCORE * self.block_ease - 1e-4).any():
-            return
-        found: set[int] = set()
-        passages = []
+        ids = np.array([get(w, none) for w in words], dtype=np.int64)
         step = self.longest
-        for at in range(0, max(1, len(ids) - step), step):
-            w = ids[at : at + 2 * step]
-            passages.append(np.unique(w[w != none]))
-            found.update(self.item[e] for e in self.retrieve(passages[-1], SCORE))
+
+        def passage(i: int) -> np.ndarray:
+            w = ids[i * step : i * step + 2 * step]
+            return np.unique(w[w != none])
+
+        found = {self.item[e] for i in self.asked(ids) for e in self.retrieve(passage(i), SCORE)}
         if not found:
             return
         here = shingles(words)
+        passages = [passage(i).tolist() for i in range(max(1, -(-(len(ids) - step) // step)))]
         for item in sorted(found):
             part = [self._share(x[item], here, words) for x in (self.whole, self.question, self.answer)]
             if part[0] >= OVERLAP or (self.asks[item] and part[1] >= OVERLAP):
                 impact = self.impact[item].get
-                yield self.item_ids[item], max(sum(impact(t, 0.0) for t in w.tolist()) for w in passages), *part
+                yield self.item_ids[item], max(sum(impact(t, 0.0) for t in w) for w in passages), *part
 
     @staticmethod
     def _share(part: set[tuple], here: set[tuple], words: list[str]) -> float:
@@ -214,8 +253,9 @@ class Index:
         return len(part & have) / len(part)
 
 
-def indexes(items: DataFrame, index_words: int = INDEX_WORDS) -> list[Index]:
-    """The items' indexes, each of about ``index_words`` words at most."""
+def indexes(items: DataFrame, index_words: int = INDEX_WORDS) -> Iterator[Index]:
+    """The items' indexes, each of about ``index_words`` words at most, one
+    after the other."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = pa.schema([("item_id", pa.int64()), ("text", pa.string()), ("n", pa.int64()), ("words", pa.list_(pa.string()))])
         for batch in batches:
@@ -227,19 +267,17 @@ def indexes(items: DataFrame, index_words: int = INDEX_WORDS) -> list[Index]:
     rows = stored(rows.mapInArrow(count, "item_id bigint, text string, n bigint, words array<string>"), "bench-items")
     n, total = rows.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     if not n:
-        return []
+        return
     parts = -(-total // index_words)
     shard = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
     each = rows.select("item_id", "text", "words", shard.alias("part"))
     df = rows.select(F.explode("words").alias("w")).groupBy("w").count()
-    out = []
     for part in range(parts):
         mine = each.where(F.col("part") == part)
         held = mine.select("item_id", "text").collect()
         if held:
             known = mine.select(F.explode("words").alias("w")).distinct().join(df, "w").collect()
-            out.append(Index([(r[0], r[1]) for r in held], {r[0]: r[1] for r in known}, n, total / n))
-    return out
+            yield Index([(r[0], r[1]) for r in held], {r[0]: r[1] for r in known}, n, total / n)
 
 
 def leaked_items(docs: DataFrame, items: DataFrame, index_words: int = INDEX_WORDS) -> DataFrame:
