@@ -1,11 +1,13 @@
 """Toxicity of deobfuscated text.
 
-Noisy channel: a token that carries a substitution, spaced-out letters or a
-letter repeated three times or more becomes a character lattice (a sign may
-stand for a letter, a separator for nothing, a run for one or two letters).
-Viterbi decoding under a character trigram model picks the likeliest word. The
-model's counts come from the words of all documents. The restored text is then
-scored by character n-grams and words learnt from labelled rows.
+Noisy channel: a token that carries a substitution or a letter repeated three
+times or more, and three or more letters that stand alone (parted by any white
+space or marks), become a character lattice (a sign may stand for a letter, a
+separator for nothing, a run for one or two letters). Viterbi decoding under a
+character trigram model picks the likeliest word. The model's counts come from
+the words of all documents. The restored text is then scored by character
+n-grams and words learnt from labelled rows. Text is worked on by tokens, each
+folded and restored once and kept, so the work on a text is linear.
 
 The classifier is fitted on at most ``FIT_ROWS`` labelled rows (smallest hash
 of the id first), never on rows whose crc32 of the id is divisible by five:
@@ -14,7 +16,8 @@ regression over a document's strongest weights gives the score.
 
 Defined results: null text counts as empty; an empty text has a score; null
 ids are scored and never learnt from; ids that repeat in the labels count as
-toxic if any row says so; null labels are left out; without labels of both
+toxic if any row says so, and of several texts under one id the one that
+sorts first is learnt from; null labels are left out; without labels of both
 kinds every score is 0; letters outside Latin pass through unchanged; extra
 columns are ignored; empty in, empty out.
 """
@@ -47,13 +50,19 @@ SIGNS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t",
          "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "*": "aeiou"}
 _SIGN = re.escape("".join(SIGNS))
 _MARK = re.compile("[̀-ͯ]")
-_TOKEN = re.compile(r"\S+")
-#: Letters one by one with the same kind of separator: at least four of them.
-_SPACED = re.compile(rf"(?<![^\W_])[a-z{_SIGN}](?:([ .\-_*])[a-z{_SIGN}])(?:\1[a-z{_SIGN}]){{2,}}(?![^\W_])")
-_NOISY = re.compile(rf"(?<![^\s\"'(])(?=[^\s]*[a-z])[a-z{_SIGN}'’-]*(?:[a-z][{_SIGN}]+[a-z]|[{_SIGN}][a-z]{{2}}|[a-z]{{2}}[0-9@$|+]|([a-z])\1\1)"
-                    rf"[a-z{_SIGN}'’-]*")
+#: Letters one by one within a token, any separators between them.
+_SPACED = re.compile(r"(?<![^\W_])[a-z0-9@$!](?:[.\-_*]{1,2}[a-z0-9@$!]){2,}(?![^\W_])")
+_ALONE = re.compile(r"[a-z0-9@$!][.\-_*]*")
+#: Tokens of one letter, marked as they are read; three or more are one word.
+_LONE = "\x00"
+_LONES = re.compile(f"{_LONE}.(?: {_LONE}.){{2,}}")
+#: Stretches that may be noisy, and what makes one so.
+_STRETCH = re.compile(f"[a-z{_SIGN}'’-]+")
+_CORE = re.compile(f"[a-z][{_SIGN}]+[a-z]|[{_SIGN}][a-z]{{2}}|[a-z]{{2}}[0-9@$|+]|([a-z])\\1\\1")
 _LETTER = re.compile("[a-z]+")
-_FLUSH = 1 << 18
+_EDGES = re.compile(r"[^\W_]+")
+#: Tokens and characters that a task holds at once, and the longest token that is kept.
+_FLUSH, _HELD, _SHORT = 1 << 18, 1 << 26, 64
 
 
 def folded(text: str | None) -> str:
@@ -73,22 +82,26 @@ def char_counts(docs: DataFrame) -> DataFrame:
     schema = pa.schema([("gram", pa.string()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: Counter = Counter()
+        tokens: Counter = Counter()
 
         def grams():
             out: Counter = Counter()
-            for w, n in words.items():
-                w = f"^^{w}$"
-                for i in range(len(w) - 2):
-                    out[w[i : i + 3]] += n
-            words.clear()
+            for token, n in tokens.items():
+                for w in _LETTER.findall(folded(token)):
+                    w = f"^^{w}$"
+                    for i in range(len(w) - 2):
+                        out[w[i : i + 3]] += n
+            tokens.clear()
             return emit(list(out.items()), schema)
 
+        held = 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                words.update(_LETTER.findall(folded(text)))
-                if len(words) > _FLUSH:
+                tokens.update((text or "").lower().split())
+                held += len(text or "")
+                if len(tokens) > _FLUSH or held > _HELD:
                     yield grams()
+                    held = 0
         yield grams()
 
     return docs.select("text").mapInArrow(run, "gram string, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
@@ -154,36 +167,49 @@ def viterbi(token: str, model: CharModel) -> str:
     return "".join(reversed(parts))
 
 
-class Restorer:
+class Restorer(dict):
+    """Text to its restored words, blank-joined. Keeps what it made of short
+    tokens, ``_FLUSH`` of them at most."""
+
     def __init__(self, counts: dict[str, int]):
+        super().__init__()
         self.model = CharModel(counts)
-        self.known: dict[str, str] = {}
 
-    def _read(self, m: re.Match) -> str:
-        token = m.group()
-        if token not in self.known:
-            if len(self.known) > _FLUSH:
-                self.known.clear()
-            self.known[token] = viterbi(token, self.model)
-        return self.known[token]
+    def __missing__(self, token: str) -> str:
+        t = folded(token)
+        if _ALONE.fullmatch(t):
+            read = _LONE + t[0]
+        else:
+            read = _SPACED.sub(lambda m: viterbi(m.group(), self.model), t)
+            if _CORE.search(read):
+                read = _STRETCH.sub(self._stretch, read)
+        if not read.startswith(_LONE):
+            read = " ".join(_EDGES.findall(read))
+        if len(token) <= _SHORT:
+            if len(self) >= _FLUSH:
+                self.clear()
+            self[token] = read
+        return read
+
+    def _stretch(self, m: re.Match) -> str:
+        """A stretch read from where the token, a quote or a bracket opens it;
+        if that has nothing noisy, no later start has."""
+        run, at = m.group(), m.start()
+        if at and m.string[at - 1] != '"':
+            at = next((i + 1 for i, c in enumerate(run) if c in "'("), len(run))
+        else:
+            at = 0
+        return run[:at] + viterbi(run[at:], self.model) if _CORE.search(run, at) else run
 
     def __call__(self, text: str | None) -> str:
-        t = folded(text)
-        if " " in t or "." in t or "-" in t or "_" in t:
-            t = _SPACED.sub(self._read, t)
-        return _NOISY.sub(self._read, t)
+        out = " ".join(map(self.__getitem__, (text or "").lower().split()))
+        if _LONE in out:
+            out = _LONES.sub(lambda m: viterbi(m.group().replace(_LONE, ""), self.model), out).replace(_LONE, "")
+        return out
 
 
 # --- classifier ------------------------------------------------------------
 
-_EDGES = re.compile(r"[^\W_]+")
-
-
-def marked(restored: str) -> str:
-    """Words between blanks, so that n-grams see their edges."""
-    return f" {' '.join(_EDGES.findall(restored))} "
-
-
 def grams(word: str) -> set[str]:
     w = f" {word} "
     return {w[i : i + k] for k in GRAMS for i in range(len(w) - k + 1)} | {w}
@@ -197,7 +223,14 @@ def learn(docs: DataFrame, labels: DataFrame, restore, fit_rows: int = FIT_ROWS)
     known = known.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
     sample = stored(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows), "toxic-sample")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(sample, "doc_id")
-    rows = stored(texts.dropDuplicates(["doc_id"]).repartition(16, "doc_id"), "toxic-rows")
+    texts = texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).repartition(16, "doc_id")
+
+    def restored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(
+                list(map(restore(), batch.column("text").to_pylist())), pa.string())], names=["toxic", "text"])
+
+    rows = stored(texts.mapInArrow(restored, "toxic int, text string"), "toxic-rows")
     sizes = dict(rows.groupBy("toxic").count().collect())
     if not (sizes.get(0) and sizes.get(1)):
         return {}, np.zeros(4)
@@ -207,7 +240,7 @@ def learn(docs: DataFrame, labels: DataFrame, restore, fit_rows: int = FIT_ROWS)
         words: dict[str, list[int]] = {}
         for batch in batches:
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                for w in set(_EDGES.findall(restore()(text))):
+                for w in set(text.split()):
                     words.setdefault(w, [0, 0])[toxic != 1] += 1
         out: dict[str, list[int]] = {}
         for w, (a, b) in words.items():
@@ -229,7 +262,7 @@ def learn(docs: DataFrame, labels: DataFrame, restore, fit_rows: int = FIT_ROWS)
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = matcher(weights)
         for batch in batches:
-            yield emit([(t, *summary(restore()(x), found)) for t, x in zip(
+            yield emit([(t, *summary(x, found)) for t, x in zip(
                 batch.column("toxic").to_pylist(), batch.column("text").to_pylist())], pa.schema(
                 [("toxic", pa.int64()), ("x0", pa.float64()), ("x1", pa.float64()), ("x2", pa.float64())]))
 
@@ -251,7 +284,7 @@ def summary(restored: str, found) -> tuple[float, float, float]:
     on a log scale; distinct features only."""
     if not len(found):
         return 0.0, 0.0, 0.0
-    got = sorted((w for _, w in {x for _, x in found.iter(marked(restored))}), reverse=True)
+    got = sorted((w for _, w in {x for _, x in found.iter(f" {restored} ")}), reverse=True)
     return (got[0] if got else 0.0), sum(got[:5]) / 5, math.log1p(len(got))
 
 
