@@ -202,6 +202,41 @@ def test_block_max_wand_retrieves_all():
         assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-6 for k in want)
 
 
+def test_passages_that_are_not_asked_hold_nothing():
+    """Over whole texts, the passages asked give what asking every one gives."""
+    import numpy as np
+    r = random.Random(33)
+    items = [(i, prose(r, r.randrange(6, 30), 90) + (". " + prose(r, r.randrange(2, 9), 90) if i % 2 else "")) for i in range(60)]
+    ws = [decontaminate.tokens(t) for _, t in items]
+    index = decontaminate.Index(items, Counter(w for x in ws for w in set(x)), 60, sum(map(len, ws)) / 60)
+    step, hits, asked = index.longest, 0, 0
+    for _ in range(80):
+        t = prose(r, r.randrange(1, 200), 150).split()
+        part = items[r.randrange(60)][1].split()
+        at = r.randrange(len(t))
+        t[at:at] = part[: r.randrange(1, len(part) + 1)]
+        ids = np.array([index.term.get(w.strip("."), index.unknown) for w in t], dtype=np.int64)
+        some = index.asked(ids)
+        asked += len(some)
+        for i in range(max(1, -(-(len(ids) - step) // step))):
+            w = ids[i * step:i * step + 2 * step]
+            got = index.retrieve(np.unique(w[w != index.unknown]), decontaminate.SCORE)
+            assert not got or i in some
+            hits += len(got)
+    assert hits > 40 and asked > 0
+
+
+def test_index_is_linear_in_its_words():
+    import pickle
+    r = random.Random(35)
+    sizes = []
+    for n in (400, 1600):
+        items = [(i, " ".join(f"v{int(r.paretovariate(0.6)) % (n * 9)}" for _ in range(25))) for i in range(n)]
+        ws = [decontaminate.tokens(t) for _, t in items]
+        sizes.append(len(pickle.dumps(decontaminate.Index(items, Counter(w for x in ws for w in set(x)), n, 25))))
+    assert sizes[1] < 5 * sizes[0]
+
+
 def test_decontamination(spark, odd):
     r = random.Random(4)
     q = [(i, prose(r, 25, 3000) + f". answer {i} is here now.") for i in range(20)]
@@ -651,6 +686,42 @@ def test_toxicity_learns_and_restores(spark, odd):
     assert {x.score for x in toxicity.score(odd, lab.limit(0)).collect()} == {0.0}
 
 
+def reader(words):
+    c = Counter()
+    for w in words:
+        w = f"^^{w}$"
+        c.update(w[i:i + 3] for i in range(len(w) - 2))
+    return toxicity.Restorer(c)
+
+
+@pytest.mark.parametrize("text, word", [
+    ("an i  d  i  o  t there", "idiot"), ("an i.d-i.o-t, there", "idiot"), ("(\"1d10t\")", "idiot"), ("i\nd\ti o t", "idiot"),
+    ("such a s_h-y", "shy"), ("s h y", "shy"), ("ÌDIÒT", "idiot"), ("iiiidiot", "idiot"), ("i. d. i. o. t.", "idiot")])
+def test_spacing_of_any_kind_is_read(text, word):
+    assert word in reader(["idiot", "shy", "there", "such", "an"] * 9)(text).split()
+
+
+def test_restoring_is_linear_and_leaves_clean_text_alone():
+    read = reader(["idiot", "table"])
+    assert read("A table, is (clean) it's 3 tables: 12 don't!") == "a table is clean it s 3 tables 12 don t"
+    for t in ("(" * 100_000, '("' * 50_000, "'" * 100_000 + "a", "a" * 100_000, "a." * 50_000, "a. " * 50_000, "a(" * 50_000,
+              "((ab(\"" * 20_000):
+        start = time.perf_counter()
+        read(t)
+        assert time.perf_counter() - start < 5, t[:8]
+
+
+def test_repeated_ids_are_learnt_from_one_text(spark):
+    r = random.Random(41)
+    rows = [(i, " ".join(r.choice(["idiot", "moron"] if i % 2 else ["lamp", "table", "chair"]) for _ in range(9))) for i in range(60)]
+    lab = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, toxic int")
+    twice = rows + [(i, "zzz " + t) for i, t in rows]  # sorts last, so it changes nothing
+    make = lambda x: spark.createDataFrame(x, "doc_id bigint, text string")
+    one = {x.doc_id: x.score for x in toxicity.score(make(rows), lab).collect()}
+    two = toxicity.score(make(twice[::-1]), lab).collect()
+    assert len(two) == 120 and {x.doc_id for x in two if abs(x.score - one[x.doc_id]) < 1e-9} == set(one)
+
+
 # --- all: empty tables, clashing columns, pipeline -------------------------
 
 def test_empty_tables(spark, tmp_path):
