@@ -1,17 +1,16 @@
 """Fact de-duplication and fact tables.
 
 De-duplication keeps, per key, the row that sorts first by the given
-columns. It is written as ``min(struct(order..., rest...))`` per key: a
-partial/final hash aggregate, so duplicates of a hot key are collapsed
-map-side before the shuffle, unlike ``row_number()`` over a window, which
-sorts the whole key in one task.
+columns: rank one of a window. Spark turns the rank filter into a group limit
+that runs before the shuffle too, so each task sends one row of a key, however
+many copies it has, and no key is sorted whole in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from cumulus.functions.columns import contains_flag, minutes_from_mmss, safe_ratio
 
@@ -26,10 +25,9 @@ def dedup_rows(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | Non
     rest = [c for c in df.columns if c not in ks]
     order = list(order_by) if order_by else rest
     tail = [c for c in rest if c not in order]
-    packed = F.struct(*[F.col(c) for c in order + tail])
-    agg = F.min(packed) if keep == "first" else F.max(packed)
-    out = df.groupBy(*ks).agg(agg.alias("_row"))
-    return out.select(*ks, *[F.col(f"_row.{c}").alias(c) for c in rest])
+    by = [F.asc(c) if keep == "first" else F.desc(c) for c in order + tail]
+    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*ks).orderBy(*by)))
+    return ranked.where(F.col("_rank") == 1).select(*ks, *rest)
 
 
 # Comment markers of the game fact flags.

@@ -47,9 +47,11 @@ def test_positions_window_is_chunked(spark, sf_small):
             assert "_c0" in line or "_c1" in line or "[home_team_id#" not in line.split("]")[-1]
 
 
-def test_dedup_is_partial_aggregate(spark, sf_small):
+def test_dedup_limits_groups_before_the_shuffle(spark, sf_small):
     plan = lay.plan_text(E.queries()["dedup_rows"](spark, sf_small), "simple")
-    assert "partial_min" in plan and "Window" not in plan
+    shuffle = plan.index("Exchange hashpartitioning")
+    assert plan.index("WindowGroupLimit") < shuffle < plan.rindex("WindowGroupLimit")
+    assert "Final" in plan[:shuffle] and "Partial" in plan[shuffle:]
 
 
 def test_partition_filter_inside_join_condition_prunes(spark, sf_small):
