@@ -9,7 +9,7 @@ summation order.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -23,22 +23,28 @@ def hash_bucket(salt: str, user: Column, buckets: int = BUCKETS) -> Column:
     return (F.conv(F.substring(h, 1, 8), 16, 10).cast("long") % buckets)
 
 
-def assign_variant(users: DataFrame, user: str, experiment: str,
-                   cells: Sequence[tuple[str, float]] = DEFAULT_CELLS,
-                   salt: str | None = None) -> DataFrame:
+def variant_of(user: Column, experiment: str, cells: Sequence[tuple[str, float]] = DEFAULT_CELLS,
+               salt: str | None = None) -> Column:
+    """The variant as a function of the user id: nothing is looked up."""
     total = float(sum(w for _, w in cells))
-    bucket = hash_bucket(salt if salt is not None else experiment, F.col(user))
+    bucket = hash_bucket(salt if salt is not None else experiment, user)
     expr, acc = None, 0.0
     for name, w in cells[:-1]:
         acc += w
         cut = int(round(acc / total * BUCKETS))
         expr = F.when(bucket < cut, name) if expr is None else expr.when(bucket < cut, name)
-    expr = expr.otherwise(cells[-1][0]) if expr is not None else F.lit(cells[-1][0])
+    return expr.otherwise(cells[-1][0]) if expr is not None else F.lit(cells[-1][0])
+
+
+def assign_variant(users: DataFrame, user: str, experiment: str,
+                   cells: Sequence[tuple[str, float]] = DEFAULT_CELLS,
+                   salt: str | None = None) -> DataFrame:
     return users.select(user, F.lit(experiment).alias("experiment"),
-                        bucket.alias("bucket"), expr.alias("variant"))
+                        hash_bucket(salt if salt is not None else experiment, F.col(user)).alias("bucket"),
+                        variant_of(F.col(user), experiment, cells, salt).alias("variant"))
 
 
-def experiment_readout(assign: DataFrame, events: DataFrame, user: str = "user_id",
+def experiment_readout(assign: DataFrame | Callable[[Column], Column], events: DataFrame, user: str = "user_id",
                        etype: str = "event_type", value: str = "value", time: str = "ts",
                        control: str = "control", view: str = "view", click: str = "click",
                        purchase: str = "purchase", search: str | None = None,
@@ -51,7 +57,9 @@ def experiment_readout(assign: DataFrame, events: DataFrame, user: str = "user_i
     event): users who searched, share who purchased after their first
     search, and abandonment. ``sessions`` (user, session_start,
     session_end, gap-free duration in ``duration_us``) adds the mean session
-    length in minutes."""
+    length in minutes. ``assign`` is a table of users and variants, which is
+    joined, or the variant as a function of the user id, over the users that
+    have events, which needs no join."""
     search = view if search is None else search
     per_user = events.groupBy(user).agg(
         F.min(F.when(F.col(etype) == search, F.col(time))).alias("_first_search"),
@@ -62,8 +70,11 @@ def experiment_readout(assign: DataFrame, events: DataFrame, user: str = "user_i
         F.count_if(F.col(etype) == purchase).alias("_orders"),
         F.sum(F.when(F.col(etype) == purchase, F.round(F.col(value) * 100).cast("long"))
               .otherwise(F.lit(0).cast("long"))).alias("_rev"))
-    u = assign.select(user, "variant").join(per_user, user, "left").na.fill(
-        0, ["_days", "_views", "_clicks", "_orders", "_rev"])
+    if callable(assign):
+        u = per_user.withColumn("variant", assign(F.col(user)))
+    else:
+        u = assign.select(user, "variant").join(per_user, user, "left").na.fill(
+            0, ["_days", "_views", "_clicks", "_orders", "_rev"])
     v = u.groupBy("variant").agg(
         F.count(F.lit(1)).alias("users"),
         F.sum("_views").alias("views"), F.sum("_clicks").alias("clicks"),
@@ -99,8 +110,9 @@ def experiment_readout(assign: DataFrame, events: DataFrame, user: str = "user_i
     t = F.try_divide(F.col("_mean") - ctl("_mean"),
                      F.sqrt(F.col("_var") / n1 + ctl("_var") / n0))
     if sessions is not None:
-        dur = (sessions.join(assign.select(user, "variant"), user, "inner")
-               .groupBy("variant").agg(
+        told = (sessions.withColumn("variant", assign(F.col(user))) if callable(assign)
+                else sessions.join(assign.select(user, "variant"), user, "inner"))
+        dur = (told.groupBy("variant").agg(
                    # exact integer sum, one division: independent of summation order
                    (F.sum("duration_us").cast("double") / F.count(F.lit(1)).cast("double")
                     / 60_000_000.0).alias("mean_session_minutes")))

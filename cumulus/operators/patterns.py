@@ -161,14 +161,17 @@ def best_rolling_wins(df: DataFrame, key: str, order: Sequence[str], chunk: Sequ
     """Most wins in any ``n`` consecutive rows per key (full stretches only).
 
     With W(i) the running win count at position i, a stretch ending at i
-    has W(i) - W(i - n) wins. W(i - n) is fetched by an equi join on
-    (key, position): hash-partitioned on both columns, so a hot key is
-    spread over all tasks.
+    has W(i) - W(i - n) wins. Rows get their positions in one pass; each then
+    sends W to its own position and, as the value before the stretch, to the
+    position n further on, where one aggregate on (key, position) brings the
+    two together. Both columns are hashed, so a hot key is spread.
     """
     p = positions(df.withColumn("_win", win.cast("long")), [key], order, chunk,
                   sums={"_w": F.col("_win")}).select(key, "pos", "_w")
-    ends = p.filter(F.col("pos") >= n)
-    starts = p.select(key, (F.col("pos") + n).alias("pos"), F.col("_w").alias("_w0"))
-    j = ends.join(starts, [key, "pos"], "left")
-    return (j.groupBy(key)
-            .agg(F.max(F.col("_w") - F.coalesce(F.col("_w0"), F.lit(0))).alias(f"max_wins_{n}")))
+    none = F.lit(None).cast("long")
+    sent = F.explode(F.array(F.struct(F.col("pos"), F.col("_w").alias("_end"), none.alias("_before")),
+                             F.struct((F.col("pos") + n).alias("pos"), none.alias("_end"), F.col("_w").alias("_before"))))
+    at = p.select(key, sent.alias("s")).groupBy(key, F.col("s.pos").alias("pos")).agg(
+        F.max("s._end").alias("_end"), F.max("s._before").alias("_before"))
+    full = at.where((F.col("pos") >= n) & F.col("_end").isNotNull())
+    return full.groupBy(key).agg(F.max(F.col("_end") - F.coalesce("_before", F.lit(0))).alias(f"max_wins_{n}"))

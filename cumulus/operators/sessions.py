@@ -2,18 +2,17 @@
 
 ``session_window`` merges all partial sessions of one key in one task, so
 a (host, ip) holding a third of all events would land on one executor.
-Here a key's events are cut into time buckets and every step runs per
-(key, bucket) or on small per-(key, bucket) summaries:
-
-1. per (key, bucket): last event time; a window over the key's buckets
-   (one row per bucket) gives the previous bucket's last event;
-2. events shuffled once by (key, bucket), ordered by time: a session
-   starts where the gap to the previous event (inside the bucket, or the
-   carried-in one) exceeds ``gap``; the running latest start inside the
-   bucket is the event's session start;
-3. events before the bucket's first start belong to the latest start of an
-   earlier bucket (carried in from a second small summary);
-4. sessions = a partial/final aggregate keyed by (key, session start).
+Here a key's events are cut into time buckets:
+
+1. events are shuffled once by (key, bucket) and ordered by time; a session
+   starts where the gap to the previous event of the bucket exceeds ``gap``,
+   and one aggregate in place gives the bucket's sessions;
+2. only a bucket's first and last session can go on in another bucket. These
+   are shuffled by key, two rows a bucket at most, and those at most ``gap``
+   apart are joined; every other session is final and goes to a group of its
+   own, so a hot key's sessions stay spread.
+
+Two shuffles, and no join back to the events.
 
 Semantics equal ``session_window``: a gap of exactly ``gap`` merges;
 start = first event, end = last event + gap.
@@ -34,24 +33,21 @@ def sessionize_split(df: DataFrame, time_col: str, keys: Sequence[str], gap_seco
     e = df.select(*ks, F.unix_micros(F.col(time_col)).alias("_us"))
     e = e.withColumn("_b", F.floor(F.col("_us") / bucket_us))
 
-    wb = Window.partitionBy(*ks).orderBy("_b")
-    last_in_bucket = e.groupBy(*ks, "_b").agg(F.max("_us").alias("_bmax"))
-    carry_prev = last_in_bucket.select(*ks, "_b", F.lag("_bmax").over(wb).alias("_prev_bmax"))
-
-    j = e.join(carry_prev, [*ks, "_b"], "inner")
-    w = Window.partitionBy(*ks, "_b").orderBy("_us")
-    prev = F.coalesce(F.lag("_us").over(w), F.col("_prev_bmax"))
-    j = j.withColumn("_is_start", prev.isNull() | ((F.col("_us") - prev) > gap_us))
-    j = j.withColumn("_start_in", F.max(F.when(F.col("_is_start"), F.col("_us"))).over(
-        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-
-    starts = j.groupBy(*ks, "_b").agg(F.max(F.when(F.col("_is_start"), F.col("_us"))).alias("_bstart"))
-    carry_start = starts.select(*ks, "_b", F.max("_bstart").over(
-        wb.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
-    j = j.join(carry_start, [*ks, "_b"], "inner")
-
-    sess = j.groupBy(*ks, F.coalesce(F.col("_start_in"), F.col("_carry")).alias("_s")).agg(
-        F.max("_us").alias("_last"), F.count(F.lit(1)).alias("num_hits"))
+    def runs(rows: DataFrame, within: list, start: str, last: str) -> DataFrame:
+        """``rows`` with ``_s``, the start of the run that each belongs to."""
+        w = Window.partitionBy(*within).orderBy(start)
+        before = F.lag(last).over(w)
+        begins = F.when(before.isNull() | (F.col(start) - before > gap_us), F.col(start))
+        return rows.withColumn("_begins", begins).withColumn("_s", F.max("_begins").over(
+            w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+
+    parts = runs(e, [*ks, "_b"], "_us", "_us").groupBy(*ks, "_b", "_s").agg(
+        F.max("_us").alias("_last"), F.count(F.lit(1)).alias("_n"))
+    bucket = Window.partitionBy(*ks, "_b")
+    inner = (F.col("_s") > F.min("_s").over(bucket)) & (F.col("_s") < F.max("_s").over(bucket))
+    parts = parts.select(*ks, F.col("_s").alias("_start"), "_last", "_n", F.when(inner, F.col("_s")).alias("_final"))
+    sess = runs(parts, [*ks, "_final"], "_start", "_last").groupBy(*ks, "_final", "_s").agg(
+        F.max("_last").alias("_last"), F.sum("_n").alias("num_hits"))
     return sess.select(F.timestamp_micros("_s").alias("session_start"),
                        F.timestamp_micros(F.col("_last") + gap_us).alias("session_end"),
                        *ks, "num_hits")

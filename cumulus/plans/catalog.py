@@ -596,7 +596,7 @@ def q_experiment_readout(spark, sf_dir):
     sess = sessionize_split(ev, "ts", ["user_id"], 1800).select(
         "user_id", (F.unix_micros("session_end") - F.unix_micros("session_start")
                     - 1800 * 1_000_000).alias("duration_us"))
-    return ex.experiment_readout(_assign(spark, sf_dir), ev, sessions=sess)
+    return ex.experiment_readout(lambda user: ex.variant_of(user, "checkout_redesign"), ev, sessions=sess)
 
 
 def _profit_measures():

@@ -168,3 +168,18 @@ def test_bucketed_query_can_be_built_twice(spark, sf_small):
     first = QUERIES["match_bucketed_playlists"](spark, sf_small)
     QUERIES["match_bucketed_playlists"](spark, sf_small)
     assert first.count() > 0
+
+
+def test_rolling_wins_make_positions_once(spark, sf_small):
+    plan = lay.plan_text(E.queries()["best_rolling_wins"](spark, sf_small), "simple")
+    assert plan.count("orders.parquet") <= 3 and plan.count("row_number()") == 1
+
+
+def test_batch_sessions_need_two_shuffles_and_no_join(spark, sf_small):
+    plan = lay.plan_text(E.queries()["sessionize"](spark, sf_small), "simple")
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
+
+
+def test_readout_joins_no_assignment(spark, sf_small):
+    plan = lay.plan_text(E.queries()["experiment_readout"](spark, sf_small), "simple")
+    assert plan.count("Join") == 1  # the variants' session lengths, a handful of rows
