@@ -268,15 +268,17 @@ def metric_array_daily(arrays: DataFrame, group: Sequence[str] = ("metric_name",
 
 def monthly_hits_wide(arrays: DataFrame, partition_col: str | None = None,
                       partition_value: str | None = None, days: int = 3) -> DataFrame:
-    """A16 wide form: first ``days`` slots summed per month; ``get`` turns an
-    out-of-range slot (empty array) into null, coalesced to 0."""
+    """A16 wide form: first ``days`` slots summed per month (named by words up
+    to the seventh, by number after it); ``get`` turns an out-of-range slot
+    (empty array) into null, coalesced to 0."""
     a = arrays
     if partition_col is not None:
         a = a.filter(F.col(partition_col) == partition_value)
-    names = ["first", "second", "third", "fourth", "fifth", "sixth", "seventh"]
+    words = ["first", "second", "third", "fourth", "fifth", "sixth", "seventh"]
+    names = [f"num_hits_{w}_day" for w in words] + [f"num_hits_day_{i}" for i in range(len(words) + 1, days + 1)]
     return a.groupBy("month_start").agg(*[
         F.sum(F.coalesce(F.get(F.col("metric_array"), i), F.lit(0))).cast("long")
-         .alias(f"num_hits_{names[i]}_day") for i in range(days)])
+         .alias(names[i]) for i in range(days)])
 
 
 # --------------------------------------------------------------------------

@@ -200,3 +200,10 @@ def test_stream_reads_a_folder_of_part_files(spark, sf_small, tmp_path):
     assert QUERIES[name](spark, str(tmp_path)).count() == QUERIES[name](spark, sf_small).count() > 0
     with pytest.raises(AnalysisException):
         QUERIES[name](spark, str(tmp_path / "none"))
+
+
+def test_wide_month_of_more_than_seven_days(spark):
+    from cumulus.operators.cumulative import monthly_hits_wide
+    a = spark.createDataFrame([("2024-01-01", list(range(1, 10))), ("2024-01-01", [1])], "month_start string, metric_array array<bigint>")
+    r = monthly_hits_wide(a, days=9).first().asDict()
+    assert (r["num_hits_first_day"], r["num_hits_seventh_day"], r["num_hits_day_8"], r["num_hits_day_9"]) == (2, 7, 8, 9)
