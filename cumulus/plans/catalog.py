@@ -7,6 +7,7 @@ so they can be checked against the SQL oracle in ``plans/oracle.py``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -22,12 +23,13 @@ from cumulus.operators import layout as lay
 from cumulus.operators import patterns as pt
 from cumulus.operators import reports as rp
 from cumulus.operators import scd
+from cumulus.operators.joins import pair_join
 from cumulus.operators.sessions import sessionize_split
 from cumulus.plans import standins as si
 from cumulus.plans.flatten import normalize
 from cumulus.session import scratch_path
-from cumulus.sources import ingest
-from cumulus.sources.tables import table
+from cumulus.sources import ingest, sinks
+from cumulus.sources.tables import catalog_table, table
 from cumulus.sources.versions import VersionedTable
 from cumulus.streaming import sessions as sess, streams as st
 
@@ -570,6 +572,61 @@ def q_csv_ingest(spark, sf_dir):
     return out.select("event_id", "ts", "user_id", "event_type", "value", "props", "accepted", "reasons")
 
 
+@register("append_and_overwrite")
+def q_append_and_overwrite(spark, sf_dir):
+    """K1, K2: events by day, written in two appends; one day then arrives
+    again with other values and replaces its partition alone."""
+    ev = si.events(spark, sf_dir).select("event_id", "event_date", cents("value").alias("value_cents"))
+    path = scratch_path(spark, "events-by-day")
+    sinks.append(ev.where("event_date < '2024-01-15'"), path, ["event_date"])
+    sinks.append(ev.where("event_date >= '2024-01-15'"), path, ["event_date"])
+    again = ev.where("event_date = '2024-01-10'").withColumn("value_cents", F.col("value_cents") + 100)
+    sinks.overwrite_partitions(again, path, ["event_date"])
+    return spark.read.parquet(path).groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("num_events"), F.sum("value_cents").alias("value_cents"))
+
+
+@register("table_as_select")
+def q_table_as_select(spark, sf_dir):
+    """A catalog table made by CREATE TABLE AS SELECT in a
+    namespace of its own, read back by name."""
+    db = f"cumulus_ctas_{uuid.uuid4().hex[:12]}"
+    sinks.create_namespace(spark, db, scratch_path(spark, "ctas"))
+    daily = si.events(spark, sf_dir).groupBy("event_type", "event_date").agg(F.count(F.lit(1)).alias("num_events"))
+    sinks.create_table_as(daily, f"{db}.daily_events")
+    return catalog_table(spark, f"{db}.daily_events")
+
+
+@register("partition_filter_in_join")
+def q_partition_filter_in_join(spark, sf_dir):
+    """Customers with their events of one day; the day is a condition of
+    the join and reaches the scan as a partition filter."""
+    path = scratch_path(spark, "events-for-join")
+    sinks.write_partitioned(si.events(spark, sf_dir).select("event_id", "user_id", "event_date"), path, ["event_date"])
+    part = spark.read.parquet(path)
+    users = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"))
+    on = (users.user_id == part.user_id) & (part.event_date == F.lit(si.EVENT_DAY).cast("date"))
+    return users.join(part, on, "left").groupBy(users.user_id).agg(F.count("event_id").alias("num_events"))
+
+
+@register("pair_join")
+def q_pair_join(spark, sf_dir):
+    """Events paired with their device as two whole rows."""
+    pairs = pair_join(si.device_events(spark, sf_dir), si.page_devices(spark, sf_dir), ["device_id"])
+    return pairs.select("_1.event_id", "_1.user_id", "_2.device_id", "_2.browser_type")
+
+
+@register("json_events")
+def q_json_events(spark, sf_dir):
+    """Events as the JSON messages of a topic, parsed back to columns
+    and a typed event time (milliseconds, UTC)."""
+    ev = si.events(spark, sf_dir).select(
+        F.concat(F.lit("/"), F.col("event_id")).alias("url"), F.col("event_type").alias("host"), si.user_ip().alias("ip"),
+        F.date_format("ts", st.ISO_MILLIS_Z).alias("event_time"))
+    value = ev.select(F.to_json(F.struct(*ev.columns)).cast("binary").alias("value"))
+    return st.parse_json_events(value).select("url", "host", "ip", "event_timestamp")
+
+
 @register("enrich_geo")
 def q_enrich_geo(spark, sf_dir):
     """Events with an IP derived from the user, geodata from the

@@ -87,6 +87,11 @@ CONTRACTS = {
     "match_top_playlist": c(["playlist_id"]),
     "compare_layouts": c(["variant"], ["variant", "n_rows", "n_keys"]),
     "compare_layouts_events": c(["variant"], ["variant", "n_rows", "n_keys"]),
+    "append_and_overwrite": c(["event_date"], ["event_date", "num_events", "value_cents"]),
+    "table_as_select": c(["event_type", "event_date"]),
+    "partition_filter_in_join": c(["user_id"], ["user_id", "num_events"]),
+    "pair_join": c(["event_id", "device_id"]),
+    "json_events": c(["url"], ["url", "host", "ip", "event_timestamp"]),
     "versioned_upsert": c(["o_orderkey"], ["o_orderkey", "year", "o_orderstatus"]),
     "csv_ingest": c(["event_id"], ["event_id", "accepted", "reasons"]),
     "match_statistics": c(["statistic"], ["statistic", "value"]),
