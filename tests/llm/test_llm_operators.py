@@ -771,7 +771,7 @@ def test_clashing_columns_and_pipeline(spark, tmp_path, odd):
 def test_entry_has_all_and_pipeline_on_tables(spark, sf_small):
     import __spark_entry__ as E
     names = E.queries()
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
     out = corpus_pipeline.run(spark, sf_small)
     n_in = spark.read.parquet(f"{sf_small}/documents.parquet").count()
     assert 0 < out.count() < n_in and isinstance(out.toPandas(), pd.DataFrame)
