@@ -821,7 +821,7 @@ def q_session_updates_stream(spark, sf_dir):
     """A26 / T4 on a stream: every session, those that are still open too,
     with a flag for the ones that the watermark has closed."""
     s = _stream_events(spark, sf_dir).select("host", si.user_ip().alias("ip"), "ts")
-    _, base = st.run_to_log(sess.session_updates(s, "ts", ["host", "ip"], 300), "update")
+    _, base = sess.run_sessions(sess.session_updates(s, "ts", ["host", "ip"], 300))
     out = sess.latest_sessions(spark, base, ["host", "ip"])
     return out.select("session_start", "session_end", "host", "ip", "num_hits",
                       (F.col("status") == sess.CLOSED).alias("closed"))

@@ -29,10 +29,13 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from cumulus.streaming.streams import WATERMARK, read_latest, with_event_time
+from cumulus.session import BASE_CONF
+from cumulus.streaming.streams import WATERMARK, read_latest, run_to_log, with_event_time
 
 OPEN, CLOSED, GONE, LATE = "open", "closed", "gone", "late"
 BUCKETS = 64
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = BASE_CONF[PROVIDER]
 _SPAN = ["first", "last", "n"]  # first and last event in microseconds, number of events
 
 
@@ -128,6 +131,23 @@ def session_updates(events: DataFrame, time_col: str, keys: Sequence[str], gap_s
                       F.col("n").alias("num_hits"), "status")
 
 
+def run_sessions(updates: DataFrame, base: str | None = None, checkpoint: str | None = None,
+                 trigger: dict | None = None, wait: bool = True):
+    """Runs ``session_updates`` into an epoch log; returns (query, base).
+    State of this kind lives in the RocksDB store only. A query that is waited
+    for gets it for its own run, and the session's setting is put back; one
+    that goes on needs a session that has it (``get_session`` does)."""
+    conf = updates.sparkSession.conf
+    before = conf.get(PROVIDER)
+    if before != ROCKSDB and not wait:
+        raise ValueError(f"{PROVIDER} must be {ROCKSDB}")
+    conf.set(PROVIDER, ROCKSDB)
+    try:
+        return run_to_log(updates, "update", base, checkpoint, trigger, wait=wait)
+    finally:
+        conf.set(PROVIDER, before)
+
+
 def latest_sessions(spark: SparkSession, base: str, keys: Sequence[str]) -> DataFrame:
     """The sessions as of the newest epoch, each with its status."""
     log = read_latest(spark, base, [*keys, "session_start"], where=F.col("status") != LATE)

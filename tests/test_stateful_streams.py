@@ -35,7 +35,11 @@ def stream(spark):
 
     def run(events):
         put(spark, folder, events, 1)
-        st.run_to_log(sess.session_updates(source(spark, folder), "ts", KEYS, 300), "update", base, ckpt)
+        plain = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+        spark.conf.set(sess.PROVIDER, plain)  # a session that isn't set up for it
+        sess.run_sessions(sess.session_updates(source(spark, folder), "ts", KEYS, 300), base, ckpt)
+        assert spark.conf.get(sess.PROVIDER) == plain
+        spark.conf.set(sess.PROVIDER, sess.ROCKSDB)
         got = sess.latest_sessions(spark, base, KEYS).collect()
         late = sess.late_events(spark, base, KEYS).collect()
         seconds = lambda t: int((t - dt.datetime(2024, 1, 1)).total_seconds())
