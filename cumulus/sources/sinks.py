@@ -15,8 +15,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cumulus.operators.joins import input_bytes
 
-#: Bytes of input that one written file or bucket should hold.
-FILE_BYTES = 128 << 20
+#: Bytes of input that one written file or bucket should hold. A task sorts its
+#: file's rows in memory, where they take 10 to 20 times their parquet bytes,
+#: and a bucketed join holds a bucket of each table.
+FILE_BYTES = 16 << 20
 
 
 def file_count(df: DataFrame, file_bytes: int = FILE_BYTES) -> int:

@@ -186,3 +186,11 @@ def test_kafka_json_parsing_and_builders(spark):
 def test_file_stats_counts_files(spark, sf_small):
     r = tb.file_stats(tb.table(spark, sf_small, "orders")).collect()[0]
     assert r.n_files == 1 and r.total_bytes > 0
+
+
+def test_a_writing_task_holds_a_bounded_share_of_the_input(spark, sf_small, monkeypatch):
+    o = tb.table(spark, sf_small, "orders")
+    for size in (120 << 20, 1200 << 20, 12000 << 20):  # more input makes more tasks, not larger ones
+        monkeypatch.setattr(sinks, "input_bytes", lambda df: size)
+        for n in (sinks.file_count(o), sinks.bucket_count(o)):
+            assert n * (16 << 20) >= size and n <= 2 * size / (16 << 20)
