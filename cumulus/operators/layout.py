@@ -9,8 +9,11 @@ import functools
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from cumulus.operators.joins import star_join
 from cumulus.session import scratch_path
@@ -118,21 +121,89 @@ def layout_promises(spark: SparkSession, df: DataFrame, variants: Mapping[str, M
     rows = []
     for name, table in write_variants(spark, df, variants, base).items():
         spec = variants[name]
-        order = F.struct(*spec.get("sort_within", [key]))
-        at = table.select(F.col(key).alias("k"), order.alias("o"), F.col("_metadata.file_path").alias("f"),
-                          F.col("_metadata.row_index").alias("i"))
-        before = F.lag("o").over(Window.partitionBy("f").orderBy("i"))
-        per_key = at.withColumn("wrong", (before > F.col("o")).cast("long")).groupBy("k").agg(
-            F.count("*").alias("c"), F.sum("wrong").alias("wrong"), F.count_distinct("f").alias("files"))
+        none, one = F.lit(None).cast("long"), F.lit(1).alias("_one")
+        per_key = table.select(F.col(key).alias("k"), F.col("_metadata.file_path").alias("f")).groupBy("k").agg(
+            F.count("*").alias("c"), F.count_distinct("f").alias("files"))
         held = list(spec.get("by", ())) == [key] and not spec.get("spread", True)
-        rows.append(per_key.agg(
-            F.sum("c").alias("n_rows"), F.count("*").alias("n_keys"),
-            (F.coalesce(F.sum("wrong"), F.lit(0)) if spec.get("sort_within") else F.lit(None)).cast("long").alias("unsorted_rows"),
-            (F.coalesce(F.sum((F.col("files") > 1).cast("long")), F.lit(0)) if held else F.lit(None)).cast("long")
-            .alias("split_keys")).select(F.lit(name).alias("variant"), "*"))
+        split = F.coalesce(F.sum((F.col("files") > 1).cast("long")), F.lit(0)) if held else none
+        keys = per_key.agg(F.sum("c").alias("n_rows"), F.count("*").alias("n_keys"), split.alias("split_keys"))
+        if spec.get("sort_within"):
+            keys = keys.select(one, "*").join(unsorted_rows(table, spec["sort_within"]).select(one, "*"), "_one")
+        else:
+            keys = keys.withColumn("unsorted_rows", none)
+        rows.append(keys.select(F.lit(name).alias("variant"), "n_rows", "n_keys", "unsorted_rows", "split_keys"))
     return functools.reduce(DataFrame.unionByName, rows)
 
 
+#: Types whose values Arrow orders as Spark does (floating ones but for NaN).
+_ORDERED = (T.IntegralType, T.FractionalType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BinaryType)
+
+
+def _ordered(table: DataFrame, order: Sequence[str]) -> list | None:
+    """``order`` as columns that compare alike in Arrow and Spark, nulls first;
+    None if a type has no such form."""
+    out = []
+    for name in order:
+        c, kind = F.col(name), table.schema[name].dataType
+        if isinstance(kind, (T.FloatType, T.DoubleType)):  # NaN follows all others
+            out += [F.isnan(c).cast("int"), F.when(~F.isnan(c), c)]
+        elif isinstance(kind, T.BooleanType):
+            out.append(c.cast("int"))
+        elif isinstance(kind, _ORDERED) or kind == T.StringType():
+            out.append(c)
+        else:
+            return None
+    return out
+
+
+def unsorted_rows(table: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Rows of the files behind ``table`` that are smaller by ``order`` than
+    the row before them in their file, as one row (unsorted_rows). Neighbours
+    are compared where the files are read: a batch counts inside its stretches
+    of one file and sends only their first and last rows on, which a window
+    over the file compares with one another."""
+    def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows (file, row index, columns) as one row for each stretch of
+        neighbours in a batch: file, first index, rows smaller than the one before
+        them, the first and the last row's columns."""
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            f, i = (batch.column(j).to_numpy(zero_copy_only=False) for j in (0, 1))
+            cols = batch.columns[2:]
+            new = np.r_[True, (f[1:] != f[:-1]) | (i[1:] != i[:-1] + 1)]
+            wrong, same = np.zeros(n - 1, dtype=bool), np.ones(n - 1, dtype=bool)
+            for c in cols:
+                known = c.is_valid().to_numpy(zero_copy_only=False)
+                a, b = c.slice(0, n - 1), c.slice(1)
+                more, equal = (pc.fill_null(x, False).to_numpy(zero_copy_only=False) for x in (pc.greater(a, b), pc.equal(a, b)))
+                wrong |= same & (more | known[:-1] & ~known[1:])
+                same &= equal | ~known[:-1] & ~known[1:]
+            starts = np.flatnonzero(new)
+            ends = np.r_[starts[1:], n] - 1
+            count = np.add.reduceat((np.r_[False, wrong] & ~new).astype(np.int64), starts)
+            data = [pa.array(f[starts]), pa.array(i[starts]), pa.array(count), *[c.take(pa.array(x)) for x in (starts, ends) for c in cols]]
+            names = [f"c{j}" for j in range(len(cols))]
+            yield pa.RecordBatch.from_arrays(data, names=["f", "i", "n", *[f"first_{x}" for x in names], *[f"last_{x}" for x in names]])
+
+    cols = _ordered(table, order)
+    at = [F.xxhash64("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i")]
+    if cols is None:
+        rows = table.select(*at, F.lit(0).cast("long").alias("n"), F.struct(*order).alias("first"))
+        rows = rows.withColumn("last", F.col("first"))
+    else:
+        read = table.select(*at, *[c.alias(f"c{j}") for j, c in enumerate(cols)])
+        kinds = [(c, read.schema[c].dataType.simpleString()) for c in read.columns[2:]]
+        schema = ", ".join(["f bigint, i bigint, n bigint", *[f"first_{c} {t}" for c, t in kinds], *[f"last_{c} {t}" for c, t in kinds]])
+        first, last = ([f"{side}_{c}" for c, _ in kinds] for side in ("first", "last"))
+        rows = read.mapInArrow(stretches, schema).select(
+            "f", "i", "n", F.struct(*first).alias("first"), F.struct(*last).alias("last"))
+    before = F.lag("last").over(Window.partitionBy("f").orderBy("i"))
+    wrong = F.coalesce((before > F.col("first")).cast("long"), F.lit(0))
+    return rows.select((F.col("n") + wrong).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("unsorted_rows"))
+
+
 # ---------------------------------------------------------------- A28 joined
 def same_match_join(matches: DataFrame, details: DataFrame, medals: DataFrame, match: str = "match_id",
                     player: str = "player_gamertag") -> DataFrame:

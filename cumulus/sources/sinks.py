@@ -116,10 +116,11 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str],
 def write_layout(df: DataFrame, path: str, files: int | None = None,
                  by: Sequence[str] = (), sort_within: Sequence[str] = (),
                  partition_by: Sequence[str] = (), spread: bool = True) -> None:
-    """K7: one layout variant: placement by ranges of ``by`` (round robin
-    without), optional local sort (no global sort: ``sortWithinPartitions``
-    needs no shuffle of its own), optional folder partitioning (K6)."""
-    d = placed(df, by, files or file_count(df), spread)
+    """K7: one layout variant: placement by ranges of ``by`` (without, round
+    robin over ``files``, or where the rows are read, which moves none), optional
+    local sort (no global sort: ``sortWithinPartitions`` needs no shuffle of its
+    own), optional folder partitioning (K6)."""
+    d = placed(df, by, files or file_count(df), spread) if by or files else df.coalesce(file_count(df))
     if sort_within:
         d = d.sortWithinPartitions(*sort_within)
     w = d.write.mode("overwrite")

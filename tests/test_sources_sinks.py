@@ -194,3 +194,41 @@ def test_a_writing_task_holds_a_bounded_share_of_the_input(spark, sf_small, monk
         monkeypatch.setattr(sinks, "input_bytes", lambda df: size)
         for n in (sinks.file_count(o), sinks.bucket_count(o)):
             assert n * (16 << 20) >= size and n <= 2 * size / (16 << 20)
+
+
+def test_a_layout_without_placement_moves_no_row(spark):
+    path = scratch_path(spark, "unplaced")
+    sinks.write_layout(spark.range(0, 1000, 1, 4), path, sort_within=[])
+    files = spark.read.parquet(path).select("id", F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i"))
+    rows = [r.id for r in files.orderBy("f", "i").collect()]
+    assert rows == list(range(1000))
+
+
+def test_unsorted_rows_equal_a_walk_through_the_files(spark, monkeypatch):
+    import math
+    import random
+    rnd = random.Random(5)
+    odd = [None, float("nan"), -0.0, 0.0, 1.5, float("inf"), float("-inf")]
+    rows = [(rnd.choice([None, 1, 2]), rnd.choice(odd), rnd.choice([None, "", "a", "z", "\u00e9", "\U0001f600", "\uff5e"]),
+             rnd.choice([None, True, False])) for _ in range(3000)]
+    path = scratch_path(spark, "walk")
+    spark.createDataFrame(rows, "a int, x double, s string, b boolean").repartition(3).write.parquet(path)
+    table = spark.read.parquet(path)
+    at = table.select("*", F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i")).orderBy("f", "i").collect()
+
+    def rank(v):
+        if v is None:
+            return (0,)
+        if isinstance(v, float):
+            return (1, 1, 0) if math.isnan(v) else (1, 0, v)
+        return (1, v.encode() if isinstance(v, str) else v)
+
+    for order in (["a"], ["x"], ["s"], ["b"], ["a", "x", "s", "b"], ["b", "s", "x"]):
+        want = sum(p.f == q.f and [rank(p[c]) for c in order] > [rank(q[c]) for c in order] for p, q in zip(at, at[1:]))
+        out = lay.unsorted_rows(table, order)
+        assert out.first().unsorted_rows == want > 0
+        plan = lay.plan_text(out, "simple")  # the rows are compared before they are moved
+        assert plan.index("Exchange hashpartitioning(f") < plan.index("MapInArrow")
+        with monkeypatch.context() as mp:  # types without an Arrow order take the window
+            mp.setattr(lay, "_ordered", lambda *_: None)
+            assert lay.unsorted_rows(table, order).first().unsorted_rows == want
