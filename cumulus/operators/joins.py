@@ -19,6 +19,9 @@ from cumulus.session import scratch_path
 #: Largest dimension that a join may send to every executor, in bytes.
 BROADCAST_LIMIT = 64 << 20
 
+#: Bytes of input whose rows one task sorts and aggregates in memory.
+TASK_BYTES = 4 << 20
+
 
 class BroadcastTooLarge(ValueError):
     """A dimension is larger than what may be broadcast."""
@@ -38,6 +41,15 @@ def input_bytes(df: DataFrame) -> int | None:
     return sum(sizes) if all(s < 1 << 62 for s in sizes) else None
 
 
+def task_count(df: DataFrame, task_bytes: int = TASK_BYTES) -> int:
+    """How many tasks ``df`` makes at ``task_bytes`` of its input each; the
+    session's shuffle width if these are unknown."""
+    size = input_bytes(df)
+    if size is None:
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, -(-size // task_bytes))
+
+
 def broadcast_within(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """``df`` with a broadcast hint, or a refusal if it is larger than
     ``limit`` bytes."""

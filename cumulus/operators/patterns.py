@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cumulus.functions.columns import classify_like, referrer_rules, safe_ratio
-from cumulus.operators.joins import positions
+from cumulus.operators.joins import positions, task_count
 
 
 # --------------------------------------------------------------------------
@@ -126,10 +126,14 @@ def longest_streak(df: DataFrame, key: str, order: Sequence[str], chunk: Sequenc
     gives each chunk's row count, best run, leading and trailing run. These
     summaries are stitched level by level (the buckets of a day, then the
     days of a key), so no window holds more rows than one level has parts.
+    Most chunks may hold a row or two, so an aggregate of them is as large as
+    its rows: each level is dealt over tasks whose number grows with the input,
+    and what one of them holds doesn't.
     """
     names = [f"_c{i}" for i in range(len(chunk))]
+    tasks = task_count(df)
     d = df.select(key, *order, *[c.alias(n) for c, n in zip(chunk, names)],
-                  F.coalesce(predicate, F.lit(False)).alias("_ok"))
+                  F.coalesce(predicate, F.lit(False)).alias("_ok")).repartition(tasks, key, *names)
     w = Window.partitionBy(key, *names).orderBy(*order)
     failed = F.when(~F.col("_ok"), F.col("_r"))
     rows = d.withColumn("_r", F.row_number().over(w))
@@ -146,6 +150,7 @@ def longest_streak(df: DataFrame, key: str, order: Sequence[str], chunk: Sequenc
     for k in reversed(range(len(names))):
         group = [key, *names[:k]]
         before = Window.partitionBy(*group).orderBy(names[k]).rowsBetween(Window.unboundedPreceding, -1)
+        parts = parts.repartition(tasks, *group)
         parts = parts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         parts = parts.withColumn("_stop", F.coalesce(F.max(last_failed).over(before), F.lit(0)))
         n = F.sum("_n")

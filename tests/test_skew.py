@@ -69,3 +69,16 @@ def test_split_sessions_spread_a_hot_key(spark):
     assert out.count() == 50000
     buckets = df.groupBy(F.floor(F.unix_seconds("ts") / 3600)).count()
     assert buckets.count() > 800
+
+
+def test_every_level_of_a_streak_is_dealt_by_the_input(spark, monkeypatch):
+    """Chunks that hold one row each make an aggregate as large as the rows:
+    the tasks of each level grow in number with the input."""
+    from cumulus.operators import joins
+    size = joins.input_bytes(spark.range(1000))
+    assert joins.task_count(spark.range(1000), size // 10) == 10
+    monkeypatch.setattr(joins, "input_bytes", lambda df: 37 * joins.TASK_BYTES)
+    df = _hot(spark, 2000, 500)
+    out = pt.longest_streak(df, "k", ["d", "i"], [F.col("d"), F.col("i")], F.col("ok"))
+    moved = [x for x in lay.plan_text(out, "simple").splitlines() if "Exchange" in x and "REPARTITION_BY_NUM" in x]
+    assert len(moved) == 3 and all(", 37)" in x for x in moved)
