@@ -17,25 +17,31 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Shuffle files go when the query that made them ends.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def stored(df: DataFrame, name: str, *parts: str) -> DataFrame:
+def stored(df: DataFrame, name: str, *parts: str, batch_bytes: int | None = None) -> DataFrame:
     """``df`` written to a new folder of the shared checkpoint root and read
     back: cuts lineage, survives lost executors, is computed once. As nothing
     reads its shuffles again, their files are freed with the write instead of
-    when the driver's garbage collector gets to them; the session's setting is
-    put back. ``parts`` names columns that become folders."""
+    when the driver's garbage collector gets to them; the session's settings are
+    put back. ``parts`` names columns that become folders, ``batch_bytes``
+    bounds the Arrow batches that the query's Python tasks get (the session's
+    setting unless given), for rows so wide that its batches fill the memory."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+    conf = {_CLEANUP: "true"} | ({_BATCH: str(batch_bytes)} if batch_bytes else {})
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
         df.write.option("compression", "zstd").partitionBy(*parts).parquet(path)
     finally:
-        if before is None:
-            spark.conf.unset(_CLEANUP)
-        else:
-            spark.conf.set(_CLEANUP, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
 
 

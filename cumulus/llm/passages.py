@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cumulus.llm.common import components, emit, stored, wide
 from cumulus.llm.minmax import multipliers
-from cumulus.llm.textsets import mix, roll, word_hashes, words
+from cumulus.llm.textsets import mix, roll, utf8_word_hashes
 
 HASHES = 6
 WORDS = 50
@@ -45,74 +45,131 @@ REACH = 4
 #: Unmatched shingles that a passage may bridge.
 GAP = 12
 
+#: Bytes of text whose windows are found at a time, and of one Arrow batch of texts.
+BATCH_BYTES = 1 << 20
+
 _SIG = pa.schema([("k1", pa.int64()), ("doc_id", pa.int64()), ("c", pa.int32())])
 _LINK = pa.schema([("k1", pa.int64()), ("doc_id", pa.int64()), ("c", pa.int32()), ("first", pa.int64())])
+_FOUND = pa.schema([("doc_id", pa.int64()), ("first", pa.int64()), ("at", pa.list_(pa.list_(pa.int64()))),
+                    ("k1", pa.list_(pa.int64())), ("c", pa.list_(pa.int32()))])
 
 
-def minima(v: np.ndarray, width: int) -> np.ndarray:
-    """Sorted positions that hold the minimum of some ``width`` neighbours
-    (of ties the first)."""
-    n = len(v)
-    if n < width:
+def minima(v: np.ndarray, width: int, stretches: np.ndarray) -> np.ndarray:
+    """Sorted positions that hold the minimum of the ``width`` neighbours from
+    some of ``stretches`` (sorted first positions) on, of ties the first."""
+    if not len(stretches):
         return np.empty(0, dtype=np.int64)
     bits = np.uint64(24)
-    if n >= 1 << 24:  # positions no longer fit: in overlapping pieces
+    if len(v) >= 1 << 24:  # positions no longer fit: in overlapping pieces
         step = (1 << 24) - width
-        return np.unique(np.concatenate([at + minima(v[at : at + step + width - 1], width)
-                                         for at in range(0, n - width + 1, step)]))
-    x = (v >> bits << bits) | np.arange(n, dtype=np.uint64)
+        parts = [stretches[slice(*np.searchsorted(stretches, (at, at + step)))] - at for at in range(0, len(v), step)]
+        return np.unique(np.concatenate([i * step + minima(v[i * step : (i + 1) * step + width - 1], width, part)
+                                         for i, part in enumerate(parts)]))
+    x = (v >> bits << bits) | np.arange(len(v), dtype=np.uint64)
     span = 1
     while span * 2 <= width:
         x = np.minimum(x[: len(x) - span], x[span:])
         span *= 2
     if span < width:
         x = np.minimum(x[: len(x) - (width - span)], x[width - span :])
-    return np.unique(x & np.uint64((1 << 24) - 1)).astype(np.int64)
+    x = x[stretches] & np.uint64((1 << 24) - 1)  # never falls from one stretch to the next
+    return x[np.r_[True, x[1:] != x[:-1]]].astype(np.int64)
+
+
+def whole_stretches(starts: np.ndarray, width: int) -> np.ndarray:
+    """First positions of all ``width`` neighbours inside one text; text i
+    takes the positions from ``starts[i]`` up to ``starts[i + 1]``."""
+    to = np.repeat(starts[1:], np.diff(starts))
+    return np.nonzero(to - np.arange(len(to)) >= width)[0]
+
+
+def extents(v: np.ndarray, starts: np.ndarray, stretches: np.ndarray, width: int,
+            reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First, centre and last of the compact windows of ``width`` positions or
+    more, cut ``reach`` positions beside their centre, of several texts one
+    after another. Each candidate looks at its neighbours, one after another,
+    until one is smaller (to the left: or equal) or out of reach."""
+    at = minima(v, width, stretches)
+    key = v[at] >> np.uint64(24)
+    text = np.searchsorted(starts, at, "right")
+    ends = [np.maximum(starts[text - 1], at - reach), np.minimum(starts[text] - 1, at + reach)]
+    outer = np.r_[np.iinfo(np.int64).min, at, np.iinfo(np.int64).max]
+    for side, end in zip((-1, 1), ends):
+        going, bound, step = np.arange(len(at)), end.copy(), 0
+        while len(going):
+            step += side
+            place = outer[going + step + 1]
+            inside = place >= bound[going] if side < 0 else place <= bound[going]
+            going = going[inside]
+            k, mine = key[going + step], key[going]
+            stop = k <= mine if side < 0 else k < mine
+            end[going[stop]] = place[inside][stop] - side
+            going = going[~stop]
+    ok = ends[1] - ends[0] + 1 >= width
+    return ends[0][ok], at[ok], ends[1][ok]
 
 
 def compact_windows(v: np.ndarray, width: int) -> list[tuple[int, int, int]]:
-    """(first, centre, last) of the compact windows of ``width`` positions or
-    more, by a Cartesian tree over the candidates."""
-    centres = minima(v, width)
-    key = (v[centres] >> np.uint64(24)).tolist()
-    at = centres.tolist()
-    left, right, stack = [0] * len(at), [len(v) - 1] * len(at), []
-    for i, k in enumerate(key):
-        while stack and key[stack[-1]] > k:
-            right[stack.pop()] = at[i] - 1
-        left[i] = at[stack[-1]] + 1 if stack else 0
-        stack.append(i)
-    return [(a, c, b) for a, c, b in zip(left, at, right) if b - a + 1 >= width]
-
-
-def signature_rows(h: np.ndarray, mult: np.ndarray, width: int) -> list[np.ndarray]:
-    """Columns signature and centre of the stretches that the windows of two
-    neighbouring hash functions share: both centres and ``width`` positions
-    lie in the common part. Each signature at all of its centres."""
-    out = [[np.empty(0, dtype=np.int64)] for _ in range(2)]
-    values = [mix(h * m) for m in mult] if len(h) >= width else []
-    found = [np.array(compact_windows(v, width), dtype=np.int64).reshape(-1, 3) for v in values]
-    reach = REACH * width
-    for w in found:  # a longer passage has several signatures instead
-        w[:, 0] = np.maximum(w[:, 0], w[:, 1] - reach)
-        w[:, 2] = np.minimum(w[:, 2], w[:, 1] + reach)
-    for j, one in enumerate(found):
-        k = (j + 1) % len(found)
-        for at in range(0, len(one), 32):
-            a, c, b = (x[:, None] for x in one[at : at + 32].T)
-            near = np.searchsorted(found[k][:, 1], (c[0, 0] - reach, c[-1, 0] + reach + 1))
-            a2, c2, b2 = found[k][near[0] : near[1]].T
-            s, e = np.maximum(a, a2), np.minimum(b, b2)
-            lo, hi = np.minimum(c, c2), np.maximum(c, c2)
-            x, y = np.nonzero((e - s >= width - 1) & (s <= lo) & (hi <= e))
-            pair = values[j][c[x, 0]] * np.uint64(0x9E3779B97F4A7C15) + values[k][c2[y]] + np.uint64(j)
-            for col, part in zip(out, (mix(pair).view(np.int64), c[x, 0])):
-                col.append(part)
-    return [np.concatenate(x) for x in out]
+    """(first, centre, last) of one text's compact windows, uncut."""
+    starts = np.array([0, len(v)])
+    return list(zip(*(x.tolist() for x in extents(v, starts, whole_stretches(starts, width), width, len(v)))))
 
 
-def hashed(text: str | None) -> np.ndarray:
-    return roll(word_hashes(words(text)), SHINGLE)
+def signature_rows(h: np.ndarray, starts: np.ndarray, mult: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Signature and centre of the stretches that the windows of two
+    neighbouring hash functions share: both centres and ``width`` positions
+    lie in the common part. Each signature at all of its centres. ``h`` holds
+    several texts, text i from ``starts[i]`` up to ``starts[i + 1]``."""
+    keys, centres = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
+    stretches = whole_stretches(starts, width)
+    values = [mix(h * m) for m in mult] if len(stretches) else []
+    # a longer passage than the reach has several signatures instead
+    found = [extents(v, starts, stretches, width, REACH * width) for v in values]
+    for j, (a, c, b) in enumerate(found):
+        k = (j + 1) % len(found)
+        a2, c2, b2 = found[k]
+        low = np.searchsorted(c2, a)
+        n = np.searchsorted(c2, b, "right") - low
+        for i in range(0, len(c), 4096):
+            m = n[i : i + 4096]
+            x = np.repeat(np.arange(i, i + len(m)), m)
+            y = np.arange(len(x)) + np.repeat(low[i : i + 4096] - np.cumsum(m) + m, m)
+            ok = (a2[y] <= c[x]) & (c[x] <= b2[y]) & (np.minimum(b[x], b2[y]) - np.maximum(a[x], a2[y]) >= width - 1)
+            x, y = x[ok], y[ok]
+            pair = values[j][c[x]] * np.uint64(0x9E3779B97F4A7C15) + values[k][c2[y]] + np.uint64(j)
+            keys.append(mix(pair).view(np.int64))
+            centres.append(c[x])
+    return np.concatenate(keys), np.concatenate(centres)
+
+
+def hashed(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of several texts one after another; text i's from the i-th up
+    to the next of the starts."""
+    ws = [utf8_word_hashes(t) for t in texts]
+    n = np.array([len(w) for w in ws], dtype=np.int64)
+    own = np.maximum(n - SHINGLE + 1, 0)
+    starts = np.r_[0, np.cumsum(own)]
+    at = np.arange(starts[-1]) + np.repeat(np.cumsum(n) - n - starts[:-1], own)
+    return roll(np.concatenate(ws), SHINGLE)[at] if len(at) else np.empty(0, dtype=np.uint64), starts
+
+
+def by_bytes(texts: list[bytes | None], most: int) -> Iterator[slice]:
+    """Runs of texts of about ``most`` bytes."""
+    at = size = 0
+    for i, text in enumerate(texts):
+        size += len(text or b"")
+        if size >= most:
+            yield slice(at, i + 1)
+            at, size = i + 1, 0
+    if at < len(texts):
+        yield slice(at, len(texts))
+
+
+def among(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of ``a`` are in the sorted ``b``."""
+    if not len(b):
+        return np.zeros(len(a), dtype=bool)
+    return b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a
 
 
 def spread(hit: np.ndarray, gap: int) -> list[np.ndarray]:
@@ -129,12 +186,16 @@ def dense(hit: np.ndarray, width: int) -> list[tuple[int, int]]:
     return list(zip(hit[first[ok]].tolist(), (hit[ok] + 1).tolist()))
 
 
-def shared(a: np.ndarray, b: np.ndarray, width: int) -> list[tuple[int, int]]:
+def shared(a: np.ndarray, b: np.ndarray, ours: np.ndarray, width: int) -> list[tuple[int, int]]:
     """Merged stretches of ``a`` (shingle positions, end exclusive) that stand
-    in a passage of ``b``. Both texts are compared whole."""
-    order = np.argsort(a, kind="stable")
+    in a passage of ``b``. Both texts are compared whole; ``ours`` tells which
+    of ``a`` are in ``b``."""
+    if np.count_nonzero(ours) < SIMILARITY * width - 1e-6:  # fewer than any passage has
+        return []
+    order = np.nonzero(ours)[0]
+    order = order[np.argsort(a[order], kind="stable")]
     values = a[order]
-    hit = np.nonzero(np.isin(b, a))[0]
+    hit = np.nonzero(among(b, values))[0]
     out: list[tuple[int, int]] = []
     for theirs in spread(hit, REACH * width) if len(hit) else []:
         y = np.unique(b[theirs])
@@ -155,23 +216,24 @@ def shared(a: np.ndarray, b: np.ndarray, width: int) -> list[tuple[int, int]]:
     return merged
 
 
-def further(a: np.ndarray, b: np.ndarray, at: list[tuple[int, int]], rows: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """The (signature, centre) rows of ``a`` outside the stretches found in
-    ``b``, each with the nearest shingle to the left and to the right that
-    ``b`` hasn't: texts that share a passage around the centre, but not with
-    ``b``, share one of the two new signatures."""
-    left = [r for r in rows if not any(s <= r[1] < e for s, e in at)]
-    if not left:
-        return []
-    others = np.nonzero(~np.isin(a, b))[0]
-    k, c = (np.array(x, dtype=np.int64) for x in zip(*left))
+def further(a: np.ndarray, ours: np.ndarray, at: list[tuple[int, int]], k: np.ndarray,
+            c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows (signature ``k``, centre ``c``) of ``a`` outside the stretches
+    found in the other text, each with the nearest shingle to the left and to
+    the right that the other hasn't: texts that share a passage around the
+    centre, but not with it, share one of the two new signatures."""
+    left = c < len(a)
+    for s, e in at:
+        left &= (c < s) | (c >= e)
+    k, c = k[left].view(np.uint64), c[left]
+    others = np.nonzero(~ours)[0]
     p = np.searchsorted(others, c)
-    out = []
-    for side, i, ok in ((1, p - 1, p > 0), (2, p, p < len(others))):
+    keys = []
+    sides = ((1, p - 1, p > 0), (2, p, p < len(others)))
+    for side, i, ok in sides:
         near = a[others[i[ok]]]
-        new = mix(k[ok].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + near + np.uint64(side)).view(np.int64)
-        out += zip(new.tolist(), c[ok].tolist())
-    return out
+        keys.append(mix(k[ok] * np.uint64(0x9E3779B97F4A7C15) + near + np.uint64(side)).view(np.int64))
+    return np.concatenate(keys), np.concatenate([c[ok] for _, _, ok in sides])
 
 
 def repeated_passages(docs: DataFrame, n_words: int = WORDS, hashes: int = HASHES) -> DataFrame:
@@ -191,71 +253,74 @@ def repeated_passages(docs: DataFrame, n_words: int = WORDS, hashes: int = HASHE
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mult = multipliers(hashes)
         for batch in batches:
-            ids, cols = [np.empty(0, dtype=np.int64)], [[np.empty(0, dtype=np.int64)] for _ in range(2)]
-            for doc, text in zip(*map(pa.Array.to_pylist, batch.columns)):
-                if doc is not None and text:
-                    got = signature_rows(hashed(text), mult, width)
-                    ids.append(np.full(len(got[0]), doc, dtype=np.int64))
-                    for col, part in zip(cols, got):
-                        col.append(part)
-            k, c = map(np.concatenate, cols)
-            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(np.concatenate(ids)), pa.array(c.astype(np.int32))],
-                                             schema=_SIG)
+            batch = batch.filter(batch.column(0).is_valid())
+            ids, texts = batch.column(0).to_numpy(), batch.column(1).cast(pa.binary()).to_pylist()
+            for part in by_bytes(texts, BATCH_BYTES):
+                h, starts = hashed([t or b"" for t in texts[part]])
+                k, c = signature_rows(h, starts, mult, width)
+                of = np.searchsorted(starts, c, "right") - 1
+                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(ids[part][of]),
+                                                  pa.array((c - starts[of]).astype(np.int32))], schema=_SIG)
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows of a signature follow one another, smallest doc_id first: each
         is linked with the first one; only that one is remembered."""
-        first = (None,) * 3
+        last = (None, 0)
         for batch in batches:
-            rows = []
-            k1 = batch.column(0).to_numpy()
-            # rows whose signature stands alone are passed over in bulk
-            alone = np.r_[True, k1[1:] != k1[:-1]] & np.r_[k1[1:] != k1[:-1], False]
-            if first[0] is not None and len(k1) and k1[0] == first[0]:
-                alone[0] = False
-            for r in zip(*map(pa.Array.to_pylist, batch.filter(pa.array(~alone)).columns)):
-                if r[0] != first[0]:
-                    first = r
-                elif r[1] != first[1]:
-                    rows.append((*r, first[1]))
-            yield emit(rows, _LINK)
-
-    out_schema = pa.schema([("doc_id", pa.int64()), ("first", pa.int64()), ("at", pa.list_(pa.list_(pa.int64()))),
-                            ("more", pa.list_(pa.list_(pa.int64())))])
+            if not batch.num_rows:
+                continue
+            k, doc, c = (x.to_numpy() for x in batch.columns)
+            new = np.r_[k[0] != last[0], k[1:] != k[:-1]]
+            first = np.r_[last[1], doc[new]][np.cumsum(new)]
+            last = (k[-1], first[-1])
+            later = doc != first
+            yield pa.RecordBatch.from_arrays([pa.array(x[later]) for x in (k, doc, c, first)], schema=_LINK)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = (None, None)
         for batch in batches:
             rows = []
-            for doc, text, first, first_text, cand in zip(*map(pa.Array.to_pylist, batch.columns)):
-                if last[0] != (first, first_text):
-                    last = ((first, first_text), hashed(first_text))
-                mine = hashed(text)
-                got = shared(mine, last[1], width)
-                more = further(mine, last[1], got, [(x["k1"], x["c"]) for x in cand if x["c"] < len(mine)])
-                if got or more:
-                    rows.append((doc, first, [[s, e + SHINGLE - 1] for s, e in got], more))
-            yield emit(rows, out_schema)
+            docs, firsts = (batch.column(i).to_pylist() for i in (0, 2))
+            texts, first_texts = (batch.column(i).cast(pa.binary()).to_pylist() for i in (1, 3))
+            ends, cand = batch.column(4).offsets.to_numpy(), batch.column(4).values
+            ks, cs = (cand.field(x).to_numpy() for x in ("k1", "c"))
+            for part in by_bytes(texts, BATCH_BYTES):
+                h, starts = hashed(texts[part])
+                for i, s, e in zip(range(part.start, part.stop), starts, starts[1:]):
+                    if last[0] != (firsts[i], first_texts[i]):
+                        other = hashed([first_texts[i]])[0]
+                        last = ((firsts[i], first_texts[i]), (other, np.sort(other)))
+                    mine, (other, values) = h[s:e], last[1]
+                    ours = among(mine, values)
+                    got = shared(mine, other, ours, width)
+                    rest = slice(ends[i], ends[i + 1])
+                    k, c = further(mine, ours, got, ks[rest], cs[rest])
+                    if got or len(k):
+                        rows.append((docs[i], firsts[i], [[s, e + SHINGLE - 1] for s, e in got], k, c))
+            yield emit(rows, _FOUND)
 
     sig = ided.mapInArrow(windows, "k1 bigint, doc_id bigint, c int")
     linked, texts = None, ided
     while True:  # each round without the first document of every signature, so it ends
         links = wide(sig, "k1").sortWithinPartitions("k1", "doc_id", "c").mapInArrow(
             link, "k1 bigint, doc_id bigint, c int, first bigint")
-        spans = stored(links.join(copies.hint("merge"), "doc_id", "left_anti"), "passage-candidates")
-        if linked is not None and spans.isEmpty():
+        pairs = links.join(copies.hint("merge"), "doc_id", "left_anti").groupBy("doc_id", "first").agg(
+            F.collect_set(F.struct("k1", "c")).alias("rows"))  # at most those of one text
+        pairs = stored(pairs, "passage-candidates")
+        if linked is not None and pairs.isEmpty():
             break
         if linked is not None:  # only the texts that still have partners are moved again
-            ids = spans.select("doc_id").unionAll(spans.select(F.col("first").alias("doc_id"))).distinct()
+            ids = pairs.select("doc_id").unionAll(pairs.select(F.col("first").alias("doc_id"))).distinct()
             texts = stored(texts.join(ids.hint("merge"), "doc_id"), "passage-texts")
-        other = texts.select(F.col("doc_id").alias("first"), F.col("text").alias("first_text"))
-        pairs = spans.groupBy("doc_id", "first").agg(F.collect_set(F.struct("k1", "c")).alias("rows"))  # at most those of one text
-        both = pairs.join(texts.hint("merge"), "doc_id").join(other.hint("merge"), "first").select(
-            "doc_id", "text", "first", "first_text", "rows")
-        found = stored(both.mapInArrow(verify, "doc_id bigint, first bigint, at array<array<bigint>>, more array<array<bigint>>"),
-                       "passage-links")
-        sig = found.select("doc_id", F.explode("more").alias("m")).select(
-            F.col("m")[0].alias("k1"), "doc_id", F.col("m")[1].cast("int").alias("c"))
+        # both sides join the same rows by the same column, so that the texts are shuffled once
+        mine, other = texts.alias("mine"), texts.alias("other")
+        both = pairs.join(mine.hint("merge"), F.col("mine.doc_id") == pairs["doc_id"]).select(
+            pairs["doc_id"], F.col("mine.text"), "first", "rows")
+        both = both.join(other.hint("merge"), F.col("first") == F.col("other.doc_id")).select(
+            both["doc_id"], both["text"], "first", F.col("other.text").alias("first_text"), "rows")
+        found = stored(both.mapInArrow(verify, "doc_id bigint, first bigint, at array<array<bigint>>, k1 array<bigint>, c array<int>"),
+                       "passage-links", batch_bytes=BATCH_BYTES)
+        sig = found.select(F.inline(F.arrays_zip("k1", "c")), "doc_id").select("k1", "doc_id", "c")
         found = found.where(F.size("at") > 0).select("doc_id", "first", "at")
         linked = found if linked is None else linked.unionAll(found)
     edges = linked.select(F.col("doc_id").alias("a"), F.col("first").alias("b")).unionAll(

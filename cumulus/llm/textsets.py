@@ -44,6 +44,11 @@ def word_hashes(ws: list[str]) -> np.ndarray:
     return np.fromiter((get(w) for w in ws), dtype=np.uint64, count=len(ws))
 
 
+def utf8_word_hashes(text: bytes) -> np.ndarray:
+    """``word_hashes(words(text))`` of a text given as UTF-8: bytes are lower-cased and split in ASCII only."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, text.lower().split())), dtype=">u8").astype(np.uint64)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> _S)) * _M2
     return x ^ (x >> np.uint64(32))

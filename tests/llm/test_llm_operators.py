@@ -294,6 +294,60 @@ def test_compact_windows_are_exact():
         assert passages.compact_windows(v, width) == want
 
 
+def test_signatures_of_many_texts_are_those_of_each():
+    """A batch of texts gives each text's own signatures, by brute force."""
+    import numpy as np
+    r = random.Random(26)
+    texts = ["", "one two", prose(r, 40, 30), "a " * 60, prose(r, 90, 10**6), "\u00c9 \u00e0\x1cB\x85c A\x0bd " * 9, prose(r, 12, 10**6)]
+    raw = [t.encode() for t in texts]
+    h, starts = passages.hashed(raw)
+    mult, width = minmax.multipliers(3), 9
+    k, c = passages.signature_rows(h, starts, mult, width)
+    assert len(starts) == len(texts) + 1 and passages.signature_rows(h[:0], np.array([0, 0]), mult, width)[0].size == 0
+    of, reach, total = np.searchsorted(starts, c, "right") - 1, passages.REACH * width, 0
+    for i, text in enumerate(texts):
+        own = textsets.roll(textsets.word_hashes(textsets.words(text)), passages.SHINGLE)
+        assert np.array_equal(own, h[starts[i] : starts[i + 1]])
+        values = [textsets.mix(own * m) for m in mult]
+        found = [[(max(a, x - reach), x, min(b, x + reach)) for a, x, b in passages.compact_windows(v, width)] for v in values]
+        want = []
+        for j, one in enumerate(found):
+            for a, x, b in one:
+                for a2, y, b2 in found[(j + 1) % 3]:
+                    s, e = max(a, a2), min(b, b2)
+                    if e - s >= width - 1 and s <= min(x, y) and max(x, y) <= e:
+                        key = int(values[j][x]) * 0x9E3779B97F4A7C15 + int(values[(j + 1) % 3][y]) + j
+                        want.append((int(textsets.mix(np.array([key % 2**64], dtype=np.uint64)).view(np.int64)[0]), x))
+        assert sorted(zip(k[of == i].tolist(), (c[of == i] - starts[i]).tolist())) == sorted(want)
+        total += len(want)
+    assert total == len(k) > 0
+
+
+def test_texts_reach_the_comparison_in_bounded_batches(spark, monkeypatch):
+    """Memory of a task must not follow how long the compared texts are."""
+    import pyarrow as pa
+    from cumulus.llm import common
+    asked = {}
+
+    def noted(df, name, *parts, **more):
+        asked[name] = more
+        return common.stored(df, name, *parts, **more)
+
+    monkeypatch.setattr(passages, "stored", noted)
+    found_passages(spark, [(1, "a b"), (2, "a b")])
+    most = asked["passage-links"]["batch_bytes"]
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([b.nbytes], pa.int64())})
+
+    wide = spark.range(0, 400, 1, 1).selectExpr("id", "repeat(cast(id as string), 20000) AS text")
+    got = [x.n for x in common.stored(wide.mapInArrow(sizes, "n bigint"), "batches", batch_bytes=most).collect()]
+    assert sum(got) > 8 * most and max(got) <= 2 * most
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+
+
 def test_passages(spark, odd):
     r = random.Random(8)
     p, near = prose(r, 80, 9000), None
